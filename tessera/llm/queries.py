@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate
+from tessera.llm import decontaminate, langid, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,8 +18,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_read(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_decontamination,)}
+    return {f.__name__: f for f in (op5_decontamination, op7_secrets, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
