@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, secrets
+from tessera.llm import decontaminate, langid, quality, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,12 +22,16 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_read(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_decontamination, op7_secrets, op9_language_id)}
+    return {f.__name__: f for f in (op5_decontamination, op7_secrets, op8_quality, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
