@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, quality, secrets, shard
+from tessera.llm import decontaminate, langid, mixing, quality, secrets, shard, tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_and_read(_read(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op5_decontamination, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
+    return {f.__name__: f for f in (op2_tokens, op3_mixing, op5_decontamination, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
