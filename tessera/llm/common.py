@@ -122,3 +122,19 @@ def set_threads() -> None:
     """One thread for each worker: Spark already runs one task for each core."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     pa.set_cpu_count(1)
+
+
+def sum_rows(df: DataFrame, run, width: int) -> np.ndarray:
+    """Sum over partitions of a matrix that each gives as (row, values); ``width`` rows are collected."""
+    sums = df.mapInArrow(run, "i int, v binary").groupBy("i").applyInArrow(_add_rows, "i int, v binary")
+    out = np.zeros((width, 0))
+    for r in sums.collect():
+        values = np.frombuffer(bytes(r["v"]))
+        out = np.zeros((width, len(values))) if not out.size else out
+        out[r["i"]] = values
+    return out
+
+
+def _add_rows(group: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(v.as_buffer()) for v in group.column("v"))
+    return pa.table({"i": group.column("i").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})

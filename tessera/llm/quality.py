@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, materialise, slices, text_buffer
+from tessera.llm.common import crc_mod, materialise, slices, sum_rows, text_buffer
 from tessera.llm.words import NOT_SPACE, mix, split
 
 STATISTICS = (
@@ -139,22 +139,6 @@ class Map:
         return np.hstack([cosines, 0.1 * z, np.ones((len(z), 1))])
 
 
-def _sum_rows(df: DataFrame, run, width: int) -> np.ndarray:
-    """Sum over partitions of a matrix that each gives as (row, values); ``width`` rows are collected."""
-    sums = df.mapInArrow(run, "i int, v binary").groupBy("i").applyInArrow(_add, "i int, v binary")
-    out = np.zeros((width, 0))
-    for r in sums.collect():
-        values = np.frombuffer(bytes(r["v"]))
-        out = np.zeros((width, len(values))) if not out.size else out
-        out[r["i"]] = values
-    return out
-
-
-def _add(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(v.as_buffer()) for v in group.column("v"))
-    return pa.table({"i": group.column("i").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})
-
-
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((1, 2 * len(STATISTICS) + 1))
     for batch in batches:
@@ -192,7 +176,7 @@ def train(labelled: DataFrame, *, features: int = 256, gamma: float | None = Non
     """Fit on rows (doc_id, stats, quality), a part for the ridge and a part for the calibration."""
     part = crc_mod(F.col("doc_id"), 5)
     fit, rest = labelled.where(part >= 2), labelled.where(part < 2)
-    moments = _sum_rows(fit.select("stats"), _moments, 1)
+    moments = sum_rows(fit.select("stats"), _moments, 1)
     k = len(STATISTICS)
     if not moments.size or moments[0, -1] == 0:
         return Model(None, None, np.zeros(0), np.zeros(0))
@@ -209,7 +193,7 @@ def train(labelled: DataFrame, *, features: int = 256, gamma: float | None = Non
                 sums += z.T @ np.column_stack([z, np.asarray(some.column("quality")).astype(float)])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(space.width), pa.int32()), pa.array([row.tobytes() for row in sums], pa.binary())], names=["i", "v"])
 
-    sums = _sum_rows(fit.select("stats", "quality"), normal, space.width)
+    sums = sum_rows(fit.select("stats", "quality"), normal, space.width)
     weights = np.linalg.solve(sums[:, :-1] + ridge * n * np.eye(space.width), sums[:, -1])
     raw = Model(space, weights, np.zeros(0), np.zeros(0))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, quality, secrets, shard, tokens
+from tessera.llm import decontaminate, langid, mixing, quality, secrets, shard, tokens, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_read(spark, sf_dir, "embeddings"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_read(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_tokens, op3_mixing, op5_decontamination, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
+    return {f.__name__: f for f in (op2_tokens, op3_mixing, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
