@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, quality, secrets, shard, tokens, topk
+from tessera.llm import decontaminate, langid, mixing, neardup, quality, secrets, shard, tokens, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find_components(_read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_and_read(_read(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_tokens, op3_mixing, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_tokens, op3_mixing, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
