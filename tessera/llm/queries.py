@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, mixing, neardup, quality, secrets, shard, tokens, topk
+from tessera.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, shard, tokens, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_read(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -51,7 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_tokens, op3_mixing, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_tokens, op3_mixing, op4_lm_scores, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
