@@ -138,3 +138,13 @@ def sum_rows(df: DataFrame, run, width: int) -> np.ndarray:
 def _add_rows(group: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(v.as_buffer()) for v in group.column("v"))
     return pa.table({"i": group.column("i").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})
+
+
+def keep_rows(docs: DataFrame, judge) -> DataFrame:
+    """The rows, with all their columns, for whose slices ``judge(batch)`` is true: a narrow stage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.filter(pa.array(judge(batch), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

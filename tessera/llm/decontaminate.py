@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, text_buffer
+from tessera.llm.common import keep_rows, slices, text_buffer
 from tessera.llm.words import ALNUM, Words, split
 
 WINDOW = 13
@@ -110,6 +110,14 @@ class Index:
         inside = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
         return position[order[low[which] + inside]], which
 
+    def hits(self, words: Words, position: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Which words lie in an occurrence."""
+        depth = np.zeros(len(words) + 1, np.int64)
+        if len(which):
+            np.add.at(depth, position, 1)
+            np.add.at(depth, position + self.sizes[which], -1)
+        return np.cumsum(depth[:-1]) > 0
+
 
 def _keys(numbers: np.ndarray) -> np.ndarray:
     """Rows of numbers as byte strings that sort in the same order."""
@@ -117,10 +125,16 @@ def _keys(numbers: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(numbers.astype(">u4")).view(f"S{width}").ravel()
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def _block_count(benchmark: DataFrame, block_bytes: int) -> int:
+    return int((_items(benchmark).agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes) + 1
+
+
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = int(total // block_bytes) + 1
+    rows, count = _items(benchmark), _block_count(benchmark, block_bytes)
     for k in range(count):
         part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("name"), F.lit(count)) == k)
         yield [(r["name"], r["text"]) for r in part.orderBy("name", "text").toLocalIterator()]
@@ -135,12 +149,7 @@ def _pass(index: Index):
         for batch in slices(batches, "text"):
             words = split(*text_buffer(batch.column("text")), ALNUM)
             position, which = index.search(words)
-            begins = np.concatenate([position, np.zeros(0, np.int64)])
-            until = position + index.sizes[which] if len(which) else position
-            depth = np.zeros(len(words) + 1, np.int64)
-            np.add.at(depth, begins, 1)
-            np.add.at(depth, until, -1)
-            hit = np.cumsum(depth[:-1]) > 0
+            hit = index.hits(words, position, which)
             # spans of hit words of each row
             edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
             cut = words.offsets[1:-1]
@@ -260,7 +269,22 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = WIND
     return out
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that are not contaminated, with all their columns; repeated ids are judged together."""
-    bad = find_contamination(docs, benchmark, **options).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents that are not contaminated, with all their columns.
+
+    A benchmark of one block is searched in passing. With more, what the blocks hit in a document has to be
+    joined to it by its id; repeated ids are then judged together.
+    """
+    blocks = list(_blocks(benchmark, block_bytes)) if _block_count(benchmark, block_bytes) == 1 else None
+    if blocks is not None:
+        index = Index(blocks[0], window)
+
+        def judge(batch: pa.RecordBatch) -> np.ndarray:
+            words = split(*text_buffer(batch.column("text")), ALNUM)
+            hit = np.concatenate([[0], np.cumsum(index.hits(words, *index.search(words)))])
+            n_hit = hit[words.offsets[1:]] - hit[words.offsets[:-1]]
+            return ~((n_hit > 0) & (20 * n_hit >= np.diff(words.offsets)))
+
+        return keep_rows(docs, judge)
+    bad = find_contamination(docs, benchmark, window=window, block_bytes=block_bytes).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, slices, text_buffer
+from tessera.llm.common import crc_mod, keep_rows, slices, text_buffer
 from tessera.llm.words import LOWER, fingerprints, split
 
 UNDETERMINED = "und"
@@ -245,45 +245,70 @@ class _Memo:
         self.prints, self.values = joined[order], np.concatenate([self.values, values[fresh]])[order]
 
 
-def _score(path: str, languages: list[str], table: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, memo = pieces(path), _Memo(len(languages))
-        for batch in slices(batches, "text"):
-            raw, offsets = text_buffer(batch.column("text"))
-            text, starts, ends, marked, row = _runs_of(raw, offsets)
-            prints, first, inverse = _distinct(text, starts, ends, marked)
-            have, at = memo.find(prints)
-            values = np.zeros((len(prints), len(languages)), np.float32)
-            values[have] = memo.values[at[have]]
-            new = np.flatnonzero(~have)
-            for k in range(0, len(new), 20_000):
-                some = first[new[k : k + 20_000]]
-                runs = Runs(vocabulary, text, starts[some], ends[some], marked[some])
-                values[new[k : k + 20_000][runs.order]] = np.log(runs.forward(table)[1])
-            memo.put(prints, values, ~have)
-            total = np.zeros((batch.num_rows, len(languages)))
-            for k in range(len(languages)):
-                total[:, k] = np.bincount(row, values[inverse.ravel(), k], minlength=batch.num_rows) if len(row) else 0
-            ascii_letters = np.concatenate([[0], np.cumsum((LOWER[raw] >= 97) & (LOWER[raw] <= 122))])
-            letter = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
-            for i in np.flatnonzero(~letter & (np.bincount(row, minlength=batch.num_rows) > 0)).tolist():
-                letter[i] = any(c.isalpha() for c in raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
-            best = total.argmax(axis=1) if languages else np.zeros(batch.num_rows, np.int64)
-            posterior = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1) if languages else np.zeros(batch.num_rows)
-            told = [languages[b] if ok and languages else UNDETERMINED for b, ok in zip(best.tolist(), letter.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(told, pa.string()), pa.array(np.where(letter, posterior, 0.0), pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
-
-    return run
+class Scorer:
+    """Predictions for slices; it remembers words from one slice to the next."""
+
+    def __init__(self, path: str, languages: list[str], table: np.ndarray):
+        self.vocabulary, self.memo, self.languages, self.table = pieces(path), _Memo(len(languages)), languages, table
+
+    def __call__(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
+        """(language, score) of each text."""
+        raw, offsets = text_buffer(column)
+        n, languages, memo = len(offsets) - 1, self.languages, self.memo
+        text, starts, ends, marked, row = _runs_of(raw, offsets)
+        prints, first, inverse = _distinct(text, starts, ends, marked)
+        have, at = memo.find(prints)
+        values = np.zeros((len(prints), len(languages)), np.float32)
+        values[have] = memo.values[at[have]]
+        new = np.flatnonzero(~have)
+        for k in range(0, len(new), 20_000):
+            some = first[new[k : k + 20_000]]
+            runs = Runs(self.vocabulary, text, starts[some], ends[some], marked[some])
+            values[new[k : k + 20_000][runs.order]] = np.log(runs.forward(self.table)[1])
+        memo.put(prints, values, ~have)
+        total = np.zeros((n, len(languages)))
+        for k in range(len(languages)):
+            total[:, k] = np.bincount(row, values[inverse.ravel(), k], minlength=n) if len(row) else 0
+        ascii_letters = np.concatenate([[0], np.cumsum((LOWER[raw] >= 97) & (LOWER[raw] <= 122))])
+        letter = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
+        for i in np.flatnonzero(~letter & (np.bincount(row, minlength=n) > 0)).tolist():
+            letter[i] = any(c.isalpha() for c in raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
+        if not languages:
+            return [UNDETERMINED] * n, np.zeros(n)
+        best = total.argmax(axis=1)
+        posterior = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        return [languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), letter.tolist())], np.where(letter, posterior, 0.0)
 
 
 def predict(docs: DataFrame, languages: list[str], table: np.ndarray, *, model_path: str | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    path = model_path or piece_model_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = None
+        for batch in slices(batches, "text"):
+            scorer = scorer or Scorer(path, languages, table)
+            told, score = scorer(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(told, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.mapInArrow(_score(model_path or piece_model_path(), languages, table), f"doc_id {id_type}, lang_pred string, score double")
+    return texts.mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, *, least: float = 0.5, **options) -> DataFrame:
+    """The documents, with all their columns, in which a language is found with a score of ``least`` or more."""
+    path = options.get("model_path") or piece_model_path()
+    languages, table = train(docs.where(~held_out()), **options)
+    scorers: list[Scorer] = []
+
+    def judge(batch: pa.RecordBatch) -> np.ndarray:
+        if not scorers:
+            scorers.append(Scorer(path, languages, table))
+        told, score = scorers[0](batch.column("text"))
+        return (np.array(told, object) != UNDETERMINED) & (score >= least)
+
+    return keep_rows(docs, judge)
 
 
 def held_out() -> Column:

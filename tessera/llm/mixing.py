@@ -11,7 +11,7 @@ raked as a distributed table.
 
 Defined cases: null and empty texts have no tokens, form the topic ``empty`` and get the largest weight of
 their cell's marginals, 1 at least where there is nothing to rake; null source or language is a value of its
-own; repeated rows of one id are taken or left together; targets for values that don't occur are ignored
+own; repeated rows of one id and cell are taken or left together; targets for values that don't occur are ignored
 and the rest renormalised, values without a target get none of the weight; an empty table gives an empty
 result; a table lacking the columns lang or source is raked to what it has.
 """
@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import materialise, slices, text_buffer
 from tessera.llm.words import NOT_SPACE, split
@@ -37,28 +38,32 @@ TOLERANCE = 1e-6
 _DIMS = ("source", "lang", "topic")
 
 
-def _form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and form of whole texts."""
-    for batch in slices(batches, "text"):
-        raw, offsets = text_buffer(batch.column("text"))
-        words = np.diff(split(raw, offsets, NOT_SPACE).offsets)
+def form(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Topic and words of each whole text."""
+    raw, offsets = text_buffer(column)
+    words = np.diff(split(raw, offsets, NOT_SPACE).offsets)
 
-        def share(of: bytes) -> np.ndarray:
-            table = np.zeros(256, np.int64)
-            table[list(of)] = 1
-            total = np.concatenate([[0], np.cumsum(table[raw])])
-            return (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)  # noqa: B023
+    def share(of: bytes) -> np.ndarray:
+        table = np.zeros(256, np.int64)
+        table[list(of)] = 1
+        total = np.concatenate([[0], np.cumsum(table[raw])])
+        return (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
 
-        conditions = [words == 0, words < 50, share(b"|\t") > 0.01, share(b"!#$%&*") > 0.04, share(b"\n") > 0.02]
-        topic = np.select(conditions, TOPICS[:-1], TOPICS[-1])
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array(topic.tolist(), pa.string()), pa.array(words, pa.int64())], names=["doc_id", "source", "lang", "topic", "n_tokens"])
+    conditions = [words == 0, words < 50, share(b"|\t") > 0.01, share(b"!#$%&*") > 0.04, share(b"\n") > 0.02]
+    return np.select(conditions, TOPICS[:-1], TOPICS[-1]), words
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens) of every row; a missing source or language is null."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", *((F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")).alias(c) for c in ("source", "lang")), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.mapInArrow(_form, f"doc_id {id_type}, source string, lang string, topic string, n_tokens long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            topic, words = form(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array(topic.tolist(), pa.string()), pa.array(words, pa.int64())], names=["doc_id", "source", "lang", "topic", "n_tokens"])
+
+    return texts.mapInArrow(run, f"doc_id {id_type}, source string, lang string, topic string, n_tokens long")
 
 
 def tempered(shares: dict, temper: float) -> dict:
@@ -189,6 +194,20 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The sampled documents with all their columns."""
-    left = mix(docs, **options).where(~F.col("sampled")).select(F.col("doc_id").alias("_out")).distinct()
-    return docs.join(left, docs["doc_id"].eqNullSafe(left["_out"]), "left_anti")
+    """The sampled documents with all their columns; texts are not moved where the cells can be broadcast."""
+    cells, small = rake(materialise(measure(docs), "mixing-measured"), **options)
+    cells = cells.select(*(F.col(d).alias(f"_{d}_") for d in _DIMS), F.col("probability").alias("_p_"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.append_column("_form_", pa.array(form(batch.column("text"))[0].tolist(), pa.string()))
+
+    marked = docs.mapInArrow(mark, _with_form(docs))
+    value = {"topic": F.col("_form_")} | {c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("source", "lang")}
+    match = [value[d].eqNullSafe(F.col(f"_{d}_")) for d in _DIMS]
+    joined = marked.join(F.broadcast(cells) if small else cells, match[0] & match[1] & match[2])
+    return joined.where(place(F.col("doc_id")) < F.col("_p_")).select(*docs.columns)
+
+
+def _with_form(docs: DataFrame) -> T.StructType:
+    return T.StructType([*docs.schema.fields, T.StructField("_form_", T.StringType())])
