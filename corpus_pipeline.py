@@ -1,23 +1,55 @@
-"""A corpus pipeline of five stages; each reads what the one before it kept."""
+"""A corpus pipeline of five stages; each reads what the one before it kept.
+
+Texts are moved once: the stages that judge a document by itself filter rows where they are, near-dedup takes the
+copies' ids away by a join, and sharding works on metadata. Near-dedup compares sets of five-word shingles at
+a similarity of 0.8 or more.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate
+from tessera.llm import decontaminate, langid, mixing, neardup, shard
 from tessera.llm.common import materialise
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language is found go."""
+    return langid.keep_identified(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one of the smallest id."""
+    return neardup.drop_copies(docs, shingle=5, percent=80)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more is benchmark text go."""
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark decontamination", decontamination)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled to tempered shares of source, language and topic."""
+    return mixing.sample(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document."""
+    return shard.assign(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mix_sources),
+    ("sharding", sharding),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
