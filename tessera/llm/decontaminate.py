@@ -154,7 +154,7 @@ def _pass(index: Index):
             edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
             cut = words.offsets[1:-1]
             first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            both = cut[(cut > 0) & (cut < len(words))] if len(words) else cut
+            both = cut[(cut > 0) & (cut < len(words))]
             both = np.unique(both[hit[np.maximum(both - 1, 0)] & hit[np.minimum(both, len(words) - 1)]]) if len(both) else both
             first, last = np.sort(np.concatenate([first, both])), np.sort(np.concatenate([last, both]))
             row = _rows_of(words, first)

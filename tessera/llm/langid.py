@@ -255,6 +255,8 @@ class Scorer:
         """(language, score) of each text."""
         raw, offsets = text_buffer(column)
         n, languages, memo = len(offsets) - 1, self.languages, self.memo
+        if not languages:
+            return [UNDETERMINED] * n, np.zeros(n)
         text, starts, ends, marked, row = _runs_of(raw, offsets)
         prints, first, inverse = _distinct(text, starts, ends, marked)
         have, at = memo.find(prints)
@@ -273,8 +275,6 @@ class Scorer:
         letter = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
         for i in np.flatnonzero(~letter & (np.bincount(row, minlength=n) > 0)).tolist():
             letter[i] = any(c.isalpha() for c in raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace"))
-        if not languages:
-            return [UNDETERMINED] * n, np.zeros(n)
         best = total.argmax(axis=1)
         posterior = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         return [languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), letter.tolist())], np.where(letter, posterior, 0.0)

@@ -302,6 +302,8 @@ def score(docs: DataFrame, *, order: int = ORDER, held_modulus: int = 7, held: i
     gathered = dev_chunks.groupBy("chunk").cogroup(answers.where(F.col("role") == _DEV).select(*narrow).groupBy("chunk")).applyInArrow(events, f"bucket int, {fields}, n long")
     keys = ["bucket", *(f"q{k}" for k in range(1, order + 1))]
     weights = learn(materialise(gathered.groupBy(*keys).agg(F.sum("n").alias("n")), "lm-events"), order, uniform)
+    if not tokens:
+        weights[:] = np.eye(order + 1)[0]
 
     def scores(left: pa.Table, right: pa.Table) -> pa.Table:
         counted = Counted(left, right, order)

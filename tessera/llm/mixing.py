@@ -104,6 +104,9 @@ def _targets(marginals: dict[str, dict], given: dict[str, dict] | None, temper:
     out = {}
     for d, tokens in marginals.items():
         total = sum(tokens.values())
+        if not total:
+            out[d] = tokens
+            continue
         wanted = (given or {}).get(d) or tempered({k: v / total for k, v in tokens.items()}, temper)
         wanted = {k: wanted.get(k, 0.0) for k, v in tokens.items() if v > 0}
         scale = sum(wanted.values())
@@ -143,7 +146,9 @@ def rake(measured: DataFrame, *, targets: dict[str, dict] | None = None, temper:
 def _rake_table(cells: DataFrame, targets: dict[str, dict] | None, temper: float, budget: float) -> DataFrame:
     """As above, for more cells than the driver takes: each step joins the cells with the totals along a dimension."""
     spark = cells.sparkSession
-    total = cells.agg(F.sum("tokens")).first()[0]
+    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
+    if not total:
+        return cells.select(*_DIMS, F.lit(1.0).alias("weight"), F.lit(1.0).alias("probability"))
     state = cells.withColumn("mass", F.col("tokens"))
     wanted = {}
     for d in _DIMS:

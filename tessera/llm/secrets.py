@@ -202,5 +202,6 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def secret_spans(docs: DataFrame) -> DataFrame:
     """The spans as rows: (doc_id, kind, start, end)."""
-    part = F.split(F.explode(F.split("spans", ",")), ":")
-    return find_secrets(docs).where("spans <> ''").select("doc_id", part.alias("p")).select("doc_id", F.col("p")[0].alias("kind"), F.col("p")[1].cast("long").alias("start"), F.col("p")[2].cast("long").alias("end"))
+    each = find_secrets(docs).where("spans <> ''").select("doc_id", F.explode(F.split("spans", ",")).alias("span"))
+    part = F.split("span", ":")
+    return each.select("doc_id", part[0].alias("kind"), part[1].cast("long").alias("start"), part[2].cast("long").alias("end"))
