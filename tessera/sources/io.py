@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CAPTURE = T.StructType.fromDDL("cache_key string, url string, etag string, last_modified string, fetched_at long, validated_at long, status_code int, fetch_status string, used_cache_fallback boolean, content_sha256 string, acquisition_source string, item_id long, item_name string")
+CAPTURE = "cache_key string, url string, etag string, last_modified string, fetched_at long, validated_at long, status_code int, fetch_status string, used_cache_fallback boolean, content_sha256 string, acquisition_source string, item_id long, item_name string"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -60,7 +60,7 @@ def read_captures(spark: SparkSession, root: str, metadata: DataFrame) -> DataFr
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     prefix = root.rstrip("/").removeprefix("file://").removeprefix("file:") + "/"
     key = F.replace(F.regexp_replace("path", "^file:/+", "/"), F.lit(prefix), F.lit(""))
-    found = files.select(key.alias("_key"), F.sha2("content", 256).alias("_sha"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    found = files.select(key.alias("_key"), F.sha2("content", 256).alias("_sha"), F.decode("content", "UTF-8").alias("content"))
     joined = metadata.join(found, F.col("cache_key") == F.col("_key"), "left")
     inside = ~F.col("cache_key").contains("..") & ~F.col("cache_key").startswith("/")
     state = F.when(~inside, "outside").when(F.col("_key").isNull(), "missing").when(F.col("_sha") != F.col("content_sha256"), "changed").otherwise("ok")
