@@ -89,7 +89,7 @@ def fold_digest(rows: DataFrame, path: str, digest: str, *, header: str = "") ->
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes, sha256) of the files below a folder; path is relative to it."""
+    """(path, bytes, sha256) of the files below a folder that are not empty; path is relative to it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     root = F.lit(path.rstrip("/").removeprefix("file://").removeprefix("file:"))
     plain = F.regexp_replace("path", "^file:/+", "/")

@@ -230,7 +230,7 @@ def test_manifests(spark, tmp_path):
     assert rows(manifest) == [("b.png", 12, hashlib.sha256(b"\x89PNG\r\n\x1a\nrest").hexdigest()), ("d/a.txt", 3, hashlib.sha256(b"one").hexdigest())]
     manifest = spark.createDataFrame(manifest.collect(), manifest.schema)
     (tmp_path / "d/a.txt").write_bytes(b"two")
-    (tmp_path / "new").write_bytes(b"")
+    (tmp_path / "new").write_bytes(b"x")
     assert rows(gates.verify_manifest(manifest, gates.file_manifest(spark, str(tmp_path)))) == [("d/a.txt", "modified"), ("new", "unexpected")]
     assert spark.read.format("binaryFile").load(f"{tmp_path}/b.png").select(gates.image_kind(F.col("content"))).first()[0] == "png"
 
