@@ -152,10 +152,10 @@ def safe_positive_int(column: Column) -> Column:
 
 
 def name_and_count(column: Column) -> tuple[Column, Column]:
-    """A name and the number after a final multiplication sign, 1 without one."""
-    pattern = r"(?U)^(.*?)\s*[×xX]\s*(\d+)\s*$"
-    has = column.rlike(pattern)
-    return F.trim(F.when(has, F.regexp_extract(column, pattern, 1)).otherwise(column)), F.when(has, F.regexp_extract(column, pattern, 2).try_cast("int")).otherwise(1)
+    """A name and the number that ends it, after a multiplication sign or not; 0 without one."""
+    pattern = r"(?U)^(.+?)(?:\s*×\s*)?(\d+)?$"
+    text = F.trim(F.split_part(column, F.lit("二番艦"), F.lit(1)))
+    return F.trim(F.regexp_extract(text, pattern, 1)), F.coalesce(F.regexp_extract(text, pattern, 2).try_cast("int"), F.lit(0))
 
 
 def level_label(level: Column) -> Column:

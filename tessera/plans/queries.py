@@ -588,7 +588,7 @@ def classified_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", joined(kinds).alias("kinds"), text.availability(F.col("text"), past=" of ", present=" the ").alias("availability"))
 
 
-@query("""select p_partkey, case when p_size % 3 = 0 then cast(p_size as double) when p_size % 3 = 1 then cast(p_size as double) + 0.5 end as value, case when p_size % 3 = 0 then '%' end as unit, case when p_size >= 10 then '★MAX' else '★' || p_size end as label, case when p_size % 2 = 0 then p_brand else p_brand || ' x y' end as name, case when p_size % 2 = 0 then p_size else 1 end as n from part""")
+@query("""select p_partkey, case when p_size % 3 = 0 then cast(p_size as double) when p_size % 3 = 1 then cast(p_size as double) + 0.5 end as value, case when p_size % 3 = 0 then '%' end as unit, case when p_size >= 10 then '★MAX' else '★' || p_size end as label, case when p_size % 2 = 0 then p_brand else p_brand || ' x y' end as name, case when p_size % 2 = 0 then p_size else 0 end as n from part""")
 def typed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells as numbers with units, labels, names with counts."""
     size = F.col("p_size").cast("string")
