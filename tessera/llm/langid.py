@@ -180,17 +180,18 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, *, model_path: str | None = None, train_docs: int = 1500, train_words: int = 60_000, rounds: int = 4) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, *, model_path: str | None = None, train_docs: int = 1500, train_words: int = 60_000, rounds: int = 4, most_languages: int = 400) -> tuple[list[str], np.ndarray]:
     """(languages, piece probabilities by piece and language) learned from the rows with a language.
 
-    One group for each language fits in a worker: it has ``train_words`` distinct words at most.
+    One group for each language fits in a worker: it has ``train_words`` distinct words at most. Of more than
+    ``most_languages`` the ones with the most rows are learned.
     """
     path = model_path or piece_model_path()
     known = docs.where(F.col("lang").isNotNull())
     sizes = known.groupBy("lang").count().select("lang", (F.lit(float(train_docs)) / F.col("count")).alias("share"))
     bucket = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / 1_000_000
     sample = known.select("lang", "doc_id", "text").where(F.col("text").isNotNull())
-    shares = {r["lang"]: r["share"] for r in sizes.collect()}  # a row for each language
+    shares = {r["lang"]: r["share"] for r in sizes.orderBy("share", "lang").limit(most_languages).collect()}
     if not shares:
         return [], np.zeros((1, 0))
     share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]

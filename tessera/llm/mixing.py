@@ -201,18 +201,18 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The sampled documents with all their columns; texts are not moved where the cells can be broadcast."""
     cells, small = rake(materialise(measure(docs), "mixing-measured"), **options)
-    cells = cells.select(*(F.col(d).alias(f"_{d}_") for d in _DIMS), F.col("probability").alias("_p_"))
+    cells = cells.select(*(F.col(d).alias(f"_tessera_{d}") for d in _DIMS), F.col("probability").alias("_tessera_p"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            yield batch.append_column("_form_", pa.array(form(batch.column("text"))[0].tolist(), pa.string()))
+            yield batch.append_column("_tessera_form", pa.array(form(batch.column("text"))[0].tolist(), pa.string()))
 
     marked = docs.mapInArrow(mark, _with_form(docs))
-    value = {"topic": F.col("_form_")} | {c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("source", "lang")}
-    match = [value[d].eqNullSafe(F.col(f"_{d}_")) for d in _DIMS]
+    value = {"topic": F.col("_tessera_form")} | {c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("source", "lang")}
+    match = [value[d].eqNullSafe(F.col(f"_tessera_{d}")) for d in _DIMS]
     joined = marked.join(F.broadcast(cells) if small else cells, match[0] & match[1] & match[2])
-    return joined.where(place(F.col("doc_id")) < F.col("_p_")).select(*docs.columns)
+    return joined.where(place(F.col("doc_id")) < F.col("_tessera_p")).select(*docs.columns)
 
 
 def _with_form(docs: DataFrame) -> T.StructType:
-    return T.StructType([*docs.schema.fields, T.StructField("_form_", T.StringType())])
+    return T.StructType([*docs.schema.fields, T.StructField("_tessera_form", T.StringType())])

@@ -13,7 +13,7 @@ punctuation are taken apart first, as the tokenizer does, and their parts rememb
 
 Each task writes to names of its own and the manifest lists the files of the tasks that ended well, so tasks can
 be run again. Defined cases: null and empty texts have the end id only; null ids come first; rows of one id
-stand in order of their text; an empty table gives an empty dataset; other columns are not looked at.
+stand in order of a hash of their text, then of the text; an empty table gives an empty dataset; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -184,7 +184,9 @@ def write(docs: DataFrame, *, path: str | None = None, vocabulary: str | None =
     dtype = "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # the hash shares out the rows of an id that has very many
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = ordered.repartitionByRange(n, *order[:2]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
