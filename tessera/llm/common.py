@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; it bounds a worker's memory whatever the batch holds.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -104,8 +104,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     for batch in batches:
         if not batch.num_rows:
             continue
-        text = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string())
-        offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+        text = batch.column(batch.schema.get_field_index(column))
+        kind = np.int64 if pa.types.is_large_string(text.type) else np.int32
+        offsets = np.frombuffer(text.buffers()[1], kind)[text.offset : text.offset + len(text) + 1].astype(np.int64)
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
