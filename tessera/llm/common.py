@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -99,8 +100,27 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def return_memory() -> None:
+    """Make freed arrays go back to the system, so that idle workers don't hold what their last step needed."""
+    if not _tuned:
+        _tuned.append(True)
+        try:  # glibc: arrays from 256 KB on are mapped for themselves; a fixed threshold, which else grows
+            ctypes.CDLL(None).mallopt(-3, 1 << 18)
+        except (AttributeError, OSError):
+            pass
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+_tuned: list[bool] = []
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches again, cut between rows so that the texts of a piece have at most ``limit`` bytes, one row at least."""
+    return_memory()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -113,6 +133,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+        del batch, text, offsets
+        return_memory()
 
 
 def ids_of(batch: pa.RecordBatch, name: str = "doc_id") -> list:
