@@ -2,11 +2,10 @@
 
 1. Every document gets its set's size, a 128-bit fingerprint of the set, and a signature of minima under
    ``trees * DEPTH`` hash functions. Documents of equal sets are one node, named by the smallest id.
-2. The forest: each tree orders the nodes by its own DEPTH minima. Nodes that share the first ``PREFIX`` of them
-   form a region. In a region of up to ``REGION`` nodes all are candidates of each other; larger ones are
-   taken apart at their longest common prefixes, one level deeper at a time, and the neighbours in order where
-   they part are candidates as well. Candidates whose signatures agree in ``threshold - MARGIN`` of the
-   places or more are joined; a region gives a spanning forest of these, not all pairs.
+2. The forest: each tree has DEPTH minima of its own. Nodes that share the first ``PREFIX`` of them form a region,
+   and all nodes of a region are candidates of each other, whatever its size: regions of over ``REGION`` nodes are dealt
+   into blocks, and each pair of blocks is a piece of work of its own. Candidates whose signatures agree in
+   ``threshold - MARGIN`` of the places or more are joined; a piece gives a spanning forest of these, not all pairs.
 3. What the trees join together is a cluster. The full sets of each cluster are compared with one another,
    those of a large cluster in pairs of blocks, each a task's work of bounded size. Links are pairs whose sets
    reach the threshold, in whole numbers; each block pair gives a spanning star of them.
@@ -40,7 +39,7 @@ MISS = 1e-5
 MARGIN = 0.15
 REGION = 2048
 BLOCK_DOCS, BLOCK_SHINGLES = 250, 200_000
-SHORT = 8
+SHORT = 8  # regions up to this size are compared all at once
 
 
 def tree_count(threshold: float) -> int:
@@ -80,13 +79,10 @@ def _sketch(size: int, trees: int):
             signature[full] = (mixed & np.uint64(255)).astype(np.uint8)
             by_tree = mixed.reshape(len(full), trees, DEPTH)
             key = np.zeros((len(full), trees), np.uint64)
-            tail = np.zeros((len(full), trees), np.uint64)
             for k in range(PREFIX):
                 key = mix(key + by_tree[:, :, k])
-            for k in range(PREFIX, DEPTH):
-                tail = (tail << np.uint64(16)) | (by_tree[:, :, k] >> np.uint64(48))
-            orders = np.zeros((len(counts), trees, 2), np.int64)
-            orders[full] = np.stack([key.view(np.int64), tail.view(np.int64)], axis=2)
+            ends = np.zeros(len(counts) + 1, np.int32)
+            ends[1:] = np.cumsum(np.where(counts > 0, trees, 0))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -94,56 +90,42 @@ def _sketch(size: int, trees: int):
                     pa.array(prints[0].view(np.int64)),
                     pa.array(prints[1].view(np.int64)),
                     pa.array([x.tobytes() if n else None for x, n in zip(signature, counts)], pa.binary()),
-                    pa.array([x.tobytes() if n else None for x, n in zip(orders, counts)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64).ravel())),
                 ],
-                names=["doc_id", "n_shingles", "g1", "g2", "signature", "orders"],
+                names=["doc_id", "n_shingles", "g1", "g2", "signature", "keys"],
             )
 
     return run
 
 
-def _plant(trees: int):
-    """A row for each node and tree: (key of the prefix, rest of the order, node, signature)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                some = batch.slice(at, 2000)
-                orders = np.frombuffer(b"".join(some.column("orders").to_pylist()), np.int64).reshape(-1, 2)
-                pick = pa.array(np.repeat(np.arange(some.num_rows), trees))
-                yield pa.RecordBatch.from_arrays([pa.array(orders[:, 0]), pa.array(orders[:, 1]), some.column("node").take(pick), some.column("signature").take(pick)], names=["key", "tail", "node", "signature"])
-
-    return run
+def _join_region(order: np.ndarray, signature: np.ndarray, need: int, depth: int, first: int, found: list[tuple[int, int]]) -> None:
+    """Spanning pairs of a region's nodes, ``first`` the place of the first; their order and depth in the tree limit nothing."""
+    left = np.arange(len(order))
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            node = queue.pop()
+            near = (signature[left] == signature[node]).sum(axis=1) >= need
+            found += [(first + node, first + j) for j in left[near].tolist()]
+            queue += left[near].tolist()
+            left = left[~near]
 
 
-def _join_region(tail: np.ndarray, signature: np.ndarray, need: int, depth: int, first: int, found: list[tuple[int, int]]) -> None:
-    """Spanning pairs of a region's nodes, which stand in order; ``first`` is the place of the first."""
-    n = len(tail)
-    if n > REGION and depth < DEPTH:
-        level = tail.view(np.uint64) >> np.uint64(16 * (DEPTH - 1 - depth))
-        cuts = [0, *(np.flatnonzero(level[1:] != level[:-1]) + 1).tolist(), n]
-        for a, b in zip(cuts, cuts[1:]):
-            _join_region(tail[a:b], signature[a:b], need, depth + 1, first + a, found)
-        for step in range(1, SHORT + 1):  # neighbours where the prefixes part
-            agree = (signature[step:] == signature[:-step]).sum(axis=1)
-            found += [(first + i, first + i + step) for i in np.flatnonzero(agree >= need).tolist()]
-        return
-    for begin in range(0, n, REGION):  # beyond the deepest level: pieces that overlap by one
-        left = np.arange(begin, min(begin + REGION + 1, n))
-        while len(left):
-            queue, left = [int(left[0])], left[1:]
-            while queue and len(left):
-                node = queue.pop()
-                near = (signature[left] == signature[node]).sum(axis=1) >= need
-                found += [(first + node, first + j) for j in left[near].tolist()]
-                queue += left[near].tolist()
-                left = left[~near]
+def _pieces(nodes: DataFrame, region: int) -> DataFrame:
+    """(key, node, signature) of each node and tree; a region of over ``region`` nodes has a key for each pair of its blocks."""
+    sizes = nodes.select(F.explode("keys").alias("key")).groupBy("key").count().where(F.col("count") > region)
+    large = materialise(sizes.select("key", F.ceil(F.col("count") / F.lit(region)).cast("int").alias("blocks")), "neardup-regions")
+    planted = nodes.select("node", "signature", F.explode("keys").alias("key"))
+    planted = planted.join(F.broadcast(large), "key", "left").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("own"))
+    pairs = F.transform(others, lambda x: F.xxhash64("key", F.least("own", x), F.greatest("own", x)))
+    return planted.select(F.explode(F.when(F.col("blocks").isNull(), F.array("key")).otherwise(pairs)).alias("key"), "node", "signature")
 
 
 def _candidates(need: int):
-    """Pairs of nodes that a tree joins, from its rows in order."""
+    """Pairs of nodes that a tree joins, from rows of which those of one key stand together."""
 
-    def handle(key: np.ndarray, tail: np.ndarray, node: np.ndarray, signature: np.ndarray) -> pa.RecordBatch:
+    def handle(key: np.ndarray, node: np.ndarray, signature: np.ndarray) -> pa.RecordBatch:
         cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(cuts, len(key)))
         region = np.repeat(np.arange(len(cuts)), sizes)
@@ -155,7 +137,7 @@ def _candidates(need: int):
             pairs += zip(i[agree].tolist(), (i[agree] + step).tolist())
         for r in np.flatnonzero(sizes > SHORT).tolist():
             a, b = int(cuts[r]), int(cuts[r] + sizes[r])
-            _join_region(tail[a:b], signature[a:b], need, PREFIX, a, pairs)
+            _join_region(node[a:b], signature[a:b], need, PREFIX, a, pairs)
         at = np.array(pairs, np.int64).reshape(-1, 2)
         star = spanning(node[at[:, 0]].tolist(), node[at[:, 1]].tolist())
         out = np.array([(x, r) for x, r in star.items() if x != r], np.int64).reshape(-1, 2)
@@ -164,7 +146,7 @@ def _candidates(need: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            columns = [np.asarray(batch.column(c)) for c in ("key", "tail", "node")]
+            columns = [np.asarray(batch.column(c)) for c in ("key", "node")]
             columns.append(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(batch.num_rows, -1))
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns)]
@@ -243,18 +225,17 @@ def _confirm(percent: int):
     return run
 
 
-def find_components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def find_components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES, region: int = REGION) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; sets of ``shingle`` words, links from ``percent`` on."""
     spark = docs.sparkSession
     trees = tree_count(percent / 100)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sketch = materialise(texts.mapInArrow(_sketch(shingle, trees), "doc_id long, n_shingles long, g1 long, g2 long, signature binary, orders binary"), "neardup-sketch")
+    sketch = materialise(texts.mapInArrow(_sketch(shingle, trees), "doc_id long, n_shingles long, g1 long, g2 long, signature binary, keys array<long>"), "neardup-sketch")
     known = sketch.where("n_shingles > 0 and doc_id is not null")
-    nodes = known.groupBy("g1", "g2").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("orders").alias("orders"))
+    nodes = known.groupBy("g1", "g2").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("keys").alias("keys"))
     nodes = materialise(nodes, "neardup-nodes")
-    forest = nodes.select("node", "signature", "orders").mapInArrow(_plant(trees), "key long, tail long, node long, signature binary")
-    forest = forest.repartitionByRange(n, "key", "tail", "node").sortWithinPartitions("key", "tail", "node")
+    forest = _pieces(nodes, region).repartition(n, "key").sortWithinPartitions("key")
     need = math.ceil((percent / 100 - MARGIN) * trees * DEPTH)
     clusters = materialise(components(forest.mapInArrow(_candidates(need), "a long, b long")), "neardup-clusters")
     # one text for each node of a cluster: repeated rows of an id have to be told apart by their sets

@@ -131,6 +131,47 @@ def test_large_regions_are_taken_apart_without_losing_copies():
     assert {(2 * i, 2 * i + 1) for i in range(5000)} <= set(found)
 
 
+def test_large_regions_are_compared_completely():
+    """Near copies of one template, equal in the tree's order, whose places are far apart and that nothing between them links."""
+    rng = np.random.default_rng(4)
+    signature = rng.integers(0, 256, (6000, 16), dtype=np.uint8)
+    signature[5999] = signature[0]
+    found = []
+    neardup._join_region(np.zeros(6000, np.int64), signature, 14, neardup.DEPTH, 0, found)
+    assert (0, 5999) in found
+    found.clear()
+    neardup._join_region(np.arange(6000) << 48, signature, 14, neardup.PREFIX, 0, found)
+    assert (0, 5999) in found
+
+
+def test_every_pair_of_a_large_region_meets_in_a_piece(spark):
+    rows = [(i, [1, 100 + i // 2], bytes(4)) for i in range(60)]
+    nodes = spark.createDataFrame(rows, "node long, keys array<long>, signature binary")
+    met = {}
+    for r in neardup._pieces(nodes, 8).collect():
+        met.setdefault(r["key"], set()).add(r["node"])
+    assert {(a, b) for group in met.values() for a in group for b in group if a < b} == {(a, b) for b in range(60) for a in range(b)}
+    assert len(met) > 30 + 20 and max(len(x) for x in met.values()) < 40
+
+
+def test_a_template_family_is_whole_in_large_regions(spark):
+    """Documents of one template, pairs of near copies at the threshold with ids far apart, against brute force."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(200)]
+    half = []
+    for _ in range(150):
+        words = list(base)
+        for k in rng.choice(200, 12, replace=False):
+            words[k] = f"x{rng.integers(0, 10**6)}"
+        half.append(words)
+    again = [[f"y{i}" if k in (20, 100, 180) else w for k, w in enumerate(words)] for i, words in enumerate(half)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(half)] + [(10_000_000 - i, " ".join(w)) for i, w in enumerate(again)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.find_components(docs, region=8).collect()}
+    assert found == brute_components(rows, 3, 85)
+    assert all(found[i][1] == found[10_000_000 - i][1] for i in range(150))
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = [tuple(r) for r in neardup.find_components(odd).collect()]
     assert len(rows) == len(ODD)
