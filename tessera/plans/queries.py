@@ -712,11 +712,23 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""with s as (select l_orderkey as owner, 'p' || l_partkey as ref, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber, l_quantity) - 1 as slot from lineitem where l_orderkey % 4 = 0)
   select l_partkey as item_id, string_agg(owner || ':' || slots, ',' order by owner) as sources from (select cast(substr(ref, 2) as bigint) as l_partkey, owner, string_agg(slot, '/' order by slot) as slots from s where owner % 8 = 0 group by all) group by 1""")
 def owned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Owners of items out of nested JSON, one document for each order."""
-    lines = read(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0")
+    """Owners of items out of nested JSON, one document for each order; a part of the orders, as its SQL says."""
+    owners = read(spark, sf_dir, "orders").where("o_orderkey % 8 = 0")
+    return _owned(spark, sf_dir, read(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0"), owners, F.col("l_orderkey"))
+
+
+@query("""with s as (select l_orderkey as owner, l_partkey, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber, l_quantity) - 1 as slot from lineitem)
+  select l_partkey as item_id, string_agg(owner || ':' || slots, ',' order by owner) as sources from (select l_partkey, owner, string_agg(slot, '/' order by slot) as slots from s where owner % 8 <> 1 group by all) group by 1""")
+def owned_items_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners of the items of all orders; the references of some are altered, so that no owner has them."""
+    ref = F.when(F.col("l_orderkey") % 8 == 1, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    return _owned(spark, sf_dir, read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders"), ref)
+
+
+def _owned(spark: SparkSession, sf_dir: str, lines: DataFrame, owners: DataFrame, ref: Column) -> DataFrame:
     slots = F.transform(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))), lambda x: F.struct(F.concat(F.lit("p"), x["l_partkey"]).alias("equipment"), F.lit(1).alias("size")))
-    documents = lines.groupBy("l_orderkey").agg(slots.alias("_equipment")).select(F.to_json(F.struct(F.struct(F.col("l_orderkey").alias("_api_id"), "_equipment").alias("x"))).alias("j"))
-    owners = read(spark, sf_dir, "orders").where("o_orderkey % 8 = 0").select(F.col("o_orderkey").cast("string").alias("ref"), F.col("o_orderkey").alias("id"))
+    documents = lines.groupBy("l_orderkey").agg(slots.alias("_equipment")).select(F.to_json(F.struct(F.struct(ref.alias("_api_id"), "_equipment").alias("x"))).alias("j"))
+    owners = owners.select(F.col("o_orderkey").cast("string").alias("ref"), F.col("o_orderkey").alias("id"))
     items = read(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("ref"), F.col("p_partkey").alias("id"))
     found, _ = records.owned_items(records.owner_nodes(documents, "j", depth=1), owners, items)
     as_text = lambda s: F.concat_ws(":", s["owner"].cast("string"), F.array_join(s["slots"].cast("array<string>"), "/"))
