@@ -397,10 +397,22 @@ def unique_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
   w as (select distinct s_name as name from supplier union select distinct replace(c_name, 'Customer', 'Supplier') from customer where c_custkey <= 200)
   select w.name, coalesce(s.id, c.id) as id, case when s.id is not null then 'supplier' when c.id is not null then 'customer' end as kind from w left join s using (name) left join c using (name)""")
 def ordered_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A name by the first of two catalogs that has it."""
+    """A name by the first of two catalogs that has it; for customers of small ids, as its SQL says."""
+    return _resolved(spark, sf_dir, read(spark, sf_dir, "customer").where("c_custkey <= 200"))
+
+
+@query("""with s as (select s_name as name, min(s_suppkey) as id from supplier where s_suppkey % 2 = 0 group by 1), c as (select replace(c_name, 'Customer', 'Supplier') as name, min(c_custkey) as id from customer where c_custkey % 3 > 0 group by 1),
+  w as (select distinct s_name as name from supplier union select distinct replace(c_name, 'Customer', 'Supplier') from customer)
+  select w.name, coalesce(s.id, c.id) as id, case when s.id is not null then 'supplier' when c.id is not null then 'customer' end as kind from w left join s using (name) left join c using (name)""")
+def ordered_resolution_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of all suppliers and customers by the first of two catalogs that has them."""
+    return _resolved(spark, sf_dir, read(spark, sf_dir, "customer"))
+
+
+def _resolved(spark: SparkSession, sf_dir: str, named: DataFrame) -> DataFrame:
     supplier, customer = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "customer")
     renamed = F.replace("c_name", F.lit("Customer"), F.lit("Supplier"))
-    wanted = supplier.select(F.col("s_name").alias("name")).union(customer.where("c_custkey <= 200").select(renamed)).distinct()
+    wanted = supplier.select(F.col("s_name").alias("name")).union(named.select(renamed)).distinct()
     first = supplier.where("s_suppkey % 2 = 0").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"))
     second = customer.where("c_custkey % 3 > 0").select(renamed.alias("name"), F.col("c_custkey").alias("id"))
     return resolve.first_match(wanted, ("supplier", first), ("customer", second))
