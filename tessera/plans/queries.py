@@ -458,8 +458,19 @@ def link_cross_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""select doc_id, string_agg(item_id, ',' order by item_id) as found from documents join (select item_id, substr(text, 1, 60) as alias from benchmark where length(text) >= 60) on contains(text, alias) group by 1""")
 def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark beginnings contained in documents (none of them in another)."""
+    """Benchmark beginnings contained in documents (none of them in another); of longer items, as its SQL says."""
     aliases = read(spark, sf_dir, "benchmark").where("length(text) >= 60").select(F.substring("text", 1, 60).alias("alias"), F.col("item_id").alias("id"))
+    return _contained(spark, sf_dir, aliases)
+
+
+@query()
+def containment_join_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all benchmark items contained in documents, the longest first; brute force in the tests."""
+    lines = F.explode(F.split("text", "\n")).alias("alias")
+    return _contained(spark, sf_dir, read(spark, sf_dir, "benchmark").select(lines, F.col("item_id").alias("id")))
+
+
+def _contained(spark: SparkSession, sf_dir: str, aliases: DataFrame) -> DataFrame:
     found = resolve.scan_aliases(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", aliases)
     return found.where(F.size("found") > 0).select("doc_id", joined(F.array_sort("found")).alias("found"))
 
