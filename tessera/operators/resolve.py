@@ -138,7 +138,11 @@ def scan_aliases(texts: DataFrame, column: str, aliases: DataFrame, *, most: int
     return texts.withColumn("found", F.array_distinct(F.concat(*found)) if len(found) > 1 else found[0])
 
 
-def forward_closure(edges: DataFrame, *, depth: int = 32) -> DataFrame:
+def _cut_lineage(df: DataFrame) -> DataFrame:
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
+
+
+def forward_closure(edges: DataFrame) -> DataFrame:
     """(root, node, distance) along successors (node, next, rank); each node once, at its least distance.
 
     On the first repeat of a node the walk stops, so cycles end. The walk of a root is one row that grows, so a step is one
@@ -146,24 +150,25 @@ def forward_closure(edges: DataFrame, *, depth: int = 32) -> DataFrame:
     """
     walks = edges.select(F.col("node").alias("root"), F.col("node").alias("at"), F.array("node").alias("path"))
     step = edges.where("next is not null").select(F.col("node").alias("_from"), F.col("next").alias("_to"))
-    # the longest walk can be no longer than there are nodes; paths double with each round by joining walks
-    for _ in range(depth):
+    # each round adds one edge to the walks that go on; none is longer than there are nodes
+    while True:
         moved = walks.join(step, F.col("at") == F.col("_from"), "left")
         goes = F.col("_to").isNotNull() & ~F.array_contains("path", F.col("_to"))
         walks = moved.select("root", F.when(goes, F.col("_to")).alias("at"), F.when(goes, F.concat("path", F.array("_to"))).otherwise(F.col("path")).alias("path"))
+        walks = _cut_lineage(walks)
         if walks.where("at is not null").limit(1).count() == 0:
             break
     return walks.select("root", F.posexplode("path").alias("distance", "node"))
 
 
-def families(edges: DataFrame, *, rounds: int = 64) -> DataFrame:
+def families(edges: DataFrame) -> DataFrame:
     """(node, family): the smallest node that undirected edges (node, next) connect with it."""
     both = edges.where("next is not null").select("node", "next").union(edges.where("next is not null").select(F.col("next").alias("node"), F.col("node").alias("next")))
     state = edges.select("node").union(both.select("node")).distinct().withColumn("family", F.col("node"))
-    for _ in range(rounds):
+    while True:
         seen = both.join(state.select(F.col("node").alias("next"), F.col("family").alias("_f")), "next").groupBy("node").agg(F.min("_f").alias("_f"))
         new = state.join(seen, "node", "left").select("node", F.least("family", "_f").alias("family"), (F.col("_f") < F.col("family")).alias("_moved"))
-        new = new.checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else new.cache()
+        new = _cut_lineage(new)
         state = new.select("node", "family")
         if not new.where("_moved").limit(1).count():
             break

@@ -169,6 +169,13 @@ def test_closure_with_a_cycle(spark):
     assert dict(rows(resolve.families(edges))) == {1: 1, 2: 1, 3: 1, 4: 4}
 
 
+def test_long_chains_are_followed_to_their_end(spark):
+    edges = spark.createDataFrame([(i, i + 1 if i < 69 else None) for i in range(70)], "node int, next int").coalesce(1)
+    assert dict(rows(resolve.families(edges))) == dict.fromkeys(range(70), 0)
+    found = {tuple(r) for r in resolve.forward_closure(edges.where("node >= 30")).select("root", "distance", "node").collect()}
+    assert found == {(a, b - a, b) for a in range(30, 70) for b in range(a, 70)}
+
+
 def test_unique_names_and_flags(spark):
     catalog = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "name string, id long")
     wanted = spark.createDataFrame([("a", "true"), ("a", "1"), ("b", "true"), ("c", "true")], "name string, flag string")
