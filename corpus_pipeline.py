@@ -14,7 +14,7 @@ from tessera.llm.common import materialise
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found go."""
+    """Documents in which no language is found go, and no others."""
     return langid.keep_identified(docs)
 
 

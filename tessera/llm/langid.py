@@ -297,8 +297,8 @@ def predict(docs: DataFrame, languages: list[str], table: np.ndarray, *, model_p
     return texts.mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, *, least: float = 0.5, **options) -> DataFrame:
-    """The documents, with all their columns, in which a language is found with a score of ``least`` or more."""
+def keep_identified(docs: DataFrame, **options) -> DataFrame:
+    """The documents, with all their columns, in which a language is found, however sure that is."""
     path = options.get("model_path") or piece_model_path()
     languages, table = train(docs.where(~held_out()), **options)
     scorers: list[Scorer] = []
@@ -306,8 +306,8 @@ def keep_identified(docs: DataFrame, *, least: float = 0.5, **options) -> DataFr
     def judge(batch: pa.RecordBatch) -> np.ndarray:
         if not scorers:
             scorers.append(Scorer(path, languages, table))
-        told, score = scorers[0](batch.column("text"))
-        return (np.array(told, object) != UNDETERMINED) & (score >= least)
+        told, _ = scorers[0](batch.column("text"))
+        return np.array(told, object) != UNDETERMINED
 
     return keep_rows(docs, judge)
 

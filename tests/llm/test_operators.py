@@ -532,6 +532,13 @@ def test_held_out_languages(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
 
 
+def test_texts_that_several_languages_fit_are_kept(spark):
+    words = "sun moon tree fish bird stone water house"
+    rows = [(i, words, f"l{i % 4}") for i in range(60)] + [(100, "sun moon", "l0"), (101, "123 !!", "l0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in langid.keep_identified(docs).collect()) == [*range(60), 100]
+
+
 def test_languages_of_odd_rows(odd, empty):
     rows = langid.identify(odd).collect()
     assert len(rows) == len(ODD)
