@@ -163,46 +163,41 @@ def _distinct(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, marked: np
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         text, starts, ends, marked, row = _runs_of(*text_buffer(batch.column("text")))
-        keep = marked == 1
-        starts, ends, row = starts[keep], ends[keep], row[keep]
         lang = batch.column("lang").combine_chunks() if isinstance(batch.column("lang"), pa.ChunkedArray) else batch.column("lang")
         code = lang.dictionary_encode()
         own = np.asarray(code.indices)[row].astype(np.int64) if len(row) else np.zeros(0, np.int64)
         for k, name in enumerate(code.dictionary.to_pylist()):
             mine = own == k
-            prints = fingerprints(text, starts[mine], ends[mine])
+            prints = fingerprints(text, starts[mine], ends[mine]) ^ marked[mine].astype(np.uint64)
             _, first, counts = np.unique(prints, return_index=True, return_counts=True)
             data = text.tobytes()
             a, b = starts[mine][first].tolist(), ends[mine][first].tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(a), pa.string()), pa.array([data[x:y] for x, y in zip(a, b)], pa.binary()), pa.array(counts, pa.int64())],
-                names=["lang", "word", "n"],
+                [pa.array([name] * len(a), pa.string()), pa.array([data[x:y] for x, y in zip(a, b)], pa.binary()), pa.array(marked[mine][first]), pa.array(counts, pa.int64())],
+                names=["lang", "word", "marked", "n"],
             )
 
 
-def train(docs: DataFrame, *, model_path: str | None = None, train_docs: int = 1500, train_words: int = 60_000, rounds: int = 4, most_languages: int = 400) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, *, model_path: str | None = None, train_docs: int = 1500, train_words: int = 60_000, rounds: int = 4) -> tuple[list[str], np.ndarray]:
     """(languages, piece probabilities by piece and language) learned from the rows with a language.
 
-    One group for each language fits in a worker: it has ``train_words`` distinct words at most. Of more than
-    ``most_languages`` the ones with the most rows are learned.
+    One group for each language fits in a worker: it has ``train_words`` distinct words at most. Every
+    language is learned, and of a run of over ``MAX_RUN`` bytes every piece is counted.
     """
     path = model_path or piece_model_path()
     known = docs.where(F.col("lang").isNotNull())
     sizes = known.groupBy("lang").count().select("lang", (F.lit(float(train_docs)) / F.col("count")).alias("share"))
     bucket = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / 1_000_000
     sample = known.select("lang", "doc_id", "text").where(F.col("text").isNotNull())
-    shares = {r["lang"]: r["share"] for r in sizes.orderBy("share", "lang").limit(most_languages).collect()}
-    if not shares:
-        return [], np.zeros((1, 0))
-    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]
-    counts = sample.where(bucket < share).select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    cut = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word"))
-    counts = counts.withColumn("rank", cut).where(F.col("rank") <= train_words).select("lang", "word", "n")
+    counts = sample.join(F.broadcast(sizes), "lang").where(bucket < F.col("share")).select("lang", "text").mapInArrow(_count_words, "lang string, word binary, marked long, n long").groupBy("lang", "word", "marked").agg(F.sum("n").alias("n"))
+    cut = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word", "marked"))
+    counts = counts.withColumn("rank", cut).where(F.col("rank") <= train_words).select("lang", "word", "marked", "n")
 
     def fit(group: pa.Table) -> pa.Table:
         vocabulary = pieces(path)
         words = group.column("word").to_pylist()
         weight = np.asarray(group.column("n").combine_chunks()).astype(float)
+        marked = np.asarray(group.column("marked").combine_chunks())
         raw = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum([len(w) for w in words], dtype=np.int64)
         table = np.zeros((vocabulary.size + 1, 1))
@@ -213,7 +208,7 @@ def train(docs: DataFrame, *, model_path: str | None = None, train_docs: int = 1
             for at in range(0, len(words), 10_000):
                 stop = min(at + 10_000, len(words))
                 starts = ends[at:stop] - [len(w) for w in words[at:stop]]
-                total += Runs(vocabulary, raw, starts, ends[at:stop], np.ones(stop - at, np.int64)).expected(table, weight[at:stop])
+                total += Runs(vocabulary, raw, starts, ends[at:stop], marked[at:stop]).expected(table, weight[at:stop])
             own = total[1 : vocabulary.first_byte] + 0.1
             table[1 : vocabulary.first_byte, 0] = np.maximum(own / own.sum(), FLOOR / 100)
         return pa.table({"lang": pa.array([group.column("lang")[0].as_py()], pa.string()), "model": pa.array([table[:, 0].astype(np.float32).tobytes()], pa.binary())})

@@ -539,6 +539,14 @@ def test_texts_that_several_languages_fit_are_kept(spark):
     assert sorted(r["doc_id"] for r in langid.keep_identified(docs).collect()) == [*range(60), 100]
 
 
+def test_all_pieces_of_long_runs_are_learned(spark):
+    """Languages that differ after the first 48 bytes of a run only."""
+    same = "a" * 48
+    rows = [(i, same + ("wxyz" * 12 if i % 2 else "bcde" * 12), f"m{i % 2}") for i in range(40)]
+    languages, table = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert languages == ["m0", "m1"] and not np.allclose(table[:, 0], table[:, 1])
+
+
 def test_languages_of_odd_rows(odd, empty):
     rows = langid.identify(odd).collect()
     assert len(rows) == len(ODD)
