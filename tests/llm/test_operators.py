@@ -300,6 +300,21 @@ def test_probabilities_of_a_context_add_up(spark):
     assert all(s < 0 for s in rows.values())
 
 
+def test_order_three_uses_two_tokens_of_context(spark):
+    """A token is the sum of the two before it, which one token alone says nothing of."""
+    rows = []
+    for i in range(120):
+        rng = np.random.default_rng(i)
+        words = rng.integers(0, 5, 2).tolist()
+        while len(words) < 60:
+            words.append(int((words[-1] + words[-2]) % 5 if rng.random() < 0.9 else rng.integers(0, 5)))
+        rows.append((i, " ".join(f"t{w}" for w in words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    two, three = ({r["doc_id"]: r for r in lm.score(docs, order=k).collect()} for k in (2, 3))
+    held = [i for i in two if two[i]["held_out"]]
+    assert held and all(three[i]["score"] / 60 > two[i]["score"] / 60 + 0.2 for i in held)
+
+
 def test_mixture_weights_follow_the_held_out_counts(spark):
     good = spark.createDataFrame([(3, 16, 0, 50), (3, 16, 160, 50)], "bucket int, q1 int, q2 int, n long")
     weights = lm.learn(good, 2, 1e-6, rounds=50)
