@@ -7,9 +7,10 @@ endian); ``.off``, unsigned 64-bit offsets of its documents in it, one more than
 ids; where a range begins in the whole dataset comes from prefix sums over the ranges' counts. Readers
 memory-map the files where the folder is a local path and read them whole otherwise.
 
-Words (between ASCII white space) are encoded once and remembered in a table of bounded size; the tokenizer
-splits at white space in any case, so the ids are those of the whole text. Words of letters, digits and ASCII
-punctuation are taken apart first, as the tokenizer does, and their parts remembered.
+A tokenizer whose own rules take texts apart in the way known here (they are compared at the start) is given each
+part once, and the ids of parts are remembered in a table of bounded size; what a rule might join or change across
+parts (words with other bytes, texts with the marker of a special token) goes to it whole. Any other tokenizer is given
+whole texts.
 
 Each task writes to names of its own and the manifest lists the files of the tasks that ended well, so tasks can
 be run again. Defined cases: null and empty texts have the end id only; null ids come first; rows of one id
@@ -18,9 +19,8 @@ stand in order of a hash of their text, then of the text; an empty table gives a
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,13 +32,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import local_path, scratch_path, set_threads, slices, text_buffer
-from tessera.llm.words import NOT_SPACE, split
+from tessera.llm.words import NOT_SPACE, Words, split
 
 END_ID = 2
-MEMO = 250_000
-# Parts that the tokenizer's own pattern also takes apart: runs of letters (ASCII and Latin-1), digits, other ASCII.
-_PART = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
-_PLAIN = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")
+SLOT_BITS, WIDTH = 20, 10  # of the memory: places for parts, and ids of a part at most
+_LETTER, _DIGIT, _MARK, _ODD = 1, 2, 3, 4
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[33:127] = _MARK
+_KIND[48:58] = _DIGIT
+_KIND[97:123] = _LETTER
+_KIND[0x27] = _ODD  # an apostrophe may begin a contraction
+# The tokenizer's own rules of normalisation and of parts, for which `Encoder` knows the parts.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
 def tokenizer_path() -> str:
@@ -47,80 +53,116 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_letters() -> list[str]:
-    """The letter that byte-level tokenizers use for each byte: itself if printable, else one from 256 on."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    out, spare = [], 256
-    for b in range(256):
-        out.append(chr(b if b in printable else spare))
-        spare += b not in printable
+def _ends_of_parts(tokenizer) -> np.ndarray | None:
+    """Which ids end a part, if the tokenizer takes texts apart by the rules known here; else None."""
+    rules = json.loads(tokenizer.to_str())
+    parts = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    model = rules["model"]
+    suffix = model.get("end_of_word_suffix")
+    known = rules.get("normalizer") == _NORMALIZER and len(parts) == 2 and parts[0].get("pattern") == {"Regex": _PATTERN} and parts[0].get("behavior") == "Removed" and parts[0].get("invert")
+    known = known and parts[1].get("type") == "ByteLevel" and not parts[1].get("add_prefix_space") and not parts[1].get("use_regex")
+    if not known or model.get("type") != "BPE" or not suffix or model.get("dropout") or model.get("ignore_merges"):
+        return None
+    out = np.zeros(tokenizer.get_vocab_size(), bool)
+    out[[i for word, i in tokenizer.get_vocab().items() if word.endswith(suffix)]] = True
     return out
 
 
 class Encoder:
-    """A tokenizer with memories of words and their parts."""
+    """A tokenizer with a memory of parts: runs of letters (ASCII and Latin-1), digits, runs of other ASCII, odd words.
+
+    The memory has a place for each value of some bits of a part's fingerprint; a new part takes the place of the old.
+    """
 
     def __init__(self, path: str):
         set_threads()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.parts: dict[bytes, tuple[int, ...]] = {}
-        self.words: dict[int, tuple[int, ...]] = {}
+        self.ends = _ends_of_parts(self.tokenizer)
+        self.prints = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.sizes = np.zeros(1 << SLOT_BITS, np.int8)
+        self.ids = np.zeros((1 << SLOT_BITS, WIDTH), np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _part(self, part: bytes) -> tuple[int, ...]:
-        found = self.parts.get(part)
-        if found is None:
-            if len(self.parts) > MEMO:
-                self.parts.clear()
-            if part.isascii():  # these bytes stand for themselves
-                letters = part.decode()
-            else:
-                letters = "".join([self.letters[b] for b in part.decode().lower().encode()])
-            found = tuple([t.id for t in self.model.tokenize(letters)])
-            self.parts[part] = found
-        return found
-
-    def word(self, word: bytes) -> tuple[int, ...]:
-        if word.isalpha():
-            return self._part(word)
-        if _PLAIN.match(word):
-            out: tuple[int, ...] = ()
-            for part in _PART.findall(word):
-                out += self._part(part)
-            return out
-        return tuple(self.whole(word.decode("utf-8", "replace")))
+    def _units(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+        """The parts of a slice, words with odd bytes in one piece, and which of them are such words."""
+        words = split(raw, offsets, NOT_SPACE)
+        text = words.text
+        kind = _KIND[text]
+        lead = np.flatnonzero(text == 0xC3)
+        lead = lead[lead + 1 < len(text)]
+        after = text[lead + 1]
+        lead = lead[(after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)]
+        kind[lead] = kind[lead + 1] = _LETTER
+        odd = np.concatenate([[0], np.cumsum(kind == _ODD)])
+        strange = odd[words.ends] > odd[words.starts]
+        cut = np.zeros(len(text) + 1, bool)
+        cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        within = np.zeros(len(text) + 1, np.int32)  # place by place, whether it lies in a plain word after its first byte
+        plain = np.flatnonzero(~strange)
+        within[words.starts[plain] + 1] += 1
+        within[words.ends[plain]] -= 1
+        inner = np.flatnonzero(cut & (np.cumsum(within) > 0))
+        starts = np.sort(np.concatenate([words.starts, inner]))
+        ends = np.sort(np.concatenate([words.ends, inner]))
+        is_odd = np.zeros(len(text) + 1, bool)
+        is_odd[words.starts[strange]] = True
+        return Words(text, starts, ends, np.searchsorted(starts, offsets)), is_odd[starts]
+
+    def _new(self, data: bytes, starts: list[int], ends: list[int], odd: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts not in the memory, end to end, and how many each has."""
+        pieces = [data[a:b].decode("utf-8", "replace") for a, b in zip(starts, ends)]
+        plain = [p for p, o in zip(pieces, odd) if not o]
+        lines = [" ".join(plain[k : k + 500]) for k in range(0, len(plain), 500)]
+        own = np.concatenate([np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)] or [np.zeros(0, np.int64)])
+        bounds = np.concatenate([[0], np.flatnonzero(self.ends[own]) + 1])
+        if len(bounds) != len(plain) + 1 or bounds[-1] != len(own):
+            raise ValueError("the tokenizer's parts are not those of its rules")
+        if len(plain) == len(pieces):
+            return own.astype(np.uint32), np.diff(bounds)
+        known = iter(np.split(own, bounds[1:-1]))
+        found = [self.whole(p) if o else next(known) for p, o in zip(pieces, odd)]
+        return np.concatenate([np.asarray(x, np.uint32) for x in found]), np.array([len(x) for x in found])
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a slice, each with the end id, and their offsets."""
-        words = split(raw, offsets, NOT_SPACE)
-        prints, first, inverse = np.unique(words.fingerprints(), return_index=True, return_inverse=True)
-        data, memo = words.text.tobytes(), self.words
-        if len(memo) > MEMO:
-            memo.clear()
-        found = []
-        for key, a, b in zip(prints.tolist(), words.starts[first].tolist(), words.ends[first].tolist()):
-            ids = memo.get(key)
-            if ids is None:
-                ids = memo[key] = self.word(data[a:b])
-            found.append(ids)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
+        n = len(offsets) - 1
+        if self.ends is None:
+            texts = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
+            found = [np.array([*e.ids, END_ID], np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return np.concatenate([*found, np.zeros(0, np.uint32)]), np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
+        units, odd = self._units(raw, offsets)
+        prints, first, inverse = np.unique(units.fingerprints(), return_index=True, return_inverse=True)
+        slot = (prints >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        have = (self.prints[slot] == prints) & (self.sizes[slot] > 0)
+        old, new = np.flatnonzero(have), np.flatnonzero(~have)
+        sizes = np.zeros(len(prints), np.int64)
+        sizes[old] = self.sizes[slot[old]]
+        known = self.ids[slot[old]][np.arange(WIDTH)[None, :] < sizes[old][:, None]]
+        flat, sizes[new] = self._new(units.text.tobytes(), units.starts[first[new]].tolist(), units.ends[first[new]].tolist(), odd[first[new]].tolist()) if len(new) else (np.zeros(0, np.uint32), 0)
+        begin = np.zeros(len(prints), np.int64)
+        begin[old] = np.cumsum(sizes[old]) - sizes[old]
+        begin[new] = len(known) + np.cumsum(sizes[new]) - sizes[new]
+        pool = np.concatenate([known, flat])
+        short = new[(sizes[new] <= WIDTH) & (sizes[new] > 0)]
+        self.prints[slot[short]], self.sizes[slot[short]] = prints[short], sizes[short]
+        # where several new parts have one place, the last of them has taken it
+        short = short[self.prints[slot[short]] == prints[short]]
+        self.sizes[slot[short]] = sizes[short]
+        for k in range(WIDTH):
+            longer = short[sizes[short] > k]
+            self.ids[slot[longer], k] = pool[begin[longer] + k]
         inverse = inverse.ravel()
         length = sizes[inverse]
         before = np.concatenate([[0], np.cumsum(length)])
-        n = len(offsets) - 1
         at = np.repeat(begin[inverse] - before[:-1], length) + np.arange(before[-1])
-        bounds = before[words.offsets] + np.arange(n + 1)  # with an end id for each row before
+        bounds = before[units.offsets] + np.arange(n + 1)  # with an end id for each row before
         out = np.full(int(before[-1]) + n, END_ID, np.uint32)
-        row = np.repeat(words.rows, length)
-        out[np.arange(before[-1]) + row] = flat[at]
+        row = np.repeat(np.arange(n), np.diff(before[units.offsets]))
+        out[np.arange(before[-1]) + row] = pool[at]
         # the lower-cased words of texts with a marker might hide a special token
         marked = np.flatnonzero((raw[:-1] == 0x3C) & (raw[1:] == 0x7C)) if len(raw) > 1 else np.zeros(0, np.int64)
         if len(marked):

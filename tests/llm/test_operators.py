@@ -213,6 +213,19 @@ def test_unusual_words_are_encoded_as_by_the_tokenizer():
         assert ids[bounds[k] : bounds[k + 1]].tolist() == [*encoder.whole(text), tokens.END_ID], text
 
 
+def test_other_tokenizers_are_given_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert tokens.Encoder(path).ends is None
+    texts = ["Don't  stop\n\nHere", "", "été <|endoftext|> 12", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    dataset = tokens.write(docs, vocabulary=path, partitions=1)
+    tokenizer = Tokenizer.from_file(path)
+    assert [dataset.document(0, k).tolist() for k in range(4)] == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, tokens.END_ID] for t in texts]
+
+
 def test_tokens_of_odd_rows(odd, empty):
     rows = sorted((tuple(r) for r in tokens.encode_and_read(odd).collect()), key=lambda r: r[1])
     assert len(rows) == len(ODD) and rows[0][0] is None and rows[0][1] == 0
