@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -18,12 +19,15 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; it bounds a worker's memory whatever the batch holds.
 SLICE_BYTES = 1_000_000
+FAN = 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one of our own where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where it is unset and all run here, one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         atexit.register(shutil.rmtree, found[7:], ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -76,6 +80,33 @@ def local_path(uri: str) -> str | None:
     return uri if uri.startswith("/") else None
 
 
+def make_shared(spark: SparkSession, path: str) -> str:
+    """The folder, made where it isn't there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    return path
+
+
+def open_shared(uri: str, mode: str):
+    """A binary file of the shared folder, on driver or executors."""
+    path = local_path(uri)
+    if path is not None:
+        return open(path, mode)
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(uri)
+    return store.open_output_stream(inner) if "w" in mode else store.open_input_file(inner)
+
+
+def load_shared(uri: str, dtype) -> np.ndarray:
+    """A file's numbers, memory-mapped where it is local."""
+    path = local_path(uri)
+    if path is not None:
+        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+    with open_shared(uri, "rb") as file:
+        return np.frombuffer(file.read(), dtype)
+
+
 def crc_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the text ``""``."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -148,8 +179,12 @@ def set_threads() -> None:
 
 
 def sum_rows(df: DataFrame, run, width: int) -> np.ndarray:
-    """Sum over partitions of a matrix that each gives as (row, values); ``width`` rows are collected."""
-    sums = df.mapInArrow(run, "i int, v binary").groupBy("i").applyInArrow(_add_rows, "i int, v binary")
+    """Sum over partitions of a matrix that each gives as (row, values); ``width`` rows are collected.
+
+    They meet in two steps, in ``FAN`` groups of partitions first, so that a task gets a small share of them.
+    """
+    parts = df.mapInArrow(run, "i int, v binary").withColumn("p", F.spark_partition_id() % FAN)
+    sums = parts.groupBy("i", "p").applyInArrow(_add_rows, "i int, v binary").groupBy("i").applyInArrow(_add_rows, "i int, v binary")
     out = np.zeros((width, 0))
     for r in sums.collect():
         values = np.frombuffer(bytes(r["v"]))

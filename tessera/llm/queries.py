@@ -81,9 +81,9 @@ _OP5 = rf"""with d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\
   select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
   from d left join covered using (doc_id) left join items using (doc_id)"""
 
-_OP6 = """with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-  p as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
-  select query_id, cast(r as int) as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as r from p) where r <= 20"""
+_OP6 = """with v as (select vec_id, row_number() over () as pos, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  p as (select q.pos, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score from v q join v c on q.pos <> c.pos where q.vec_id % 20 = 0)
+  select query_id, cast(r as int) as rank, vec_id, score from (select *, row_number() over (partition by pos order by score desc, vec_id) as r from p) where r <= 20"""
 
 
 def oracle_sql() -> dict[str, str]:

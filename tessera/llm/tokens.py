@@ -20,7 +20,6 @@ stand in order of a hash of their text, then of the text; an empty table gives a
 from __future__ import annotations
 
 import json
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import local_path, scratch_path, set_threads, slices, text_buffer
+from tessera.llm.common import load_shared, make_shared, open_shared, scratch_path, set_threads, slices, text_buffer
 from tessera.llm.words import NOT_SPACE, Words, split
 
 END_ID = 2
@@ -175,26 +174,6 @@ class Encoder:
         return out, bounds
 
 
-def _open(uri: str, mode: str):
-    """A binary file of the shared folder."""
-    path = local_path(uri)
-    if path is not None:
-        return open(path, mode)
-    from pyarrow import fs
-
-    store, inner = fs.FileSystem.from_uri(uri)
-    return store.open_output_stream(inner) if "w" in mode else store.open_input_file(inner)
-
-
-def _load(uri: str, dtype: str) -> np.ndarray:
-    """A file's numbers, memory-mapped where it is local."""
-    path = local_path(uri)
-    if path is not None:
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    with _open(uri, "rb") as file:
-        return np.frombuffer(file.read(), dtype)
-
-
 @dataclass
 class Dataset:
     """The manifest: files in order with their documents and tokens, and the totals before each."""
@@ -210,17 +189,15 @@ class Dataset:
 
     def document(self, file: int, k: int) -> np.ndarray:
         """The ids of one document, read in place."""
-        offsets = _load(self.files[file] + ".off", "<u8")
-        return _load(self.files[file] + ".bin", self.dtype)[int(offsets[k]) : int(offsets[k + 1])]
+        offsets = load_shared(self.files[file] + ".off", "<u8")
+        return load_shared(self.files[file] + ".bin", self.dtype)[int(offsets[k]) : int(offsets[k + 1])]
 
 
 def write(docs: DataFrame, *, path: str | None = None, vocabulary: str | None = None, partitions: int | None = None) -> Dataset:
     """Encode every text and write the dataset; the manifest has a line for each partition."""
     spark = docs.sparkSession
     vocabulary = vocabulary or tokenizer_path()
-    folder = path or scratch_path(spark, "tokens")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    folder = make_shared(spark, path or scratch_path(spark, "tokens"))
     from tokenizers import Tokenizer
 
     dtype = "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
@@ -236,7 +213,7 @@ def write(docs: DataFrame, *, path: str | None = None, vocabulary: str | None =
         part = TaskContext.get().partitionId()
         name = f"{folder}/{part:06d}-{uuid.uuid4().hex}"
         encoder, bounds, ids, known, total = None, [np.zeros(1, np.uint64)], [], [], 0
-        with _open(name + ".bin", "wb") as file:
+        with open_shared(name + ".bin", "wb") as file:
             for batch in slices(batches, "text"):
                 encoder = encoder or _encoder(vocabulary)
                 tokens, offsets = encoder.encode(*text_buffer(batch.column("text")))
@@ -247,9 +224,9 @@ def write(docs: DataFrame, *, path: str | None = None, vocabulary: str | None =
                 known.append(np.asarray(batch.column("doc_id").is_valid()).astype(np.uint8))
         count = sum(map(len, ids))
         if count:
-            with _open(name + ".off", "wb") as file:
+            with open_shared(name + ".off", "wb") as file:
                 file.write(np.concatenate(bounds).astype("<u8").tobytes())
-            with _open(name + ".ids", "wb") as file:
+            with open_shared(name + ".ids", "wb") as file:
                 file.write(np.concatenate(ids).astype("<i8").tobytes() + np.concatenate(known).tobytes())
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "documents": [count], "tokens": [total]})
 
@@ -276,9 +253,9 @@ def read_back(spark: SparkSession, dataset: Dataset) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in batch.column("id").to_pylist():
-                offsets = _load(files[k] + ".off", "<u8").astype(np.int64)
-                tokens, n = _load(files[k] + ".bin", dtype), len(offsets) - 1
-                raw = _load(files[k] + ".ids", "u1")
+                offsets = load_shared(files[k] + ".off", "<u8").astype(np.int64)
+                tokens, n = load_shared(files[k] + ".bin", dtype), len(offsets) - 1
+                raw = load_shared(files[k] + ".ids", "u1")
                 ids, known = np.frombuffer(raw[: 8 * n].tobytes(), "<i8"), np.asarray(raw[8 * n :]) == 1
                 for at in range(0, n, 1000):
                     stop = min(at + 1000, n)

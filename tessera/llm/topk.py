@@ -1,47 +1,51 @@
 """Exact search for the largest inner products.
 
-Vectors are processed in blocks by descending length. Both sides are rotated to the principal axes of all
-vectors, so that the first coordinates carry most of an inner product; what the others can add is bounded by
-the product of the lengths of the rests (Cauchy-Schwarz). A pair whose partial sum plus that bound is below the
-query's k-th best score so far is left out; the scores of the others are computed from the integers.
-
-Every query first meets the block of the longest vectors, which gives its first k-th best score. As blocks are in
-order of length, the blocks that can still matter to a block of queries are those before a place that follows
-from these scores; each such pair of blocks is one row of an equi-join, and gives k rows for each query at most.
-
-Defined cases: vectors that are null or hold a null or a non-finite component, and rows with a null id, take no
-part; of rows with one id the smallest vector is taken; shorter vectors count as padded with zeros; an
-empty vector scores 0 with all; an empty table gives an empty result; other columns are not looked at.
+Vectors stand in files of descending length, one for each range of lengths, beside the first coordinates of their
+rotation to the principal axes of all vectors and the length of the rest. A block of queries goes through the
+files in order: partial sums over the first coordinates plus the product of the lengths of the rests
+(Cauchy-Schwarz) bound each score; a pair whose bound is below the query's k-th best score so far is left out,
+and the scores of the others are computed from the integers. A block of queries ends at the first vector whose
+length, times each query's, cannot reach that query's k-th best score.
+
+The files are in the shared folder, memory-mapped where that is a local path and read one at a time otherwise; no
+vector is shuffled but to put them in order of length, and the driver gets a line for each file.
+
+Defined cases: every row takes part for itself, repeated ids and equal rows too, and meets all rows but itself;
+vectors that are null or hold a null or a non-finite component, and rows with a null id, take no part; shorter
+vectors count as padded with zeros; an empty vector scores 0 with all; an empty table gives an empty result;
+components that leave 64 bits are held at their ends, and scores that leave them wrap; other columns are not
+looked at.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, sum_rows
+from tessera.llm.common import load_shared, make_shared, materialise, open_shared, scratch_path, sum_rows
 
 K = 20
 SCALE = 64
 QUERY_EVERY = 20
-BLOCK = 4096
 QUERY_BLOCK = 512
 STEP = 512
 HEAD = 16
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query_id long, rank int, vec_id long, score long"
+_LOWEST, _HIGHEST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 def _integers(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v, norm): one row for each id, components as whole doubles."""
+    """(row, vec_id, v, norm): components as whole doubles, rows numbered."""
     number = F.col("embedding").cast("array<double>")
     sound = F.col("vec_id").isNotNull() & number.isNotNull() & F.forall(number, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     whole = F.transform(number, lambda x: F.floor(x * scale).cast("double"))
-    rows = vectors.where(sound).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
+    rows = vectors.where(sound).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    return rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -53,36 +57,6 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _blocks(size: int, width: int):
-    """Rows of a partition, in order, as blocks: (part, seq, longest, n, ids, values)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, seq = TaskContext.get().partitionId(), 0
-        ids, values = np.zeros(0, np.int64), np.zeros((0, width))
-
-        def out(n: int) -> pa.RecordBatch:
-            some = values[:n]
-            longest = float(np.sqrt((some * some).sum(axis=1)).max())
-            return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "longest": [longest], "n": [n], "ids": [ids[:n].tobytes()], "values": [np.ascontiguousarray(some).tobytes()]})
-
-        for batch in batches:
-            ids = np.concatenate([ids, np.asarray(batch.column("vec_id"))])
-            values = np.concatenate([values, _matrix(batch.column("v"), width)])
-            while len(ids) >= size:
-                yield out(size)
-                seq += 1
-                ids, values = ids[size:], values[size:]
-        if len(ids):
-            yield out(len(ids))
-
-    return run
-
-
-_BLOCK = "part long, seq long, longest double, n long, ids binary, values binary"
-
-
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers: in doubles where they are exact, else in 64-bit integers."""
     largest = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(q.shape[1], 1)
@@ -92,55 +66,60 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class Searcher:
-    """Blocks of queries against blocks of vectors in order of length."""
+    """Blocks of queries against files of vectors in order of length."""
 
     def __init__(self, rotation: np.ndarray, head: int, k: int):
         self.rotation, self.head, self.k = rotation, min(head, rotation.shape[1]), k
 
-    def _parts(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def parts(self, x: np.ndarray) -> np.ndarray:
+        """The first coordinates of each row's rotation, the length of the rest and that of the whole."""
         y = x @ self.rotation
-        return y[:, : self.head], np.sqrt((y[:, self.head :] ** 2).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
+        return np.column_stack([y[:, : self.head], np.sqrt((y[:, self.head :] ** 2).sum(axis=1)), np.sqrt((y * y).sum(axis=1))])
+
+    def search(self, row: np.ndarray, q: np.ndarray, steps) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, vector id, score) of the k best, by query and rank.
 
-    def search(self, qid: np.ndarray, q: np.ndarray, floor: np.ndarray, cid: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, vector id, score) of what may be among the k best: k rows for each query at most, none below its floor."""
-        q_head, q_rest, q_norm = self._parts(q)
-        floor = floor.copy()
+        ``steps(reaches)`` gives vectors as (rows, ids, values, parts), the longest first, as long as ``reaches(length)``.
+        """
+        mine = self.parts(q)
+        q_head, q_rest, q_norm = mine[:, : self.head], mine[:, -2], mine[:, -1]
+        floor, last = np.full(len(q), _LOWEST), np.full(len(q), _HIGHEST)
         best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         slack = 1e-6 * (1 + q_norm)
-        for at in range(0, len(c), STEP):
-            some, ids = c[at : at + STEP], cid[at : at + STEP]
-            c_head, c_rest, c_norm = self._parts(some)
+
+        def reaches(length: float) -> bool:
+            return bool(np.any(q_norm * length + slack * (1 + length) >= floor))
+
+        for c_row, ids, values, parts in steps(reaches):
+            c_head, c_rest, c_norm = parts[:, : self.head], parts[:, -2], parts[:, -1]
             slop = (slack * (1 + c_norm.max()))[:, None]
-            if not np.any(q_norm * c_norm.max() + slop[:, 0] >= floor):
-                break  # later vectors are no longer
-            partial = q_head @ c_head.T
-            may = partial + q_rest[:, None] * c_rest[None, :] + slop >= floor[:, None]
-            may &= qid[:, None] != ids[None, :]
+            may = q_head @ c_head.T + q_rest[:, None] * c_rest[None, :] + slop >= floor[:, None]
+            may &= row[:, None] != c_row[None, :]
             rows, columns = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
             if not len(rows):
                 continue
-            exact = _products(q[rows], some[columns])
-            keep = may[np.ix_(rows, columns)] & (exact >= floor[rows][:, None])
-            i, j = np.nonzero(keep)
+            exact, lowest = _products(q[rows], values[columns]), floor[rows][:, None]
+            better = (exact > lowest) | ((exact == lowest) & (ids[columns][None, :] < last[rows][:, None]))
+            i, j = np.nonzero(may[np.ix_(rows, columns)] & better)
             merged = [np.concatenate(x) for x in zip(best, (rows[i], ids[columns[j]], exact[i, j]))]
-            order = np.lexsort((merged[1], -merged[2], merged[0]))
+            # ~x puts the largest first and, unlike -x, is defined for all numbers
+            order = np.lexsort((merged[1], ~merged[2], merged[0]))
             merged = [x[order] for x in merged]
-            begin = np.searchsorted(merged[0], merged[0], "left")
-            rank = np.arange(len(order)) - begin
+            rank = np.arange(len(order)) - np.searchsorted(merged[0], merged[0], "left")
             best = tuple(x[rank < self.k] for x in merged)
             full = rank == self.k - 1
-            floor[merged[0][full]] = np.maximum(floor[merged[0][full]], merged[2][full])
+            floor[merged[0][full]], last[merged[0][full]] = merged[2][full], merged[1][full]
         return best
 
 
-def search(vectors: DataFrame, *, k: int = K, is_query: Column | None = None, scale: int = SCALE, block: int = BLOCK, query_block: int = QUERY_BLOCK, head: int = HEAD) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k largest inner products of each query with the vectors of other ids."""
+def search(vectors: DataFrame, *, k: int = K, is_query: Column | None = None, scale: int = SCALE, query_block: int = QUERY_BLOCK, head: int = HEAD) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k largest inner products of each query with the other rows."""
     spark = vectors.sparkSession
     query = (F.col("vec_id") % QUERY_EVERY == 0) if is_query is None else is_query
     rows = materialise(_integers(vectors, scale), "topk-vectors")
     width = rows.agg(F.max(F.size("v"))).first()[0]
     if width is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], _FOUND)
     width = max(int(width), 1)
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,57 +132,50 @@ def search(vectors: DataFrame, *, k: int = K, is_query: Column | None = None, sc
     # the right singular vectors of all vectors, largest first
     rotation = np.linalg.eigh(sum_rows(rows.select("v"), moments, width))[1][:, ::-1]
     searcher = Searcher(np.ascontiguousarray(rotation), head, k)
+    wide = searcher.head + 2
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.withColumn("order", -F.col("norm")).repartitionByRange(n, "order", "vec_id").sortWithinPartitions("order", "vec_id")
-    # small blocks first keep the first meeting small and the pairs many enough to share out
-    blocks = materialise(ordered.select("vec_id", "v").mapInArrow(_blocks(block, width), _BLOCK), "topk-blocks")
-    order = blocks.select("part", "seq", "longest", "n").orderBy("part", "seq").collect()  # a row for each block of vectors
-    longest = np.array([r["longest"] for r in order])
-    number = spark.createDataFrame([(r["part"], r["seq"], i) for i, r in enumerate(order)], "part long, seq long, block int")
-    numbered = blocks.join(F.broadcast(number), ["part", "seq"])
-    # the longest vectors, k at least if there are so many: of bounded size, for all to meet first
-    lead = 0
-    while lead < len(order) and sum(r["n"] for r in order[:lead]) < k + 1 and lead < k + 1:
-        lead += 1
-    firsts = numbered.where(F.col("block") < lead).orderBy("block").select("ids", "values").collect()
-    first_ids = np.concatenate([np.frombuffer(bytes(r["ids"]), np.int64) for r in firsts])
-    first = np.concatenate([np.frombuffer(bytes(r["values"])).reshape(-1, width) for r in firsts])
-
-    def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _blocks(query_block, width)(batches):
-            ids = np.frombuffer(batch.column("ids")[0].as_py(), np.int64)
-            values = np.frombuffer(batch.column("values")[0].as_py()).reshape(-1, width)
-            lowest = np.full(len(ids), np.iinfo(np.int64).min)
-            i, other, score = searcher.search(ids, values, lowest, first_ids, first)
-            floor = lowest.copy()
-            has = np.bincount(i, minlength=len(ids)) >= k
-            smallest = np.full(len(ids), np.iinfo(np.int64).max)
-            np.minimum.at(smallest, i, score)
-            floor[has] = smallest[has]
-            # a block matters if a query's length times its longest vector's reaches that query's floor
-            norm = np.sqrt((values * values).sum(axis=1))
-            need = np.divide(floor, norm, out=np.where(floor <= 0, -np.inf, np.inf), where=norm > 0).min() * (1 - 1e-9) - 1e-6
-            last = int(np.searchsorted(-longest, -need, "right"))
-            yield pa.RecordBatch.from_pydict(
-                {"ids": [ids.tobytes()], "values": [values.tobytes()], "floor": [floor.tobytes()], "last": [last], "qs": [ids[i].tolist()], "vs": [other.tolist()], "ss": [score.tolist()]},
-                schema=pa.schema([("ids", pa.binary()), ("values", pa.binary()), ("floor", pa.binary()), ("last", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("qs", "vs", "ss"))]),
-            )
-
-    spread = rows.where(query).select("vec_id", "v").repartition(n, "vec_id")
-    queries = materialise(spread.mapInArrow(seed, "ids binary, values binary, floor binary, last long, qs array<long>, vs array<long>, ss array<long>"), "topk-queries")
-    pairs = queries.where(F.col("last") > lead).select(F.explode(F.sequence(F.lit(lead), (F.col("last") - 1).cast("int"))).alias("block"), "ids", "values", "floor")
-    pairs = pairs.join(numbered.select("block", F.col("ids").alias("c_ids"), F.col("values").alias("c_values")), "block")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    folder = make_shared(spark, scratch_path(spark, "topk-files"))
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The partition's rows, in order, as three files; the line of the manifest."""
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        name, count, longest = f"{folder}/{part:06d}-{uuid.uuid4().hex}", 0, 0.0
+        with open_shared(name + ".ids", "wb") as ids, open_shared(name + ".vectors", "wb") as vectors, open_shared(name + ".parts", "wb") as parts:
+            for batch in batches:
+                values = _matrix(batch.column("v"), width)
+                own = searcher.parts(values)
+                longest = max(longest, float(own[:, -1].max(initial=0)))
+                ids.write(np.column_stack([np.asarray(batch.column("row")), np.asarray(batch.column("vec_id"))]).astype("<i8").tobytes())
+                vectors.write(values.astype("<f8").tobytes())
+                parts.write(own.astype("<f8").tobytes())
+                count += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n": [count], "longest": [longest]})
+
+    order = [F.col("order"), F.col("vec_id"), F.col("row")]
+    ordered = rows.withColumn("order", -F.col("norm")).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    manifest = sorted(r for r in ordered.select("row", "vec_id", "v").mapInArrow(store, "part long, file string, n long, longest double").collect() if r["n"])
+
+    def steps(reaches):
+        for _, name, _, longest in manifest:
+            if not reaches(longest):
+                return
+            ids = load_shared(name + ".ids", "<i8").reshape(-1, 2)
+            values, parts = load_shared(name + ".vectors", "<f8").reshape(-1, width), load_shared(name + ".parts", "<f8").reshape(-1, wide)
+            for at in range(0, len(ids), STEP):
+                some = slice(at, at + STEP)
+                own = np.asarray(parts[some])
+                if not reaches(float(own[:, -1].max())):
+                    return
+                yield np.asarray(ids[some, 0]), np.asarray(ids[some, 1]), np.asarray(values[some]), own
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                ids, cid = (np.frombuffer(batch.column(c)[r].as_py(), np.int64) for c in ("ids", "c_ids"))
-                q, c = (np.frombuffer(batch.column(x)[r].as_py()).reshape(-1, width) for x in ("values", "c_values"))
-                i, other, score = searcher.search(ids, q, np.frombuffer(batch.column("floor")[r].as_py(), np.int64), cid, c)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(other), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    some = F.explode(F.arrays_zip("qs", "vs", "ss")).alias("x")
-    found = queries.select(some).select(F.col("x.qs").alias("query_id"), F.col("x.vs").alias("vec_id"), F.col("x.ss").alias("score"))
-    found = found.union(pairs.mapInArrow(meet, _FOUND))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for at in range(0, batch.num_rows, query_block):
+                some = batch.slice(at, query_block)
+                i, other, score = searcher.search(np.asarray(some.column("row")), _matrix(some.column("v"), width), steps)
+                rank = np.arange(len(i)) - np.searchsorted(i, i, "left") + 1
+                yield pa.RecordBatch.from_arrays([pa.array(np.asarray(some.column("vec_id"))[i]), pa.array(rank, pa.int32()), pa.array(other), pa.array(score)], names=["query_id", "rank", "vec_id", "score"])
+
+    return rows.where(query).select("row", "vec_id", "v").repartition(n, "row").mapInArrow(answer, _FOUND)

@@ -404,34 +404,50 @@ def test_decontamination_of_odd_rows(spark, odd, empty):
 
 
 def brute_top(rows, every, k):
-    sound = {i: np.floor(64 * np.array(v, float)) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
-    out = set()
-    for q, v in sound.items():
+    sound = [(i, np.floor(64 * np.array(v, float))) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = Counter()
+    for p, (q, v) in enumerate(sound):
         if q % every == 0:
             n = lambda a, b: int((a[: min(len(a), len(b))] * b[: min(len(a), len(b))]).sum())
-            ranked = sorted(((-n(v, w), i) for i, w in sound.items() if i != q))[:k]
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(ranked)}
+            ranked = sorted(((-n(v, w), i) for j, (i, w) in enumerate(sound) if j != p))[:k]
+            out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(ranked))
     return out
 
 
-@pytest.mark.parametrize(("block", "step"), [(4096, 512), (37, 8)])
+@pytest.mark.parametrize(("block", "step"), [(512, 512), (16, 8)])
 def test_top_k_is_that_of_brute_force(spark, sf, block, step, monkeypatch):
     monkeypatch.setattr(topk, "STEP", step)
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
-    found = {tuple(r) for r in topk.search(vectors, block=block, query_block=16).collect()}
+    found = Counter(tuple(r) for r in topk.search(vectors, query_block=block).collect())
     assert found == brute_top(rows, 20, 20)
 
 
+def test_every_row_is_a_candidate(spark, sf):
+    """Ids that occur several times, with equal and with other vectors, against brute force and the SQL."""
+    import duckdb
+
+    from tessera.llm.queries import oracle_sql
+
+    rng = np.random.default_rng(8)
+    rows = [(1, [1.0, 0.0]), (1, [2.0, 0.0]), (20, [1.0, 1.0]), (20, [1.0, 1.0]), (20, [0.0, 3.0])] + [(int(rng.integers(0, 60)), [float(x) for x in rng.integers(-3, 4, 2)]) for _ in range(200)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = Counter(tuple(r) for r in topk.search(vectors, query_block=7).collect())
+    assert found == brute_top(rows, 20, 20)
+    con = duckdb.connect()
+    con.register("embeddings", vectors.toArrow())
+    assert found == Counter(con.sql(oracle_sql()["op6_topk"]).fetchall())
+
+
 def test_top_k_of_odd_vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.integers(-2, 3, 4) / 64]) for i in range(60)]
     rows += [(100, None), (101, [1.0, None, 0.0, 0.0]), (102, [float("nan")] * 4), (103, [float("inf")] * 4), (None, [1.0] * 4), (120, []), (140, [3.0]), (60, [0.0] * 4), (7, rows[7][1])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    found = {tuple(r) for r in topk.search(vectors, block=8, query_block=4).collect()}
+    found = Counter(tuple(r) for r in topk.search(vectors, query_block=4).collect())
     assert found == brute_top(rows, 20, 20)
     assert topk.search(vectors.limit(0)).count() == 0
-    few = {tuple(r) for r in topk.search(vectors.where("vec_id < 3")).collect()}
+    few = Counter(tuple(r) for r in topk.search(vectors.where("vec_id < 3")).collect())
     assert few == brute_top(rows[:3], 20, 20) and len(few) == 2
 
 
