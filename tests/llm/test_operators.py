@@ -375,12 +375,67 @@ def test_hits_are_those_of_brute_force(spark, documents, sf, block_bytes):
     bench = bench.union(extra)
     items = [(str(r["item_id"]), r["text"]) for r in bench.collect()]
     docs = [(r["doc_id"], r["text"]) for r in documents.collect()]
-    found = decontaminate.find_contamination(documents, bench, block_bytes=block_bytes)
+    found = decontaminate.find_contamination(documents, bench, block_bytes=block_bytes).cache()
+    for r in found.collect():
+        pairs = list(zip(r["spans"][::2], r["spans"][1::2]))
+        assert sum(b - a for a, b in pairs) == r["n_hit"] and all(a < b for a, b in pairs) and all(b < c for (_, b), (c, _) in zip(pairs, pairs[1:]))
     assert sorted(tuple(r)[:6] for r in found.collect()) == sorted(brute_hits(docs, items))
     clean = sorted(r["doc_id"] for r in decontaminate.remove_contaminated(documents, bench, block_bytes=block_bytes).collect())
     assert clean == sorted(r[0] for r in brute_hits(docs, items) if not r[5])
 
 
+def brute_matches(docs, items):
+    """All maximal common stretches of 13 words or more, or of a whole shorter item."""
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    out = set()
+    for doc_id, text in docs:
+        w = re.findall(pattern, lower(text))
+        at = {}
+        for i, x in enumerate(w):
+            at.setdefault(x, []).append(i)
+        for name, own in items:
+            v = re.findall(pattern, lower(own))
+            for j, x in enumerate(v):
+                for i in at.get(x, ()):
+                    if i and j and w[i - 1] == v[j - 1]:
+                        continue
+                    n = 0
+                    while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                        n += 1
+                    if n >= min(13, len(v)):
+                        out.add((doc_id, name, i, j, n))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [10**9, 1500])
+def test_longest_matches_are_those_of_brute_force(spark, documents, sf, block_bytes):
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    items = [(str(r["item_id"]), r["text"]) for r in bench.collect()]
+    docs = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    found = [tuple(r) for r in decontaminate.longest_matches(documents, bench, block_bytes=block_bytes).collect()]
+    assert found and sorted(found) == sorted(brute_matches(docs, items))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60))
+def test_suffixes_are_in_order(numbers):
+    def suffix(i):
+        return [*numbers[i : next((k for k in range(i, len(numbers)) if not numbers[k]), len(numbers))]]
+
+    order = decontaminate.suffix_array(np.array(numbers, np.int64)).tolist()
+    assert sorted(order) == list(range(len(numbers)))
+    assert all(suffix(a) <= suffix(b) for a, b in zip(order, order[1:]))
+
+
+@pytest.mark.parametrize("block_bytes", [10**9, 100])
+def test_rows_are_judged_alone(spark, block_bytes):
+    """Rows of one id, and of none, of which some are contaminated."""
+    bad, clean = PROSE, "nothing of that sort is in this text which has other words all over"
+    docs = spark.createDataFrame([(1, bad), (1, clean), (None, bad), (None, clean), (2, clean)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, PROSE), (2, "some other item " * 10), (3, PROSE + " and on")], "item_id long, text string")
+    assert sorted(r["text"] for r in decontaminate.remove_contaminated(docs, bench, block_bytes=block_bytes).collect()) == [clean] * 3
+
+
 def test_longest_matches_and_their_places(spark):
     passage = " ".join(f"t{i}" for i in range(30))
     docs = spark.createDataFrame([(1, f"before it {passage} and after"), (2, " ".join(passage.split()[5:20]))], "doc_id long, text string")
