@@ -31,7 +31,7 @@ from tessera.llm.common import keep_rows, load_shared, local_path, make_shared,
 from tessera.llm.words import ALNUM, Words, mix, split
 
 WINDOW = 13
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000  # building a block takes some 35 bytes of memory for each of its bytes
 _KINDS = {"vocabulary": "<u8", "numbers": "<u4", "begins": "<i8", "names": "u1", "name_ends": "<i8"}
 
 

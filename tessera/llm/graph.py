@@ -80,7 +80,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         state = keep(large)
-        now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
+        mark = F.xxhash64("a", "b")
+        now = tuple(state.agg(F.count("*"), F.sum(mark.cast("decimal(20,0)")), F.bit_xor(mark)).first())
         if now == before or not now[0]:
             break
         before = now

@@ -12,7 +12,8 @@ raked as a distributed table.
 Defined cases: null and empty texts have no tokens, form the topic ``empty`` and get the largest weight of
 their cell's marginals, 1 at least where there is nothing to rake; null source or language is a value of its
 own; repeated rows of one id and cell are taken or left together; targets for values that don't occur are ignored
-and the rest renormalised, values without a target get none of the weight; an empty table gives an empty
+and the rest renormalised, values without a target get none of the weight; where no target of a dimension occurs it
+keeps its observed shares; an empty table gives an empty
 result; a table lacking the columns lang or source is raked to what it has.
 """
 
@@ -114,7 +115,7 @@ def _targets(marginals: dict[str, dict], given: dict[str, dict] | None, temper:
     return out
 
 
-def rake(measured: DataFrame, *, targets: dict[str, dict] | None = None, temper: float = TEMPER, budget: float = BUDGET, driver_cells: int = DRIVER_CELLS) -> tuple[DataFrame, bool]:
+def rake(measured: DataFrame, *, targets: dict[str, dict] | None = None, temper: float = TEMPER, budget: float = BUDGET, rounds: int = ROUNDS, driver_cells: int = DRIVER_CELLS) -> tuple[DataFrame, bool]:
     """(source, lang, topic, weight, probability) of each cell, and whether the table is small enough to broadcast."""
     spark = measured.sparkSession
     cells = materialise(measured.groupBy(*_DIMS).agg(F.sum("n_tokens").cast("double").alias("tokens")), "mixing-cells")
@@ -133,17 +134,17 @@ def rake(measured: DataFrame, *, targets: dict[str, dict] | None = None, temper:
             number = {v: i for i, v in enumerate(marginals[d])}
             members.append(np.array([number[r[d]] for r in rows]))
             totals.append(np.array([wanted.get(v, 0.0) for v in number]))
-        raked = fit(tokens, members, totals)
+        raked = fit(tokens, members, totals, rounds)
         weight = np.divide(raked, tokens, out=np.zeros(len(tokens)), where=tokens > 0)
         weight[tokens == 0] = weight.max(initial=0) or 1.0
         factor = calibrate(tokens, weight, budget * tokens.sum())
         # without any token there is nothing to weigh: all such documents are taken
         probability = np.minimum(1, factor * weight) if tokens.sum() else np.ones(len(rows))
         return spark.createDataFrame([(*(r[d] for d in _DIMS), float(w), float(p)) for r, w, p in zip(rows, weight, probability)], schema), True
-    return _rake_table(cells, targets, temper, budget), False
+    return _rake_table(cells, targets, temper, budget, rounds), False
 
 
-def _rake_table(cells: DataFrame, targets: dict[str, dict] | None, temper: float, budget: float) -> DataFrame:
+def _rake_table(cells: DataFrame, targets: dict[str, dict] | None, temper: float, budget: float, rounds: int) -> DataFrame:
     """As above, for more cells than the driver takes: each step joins the cells with the totals along a dimension."""
     spark = cells.sparkSession
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
@@ -153,14 +154,16 @@ def _rake_table(cells: DataFrame, targets: dict[str, dict] | None, temper: float
     wanted = {}
     for d in _DIMS:
         sums = cells.groupBy(F.col(d).alias("_v")).agg(F.sum("tokens").alias("_t"))
+        even = sums.select("_v", F.pow(F.col("_t"), F.lit(temper)).alias("_w"))
         if targets and targets.get(d):
             given = spark.createDataFrame([(k, float(v)) for k, v in targets[d].items()], "_k string, _w double")
-            sums = sums.join(given, F.col("_v").eqNullSafe(F.col("_k")), "left").select("_v", F.when(F.col("_t") > 0, F.coalesce("_w", F.lit(0.0))).otherwise(0.0).alias("_w"))
-        else:
-            sums = sums.select("_v", F.pow(F.col("_t"), F.lit(temper)).alias("_w"))
+            chosen = sums.join(given, F.col("_v").eqNullSafe(F.col("_k")), "left").select("_v", F.when(F.col("_t") > 0, F.coalesce("_w", F.lit(0.0))).otherwise(0.0).alias("_w"))
+            # targets of which none occurs: the dimension keeps what it has
+            even = chosen if chosen.agg(F.sum("_w")).first()[0] else sums.select("_v", F.col("_t").alias("_w"))
+        sums = even
         scale = sums.agg(F.sum("_w")).first()[0]
         wanted[d] = materialise(sums.select("_v", (F.col("_w") / scale * total).alias("_goal")), "mixing-target")
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         worst = 0.0
         for d in _DIMS:
             now = state.groupBy(F.col(d).alias("_v2")).agg(F.sum("mass").alias("_now"))
@@ -173,14 +176,20 @@ def _rake_table(cells: DataFrame, targets: dict[str, dict] | None, temper: float
         if worst <= TOLERANCE * total:
             break
     weighed = materialise(state.withColumn("weight", F.when(F.col("tokens") > 0, F.col("mass") / F.col("tokens"))), "mixing-weights")
-    low, high = 0.0, 1 / (weighed.where("weight > 0").agg(F.min("weight")).first()[0] or 1.0)
-    for _ in range(60):
-        factor = (low + high) / 2
-        taken = weighed.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(factor) * F.col("weight")))).first()[0] or 0.0
-        low, high = (factor, high) if taken < budget * total else (low, factor)
+    some = weighed.where("weight > 0")
+    low, high = 0.0, 1 / (some.agg(F.min("weight")).first()[0] or 1.0)
+    # the factor is that of the cells that are taken whole: those found at one factor give the next, which only grows
+    while True:
+        whole = F.lit(low) * F.col("weight") >= 1
+        taken, rest = some.agg(F.sum(F.when(whole, F.col("tokens")).otherwise(0.0)), F.sum(F.when(whole, 0.0).otherwise(F.col("mass")))).first()
+        factor = min(high, (budget * total - (taken or 0.0)) / rest) if rest else high
+        if factor <= low * (1 + 1e-12):
+            break
+        low = factor
+    factor = low
     largest = weighed.agg(F.max("weight")).first()[0] or 1.0
     weight = F.coalesce("weight", F.lit(largest))
-    return weighed.select(*_DIMS, weight.alias("weight"), F.least(F.lit(1.0), F.lit(high) * weight).alias("probability"))
+    return weighed.select(*_DIMS, weight.alias("weight"), F.least(F.lit(1.0), F.lit(factor) * weight).alias("probability"))
 
 
 def place(column: Column, seed: int = 23) -> Column:

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, slices, text_buffer
@@ -85,14 +85,14 @@ def _sketch(size: int, trees: int):
             ends[1:] = np.cumsum(np.where(counts > 0, trees, 0))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(c) for c in ("doc_id", "h1", "h2")),
                     pa.array(counts, pa.int64()),
                     pa.array(prints[0].view(np.int64)),
                     pa.array(prints[1].view(np.int64)),
                     pa.array([x.tobytes() if n else None for x, n in zip(signature, counts)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(key.view(np.int64).ravel())),
                 ],
-                names=["doc_id", "n_shingles", "g1", "g2", "signature", "keys"],
+                names=["doc_id", "h1", "h2", "n_shingles", "g1", "g2", "signature", "keys"],
             )
 
     return run
@@ -166,7 +166,7 @@ def _full_sets(size: int):
         for batch in slices(batches, "text"):
             values, offsets = _sets(batch.column("text"), size)
             sets = [values[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("cluster"), pa.array(np.diff(offsets), pa.int64()), pa.array(sets, pa.binary())], names=["node", "cluster", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "cluster", "h1", "h2")), pa.array(np.diff(offsets), pa.int64()), pa.array(sets, pa.binary())], names=["node", "cluster", "h1", "h2", "n", "shingles"])
 
     return run
 
@@ -225,13 +225,28 @@ def _confirm(percent: int):
     return run
 
 
-def find_components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES, region: int = REGION) -> DataFrame:
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _text_prints() -> tuple[Column, Column]:
+    """Two hashes of the text, by which rows of one id or of none are told apart."""
+    return F.xxhash64(_text()), F.xxhash64(F.lit(2), _text())
+
+
+def find_components(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; sets of ``shingle`` words, links from ``percent`` on."""
+    return _components(docs, **options).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES, region: int = REGION) -> DataFrame:
+    """As above, with the hashes of the text."""
     spark = docs.sparkSession
     trees = tree_count(percent / 100)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sketch = materialise(texts.mapInArrow(_sketch(shingle, trees), "doc_id long, n_shingles long, g1 long, g2 long, signature binary, keys array<long>"), "neardup-sketch")
+    h1, h2 = _text_prints()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), h1.alias("h1"), h2.alias("h2"), _text().alias("text"))
+    sketch = materialise(texts.mapInArrow(_sketch(shingle, trees), "doc_id long, h1 long, h2 long, n_shingles long, g1 long, g2 long, signature binary, keys array<long>"), "neardup-sketch")
     known = sketch.where("n_shingles > 0 and doc_id is not null")
     nodes = known.groupBy("g1", "g2").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("keys").alias("keys"))
     nodes = materialise(nodes, "neardup-nodes")
@@ -240,9 +255,9 @@ def find_components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, blo
     clusters = materialise(components(forest.mapInArrow(_candidates(need), "a long, b long")), "neardup-clusters")
     # one text for each node of a cluster: repeated rows of an id have to be told apart by their sets
     cluster = clusters.select("node", F.col("root").alias("cluster"))
-    members = texts.join(cluster, texts["doc_id"] == cluster["node"]).select("node", "cluster", "text")
-    sets = members.mapInArrow(_full_sets(shingle), "node long, cluster long, n long, shingles binary").where("n > 0")
-    sets = materialise(sets.dropDuplicates(["node", "shingles"]) if _repeats(texts) else sets, "neardup-sets")
+    members = texts.join(cluster, texts["doc_id"] == cluster["node"]).select("node", "cluster", "h1", "h2", "text")
+    sets = members.mapInArrow(_full_sets(shingle), "node long, cluster long, h1 long, h2 long, n long, shingles binary").where("n > 0")
+    sets = materialise(sets.dropDuplicates(["node", "h1", "h2"]).drop("h1", "h2"), "neardup-sets")
     extent = sets.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / F.lit(block_docs)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = sets.join(extent, "cluster").select("cluster", "node", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -253,17 +268,19 @@ def find_components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, blo
     roots = materialise(components(links), "neardup-links")
     named = nodes.select("g1", "g2", "node").join(roots, "node", "left").select("g1", "g2", F.coalesce("root", "node").alias("_root"))
     named = materialise(named, "neardup-names")
-    out = sketch.select("doc_id", "n_shingles", "g1", "g2").join(named, ["g1", "g2"], "left")
+    out = sketch.select("doc_id", "h1", "h2", "n_shingles", "g1", "g2").join(named, ["g1", "g2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("_root")).otherwise(F.col("doc_id")).alias("component_id")
-    return out.select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
-
-
-def _repeats(texts: DataFrame) -> bool:
-    """Whether an id has several rows."""
-    return bool(texts.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count())
+    return out.select("doc_id", "h1", "h2", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group of near-duplicates, with all its columns."""
-    out = find_components(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(out, docs["doc_id"].eqNullSafe(out["_copy"]), "left_anti")
+    """The rows that are kept, with all their columns: one document of each group of near-duplicates.
+
+    Rows of one id and text stay or go together; rows of one id and other texts, and rows without an id, are
+    judged by their own text.
+    """
+    names = ["_tessera_id", "_tessera_h1", "_tessera_h2"]
+    out = _components(docs, **options).where(~F.col("kept")).select("doc_id", "h1", "h2").distinct().toDF(*names)
+    own = [docs["doc_id"].cast("long"), *_text_prints()]
+    match = own[0].eqNullSafe(out[names[0]]) & (own[1] == out[names[1]]) & (own[2] == out[names[2]])
+    return docs.join(out, match, "left_anti")

@@ -184,6 +184,17 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert neardup.find_components(empty).count() == 0
 
 
+def test_copies_go_row_by_row(spark):
+    """Rows without an id, and of one id with several texts."""
+    other, third = "an entirely different text about ships and harbours in the north", "words that no other row of this table has in its text at all"
+    rows = [(1, PROSE), (None, PROSE), (2, PROSE), (None, other), (2, third), (3, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.find_components(docs)
+    kept = neardup.drop_copies(docs)
+    assert kept.count() == found.where("kept").count()
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(1, PROSE), (None, other), (2, third), (3, ""), (None, None)]))
+
+
 # --- 2 tokens ------------------------------------------------------------------------------------
 
 
@@ -258,15 +269,68 @@ def test_calibrated_probabilities_spend_the_budget(cells, share):
 
 
 def test_the_distributed_way_gives_the_same(documents):
-    near = {r["doc_id"]: r for r in mixing.mix(documents).collect()}
-    far = {r["doc_id"]: r for r in mixing.mix(documents, driver_cells=0).collect()}
+    near = {r["doc_id"]: r for r in mixing.mix(documents, rounds=4).collect()}
+    far = {r["doc_id"]: r for r in mixing.mix(documents, rounds=4, driver_cells=0).collect()}
     assert near.keys() == far.keys() and all(math.isclose(near[k]["probability"], far[k]["probability"], rel_tol=1e-6) for k in near)
     total = sum(r["n_tokens"] for r in near.values())
     assert math.isclose(sum(r["n_tokens"] * r["probability"] for r in near.values()), mixing.BUDGET * total, rel_tol=1e-6)
-    kept = mixing.sample(documents)
+    kept = mixing.sample(documents, rounds=4)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k for k, r in near.items() if r["sampled"])
 
 
+@pytest.mark.parametrize("targets", [{"lang": {"xx": 1.0}}, {"lang": {"en": 3.0, "xx": 1.0}, "topic": {"prose": 1.0, "short": 2.0}}, {"source": {"none": 1.0}, "lang": {None: 1.0, "en": 1.0}}])
+def test_both_ways_treat_targets_alike(odd, targets):
+    near, far = (sorted((r["doc_id"] or 0, r["source"] or "", round(r["weight"], 6), round(r["probability"], 6), r["sampled"]) for r in mixing.mix(odd, targets=targets, rounds=2, driver_cells=n).collect()) for n in (mixing.DRIVER_CELLS, 0))
+    assert near == far
+
+
+def brute_mixing(docs, temper, budget):
+    """The whole of the operator by plain loops: cells, raking, calibration."""
+    cells, dims = {}, ("source", "lang", "topic")
+    for r in docs:
+        raw = (r["text"] or "").encode()
+        words = len(raw.split())
+        share = lambda of: sum(b in of for b in raw) / max(len(raw), 1)  # noqa: B023, E731
+        topic = "empty" if not words else "short" if words < 50 else "tabular" if share(b"|\t") > 0.01 else "noisy" if share(b"!#$%&*") > 0.04 else "listed" if share(b"\n") > 0.02 else "prose"
+        cells.setdefault((r["source"], r["lang"], topic), []).append((r["doc_id"], words))
+    mass = {c: float(sum(n for _, n in rows)) for c, rows in cells.items()}
+    total, tokens = sum(mass.values()), dict(mass)
+    goals = []
+    for k in range(len(dims)):
+        sums = Counter()
+        for c, m in mass.items():
+            sums[c[k]] += m
+        raised = {v: (m / total) ** temper for v, m in sums.items() if m}
+        goals.append({v: total * x / sum(raised.values()) for v, x in raised.items()})
+    for _ in range(mixing.ROUNDS):
+        worst = 0.0
+        for k, goal in enumerate(goals):
+            sums = Counter()
+            for c, m in mass.items():
+                sums[c[k]] += m
+            worst = max(worst, max(abs(sums[v] - goal.get(v, 0)) for v in sums))
+            mass = {c: m * goal.get(c[k], 0) / sums[c[k]] if sums[c[k]] else 0.0 for c, m in mass.items()}
+        if worst <= mixing.TOLERANCE * total:
+            break
+    weight = {c: mass[c] / tokens[c] for c in cells if tokens[c]}
+    low, high = 0.0, 1 / min(w for w in weight.values() if w)
+    for _ in range(200):
+        factor = (low + high) / 2
+        low, high = (factor, high) if sum(tokens[c] * min(1, factor * w) for c, w in weight.items()) < budget * total else (low, factor)
+    largest = max(weight.values())
+    return {i: (n, c[2], weight.get(c, largest), min(1, high * weight.get(c, largest))) for c, rows in cells.items() for i, n in rows}
+
+
+def test_mixing_is_that_of_brute_force(documents):
+    found = {r["doc_id"]: r for r in mixing.mix(documents).collect()}
+    wanted = brute_mixing(documents.collect(), mixing.TEMPER, mixing.BUDGET)
+    assert found.keys() == wanted.keys()
+    for i, (n, topic, weight, probability) in wanted.items():
+        r = found[i]
+        assert (r["n_tokens"], r["topic"]) == (n, topic)
+        assert math.isclose(r["weight"], weight, rel_tol=1e-6) and math.isclose(r["probability"], probability, rel_tol=1e-6)
+
+
 def test_mixing_of_odd_rows(odd, empty):
     rows = mixing.mix(odd).collect()
     assert len(rows) == len(ODD) and all(0 <= r["probability"] <= 1 and r["weight"] is not None for r in rows)
