@@ -10,8 +10,8 @@ like a placeholder. Literals that a base span overlaps are not reported again.
 Each row is handled alone, on UTF-8 bytes; spans are code points, end exclusive. The operator is one narrow
 Arrow stage without a shuffle.
 
-Defined cases: null and empty texts have no spans; repeated rows and ids are handled row by row; texts may
-have any length; an empty table gives an empty result; other columns are not looked at.
+Defined cases: null and empty texts have no spans; repeated rows and ids are handled row by row; texts, names,
+annotations and literals may have any length, and each is read in time in proportion to it; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -48,11 +48,17 @@ SENSITIVE = {
 DAMPING = frozenset("count counts length len size max min limit type name names file path dir url uri regex pattern field label prompt hint id index policy expiry expires ttl lifetime enabled required".split())
 PLACEHOLDERS = re.compile(r"^(?:none|null|nil|true|false|undefined|todo|tbd|changeme|change[-_]me|example|test|dummy|sample|redacted|password|secret|token|x+|\*+|\.+|-+|_+|0+|your.*|my[-_].*|<.*>|\$\{.*\}|\$\(.*\)|\{\{.*\}\}|%\(.*|\$[A-Za-z_]\w*)$", re.IGNORECASE)
 
-_NAME_BEFORE = re.compile(
-    rb"""(?:(?P<path>[A-Za-z_$][\w$]*(?:[.\-][A-Za-z_$][\w$]*)*)(?:\s*\[\s*["']?(?P<key>[\w.\-]+)["']?\s*\])?|(?P<q>["'])(?P<quoted>[\w.\- ]{1,100})(?P=q))"""
-    rb"""(?P<note>[ \t]*:[ \t]*[A-Za-z_][\w.\[\], |]{0,60}?)?[ \t]*\Z"""
-)
-_QUOTED = re.compile(rb"""[rRbBuUfF@]{0,2}(?:"((?:[^"\\\n]|\\.){0,20000})"|'((?:[^'\\\n]|\\.){0,20000})'|`([^`]{0,20000})`)""", re.DOTALL)
+_OPERATOR = re.compile(rb"(?<![=!<>:+\-*/%&|^~])(?::=|=>|=(?![=~])|:(?![:/=]))")
+# What stands before an operator, read backwards from it, byte by byte: blanks, an annotation, the name.
+_SEGMENT = rb"[\w$]*[A-Za-z_$]"
+_PATH = rb"(?P<path>" + _SEGMENT + rb"(?:[.\-]" + _SEGMENT + rb")*)"
+_NAME_BACK = re.compile(rb"[ \t]*+(?:\]\s*+[\"']?(?P<key>[\w.\-]++)[\"']?\s*+\[\s*+" + _PATH.replace(b"path", b"owner") + rb"|(?P<q>[\"'])(?P<quoted>[\w.\- ]++)(?P=q)|" + _PATH + rb")")
+_NOTE_BACK = re.compile(rb"[ \t]*+[\w.\[\], |]*[A-Za-z_][ \t]*+:")
+_BLANKS = re.compile(rb"[ \t]*+")
+_ASSIGNED = re.compile(rb"=(?![=~])")
+_QUOTED = re.compile(rb"""[rRbBuUfF@]{0,2}(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`]*+)`)""", re.DOTALL)
+#: What may stand between the line's begin and the name of a bare configuration value.
+_LEADS = (b"export", b"set", b"-", b"ENV", b"const", b"let", b"var", b"final", b"{", b",")
 _JOIN = re.compile(rb"[ \t]*(?:\+|\.{1,2}|\\\n)?[ \t]*\n?[ \t]*(?=[rRbBuUfF@]{0,2}[\"'`])")
 _BARE = re.compile(rb"""[^\s"'`,;(){}\[\]<>]+""")
 _IDENTIFIER = re.compile(rb"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z")
@@ -77,20 +83,33 @@ def literal_score(value: str) -> float:
     return min(1.0, 0.25 + 0.05 * min(n, 16) / 2 + 0.1 * min(entropy, 4.0) - 0.1 + 0.1 * (kinds - 1))
 
 
+def _leads(text: bytes, start: int) -> bool:
+    """Whether a name begins its line, but for a word that may stand before it."""
+
+    def blank(end: int) -> int:
+        """Where the blanks that end here begin; -1 if only they are in the line."""
+        at = end
+        while at and text[at - 1] in b" \t\r\f\v":
+            at -= 1
+        return -1 if not at or text[at - 1] == 10 else at
+
+    at = blank(start)
+    return at < 0 or any(text.endswith(word, 0, at) and blank(at - len(word)) < 0 for word in _LEADS)
+
+
 def _targets(text: bytes) -> Iterator[tuple[str, int, bool]]:
     """(target name, where its value begins, whether the name begins a line) of each assignment."""
-    for found in re.finditer(rb"(?<![=!<>:+\-*/%&|^~])(?::=|=>|=(?![=~])|:(?![:/=]))", text):
-        begin = max(0, found.start() - 240)
-        name = _NAME_BEFORE.search(text, begin, found.start())
-        if not name or (found.group() == b":" and name["note"]):
-            continue
-        raw = name["key"] or name["path"] or name["quoted"]
-        line = text.rfind(b"\n", 0, name.start()) + 1
-        lead = text[line : name.start()].strip()
-        at = found.end()
-        while at < len(text) and text[at] in b" \t":
-            at += 1
-        yield raw.decode("utf-8", "replace"), at, lead in (b"", b"export", b"set", b"-", b"ENV", b"const", b"let", b"var", b"final", b"{", b",")
+    back, n = text[::-1], len(text)
+    for found in _OPERATOR.finditer(text):
+        at = n - found.start()
+        note = _NOTE_BACK.match(back, at)
+        name = _NAME_BACK.match(back, note.end()) if note else None
+        if name and found.group() == b":":
+            continue  # the name before is that of another pair
+        name = name or _NAME_BACK.match(back, at)
+        if name:
+            raw = (name["key"] or name["path"] or name["quoted"])[::-1]
+            yield raw.decode("utf-8", "replace"), _BLANKS.match(text, found.end()).end(), _leads(text, n - name.end())
 
 
 def _value(text: bytes, at: int, bare: bool) -> tuple[int, int, str | None, str | None]:
@@ -108,10 +127,12 @@ def _value(text: bytes, at: int, bare: bool) -> tuple[int, int, str | None, str
     if not found:
         return at, at, None, None
     word = found.group().rstrip(b".,:")
-    follows = text[found.end() : found.end() + 1]
+    after = _BLANKS.match(text, found.end()).end()
+    # a call, or the annotation of a name, is no literal
+    value = text[found.end() : found.end() + 1] not in (b"(", b"[") and not _ASSIGNED.match(text, after)
     if _IDENTIFIER.match(word):
-        return at, at + len(word), word.decode() if bare and follows != b"(" else None, word.decode() if follows != b"(" else None
-    return at, at + len(word), word.decode("utf-8", "replace") if bare and follows != b"(" else None, None
+        return at, at + len(word), word.decode() if bare and value else None, word.decode() if value else None
+    return at, at + len(word), word.decode("utf-8", "replace") if bare and value else None, None
 
 
 def lex(text: bytes) -> list[tuple[int, int]]:
@@ -126,22 +147,31 @@ def lex(text: bytes) -> list[tuple[int, int]]:
         elif literal is not None:
             literals[name] = (start, end, literal)
             targets.setdefault((start, end, literal), set()).add(name)
-    # constants go through chains of names: each round settles the names that refer to settled ones
-    waiting = refers
-    while waiting:
-        left = []
-        for name, other, own in waiting:
+    # constants go through chains of names: a name that gets a literal settles those that wait for it, each once
+    waits: dict[str, list[int]] = {}
+    settled = [False] * len(refers)
+
+    def settle(first: int) -> None:
+        queue = [first]
+        while queue:
+            k = queue.pop()
+            name, other, _ = refers[k]
             source = literals.get(other) or literals.get(other.rpartition(".")[2])
-            if source is None:
-                left.append((name, other, own))
-            else:
-                literals.setdefault(name, source)
-                targets.setdefault(source, set()).add(name)
-        if len(left) == len(waiting):
-            break
-        waiting = left
-    for name, _, own in waiting:  # names of nothing known: bare configuration values
-        if own is not None:
+            if settled[k] or source is None:
+                continue
+            settled[k] = True
+            targets.setdefault(source, set()).add(name)
+            if name not in literals:
+                literals[name] = source
+                queue += waits.pop(name, ())
+
+    for k, (_, other, _) in enumerate(refers):
+        for key in {other, other.rpartition(".")[2]}:
+            waits.setdefault(key, []).append(k)
+    for k in range(len(refers)):
+        settle(k)
+    for k, (name, _, own) in enumerate(refers):  # names of nothing known: bare configuration values
+        if own is not None and not settled[k]:
             targets.setdefault(own, set()).add(name)
     found = []
     for (start, end, literal), names in targets.items():

@@ -606,6 +606,7 @@ def test_base_spans_are_those_of_the_patterns(spark, documents):
         (b'{"private_key": "MIIEabc123XYZ987"}', [b"MIIEabc123XYZ987"]),
         (b"export STRIPE_SECRET_KEY=sk_live_9aZ8b7C6d5", [b"sk_live_9aZ8b7C6d5"]),
         (b'password: str = "s3cr3tV4lue!"', [b"s3cr3tV4lue!"]),
+        (b"password: SecretStr = load()", []),
         (b"max_tokens = 4096000000", []),
         (b'password = "changeme"', []),
         (b"The secret: the idea is good", []),
@@ -617,6 +618,37 @@ def test_literals_of_sensitive_names(text, literals):
     assert [text[a:b] for a, b in secrets.lex(text)] == literals
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        b'pass_phrase = "' + b"aB3$x" * 4100 + b'"',
+        b"signing_key" + b" " * 250 + b"= 'zX9yW8vU7tS6'",
+        b'{"' + b"x" * 150 + b'_private_key": "zX9yW8vU7tS6"}',
+        b"signing_key: " + b"Optional[" * 20 + b"str" + b"]" * 20 + b" = 'zX9yW8vU7tS6'",
+        b"a" * 300 + b".signing_key = 'zX9yW8vU7tS6'",
+    ],
+)
+def test_names_and_literals_may_have_any_length(text):
+    assert [re.sub(rb"^.*?(zX9yW8vU7tS6|(?:aB3\$x){4100}).*$", rb"\1", text, flags=re.S)] == [text[a:b] for a, b in secrets.lex(text)]
+
+
+def test_long_chains_and_lines_take_time_in_proportion():
+    import time
+
+    def seconds(text):
+        began = time.process_time()
+        found = secrets.lex(text)
+        return time.process_time() - began, found
+
+    def chain(n):
+        return b"\n".join(b"n%d = n%d" % (i, i + 1) for i in range(n)) + b"\nn%d = 'zX9yW8vU7tS6'\nsigning_key = n0" % n
+
+    assert [chain(3000)[a:b] for a, b in seconds(chain(3000))[1]] == [b"zX9yW8vU7tS6"]
+    for make in (chain, lambda n: b'{"a":"b",' * n, lambda n: b"a" * 20 * n + b".1=", lambda n: b"a: b c, " * n, lambda n: b"x= \" " * n, lambda n: b" " * 20 * n + b"=", lambda n: b"= 'ab" * n):
+        small, large = max(seconds(make(3000))[0], 0.02), seconds(make(24_000))[0]
+        assert large < 24 * small
+
+
 def test_secrets_of_odd_rows(odd, empty):
     rows = secrets.find_secrets(odd).collect()
     assert len(rows) == len(ODD) and all(r["spans"] == "" for r in rows)
