@@ -366,15 +366,90 @@ def test_scores_against_brute_force(documents):
     assert all(math.isclose(whole[i], rows[i]["score"], rel_tol=1e-6) for i in texts)
 
 
+def interpolated(docs, order, held, dev, rounds=lm.ROUNDS):
+    """Deleted interpolation by plain loops: a function of (context, word) and the scores of all texts."""
+    texts = {i: [*(t or "").encode().lower().split(), "end"] for i, t in docs}
+    role = {i: "held" if held(i) else "dev" if dev(i) else "main" for i in texts}
+
+    def counts(roles):
+        grams, seen = Counter(), 0
+        for i, words in texts.items():
+            if role[i] in roles:
+                seen += 1
+                padded = ["begin"] * (order - 1) + words
+                for at in range(order - 1, len(padded)):
+                    for k in range(1, order + 1):
+                        grams[tuple(padded[at - k + 1 : at + 1])] += 1
+        return grams, sum(n for g, n in grams.items() if len(g) == 1), seen
+
+    v = len({w for i in texts if role[i] != "held" for w in texts[i]})
+
+    def estimates(model, context, word):
+        grams, n, seen = model
+        out, size = [1 / (v + 1), grams[(word,)] / n if n else 0], n
+        for k in range(1, order):
+            before = tuple(context[len(context) - k :])
+            size = seen if before[-1] == "begin" else grams[before]
+            out.append(grams[(*before, word)] / size if size else 0)
+        return (min(int(math.log2(size)) + 1, lm.BUCKETS - 1) if size else 0), out
+
+    def tokens(words):
+        padded = ["begin"] * (order - 1) + words
+        return [(padded[at - order + 1 : at], padded[at]) for at in range(order - 1, len(padded))]
+
+    part = counts({"main"})
+    events = Counter()
+    for i, words in texts.items():
+        if role[i] == "dev":
+            for context, word in tokens(words):
+                bucket, q = estimates(part, context, word)
+                events[(bucket, *(min(round(-math.log2(x) * lm._STEP), lm._FLOOR) if x else lm._FLOOR for x in q[1:]))] += 1
+    weights = np.full((lm.BUCKETS, order + 1), 1 / (order + 1))
+    for _ in range(rounds):
+        gain = np.zeros_like(weights)
+        for (bucket, *q), n in events.items():
+            share = weights[bucket] * np.array([1 / (v + 1), *(0.0 if x >= lm._FLOOR else 2 ** (-x / lm._STEP) for x in q)])
+            gain[bucket] += n * share / share.sum()
+        for bucket in {e[0] for e in events}:
+            weights[bucket] = (gain[bucket] + 1 / (order + 1)) / (gain[bucket].sum() + 1)
+    whole = counts({"main", "dev"})
+
+    def probability(context, word):
+        bucket, q = estimates(whole, context, word)
+        return float(weights[bucket] @ np.array(q))
+
+    return probability, {i: sum(math.log10(probability(c, w)) for c, w in tokens(words)) for i, words in texts.items()}
+
+
+def small_corpus():
+    rng = np.random.default_rng(11)
+    words = ["a", "b", "c", "d", "e", *(f"r{k}" for k in range(40))]
+    weight = np.array([5.0] * 5 + [0.3] * 40)
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 40), p=weight / weight.sum()))) for i in range(120)]
+    return rows + [(500, rows[0][1]), (501, None), (502, "once only here"), (503, "a b c a b c a b c")]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_scores_are_those_of_plain_interpolation(spark, order):
+    rows = small_corpus()
+    crc = lambda i: zlib.crc32(str(i).encode()) % 7
+    found = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), order=order, chunk_tokens=150, bucket_tokens=200).collect()}
+    _, wanted = interpolated(rows, order, lambda i: crc(i) == 2, lambda i: crc(i) == 3)
+    assert found.keys() == wanted.keys() and all(math.isclose(found[i], wanted[i], rel_tol=1e-9, abs_tol=1e-9) for i in wanted)
+
+
 def test_probabilities_of_a_context_add_up(spark):
-    words = ["a", "b", "c"]
-    train = [(i, " ".join(np.random.default_rng(i).choice(words, 30))) for i in range(60)]
-    probes = [(10_000 + k, "a " + w) for k, w in enumerate([*words, "unseen"])]
-    held = [(i, t) for i, t in probes]
-    docs = spark.createDataFrame(train + held, "doc_id long, text string")
-    # all ids are trained on, as no remainder is held out
-    rows = {r["doc_id"]: r["score"] for r in lm.score(docs, held=99).collect()}
-    assert all(s < 0 for s in rows.values())
+    """Over the words seen, the end and one unknown word, after contexts that always go on, by scores of probes."""
+    rows = [(i, t) for i, t in small_corpus() if t]
+    vocabulary = sorted({w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split()})
+    held = [i for i in range(10_000, 40_000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    # a probe's score less that of the probe without its last word gives, with the ends', the word's probability
+    lines = ["a b", *(f"a b {w}" for w in [*vocabulary, "unknown"])]
+    docs = spark.createDataFrame(rows + list(zip(held, lines)), "doc_id long, text string")
+    probability, scores = interpolated(rows + list(zip(held, lines)), 3, lambda i: zlib.crc32(str(i).encode()) % 7 == 2, lambda i: zlib.crc32(str(i).encode()) % 7 == 3)
+    assert math.isclose(sum(probability([b"a", b"b"], w) for w in [*(v.encode() for v in vocabulary), "end", b"unknown"]), 1, rel_tol=1e-9)
+    found = {r["doc_id"]: r["score"] for r in lm.score(docs).collect()}
+    assert all(math.isclose(found[i], scores[i], rel_tol=1e-9) for i in held[: len(lines)])
 
 
 def test_order_three_uses_two_tokens_of_context(spark):
