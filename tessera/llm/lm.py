@@ -323,6 +323,7 @@ def score(docs: DataFrame, *, order: int = ORDER, held_modulus: int = 7, held: i
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = make_shared(spark, scratch_path(spark, "lm-files"))
     chunks = materialise(texts.mapInArrow(_chunks(folder, held_modulus, held, dev, chunk_tokens), _CHUNK), "lm-chunks")
     sums = {r["role"]: r for r in chunks.groupBy("role").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")).collect()}
@@ -338,7 +339,8 @@ def score(docs: DataFrame, *, order: int = ORDER, held_modulus: int = 7, held: i
             seen = answers.agg(F.sum("distinct").alias("v"), F.sum("total").alias("n")).first()
             distinct, tokens = int(seen["v"] or 0), int(seen["n"] or 0)
         last = k + 1 == order
-        narrow = answers.drop("distinct", "total").groupBy("chunk").applyInArrow(_next(k, order, buckets, folder), "chunk long, role int, file string, states string" if last else _ASK)
+        # the answers are small beside the work on them: a number of partitions is given, so that few large ones don't come of it
+        narrow = answers.drop("distinct", "total").repartition(n, "chunk").groupBy("chunk").applyInArrow(_next(k, order, buckets, folder), "chunk long, role int, file string, states string" if last else _ASK)
         asked = materialise(narrow, "lm-counted") if last else narrow
     counted = asked
     uniform = 1 / (distinct + 1)
@@ -361,7 +363,6 @@ def score(docs: DataFrame, *, order: int = ORDER, held_modulus: int = 7, held: i
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.int32()), *columns, pa.array(n, pa.int64())], names=names)
 
     fields = ", ".join(f"{q} int" for q in names[1:-1])
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     gathered = counted.where(F.col("role") == _DEV).repartition(n, "chunk").mapInArrow(events, f"bucket int, {fields}, n long")
     weights = learn(materialise(gathered.groupBy(*names[:-1]).agg(F.sum("n").alias("n")), "lm-events"), order, uniform)
     if not tokens:
