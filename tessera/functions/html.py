@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from html import escape
 from html.parser import HTMLParser
-from urllib.parse import urljoin
+from urllib.parse import unquote, urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 _SCOPES = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "p": ("div", "td", "li", "section"), "option": ("select",), "dt": ("dl",), "dd": ("dl",)}
-_LIMIT = 500
+# The largest spans of the HTML standard.
+_MOST = {"rowspan": 65_534, "colspan": 1_000}
 
 
 @dataclass
@@ -53,6 +55,40 @@ class Node:
             return "\n".join(x for x in (" ".join(line.split()) for line in text.split("\n")) if x)
         return " ".join(text.split())
 
+    def raw(self, without: tuple[str, ...] = ()) -> str:
+        """The text as it stands, without that of elements below of some tags."""
+        parts: list[str] = []
+        stack: list[Node | str] = list(reversed(self.children))
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                parts.append(item)
+            elif item.tag not in without and item.tag not in ("script", "style"):
+                stack += reversed(item.children)
+                if item.tag == "br":
+                    parts.append("\n")
+        return "".join(parts)
+
+    def html(self) -> str:
+        """The element's content as HTML again."""
+        out = []
+        for c in self.children:
+            if isinstance(c, str):
+                out.append(escape(c, quote=False))
+            else:
+                attrs = "".join(f' {k}="{escape(v)}"' for k, v in c.attrs.items())
+                out.append(f"<{c.tag}{attrs}>" + ("" if c.tag in _VOID else f"{c.html()}</{c.tag}>"))
+        return "".join(out)
+
+    @property
+    def classes(self) -> frozenset[str]:
+        return frozenset(self.attrs.get("class", "").split())
+
+    def rows(self) -> list[Node]:
+        """A table's own rows; those at any depth where it has none of its own."""
+        own = [r for part in self.children if isinstance(part, Node) for r in ([part] if part.tag == "tr" else part.direct("tr") if part.tag in ("thead", "tbody", "tfoot") else [])]
+        return own or self.find_all("tr")
+
     def direct(self, *tags: str) -> list[Node]:
         return [c for c in self.children if isinstance(c, Node) and c.tag in tags]
 
@@ -100,46 +136,48 @@ def parse(html: str | None) -> Node:
 
 def _span(node: Node, name: str) -> int:
     value = node.attrs.get(name, "1").strip()
-    return min(int(value), _LIMIT) if value.isdecimal() and int(value) > 0 else 1
+    return min(int(value), _MOST[name]) if value.isdecimal() and int(value) > 0 else 1
 
 
 def expand_grid(table: Node, *, nested: bool = False, even: bool = False) -> list[dict]:
-    """A table as a grid: cells repeated over their spans. Rows: ``index``, ``class``, ``cells``.
+    """A table as a grid: cells repeated over their spans. Rows: ``index``, ``class``, ``cells``, ``html`` of the cells.
 
-    ``nested`` takes rows at any depth, not only the table's own; ``even`` pads all rows to the widest.
+    ``nested`` takes rows at any depth, not only the table's own; ``even`` pads all rows to the widest. Spans
+    are at most those of the HTML standard.
     """
     rows = table.find_all("tr") if nested else [r for part in [table, *table.direct("thead", "tbody", "tfoot")] for r in part.direct("tr")]
-    held: dict[int, list] = {}  # column -> [rows left, text]
+    held: dict[int, list] = {}  # column -> [rows left, text, html]
     out = []
     for index, row in enumerate(rows):
-        cells: list[str] = []
+        cells: list[tuple[str, str]] = []
 
         def fill(cells=cells):
             while len(cells) in held:
                 left = held[len(cells)]
                 column = len(cells)
-                cells.append(left[1])
+                cells.append((left[1], left[2]))
                 left[0] -= 1
                 if not left[0]:
                     del held[column]
 
         for cell in row.direct("td", "th"):
             fill()
-            text, down = cell.text(breaks=nested), _span(cell, "rowspan")
+            text, down = (cell.text(breaks=nested), cell.html()), _span(cell, "rowspan")
             for _ in range(_span(cell, "colspan")):
                 if down > 1:
-                    held[len(cells)] = [down - 1, text]
+                    held[len(cells)] = [down - 1, *text]
                 cells.append(text)
         fill()
         for column in sorted(held):  # beyond a gap
             if column >= len(cells):
-                cells += [""] * (column - len(cells))
+                cells += [("", "")] * (column - len(cells))
                 fill()
-        out.append({"index": index, "class": row.attrs.get("class", ""), "cells": cells})
+        out.append({"index": index, "class": row.attrs.get("class", ""), "cells": [t for t, _ in cells], "html": [h for _, h in cells]})
     if even:
         width = max((len(r["cells"]) for r in out), default=0)
         for r in out:
-            r["cells"] += [""] * (width - len(r["cells"]))
+            for c in ("cells", "html"):
+                r[c] += [""] * (width - len(r[c]))
     return out
 
 
@@ -182,50 +220,29 @@ def cards(html: str | None) -> list[dict]:
     return sorted(out.values(), key=lambda r: (r["name"], r["href"]))
 
 
-def section(root: Node, heading: str) -> list[Node]:
-    """Siblings after the first heading that contains a text, up to the next of its level or above."""
-    for parent in [root, *root.walk()]:
-        nodes = [c for c in parent.children if isinstance(c, Node)]
-        for i, node in enumerate(nodes):
-            if re.fullmatch("h[1-6]", node.tag) and heading in node.text():
-                stop = next((j for j in range(i + 1, len(nodes)) if re.fullmatch("h[1-6]", nodes[j].tag) and nodes[j].tag <= node.tag), len(nodes))
-                return nodes[i + 1 : stop]
-    return []
+# How a card names its item, as a label or by its picture's file.
+_CARD_LABEL = re.compile(r"(?:No\.\s*)?0*(\d{1,4})\s*[:：]\s*(.+)")
+_CARD_PICTURE = re.compile(r"(?:weapon)?0*(\d{1,4})[a-z]?\.(?:png|jpe?g|webp)", re.IGNORECASE)
 
 
-def evidence(html: str | None, heading: str | None = None, base: str | None = None) -> list[dict]:
-    """Units of text of a section (or page) with their place, kind, context and links, in document order.
-
-    List items carry the texts of the items that they are nested in, table cells their row's first cell; a unit
-    of one kind, context and text counts once.
-    """
-    root = parse(html)
-    found: dict[tuple, dict] = {}
-
-    def emit(node: Node, kind: str, context: str, text: str) -> None:
-        if text:
-            urls = [urljoin(base or "", a.attrs["href"]) for a in [node, *node.walk()] if a.tag == "a" and a.attrs.get("href")]
-            found.setdefault((kind, context, text), {"pos": len(found), "kind": kind, "context": context, "text": text, "links": list(dict.fromkeys(urls))})
-
-    def visit(nodes: list[Node], context: str) -> None:
-        for node in nodes:
-            if node.tag in ("ul", "ol"):
-                for item in node.direct("li"):
-                    own = Node("li", item.attrs, [c for c in item.children if not (isinstance(c, Node) and c.tag in ("ul", "ol"))])
-                    text = own.text()
-                    emit(own, "list", context, text)
-                    visit(item.direct("ul", "ol"), f"{context} > {text}" if context else text)
-            elif node.tag == "table":
-                for row in expand_grid(node):
-                    for cell in row["cells"][1:]:
-                        emit(node, "table", row["cells"][0], cell)
-            elif node.tag == "p":
-                emit(node, "prose", context, node.text())
-            else:
-                visit([c for c in node.children if isinstance(c, Node)], context)
-
-    visit(section(root, heading) if heading else [root], "")
-    return list(found.values())
+def item_cards(html: str | None, base: str | None = None) -> list[dict]:
+    """(id, name, href, state) of a catalog page's cards, by id; the first address of an id is taken, another one is a conflict."""
+    first: dict[int, dict] = {}
+    clashes: dict[tuple[int, str], dict] = {}
+    for a in parse(html).find_all("a"):
+        href = a.attrs.get("href", "").strip()
+        said = [a.attrs.get("title", ""), a.attrs.get("aria-label", ""), a.text()]
+        said += [i.attrs.get(k, "") for i in a.find_all("img") for k in ("alt", "title", "src", "data-src")]
+        found = next((m for x in said for m in (_CARD_LABEL.search(x), _CARD_PICTURE.search(x)) if m), None)
+        address = urljoin(base or "", href)
+        page = unquote(urlsplit(address).path).rstrip("/").rpartition("/")[2]
+        if not href or not found or not page:
+            continue
+        label = " ".join(found[2].split()) if found.re is _CARD_LABEL else ""
+        row = {"id": int(found[1]), "name": label or page, "href": address, "state": "first"}
+        if first.setdefault(row["id"], row)["href"] != address:
+            clashes.setdefault((row["id"], address), row | {"state": "conflict"})
+    return sorted([*first.values(), *clashes.values()], key=lambda r: (r["id"], r["state"] != "first", r["href"]))
 
 
 def _udf(function, kind: str):
@@ -237,7 +254,7 @@ def _udf(function, kind: str):
 
 
 def table_grids(column: Column) -> Column:
-    return _udf(tables, "array<struct<table:int,index:int,class:string,cells:array<string>>>")(column)
+    return _udf(tables, "array<struct<table:int,index:int,class:string,cells:array<string>,html:array<string>>>")(column)
 
 
 def page_links(html: Column, base: Column) -> Column:
@@ -252,8 +269,12 @@ def card_list(column: Column) -> Column:
     return _udf(cards, "array<struct<name:string,href:string>>")(column)
 
 
-def page_evidence(column: Column, heading: str | None = None) -> Column:
-    return _udf(lambda h: evidence(h, heading), "array<struct<pos:int,kind:string,context:string,text:string,links:array<string>>>")(column)
+def page_cards(html: Column, base: Column) -> Column:
+    @F.pandas_udf("array<struct<id:int,name:string,href:string,state:string>>")
+    def apply(pages: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series([item_cards(h, b) for h, b in zip(pages, bases)], dtype=object)
+
+    return apply(html, base)
 
 
 # Labels of an effect table.

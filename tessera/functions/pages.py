@@ -11,27 +11,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.html import Node, evidence, expand_grid, header_columns, parse
-from tessera.functions.text import sentences
+from tessera.functions.evidence import Vocabulary, node_text, read_blocks, read_section
+from tessera.functions.html import Node, expand_grid, header_columns, parse
 
 # Labels and patterns of the pages' language.
-HEADING = "入手方法"
 NOTES = "備考"
 NOT_DEVELOPED = "開発不可"
 DEVELOPED = re.compile(r"開発(?:実装|解禁)日|開発可(?:能)?")
-PAGE_ID = re.compile(r"[Nn]o\.\s*(\d+)")
-METHODS = {
-    "development": r"開発",
-    "ship": r"初期装備|持参|牧場|所持艦|装備艦",
-    "quest": r"任務",
-    "improvement": r"改修更新|改修.*更新|更新先|★max.*更新|からの入手|(?:から|より)の更新|更新で入手|改修で入手|改修による入手",
-    "ranking": r"ランキング|作戦報酬|ランカー|聯合報酬",
-    "event": r"イベント|海域クリア報酬|突破報酬|期間限定海域",
-    "construction": r"建造",
-    "purchase": r"購入|アイテム屋",
-    "exchange": r"交換|選択報酬|選択式報酬",
-}
-PAST, PRESENT = r"以前は|かつて|過去", r"現在は|現在も"
+PAGE_ID = re.compile(r"(?<!\d)No\.\s*0*(\d+)(?!\d)", re.IGNORECASE)
 ITEM_HEADER, ASSISTANT_HEADER = "改修する装備", "二番艦"
 WEEKDAYS = ("日", "月", "火", "水", "木", "金", "土")
 MARKED = re.compile("[◯○〇△]")
@@ -45,7 +32,7 @@ _RECORD = (
 
 def page_id(root: Node, expected: int | None) -> int | None:
     """The identifier that a page gives: the expected one if it is among them, else the first."""
-    found = [int(x) for x in PAGE_ID.findall(root.text())]
+    found = [int(x) for n in [root, *root.walk()] for c in n.children if isinstance(c, str) for x in PAGE_ID.findall(c)]
     return expected if expected in found else next(iter(found), None)
 
 
@@ -55,9 +42,9 @@ def notes_of(root: Node, expected: int | None) -> str | None:
     for table in root.find_all("table"):
         rows = table.find_all("tr")
         for i, row in enumerate(rows):
-            if any(h.text() == NOTES for h in row.direct("th")):
-                values = [d.text() for d in row.direct("td") if d.text()]
-                text = " ".join(values) or (rows[i + 1].text() if i + 1 < len(rows) else "")
+            if any(node_text(h) == NOTES for h in row.direct("th")):
+                values = [x for x in map(node_text, row.direct("td")) if x]
+                text = " ".join(values) or (node_text(rows[i + 1]) if i + 1 < len(rows) else "")
                 ids = [int(x) for h in table.find_all("th")[:3] for x in PAGE_ID.findall(h.text())]
                 found.append((ids, text))
     own = [t for ids, t in found if expected in ids]
@@ -76,16 +63,7 @@ def development_flag(notes: str | None) -> tuple[bool | None, str | None]:
     return (True, found[0]) if found else (False, "no-marker")
 
 
-def kinds_of(text: str) -> list[str]:
-    return [k for k, p in METHODS.items() if re.search(p, text)] or ["other"]
-
-
-def availability_of(text: str, inherited: str) -> str:
-    past, present = bool(re.search(PAST, text)), bool(re.search(PRESENT, text))
-    return "mixed-summary" if past and present else "historical" if past else "current" if present else inherited
-
-
-def page_record(html: str | None, expected: int | None) -> dict:
+def page_record(html: str | None, expected: int | None, name: str = "", *, base: str = "", words: Vocabulary | None = None) -> dict:
     root = parse(html)
     flag, marker = development_flag(notes_of(root, expected))
     found = page_id(root, expected)
@@ -94,28 +72,17 @@ def page_record(html: str | None, expected: int | None) -> dict:
         issues.append("missing-id")
     elif found != expected:
         issues.append("id-mismatch")
-    has_heading = any(HEADING in h.text() for h in root.find_all("h1", "h2", "h3", "h4", "h5", "h6"))
-    units = evidence(html, HEADING) if has_heading else []
-    scope = "section" if units else "page-fallback"
-    if not units:
-        issues.append("empty-section" if has_heading else "missing-section")
-        # without a section only prose and cells that name a method count
-        units = [u for u in evidence(html) if u["kind"] in ("prose", "table") and kinds_of(u["text"]) != ["other"]]
-    methods, seen = [], set()
-    for unit in units:
-        inherited = availability_of(unit["context"], "current-or-summary")
-        for text in sentences(unit["text"]):
-            row = {"pos": len(methods), "kinds": kinds_of(text), "availability": availability_of(text, inherited), "text": text, "context": unit["context"]}
-            key = (text, row["availability"], tuple(row["kinds"]), unit["context"])
-            if key not in seen:
-                seen.add(key)
-                methods.append(row)
+    heading, scope, methods = read_section(root, name or "", base=base, words=words)
+    if heading is None:
+        issues.append("missing-section")
+    elif not methods:
+        issues.append("empty-section")
     other = any(m["kinds"] == ["other"] for m in methods)
     accepted = not _FATAL & set(issues)
     if not accepted:
         coverage = "rejected"
     elif not methods:
-        coverage = "empty-section" if has_heading else "missing-section"
+        coverage = "missing-section" if heading is None else "empty-section"
     elif scope == "page-fallback":
         coverage = "fallback-partial" if other else "fallback"
     else:
@@ -127,12 +94,22 @@ def page_record(html: str | None, expected: int | None) -> dict:
     }
 
 
-def page_records(html: Column, expected: Column) -> Column:
+def page_records(html: Column, expected: Column, name: Column | None = None, *, base: str = "", words: Vocabulary | None = None) -> Column:
     @F.pandas_udf(_RECORD)
-    def apply(pages: pd.Series, ids: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([page_record(h, None if pd.isna(i) else int(i)) for h, i in zip(pages, ids)])
+    def apply(pages: pd.Series, ids: pd.Series, names: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([page_record(h, None if pd.isna(i) else int(i), n, base=base, words=words) for h, i, n in zip(pages, ids, names)])
+
+    return apply(html, expected, F.lit("") if name is None else name)
 
-    return apply(html, expected)
+
+def page_units(html: Column, base: str = "", *, words: Vocabulary | None = None) -> Column:
+    """Units of evidence of a whole page, in document order."""
+
+    @F.pandas_udf("array<struct<pos:int,kind:string,kinds:array<string>,availability:string,text:string,context:string,links:array<struct<text:string,href:string>>>>")
+    def apply(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda h: read_blocks(h, base=base, words=words))
+
+    return apply(html)
 
 
 def coverage_metrics(records: DataFrame) -> DataFrame:

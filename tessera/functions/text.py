@@ -61,22 +61,56 @@ def exact_text(value: str | None) -> str:
     return " ".join(unicodedata.normalize("NFKC", str(value or "")).split())
 
 
+def page_name_form(value: str | None) -> str:
+    """NFKC, trimmed: how names of owners are compared."""
+    return unicodedata.normalize("NFKC", str(value or "")).strip()
+
+
+def lookup_name(value: str | None) -> str:
+    """NFKC without any white space, case-folded: how a page's cells are compared with an item's name."""
+    return re.sub(r"\s+", "", unicodedata.normalize("NFKC", plain_text(value))).casefold()
+
+
+def plain_text(value: str | None) -> str:
+    """Blanks as one space, none at line ends; line ends stay."""
+    text = re.sub(r"[ \t\r\f\v\xa0]+", " ", str(value or ""))
+    return re.sub(r" *\n *", "\n", text).strip()
+
+
+# Brackets within which no sentence ends, and what ends one.
+_OPENING = {"「": "」", "『": "』", "【": "】", "（": "）", "(": ")", "[": "]", "〈": "〉", "《": "》"}
+_STOPS = "。！？\n"
+
+
 def sentences(value: str | None) -> list[str]:
-    """Units that end at a full stop, mark or line end outside of brackets."""
-    out, depth, unit = [], 0, []
-    for c in str(value or ""):
-        depth += c in "（(「『【[〈《"
-        depth = max(0, depth - (c in "）)」』】]〉》"))
-        if c == "\n" and not depth:
-            out.append("".join(unit))
-            unit = []
-            continue
-        unit.append(c)
-        if c in "。！？!?" and not depth:
-            out.append("".join(unit))
-            unit = []
-    out.append("".join(unit))
-    return [x.strip() for x in out if x.strip()]
+    """Units that end at a full stop, mark or line end outside of brackets; an end without its beginning counts for nothing."""
+    out, inside, begin = [], [], 0
+    text = plain_text(value)
+    for at, c in enumerate(text):
+        if c in _OPENING:
+            inside.append(_OPENING[c])
+        elif inside and c == inside[-1]:
+            inside.pop()
+        elif not inside and c in _STOPS:
+            out.append(text[begin : at + 1])
+            begin = at + 1
+    return [x for x in map(plain_text, [*out, text[begin:]]) if x]
+
+
+def pruned(value):
+    """A JSON value without the entries of objects that are null; lists keep theirs."""
+    if isinstance(value, dict):
+        return {k: pruned(v) for k, v in value.items() if v is not None}
+    return [pruned(v) for v in value] if isinstance(value, list) else value
+
+
+def prune_nulls_text(value: str | None) -> str | None:
+    """JSON text without null entries at any depth; null for no JSON, and for a null."""
+    try:
+        found = pruned(json.loads(value)) if value is not None else None
+    except ValueError:
+        return None
+    return None if found is None else json.dumps(found, ensure_ascii=False, separators=(",", ":"))
 
 
 def canonical_json(value: str | None, *, drop: tuple[str, ...] = (), newline: bool = False) -> str | None:
@@ -124,6 +158,18 @@ def split_sentences(column: Column) -> Column:
     return _series(sentences, "array<string>")(column)
 
 
+def normalize_page_name(column: Column) -> Column:
+    return _series(page_name_form, "string")(column)
+
+
+def normalize_lookup(column: Column) -> Column:
+    return _series(lookup_name, "string")(column)
+
+
+def prune_nulls(column: Column) -> Column:
+    return _series(prune_nulls_text, "string")(column)
+
+
 def to_canonical_json(column: Column) -> Column:
     return _series(canonical_json, "string")(column)
 
@@ -133,6 +179,12 @@ def content_digest(column: Column) -> Column:
     return F.sha2(_series(functools.partial(canonical_json, drop=VOLATILE, newline=True), "string")(column), 256)
 
 
+def digest_is_declared(column: Column, path: str = "$.metadata.contentDigest") -> Column:
+    """Whether a document's declared digest is that of its content, with the name of the hash before it or without."""
+    declared = F.get_json_object(column, path)
+    return F.coalesce(F.regexp_replace(declared, "^sha256:", "") == content_digest(column), F.lit(False))
+
+
 # --- built-ins -----------------------------------------------------------------------------------
 
 
@@ -204,6 +256,34 @@ def page_name(url: Column, marker: str) -> Column:
     return F.when(at > 0, F.regexp_replace(F.substring(path, at + len(marker), F.length(path)), "^/+|/+$", "")).otherwise("")
 
 
+def page_url(base: str, name: Column) -> Column:
+    """The address of a page by its name: all but unreserved characters as escapes."""
+    return F.concat(F.lit(base), F.replace(F.replace(F.url_encode(name), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")))
+
+
+def page_name_candidates(name: Column) -> Column:
+    """Names under which an item may have its page: as it is, with the other plus sign, without spaces; each once."""
+    clean = collapse(name)
+    forms = F.array(clean, F.replace(clean, F.lit("+"), F.lit("＋")), F.replace(clean, F.lit("＋"), F.lit("+")), F.replace(clean, F.lit(" "), F.lit("")))
+    return F.filter(F.array_distinct(forms), lambda x: x != "")
+
+
+# The table of the asset codes' formula.
+_ASSET_CODES = (
+    6657, 5699, 3371, 8909, 7719, 6229, 5449, 8561, 2987, 5501, 3127, 9319, 4365, 9811, 9927, 2423, 3439, 1865, 5925, 4409,
+    5509, 1517, 9695, 9255, 5325, 3691, 5519, 6949, 5607, 9539, 4133, 7795, 5465, 2659, 6381, 6875, 4019, 9195, 5645, 2887,
+    1213, 1815, 8671, 3015, 3147, 2991, 7977, 7045, 1619, 7909, 4451, 6573, 4545, 8251, 5983, 2849, 7249, 7449, 9477, 5963,
+    2711, 9019, 7375, 2201, 5631, 4893, 7653, 3719, 8819, 5839, 1853, 9843, 9119, 7023, 5681, 2345, 9873, 6349, 9315, 3795,
+    9737, 4633, 4173, 7549, 7171, 6147, 4723, 5039, 2723, 7815, 6201, 5999, 5339, 4431, 2911, 4435, 3611, 4423, 9517, 3243,
+)
+
+
+def asset_code(item: Column, kind: str) -> Column:
+    """The four digits that a picture's address has beside an item's number, by the kind of picture."""
+    at = (F.lit(sum(map(ord, kind))) + item * len(kind)) % len(_ASSET_CODES)
+    return (F.lit(17) * (item + 7) * F.get(F.array(*map(F.lit, _ASSET_CODES)), at.cast("int")) % 8973 + 1000).cast("string")
+
+
 def cache_key(url: Column) -> Column:
     """Host and path of a URL as a file path: folders get ``index.html``, names without an ending ``.html``."""
     host, path = F.try_parse_url(url, F.lit("HOST")), F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))

@@ -33,15 +33,15 @@ def fact_key(*, route: Column | None = None) -> Column:
     return F.concat_ws("|", *parts, *([] if route is None else [part("route", route)]))
 
 
-def first_seen(value: Column, position: Column) -> Column:
-    """Distinct values of a group in the order of their first position, nulls left out."""
-    pairs = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(position.alias("p"), value.alias("v")))))
-    return F.array_distinct(F.transform(pairs, lambda x: x["v"]))
-
-
 def merge_facts(facts: DataFrame, *keys: str) -> DataFrame:
-    """One row for each identity (and further keys): days of any of its facts, routes in order of ``pos``."""
-    return facts.groupBy(*keys, *IDENTITY).agg(F.bit_or("mask").cast("int").alias("mask"), first_seen(F.col("route"), F.col("pos")).alias("routes"))
+    """One row for each identity (and further keys): days of any of its facts, routes in order of ``pos``, each once.
+
+    A route's first place is taken before routes meet, so a key holds each of its routes once, however many facts it has.
+    """
+    by = [*keys, *IDENTITY]
+    each = facts.groupBy(*by, "route").agg(F.bit_or("mask").alias("mask"), F.min("pos").alias("pos"))
+    places = F.array_sort(F.collect_list(F.when(F.col("route").isNotNull(), F.struct("pos", "route"))))
+    return each.groupBy(*by).agg(F.bit_or("mask").cast("int").alias("mask"), F.transform(places, lambda x: x["route"]).alias("routes"))
 
 
 def aggregate_facts(facts: DataFrame) -> DataFrame:
@@ -170,6 +170,15 @@ def preliminary_decision(facts: DataFrame) -> DataFrame:
 
 
 def route_variants(facts: DataFrame) -> DataFrame:
-    """Items with several routes, with what each is used for, in the order of ``pos``."""
-    grouped = facts.groupBy("item_id").agg(*(first_seen(F.col(c), F.col("pos")).alias(f"{c}s") for c in ("route", "assistant_id", "capability", "target_id")))
-    return grouped.where(F.size("routes") > 1)
+    """Items with several routes, with what each is used for, in the order of ``pos``, each value once."""
+    kinds = ("route", "assistant_id", "capability", "target_id")
+    values = F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in kinds))
+    each = facts.select("item_id", "pos", F.explode(values).alias("v")).where("v.value is not null")
+    # a value's first place, before an item's values meet
+    first = each.groupBy("item_id", "v.kind", "v.value").agg(F.min("pos").alias("pos"))
+
+    def ordered(kind: str) -> Column:
+        places = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("pos", "value"))))
+        return F.transform(places, lambda x: x["value"]).cast(f"array<{facts.schema[kind].dataType.simpleString()}>").alias(f"{kind}s")
+
+    return first.groupBy("item_id").agg(*map(ordered, kinds)).where(F.size("routes") > 1)

@@ -53,8 +53,10 @@ def list_views(rules: DataFrame) -> DataFrame:
     text = F.trim(F.coalesce("text", F.lit("")))
     entry = F.when(text != "", F.struct(order.alias("o"), F.col("seq"), text.alias("t")))
     exploded = enabled.withColumn("view", F.explode(views)).withColumn("entry", entry)
-    grouped = exploded.groupBy("view", "item_id").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-    return grouped.select("view", "item_id", F.array_distinct(F.transform("entries", lambda e: e["t"])).alias("texts"))
+    # a text's first place before the texts meet: a group holds each text once
+    first = exploded.groupBy("view", "item_id", "entry.t").agg(F.min("entry").alias("entry"))
+    grouped = first.groupBy("view", "item_id").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    return grouped.select("view", "item_id", F.transform("entries", lambda e: e["t"]).alias("texts"))
 
 
 def most_specific(rules: DataFrame) -> DataFrame:
@@ -107,6 +109,76 @@ def expand_routes(routes: DataFrame, special: DataFrame) -> DataFrame:
     return default.union(own)
 
 
+def recipe_routes(stages: DataFrame, alternatives: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(routes, stages of the routes, issues): a default route, and one for each group of assistants that has recipes of its own.
+
+    ``stages``: (route, stage, cost); ``alternatives``: (route, stage, condition, assistants, cost), the recipe that a
+    stage has for exactly these assistants; ``rules``: (route, assistant, mask), a null assistant standing for anyone.
+    A group's route has the default's stages but where it has its own; it is left out if none of its assistants has an
+    open day, and the default, which no assistant of a group takes, if no rule is left to it. An assistant in
+    two groups of a route is an issue.
+    """
+    groups = alternatives.where(F.size("assistants") > 0).select("route", "stage", "condition", F.array_distinct("assistants").alias("group"), "cost")
+    members = groups.select("route", "group", F.explode("group").alias("assistant")).distinct()
+    issues = members.groupBy("route", "assistant").agg(F.count("*").alias("groups")).where("groups > 1").select("route", "assistant", F.lit("overlapping-groups").alias("issue"))
+    special = members.groupBy("route").agg(F.sort_array(F.collect_set("assistant")).alias("excluded"))
+    left = rules.join(members.select("route", "assistant").distinct(), ["route", "assistant"], "left_anti").groupBy("route").agg(F.count("*").alias("_rules"))
+    whole = F.array().cast("array<long>")
+    default = stages.select("route").distinct().join(special, "route", "left").join(left, "route", "left")
+    default = default.where("excluded is null or _rules > 0").select("route", F.lit("default").alias("kind"), whole.alias("group"), F.coalesce("excluded", whole).alias("excluded"), F.lit("").alias("condition"))
+    # a rule for anyone opens its days to the assistants of groups too
+    mask = rules.groupBy("route", "assistant").agg(F.bit_or("mask").alias("mask"))
+    anyone = mask.where("assistant is null").select("route", F.col("mask").alias("_any"))
+    opened = members.join(mask.where("assistant is not null"), ["route", "assistant"], "left").join(anyone, "route", "left")
+    opened = opened.groupBy("route", "group").agg(F.max(F.coalesce("mask", "_any", F.lit(0))).alias("open")).where("open > 0").select("route", "group")
+    text = groups.groupBy("route", "group").agg(F.min_by("condition", "stage").alias("condition"))
+    own = opened.join(text, ["route", "group"]).select("route", F.lit("assistant-specific").alias("kind"), "group", whole.alias("excluded"), "condition")
+    routes = default.union(own)
+    replaced = groups.groupBy("route", "group", "stage").agg(F.max("cost").alias("_cost"))
+    planned = routes.select("route", "kind", "group").join(stages, "route").join(replaced, ["route", "group", "stage"], "left")
+    return routes, planned.select("route", "kind", "group", "stage", F.coalesce("_cost", "cost").alias("cost")), issues
+
+
+# The nested form of improvement records, as far as these operators look at it.
+RECORD = (
+    "id long, name string, effectSource struct<status:string>, levelExpectations array<struct<level:int,label:string,effects:array<struct<name:string,valueText:string,value:double,sourceRow:int,conditional:boolean>>>>, "
+    "improvementList array<struct<routeId:string,routeType:string,routeSourceText:string,"
+    "stageList:array<struct<targetWeapon:struct<id:long,name:string>,consumables:array<struct<type:int,id:long>>>>,"
+    "stepList:array<struct<fromLevel:int,fromLabel:string,action:string,available:boolean,effectExpectationLevel:int,industryResource:array<int>,sourceStageText:string,consumables:array<struct<type:int,id:long>>,"
+    "expectedResult:struct<kind:string,level:int,label:string,targetWeapon:struct<id:long,name:string>>>>>>"
+)
+
+
+def required_ids(records: DataFrame) -> DataFrame:
+    """(kind, id), distinct: items that records (``RECORD``) have, aim at or use up (type 0), and use-items that they use up (type 1)."""
+    stages = records.select("id", F.explode("improvementList").alias("r")).select(F.explode("r.stageList").alias("s"))
+    used = stages.select(F.explode("s.consumables").alias("c")).select(F.when(F.col("c.type") == 0, "equipment").when(F.col("c.type") == 1, "useitem").alias("kind"), F.col("c.id").alias("id"))
+    own = records.select(F.lit("equipment").alias("kind"), "id").union(stages.select(F.lit("equipment"), "s.targetWeapon.id"))
+    return own.union(used.where("kind is not null")).where("id > 0").distinct()
+
+
+def route_summaries(records: DataFrame) -> DataFrame:
+    """(id, routeId, routeType, routeSourceText) of the routes of records, each once."""
+    routes = records.select("id", F.explode("improvementList").alias("r"))
+    part = lambda name, otherwise: F.coalesce(F.nullif(f"r.{name}", F.lit("")), F.lit(otherwise)).alias(name)
+    return routes.select("id", part("routeId", ""), part("routeType", "default"), part("routeSourceText", "")).distinct()
+
+
+def candidate_links(methods: DataFrame, marker: str, generic: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Links (text, page, href) of methods (key, pos, links), each once in order, and the names (name, evidence) that they offer.
+
+    A link's text and its page are names, unless they are empty or generic.
+    """
+    from tessera.functions.text import page_name
+
+    each = methods.select("key", "pos", F.posexplode("links").alias("at", "link"))
+    each = each.select("key", F.struct("pos", "at").alias("place"), F.trim("link.text").alias("text"), F.trim("link.href").alias("href")).withColumn("page", page_name(F.col("href"), marker))
+    links = each.groupBy("key", "text", "page", "href").agg(F.min("place").alias("place"))
+    names = each.select("key", "place", F.explode(F.array(F.struct(F.col("text").alias("name"), F.lit("link-text").alias("evidence")), F.struct(F.col("page").alias("name"), F.lit("link-page").alias("evidence")))).alias("n")).select("key", "place", "n.*")
+    names = names.where((F.col("name") != "") & ~F.col("name").isin(*generic) if generic else F.col("name") != "")
+    return links, names.groupBy("key", "name", "evidence").agg(F.min("place").alias("place"))
+
+
 def group_slots(slots: DataFrame) -> DataFrame:
     """Slots (item_id, owner, method, slot, size) grouped twice: by item, a sorted array of its owners with their slots."""
     entries = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("size", F.lit(0)).alias("size"))))
@@ -150,9 +222,8 @@ def walk(documents: DataFrame, column: str, *, depth: int) -> DataFrame:
     level = documents.select(*(c for c in documents.columns if c != column), F.lit("$").alias("path"), F.try_parse_json(column).alias("node"))
     out = level
     for _ in range(depth):
-        level.createOrReplaceTempView("_walk_level")
         others = ", ".join(f"l.{c}" for c in level.columns if c not in ("path", "node"))
-        level = documents.sparkSession.sql(f"select {others + ',' if others else ''} concat(l.path, case when x.key is null then concat('[', x.pos, ']') else concat('.', x.key) end) as path, x.value as node from _walk_level l, lateral variant_explode(l.node) x")
+        level = documents.sparkSession.sql(f"select {others + ',' if others else ''} concat(l.path, case when x.key is null then concat('[', x.pos, ']') else concat('.', x.key) end) as path, x.value as node from {{level}} l, lateral variant_explode(l.node) x", level=level)
         out = out.union(level)
     return out.select(*(c for c in out.columns if c != "node"), F.schema_of_variant("node").alias("kind"), F.to_json("node").alias("value"))
 

@@ -20,15 +20,18 @@ def as_list(value: str) -> Column:
 
 
 def bonus_entries(documents: DataFrame, column: str) -> DataFrame:
-    """Entries (pos, entry) of bonus documents in any of their layouts: a list, ``data``, one entry, a map of entries or of lists."""
-    documents.select(F.try_parse_json(column).alias("d")).createOrReplaceTempView("_bonus_documents")
+    """Entries (pos, entry) of bonus documents in any of their layouts: a list, ``data``, one entry, a map of entries or of lists.
+
+    ``pos`` is the entry's place: of its document, in it, and in a list within.
+    """
+    parsed = documents.select(F.monotonically_increasing_id().alias("document"), F.try_parse_json(column).alias("d"))
     return documents.sparkSession.sql("""
-      with roots as (select coalesce(try_variant_get(d, '$.data', 'variant'), d) as r from _bonus_documents),
-      one as (select r as entry from roots where try_variant_get(r, '$.bonuses', 'variant') is not null or try_variant_get(r, '$.bonus', 'variant') is not null),
-      many as (select x.value as v from roots, lateral variant_explode(r) x where try_variant_get(r, '$.bonuses', 'variant') is null and try_variant_get(r, '$.bonus', 'variant') is null),
-      lists as (select y.value as entry from many, lateral variant_explode(v) y where schema_of_variant(v) like 'ARRAY%'),
-      singles as (select v as entry from many where schema_of_variant(v) like 'OBJECT%')
-      select row_number() over (order by to_json(entry)) as pos, entry from (select * from one union all select * from lists union all select * from singles)""")
+      with roots as (select document, coalesce(try_variant_get(d, '$.data', 'variant'), d) as r from {parsed}),
+      marked as (select *, try_variant_get(r, '$.bonuses', 'variant') is not null or try_variant_get(r, '$.bonus', 'variant') is not null as single from roots),
+      many as (select document, x.pos as p, x.value as v from marked, lateral variant_explode(r) x where not single)
+      select struct(document, 0 as p, 0 as q) as pos, r as entry from marked where single
+      union all select struct(document, p, y.pos as q), y.value from many, lateral variant_explode(v) y where schema_of_variant(v) like 'ARRAY%'
+      union all select struct(document, p, 0 as q), v from many where schema_of_variant(v) like 'OBJECT%'""", parsed=parsed)
 
 
 def bonus_rules(entries: DataFrame) -> DataFrame:
@@ -36,12 +39,11 @@ def bonus_rules(entries: DataFrame) -> DataFrame:
 
     ``bonus`` has the known stats renamed, ``unknown`` what is left over.
     """
-    entries.createOrReplaceTempView("_bonus_entries")
     rules = entries.sparkSession.sql(f"""
       select b.pos as pos, coalesce(try_variant_get(entry, '$.ids', 'variant'), try_variant_get(entry, '$.id', 'variant')) as ids,
         coalesce(try_variant_get(entry, '$.types', 'variant'), try_variant_get(entry, '$.type', 'variant')) as types, r.pos as rule_pos,
         coalesce(try_variant_get(r.value, '$.bonus', 'map<string,double>'), map()) as stats, try_variant_get(r.value, '$', 'map<string,variant>') as all_keys
-      from (select *, coalesce(try_variant_get(entry, '$.bonuses', 'array<variant>'), array(entry)) as list from _bonus_entries) b, lateral posexplode(list) as r(pos, value)""")
+      from (select *, coalesce(try_variant_get(entry, '$.bonuses', 'array<variant>'), array(entry)) as list from {{entries}}) b, lateral posexplode(list) as r(pos, value)""", entries=entries)
     bonus, unknown = nested.rename_keys(F.col("stats"), STATS)
     conditions = F.transform_values(F.map_filter("all_keys", lambda k, v: k.isin(*CONDITIONS) | k.startswith("requires")), lambda k, v: F.to_json(v))
     shaped = rules.select("pos", "rule_pos", as_list("ids").alias("ids"), as_list("types").alias("types"), bonus.alias("bonus"), unknown.alias("unknown"), conditions.alias("conditions"))
@@ -51,12 +53,11 @@ def bonus_rules(entries: DataFrame) -> DataFrame:
 def owner_nodes(documents: DataFrame, column: str, *, depth: int = 4) -> DataFrame:
     """Slots (owner_ref, remodel_from, slot, item_ref, size) of all nodes of nested JSON that have an ``_equipment`` list."""
     nodes = nested.walk(documents, column, depth=depth).where("kind like 'OBJECT%'").select("path", F.parse_json("value").alias("v"))
-    nodes.createOrReplaceTempView("_owner_nodes")
     return documents.sparkSession.sql("""
       select coalesce(try_variant_get(v, '$._api_id', 'string'), try_variant_get(v, '$._japanese_name', 'string')) as owner_ref, try_variant_get(v, '$._remodel_from', 'string') as remodel_from,
         e.pos as slot, try_variant_get(e.value, '$.equipment', 'string') as item_ref, coalesce(try_variant_get(e.value, '$.size', 'int'), 0) as size
-      from _owner_nodes, lateral variant_explode(try_variant_get(v, '$._equipment', 'variant')) e
-      where coalesce(try_variant_get(v, '$._api_id', 'string'), try_variant_get(v, '$._japanese_name', 'string')) is not null""")
+      from {nodes}, lateral variant_explode(try_variant_get(v, '$._equipment', 'variant')) e
+      where coalesce(try_variant_get(v, '$._api_id', 'string'), try_variant_get(v, '$._japanese_name', 'string')) is not null""", nodes=nodes)
 
 
 def owned_items(slots: DataFrame, owners: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -101,6 +102,49 @@ def facts_of_routes(routes: DataFrame, source: str) -> DataFrame:
     return improve.select(columns).union(upgrade.select(columns))
 
 
+def alias_table(entries: DataFrame, *, source: str, mode: str) -> DataFrame:
+    """(alias, target) of accepted entries (alias, target, source, modes, status) for one source, or for all, and one mode of use."""
+    fits = (F.col("status") == "accepted") & (F.col("source").isin(source, "*")) & F.array_contains("modes", mode)
+    return entries.where(fits).select("alias", "target").distinct()
+
+
+def ambiguous_names(rules: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(names, issues) of rules (base, kind, name, id) for names that several entries of a catalog share.
+
+    ``kind`` is ``explicit`` (a text that means one of them), ``link`` (a page that does) or ``display`` (how one is
+    shown). Ids that the catalog lacks are left out; an id whose name is not the base is an issue. ``names`` has
+    (kind, name, id, shown).
+    """
+    known = catalog.select("id", F.col("name").alias("official"))
+    shown = rules.where("kind = 'display'").groupBy("id").agg(F.min("name").alias("shown"))
+    joined = rules.join(known, "id")
+    issues = joined.where("official <> base").select("base", "id", F.lit("rule-conflicts-with-catalog").alias("issue")).distinct()
+    names = joined.where("kind <> 'display' and official = base").join(shown, "id", "left")
+    return names.select("kind", "name", "id", F.coalesce("shown", "official").alias("shown")).distinct(), issues
+
+
+def quest_catalog(documents: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(quests, issues) of documents that are one object by quest number: (key, code, name); keys that are no positive number are issues."""
+    parsed = documents.select(F.try_parse_json(column).alias("d"))
+    each = documents.sparkSession.sql("select x.key as raw, schema_of_variant(x.value) as kind, try_variant_get(x.value, '$.code', 'string') as code, try_variant_get(x.value, '$.name', 'string') as name from {parsed}, lateral variant_explode(d) x", parsed=parsed)
+    sound = F.col("raw").rlike(r"^\d+$") & (F.col("raw").try_cast("long") > 0) & F.col("kind").startswith("OBJECT")
+    quests = each.where(sound).select(F.col("raw").cast("long").alias("key"), F.nullif(F.trim("code"), F.lit("")).alias("code"), F.nullif(F.trim("name"), F.lit("")).alias("name"))
+    return quests, each.where(~sound | F.col("raw").isNull()).select(F.col("raw").alias("ref"), F.lit("bad-quest-key").alias("issue"))
+
+
+def resolve_quests(refs: DataFrame, quests: DataFrame) -> DataFrame:
+    """Refs (ref, by) with (key, state, candidates): ``by`` name, exactly but for width and blanks, or by code in any case."""
+    from tessera.functions.text import normalize_exact
+
+    names = quests.where("name is not null").select(F.lit("name").alias("by"), normalize_exact(F.col("name")).alias("_form"), "key")
+    codes = quests.where("code is not null").select(F.lit("code"), F.lower("code"), "key")
+    known = names.union(codes).groupBy("by", "_form").agg(F.sort_array(F.collect_set("key")).alias("candidates"))
+    asked = refs.withColumn("_form", F.when(F.col("by") == "code", F.lower("ref")).otherwise(normalize_exact(F.col("ref"))))
+    joined = asked.join(known, ["by", "_form"], "left")
+    state = F.when(F.col("candidates").isNull(), "unresolved").when(F.size("candidates") == 1, "resolved").otherwise("ambiguous")
+    return joined.select(*refs.columns, F.when(state == "resolved", F.col("candidates")[0]).alias("key"), state.alias("state"), F.coalesce("candidates", F.array().cast("array<long>")).alias("candidates"))
+
+
 def reference_aliases(owners: DataFrame) -> DataFrame:
     """(alias, id) of owners (id, path, name, suffix): path, slash, suffix forms, each once."""
     forms = F.array(F.col("name"), F.concat_ws("/", "path", "name"), F.concat_ws(" ", "name", "suffix"), F.concat("name", F.coalesce("suffix", F.lit(""))))

@@ -6,13 +6,17 @@ which broadcasts what is below its threshold.
 
 from __future__ import annotations
 
+import bisect
 import re
+import tempfile
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LATER = 1_000_000_000
+
 
 def last_of_name(catalog: DataFrame, name: str = "name") -> DataFrame:
     """Of rows of one name the last, by ``pos``."""
@@ -89,26 +93,34 @@ def cross_check_links(links: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def _scan(aliases: list[tuple[str, int]]):
-    """Greedy search: longest alias first, occurrences inside an accepted span don't count."""
-    ordered = sorted(aliases, key=lambda a: (-len(a[0]), a[0], a[1]))
+    """Greedy search: longest alias first, occurrences that touch an accepted one don't count. One automaton finds them all."""
+    import ahocorasick
+
     numbers: dict[str, list[int]] = {}
-    for alias, number in ordered:
+    for alias, number in sorted(set(aliases), key=lambda a: (a[0], a[1])):
         numbers.setdefault(alias, []).append(number)
-    pattern = re.compile("|".join(map(re.escape, numbers))) if numbers else None
+    automaton = ahocorasick.Automaton()
+    for alias in numbers:
+        automaton.add_word(alias, alias)
+    if numbers:
+        automaton.make_automaton()
 
     def scan(text: str | None) -> list[int]:
-        if not text or pattern is None or not pattern.search(text):
+        if not text or not numbers:
             return []
-        taken, out = [False] * len(text), []
-        for alias, found in numbers.items():
-            at = text.find(alias)
-            while at >= 0:
-                stop = at + len(alias)
-                if not any(taken[at:stop]):
-                    taken[at:stop] = [True] * len(alias)
-                    out += [n for n in found if n not in out]
-                at = text.find(alias, at + 1)
-        return out
+        found = sorted(((stop + 1 - len(alias), stop + 1, alias) for stop, alias in automaton.iter(text)), key=lambda f: (f[0] - f[1], f[2], f[0]))
+        # the accepted stretches never overlap: for each place, whether one lies there, in the order of their begins
+        starts: list[int] = []
+        stops: list[int] = []
+        out: dict[int, None] = {}
+        for start, stop, alias in found:
+            at = bisect.bisect_left(starts, start)
+            if (at and stops[at - 1] > start) or (at < len(starts) and starts[at] < stop):
+                continue
+            starts.insert(at, start)
+            stops.insert(at, stop)
+            out |= dict.fromkeys(numbers[alias])
+        return list(out)
 
     return scan
 
@@ -121,25 +133,29 @@ def _scanner(scan: Callable):
     return apply
 
 
-def scan_aliases(texts: DataFrame, column: str, aliases: DataFrame, *, most: int = 50_000) -> DataFrame:
+def scan_aliases(texts: DataFrame, column: str, aliases: DataFrame, *, most: int = 200_000_000) -> DataFrame:
     """``found``: ids of the aliases (alias, id) contained in a text, longest first.
 
-    The aliases go into one automaton for each worker; beyond ``most`` of them they are searched in parts, whose
-    acceptance is by part.
+    The aliases are a catalog: all of them make up one automaton in each worker, so acceptance does not depend on their
+    number. Catalogs of over ``most`` characters stop.
     """
-    usable = aliases.where("alias <> ''").distinct()
-    parts = -(-usable.count() // most) or 1
-    found = []
-    for k in range(parts):
-        part = usable if parts == 1 else usable.where(F.pmod(F.xxhash64("alias"), F.lit(parts)) == k)
-        scan = _scan([(r["alias"], r["id"]) for r in part.select("alias", "id").collect()])
-
-        found.append(_scanner(scan)(F.col(column)))
-    return texts.withColumn("found", F.array_distinct(F.concat(*found)) if len(found) > 1 else found[0])
+    usable = aliases.where("alias <> ''").select("alias", "id").distinct()
+    size = usable.agg(F.sum(F.length("alias"))).first()[0] or 0
+    if size > most:
+        raise ValueError(f"the catalog of aliases has {size} characters, over {most}")
+    scan = _scan([(r["alias"], r["id"]) for r in usable.collect()])
+    return texts.withColumn("found", _scanner(scan)(F.col(column)))
 
 
 def _cut_lineage(df: DataFrame) -> DataFrame:
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
+    """The table checkpointed in the shared folder of the session; a folder of its own where it has none."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        context.setCheckpointDir(shared or f"file://{tempfile.mkdtemp(prefix='tessera-')}")
+    return df.checkpoint()
 
 
 def forward_closure(edges: DataFrame) -> DataFrame:
@@ -161,6 +177,46 @@ def forward_closure(edges: DataFrame) -> DataFrame:
     return walks.select("root", F.posexplode("path").alias("distance", "node"))
 
 
+def cycles(edges: DataFrame) -> DataFrame:
+    """(node, members): the nodes of successor cycles (node, next, rank), with the cycle's members by (rank, node).
+
+    A node is in a cycle if its own walk comes back to it.
+    """
+    walks = forward_closure(edges)
+    last = walks.groupBy("root").agg(F.max_by("node", "distance").alias("last"), F.collect_set("node").alias("members"))
+    step = edges.where("next is not null").select(F.col("node").alias("last"), F.col("next").alias("_back"))
+    inside = last.join(step, "last").where("_back = root").select(F.col("root").alias("node"), F.explode("members").alias("member"))
+    ranks = edges.groupBy(F.col("node").alias("member")).agg(F.min("rank").alias("rank"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("rank", F.lit(LATER)).alias("rank"), "member")))
+    return inside.join(ranks, "member", "left").groupBy("node").agg(F.transform(ordered, lambda x: x["member"]).alias("members"))
+
+
+def ordered_closure(edges: DataFrame) -> DataFrame:
+    """(root, node, distance): successors up to the first node of a cycle, then the cycle's members from that node on in the cycle's order."""
+    walks, rings = forward_closure(edges), cycles(edges)
+    known = walks.join(rings, "node", "left")
+    entry = known.where("members is not null").groupBy("root").agg(F.min("distance").alias("entry"), F.min_by("node", "distance").alias("at"), F.min_by("members", "distance").alias("ring"))
+    joined = walks.join(entry, "root", "left")
+    before = joined.where("entry is null or distance < entry").select("root", "node", "distance")
+    tail = F.slice("ring", F.array_position("ring", F.col("at")).cast("int"), F.size("ring"))
+    after = entry.select("root", "entry", F.posexplode(tail).alias("k", "node")).select("root", "node", (F.col("entry") + F.col("k")).alias("distance"))
+    return before.union(after)
+
+
+def family_chain(edges: DataFrame) -> DataFrame:
+    """(root, node, place): a linear family, predecessors before the root at negative places, successors after it.
+
+    Of several predecessors the smallest is taken; a cycle is gone through once.
+    """
+    after = forward_closure(edges)
+    back = edges.where("next is not null").groupBy(F.col("next").alias("node")).agg(F.min("node").alias("next"))
+    nodes = edges.select("node").distinct()
+    back = nodes.join(back, "node", "left").select("node", "next", F.lit(0).alias("rank"))
+    before = forward_closure(back).where("distance > 0")
+    ahead = after.join(before.select("root", "node"), ["root", "node"], "left_anti")
+    return before.select("root", "node", (-F.col("distance")).alias("place")).union(ahead.select("root", "node", F.col("distance").alias("place")))
+
+
 def families(edges: DataFrame) -> DataFrame:
     """(node, family): the smallest node that undirected edges (node, next) connect with it."""
     both = edges.where("next is not null").select("node", "next").union(edges.where("next is not null").select(F.col("next").alias("node"), F.col("node").alias("next")))
@@ -184,6 +240,53 @@ def choose(candidates: DataFrame, key: list[str], *order: Column) -> DataFrame:
     return ranked.groupBy(*key).agg(F.when(F.count("*") == 1, F.min("id")).alias("id"), F.count("*").alias("candidates"))
 
 
+def choose_exact(wanted: DataFrame, catalog: DataFrame, normalize: Callable[[Column], Column]) -> DataFrame:
+    """(.., id) of wanted (name, image, fallback) by normalized name: the only match, else the image's, the fallback, the least (rank, id).
+
+    ``catalog``: (name, id, rank).
+    """
+    known = catalog.select(normalize(F.col("name")).alias("_form"), "id", F.coalesce("rank", F.lit(LATER)).alias("rank"))
+    known = known.groupBy("_form").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("_found"))
+    joined = wanted.withColumn("_form", normalize(F.col("name"))).join(known, "_form", "left")
+    ids = F.transform("_found", lambda x: x["id"])
+    anchor = lambda c: F.when(F.array_contains(ids, F.col(c)), F.col(c))
+    return joined.select(*wanted.columns, F.coalesce(F.when(F.size("_found") == 1, ids[0]), anchor("image"), anchor("fallback"), F.get(ids, F.lit(0))).alias("id"))
+
+
+def resolve_fragments(wanted: DataFrame, catalog: DataFrame, family: DataFrame, normalize: Callable[[Column], Column]) -> DataFrame:
+    """(fragment, anchor, id, state): a part of a name, beside an anchor of which the family (node, family) is known.
+
+    In this order: the fragment as a whole name; the family's shortest name with it, and the anchor's, if that is
+    one of the family; the best scored name of the family. No score is ``unresolved``, a tie ``ambiguous``.
+    """
+    names = catalog.join(family.select(F.col("node").alias("id"), "family"), "id").select("id", "family", normalize(F.col("name")).alias("form"))
+    root = names.groupBy("family").agg(F.min(F.struct(F.length("form").alias("n"), "id", "form")).alias("_r")).select("family", F.col("_r.form").alias("root_form"))
+    asked = wanted.select("fragment", "anchor").distinct()
+    own = names.select(F.col("id").alias("anchor"), F.col("form").alias("anchor_form"), "family").join(root, "family")
+    asked = asked.join(own, "anchor").withColumn("part", normalize(F.col("fragment")))
+    # a whole name: the anchor itself where it has it, else the least id
+    same = asked.join(names.select(F.col("form").alias("part"), F.col("id").alias("hit")), "part").groupBy("fragment", "anchor").agg(F.coalesce(F.max(F.when(F.col("hit") == F.col("anchor"), F.col("hit"))), F.min("hit")).alias("exact"))
+    inside = asked.join(names.withColumnRenamed("id", "hit"), "family")
+    made = [F.min(F.when(F.col("form") == F.concat(c, "part"), F.col("hit"))).alias(n) for c, n in (("root_form", "by_root"), ("anchor_form", "by_anchor"))]
+    score = fragment_score(F.col("form"), F.col("part"), F.col("anchor_form"))
+    scored = inside.withColumn("score", score)
+    best = scored.groupBy("fragment", "anchor").agg(*made, F.max("score").alias("top"))
+    ties = scored.join(best.select("fragment", "anchor", "top"), ["fragment", "anchor"]).where("score = top").groupBy("fragment", "anchor").agg(F.count_distinct("hit").alias("ties"), F.min("hit").alias("by_score"))
+    out = best.join(same, ["fragment", "anchor"], "left").join(ties, ["fragment", "anchor"], "left")
+    sure = F.coalesce("exact", "by_root", "by_anchor")
+    state = F.when(sure.isNotNull() | (F.col("ties") == 1), "resolved").when(F.col("ties") > 1, "ambiguous").otherwise("unresolved")
+    return out.select("fragment", "anchor", F.when(state == "resolved", F.coalesce(sure, "by_score")).alias("id"), state.alias("state"))
+
+
+def find_entries(catalog: DataFrame, *, contains: str | None = None, slot: int | None = None, value: int | None = None, where: Column | None = None) -> DataFrame:
+    """Entries of a catalog whose name contains a text, whose ``types`` have a value in a slot, or that satisfy any predicate."""
+    if contains is not None:
+        catalog = catalog.where(F.col("name").contains(contains))
+    if slot is not None:
+        catalog = catalog.where(F.get("types", F.lit(slot)) == value)
+    return catalog if where is None else catalog.where(where)
+
+
 def fragment_score(name: Column, fragment: Column, anchor: Column) -> Column:
     """80 for a name that ends in the fragment, 60 for one that contains it, and a point for each letter shared with the anchor's beginning."""
     base = F.when(name.endswith(fragment), 80).when(name.contains(fragment), 60)
@@ -192,34 +295,34 @@ def fragment_score(name: Column, fragment: Column, anchor: Column) -> Column:
     return base + common
 
 
-_SELECTOR = re.compile(r"(?P<main>[^()（）]*)(?:[(（](?P<inside>[^()（）]*)[)）])?")
-# The suffixes of the selector grammar.
-ONLY, NOT, ALLOWED, ONWARDS = "のみ", "不可", "可", "～"
+# The suffixes of the selector grammar, and what separates names in it.
+ONLY, NOT, ALLOWED, ONWARDS = "のみ", "不可", "可", ("～", "~")
+_SEPARATORS, _INSIDE_SEPARATORS = r"[/・\n]", r"[/,，・]"
+_MODIFIED = re.compile(r"(?P<names>.*)[(（](?P<inside>[^()（）]*)[)）]", re.DOTALL)
 
 
 def parse_selector(text: str | None) -> list[dict]:
-    """A selector's parts: names, whether only these, and what is excluded (``closure``: with all successors)."""
-    out = []
-    for part in re.split(r"[/・\n]", str(text or "")):
-        found = _SELECTOR.match(part.strip())
-        if not found or not found["main"].strip():
-            continue
-        inside = (found["inside"] or "").strip()
-        row = {"name": found["main"].strip(), "mode": "closure", "exclude": None, "exclude_closure": False}
-        if row["name"].endswith(ONLY) or inside == ONLY:
-            row |= {"name": row["name"].removesuffix(ONLY), "mode": "only"}
-        elif inside.endswith(NOT):
-            name = inside.removesuffix(NOT)
-            row |= {"exclude": name.rstrip(ONWARDS), "exclude_closure": name.endswith(ONWARDS)}
-        elif inside and not inside.endswith(ALLOWED):
-            row["name"] = part.strip()
-        out.append(row)
-    return out
+    """A selector's parts: names, whether only the first is meant, and the names that are excluded (``closure``: with all successors).
+
+    A modifier in parentheses at the end speaks of all names before it; names may have parentheses of their own.
+    """
+    names, inside = str(text or "").strip(), ""
+    found = _MODIFIED.fullmatch(names)
+    if found and found["inside"].strip().endswith((ONLY, NOT, ALLOWED)):
+        names, inside = found["names"], found["inside"].strip()
+    elif names.endswith(ONLY):
+        names, inside = names.removesuffix(ONLY), ONLY
+    parts = [x for x in (p.strip() for p in re.split(_SEPARATORS, names)) if x and x != "-"]
+    body = inside.removesuffix(NOT).strip() if inside.endswith(NOT) else ""
+    onwards = body.endswith(ONWARDS)
+    banned = [x for x in (p.strip() for p in re.split(_INSIDE_SEPARATORS, body[:-1] if onwards else body)) if x]
+    row = {"mode": "only" if inside.endswith(ONLY) else "closure", "exclude": banned, "exclude_closure": onwards}
+    return [{"name": p, **row} for p in (parts[:1] if row["mode"] == "only" else parts)]
 
 
 def selectors(rules: DataFrame, column: str) -> DataFrame:
     """Rules with a row for each part of their selector."""
-    kind = "array<struct<name:string,mode:string,exclude:string,exclude_closure:boolean>>"
+    kind = "array<struct<name:string,mode:string,exclude:array<string>,exclude_closure:boolean>>"
 
     @F.pandas_udf(kind)
     def parse(values: pd.Series) -> pd.Series:
@@ -231,9 +334,10 @@ def selectors(rules: DataFrame, column: str) -> DataFrame:
 def select_ids(parts: DataFrame, catalog: DataFrame, closure: DataFrame) -> DataFrame:
     """(rule, id, distance) of selector parts: named ids, their successors unless only they are meant, less the excluded ones."""
     ids = catalog.select(F.col("name"), F.col("id"))
-    named = parts.join(ids, "name").select("rule", "mode", "id", "exclude", "exclude_closure")
+    named = parts.join(ids, "name").select("rule", "mode", "id")
     spread = named.join(closure, named["id"] == closure["root"]).where("mode = 'closure' or distance = 0")
-    banned = parts.where("exclude is not null").join(ids.withColumnRenamed("name", "exclude"), "exclude").select("rule", "id", "exclude_closure")
+    banned = parts.select("rule", F.explode("exclude").alias("exclude"), "exclude_closure").distinct()
+    banned = banned.join(ids.withColumnRenamed("name", "exclude"), "exclude").select("rule", "id", "exclude_closure")
     banned = banned.join(closure, banned["id"] == closure["root"]).where("exclude_closure or distance = 0").select("rule", "node").distinct()
     kept = spread.select("rule", F.col("node"), "distance").join(banned, ["rule", "node"], "left_anti")
     return kept.groupBy("rule", F.col("node").alias("id")).agg(F.min("distance").alias("distance"))

@@ -12,27 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.gates import GateError, file_manifest, fold_digest, verify_manifest
-from tessera.sources.io import exists
+from tessera.sources.io import exists, replace_file
 
 MANIFEST, LOCK, STOP = "manifest.json", "ready.lock", "stop.json"
 _FILES = "path string, bytes long, sha256 string"
 
 
-def _path(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def write_document(spark: SparkSession, path: str, value) -> None:
-    """A JSON document, written beside its place and renamed into it."""
-    target, store = _path(spark, path)
-    part, _ = _path(spark, path + ".part")
-    out = store.create(part, True)
-    out.write(bytearray((json.dumps(value, sort_keys=True, ensure_ascii=False, indent=1) + "\n").encode()))
-    out.close()
-    store.delete(target, False)
-    if not store.rename(part, target):
-        raise GateError("a document could not be put in place", "check the folder", [{"path": path}])
+    """A JSON document, put in its place in one step."""
+    replace_file(spark, path, (json.dumps(value, sort_keys=True, ensure_ascii=False, indent=1) + "\n").encode())
 
 
 def read_document(spark: SparkSession, path: str):

@@ -264,11 +264,12 @@ def specific_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _day_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
-    return read(spark, sf_dir, "events").where("dayofweek(ts) in (1, 3, 4) or user_id % 3 = 0").select(F.col("user_id").alias("route"), F.when(k % 6 > 1, (k % 6).cast("long")).alias("assistant"), F.lit(0).alias("distance"), F.expr("cast(shiftleft(1, dayofweek(ts) - 1) as int)").alias("mask"))
+    day = F.expr("case when dayofweek(ts) in (1, 3, 4) or user_id % 3 = 0 then cast(shiftleft(1, dayofweek(ts) - 1) as int) else 0 end")
+    return read(spark, sf_dir, "events").select(F.col("user_id").alias("route"), F.when(k % 6 > 1, (k % 6).cast("long")).alias("assistant"), F.lit(0).alias("distance"), day.alias("mask"))
 
 
 @query("""with r as (select user_id as route, case when k % 6 > 1 then k % 6 end as a, dayofweek(ts) + 1 as d from (select *, cast(json_extract_string(props, '$.k') as int) as k from events) where dayofweek(ts) in (0, 2, 3) or user_id % 3 = 0),
-  v as (select *, d as view from r union all select *, 0 as view from r), u as (select route, range as view from (select distinct route from r), range(8))
+  v as (select *, d as view from r union all select *, 0 as view from r), u as (select route, range as view from (select distinct user_id as route from events), range(8))
   select u.route, cast(u.view as int) as view, case when count(v.route) = 0 then null else coalesce(string_agg(distinct a, ',' order by a), '') end as ids from u left join v on u.route = v.route and u.view = v.view group by all""")
 def three_state_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Not available, available to anyone, or to whom, for each day and all days."""
@@ -372,12 +373,12 @@ def int_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins and resolution ------------------------------------------------------------------------
 
 
-@query("""with l as (select l_partkey, count(*) as n, max(l_suppkey) as top from lineitem where l_quantity > 45 group by 1), o as (select l_partkey, count(distinct o_custkey) as customers from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'P' group by 1)
+@query("""with l as (select l_partkey, nullif(count(*) filter (l_quantity > 45), 0) as n from lineitem group by 1), o as (select l_partkey, count(distinct o_custkey) as customers from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'P' group by 1)
   select p_partkey, coalesce(n, 0) as lines, coalesce(customers, 0) as customers, case when n is null and customers is null then 'neither' when n is null then 'orders-only' when customers is null then 'lines-only' when n = customers then 'matched' else 'conflict' end as state from part left join l on l.l_partkey = p_partkey left join o on o.l_partkey = p_partkey""")
 def left_spine_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with two indexes that need not have them, and how these agree."""
     lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
-    n = lines.where("l_quantity > 45").groupBy("l_partkey").agg(F.count("*").alias("n"))
+    n = lines.groupBy("l_partkey").agg(F.nullif(F.count_if(F.col("l_quantity") > 45), F.lit(0)).alias("n"))
     bought = lines.join(orders.where("o_orderstatus = 'P'"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("l_partkey").alias("k")).agg(F.count_distinct("o_custkey").alias("c"))
     spine = read(spark, sf_dir, "part").select("p_partkey").join(n, F.col("p_partkey") == F.col("l_partkey"), "left").join(bought, F.col("p_partkey") == F.col("k"), "left")
     state = F.when(F.col("n").isNull() & F.col("c").isNull(), "neither").when(F.col("n").isNull(), "orders-only").when(F.col("c").isNull(), "lines-only").when(F.col("n") == F.col("c"), "matched").otherwise("conflict")
@@ -393,18 +394,10 @@ def unique_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.unique_name(wanted, catalog)
 
 
-@query("""with s as (select s_name as name, min(s_suppkey) as id from supplier where s_suppkey % 2 = 0 group by 1), c as (select replace(c_name, 'Customer', 'Supplier') as name, min(c_custkey) as id from customer where c_custkey % 3 > 0 group by 1),
-  w as (select distinct s_name as name from supplier union select distinct replace(c_name, 'Customer', 'Supplier') from customer where c_custkey <= 200)
-  select w.name, coalesce(s.id, c.id) as id, case when s.id is not null then 'supplier' when c.id is not null then 'customer' end as kind from w left join s using (name) left join c using (name)""")
-def ordered_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A name by the first of two catalogs that has it; for customers of small ids, as its SQL says."""
-    return _resolved(spark, sf_dir, read(spark, sf_dir, "customer").where("c_custkey <= 200"))
-
-
 @query("""with s as (select s_name as name, min(s_suppkey) as id from supplier where s_suppkey % 2 = 0 group by 1), c as (select replace(c_name, 'Customer', 'Supplier') as name, min(c_custkey) as id from customer where c_custkey % 3 > 0 group by 1),
   w as (select distinct s_name as name from supplier union select distinct replace(c_name, 'Customer', 'Supplier') from customer)
   select w.name, coalesce(s.id, c.id) as id, case when s.id is not null then 'supplier' when c.id is not null then 'customer' end as kind from w left join s using (name) left join c using (name)""")
-def ordered_resolution_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ordered_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The names of all suppliers and customers by the first of two catalogs that has them."""
     return _resolved(spark, sf_dir, read(spark, sf_dir, "customer"))
 
@@ -456,15 +449,8 @@ def link_cross_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.cross_check_links(links.union(spark.createDataFrame([("nothing", "nowhere")], "text string, page string")), names)
 
 
-@query("""select doc_id, string_agg(item_id, ',' order by item_id) as found from documents join (select item_id, substr(text, 1, 60) as alias from benchmark where length(text) >= 60) on contains(text, alias) group by 1""")
-def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark beginnings contained in documents (none of them in another); of longer items, as its SQL says."""
-    aliases = read(spark, sf_dir, "benchmark").where("length(text) >= 60").select(F.substring("text", 1, 60).alias("alias"), F.col("item_id").alias("id"))
-    return _contained(spark, sf_dir, aliases)
-
-
 @query()
-def containment_join_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all benchmark items contained in documents, the longest first; brute force in the tests."""
     lines = F.explode(F.split("text", "\n")).alias("alias")
     return _contained(spark, sf_dir, read(spark, sf_dir, "benchmark").select(lines, F.col("item_id").alias("id")))
@@ -522,11 +508,11 @@ def reference_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("""select o_custkey as key, 'left' as side from (select distinct o_custkey from orders) where o_custkey not in (select c_custkey from customer where c_nationkey < 12) union all select c_custkey, 'right' from customer where c_nationkey < 12 and c_custkey not in (select o_custkey from orders)""")
+@query("""with c as (select case when c_nationkey < 12 then c_custkey else -c_custkey end as k from customer) select o_custkey as key, 'left' as side from (select distinct o_custkey from orders) where o_custkey not in (select k from c) union all select k, 'right' from c where k not in (select o_custkey from orders)""")
 def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that one of two tables lacks."""
-    left = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"))
-    return gates.same_keys(left, read(spark, sf_dir, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("key")), "key")
+    """Keys of one side only; some of the customers' are altered."""
+    customers = read(spark, sf_dir, "customer").select(F.when(F.col("c_nationkey") < 12, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("key"))
+    return gates.same_keys(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key")), customers, "key")
 
 
 @query("""with p as (select p_partkey, p_name, p_size from part), q as (select p_partkey, p_name, case when p_partkey % 9 = 0 then p_size + 1 else p_size end as p_size from part where p_partkey % 13 > 0)
@@ -643,43 +629,6 @@ def route_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", text.route_id(F.col("p_brand"), ids, F.col("p_name")).alias("route"))
 
 
-@query()
-def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three forms of a name; NFKC is not in SQL."""
-    name = F.col("p_name")
-    return read(spark, sf_dir, "part").select("p_partkey", text.normalize_name(name).alias("narrow"), text.normalize_catalog_name(name).alias("catalog"), text.normalize_reference_name(name).alias("reference"), text.normalize_exact(name).alias("exact"))
-
-
-@query()
-def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences outside of brackets."""
-    return read(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.split_sentences(F.col("text"))).alias("pos", "sentence"))
-
-
-@query()
-def canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON with sorted keys, and its digest."""
-    return read(spark, sf_dir, "events").select("event_id", text.to_canonical_json(F.col("props")).alias("canonical"), text.content_digest(F.col("props")).alias("digest"))
-
-
-@query()
-def link_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of pages, absolute, each once."""
-    return read(spark, sf_dir, "pages").select("page_id", F.posexplode(html.page_links(F.col("html"), F.col("url"))).alias("pos", "link")).select("page_id", "pos", "link.text", "link.href")
-
-
-@query()
-def list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units of evidence with their context."""
-    return read(spark, sf_dir, "pages").select("page_id", F.explode(html.page_evidence(F.col("html"))).alias("e")).select("page_id", "e.pos", "e.kind", "e.context", "e.text", F.size("e.links").alias("links"))
-
-
-@query()
-def page_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H1, H2: tables of pages as grids (the test pages have none)."""
-    return read(spark, sf_dir, "pages").select("page_id", F.explode(html.table_grids(F.col("html"))).alias("r")).select("page_id", "r.table", "r.index", F.array_join("r.cells", "|").alias("cells"))
-
-
 # --- pages and documents made of the tables, read back -------------------------------------------
 
 
@@ -723,26 +672,9 @@ def recipe_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("p_partkey", "r.first", "r.last", joined("r.costs").alias("costs"), joined(F.transform("r.materials", lambda m: F.concat_ws(":", m["name"], m["count"].cast("string")))).alias("material"))
 
 
-@query("""select p_partkey, cast(p_partkey as bigint) as page_id, p_size % 3 = 0 as flag, case when p_size % 2 = 0 then 'development,quest' else 'development' end as current, case when p_size % 2 = 0 then '' else 'quest' end as historical, 'parsed' as coverage from part""")
-def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of item pages."""
-    flag = F.when(F.col("p_size") % 3 == 0, "開発可能").otherwise("開発不可")
-    page = F.concat(F.lit("<table><tr><th>No."), "p_partkey", F.lit("</th></tr><tr><th>備考</th><td>"), flag, F.lit("</td></tr></table><h2>入手方法</h2><ul><li>開発で。"), F.when(F.col("p_size") % 2 == 0, "任務で").otherwise("以前は任務で"), F.lit("</ul><h2>他</h2>"))
-    found = read(spark, sf_dir, "part").select("p_partkey", pages.page_records(page, F.col("p_partkey")).alias("r"))
-    return found.select("p_partkey", "r.page_id", "r.flag", joined("r.current").alias("current"), joined("r.historical").alias("historical"), "r.coverage")
-
-
-@query("""with s as (select l_orderkey as owner, 'p' || l_partkey as ref, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber, l_quantity) - 1 as slot from lineitem where l_orderkey % 4 = 0)
-  select l_partkey as item_id, string_agg(owner || ':' || slots, ',' order by owner) as sources from (select cast(substr(ref, 2) as bigint) as l_partkey, owner, string_agg(slot, '/' order by slot) as slots from s where owner % 8 = 0 group by all) group by 1""")
-def owned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Owners of items out of nested JSON, one document for each order; a part of the orders, as its SQL says."""
-    owners = read(spark, sf_dir, "orders").where("o_orderkey % 8 = 0")
-    return _owned(spark, sf_dir, read(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0"), owners, F.col("l_orderkey"))
-
-
 @query("""with s as (select l_orderkey as owner, l_partkey, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey, l_linenumber, l_quantity) - 1 as slot from lineitem)
   select l_partkey as item_id, string_agg(owner || ':' || slots, ',' order by owner) as sources from (select l_partkey, owner, string_agg(slot, '/' order by slot) as slots from s where owner % 8 <> 1 group by all) group by 1""")
-def owned_items_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def owned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owners of the items of all orders; the references of some are altered, so that no owner has them."""
     ref = F.when(F.col("l_orderkey") % 8 == 1, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
     return _owned(spark, sf_dir, read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders"), ref)
@@ -758,15 +690,16 @@ def _owned(spark: SparkSession, sf_dir: str, lines: DataFrame, owners: DataFrame
     return found.select("item_id", joined(F.transform("sources", as_text)).alias("sources"))
 
 
-@query("""select p_partkey as id, coalesce(o, '') as owners, coalesce(u, '') as upgrades, '' as quests, p_size % 2 = 0 as flag from part left join (select l_partkey, string_agg(distinct l_suppkey, ',' order by l_suppkey) as o from lineitem where l_quantity > 40 group by 1) on l_partkey = p_partkey
+@query("""select p_partkey as id, coalesce(o, '') as owners, coalesce(u, '') as upgrades, coalesce(q, '') as quests, p_size % 2 = 0 as flag from part left join (select l_partkey, string_agg(distinct l_suppkey, ',' order by l_suppkey) as o, string_agg(distinct l_linenumber, ',' order by l_linenumber) filter (l_linestatus = 'F') as q from lineitem group by 1) on l_partkey = p_partkey
   left join (select p_partkey + 7 as t, string_agg(p_partkey, ',' order by p_partkey) as u from part where p_size % 4 = 0 group by 1) on t = p_partkey where p_size % 9 > 0""")
 def item_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items with owners, upgrade origins and a flag that another source checks."""
-    part = read(spark, sf_dir, "part")
-    owners = read(spark, sf_dir, "lineitem").where("l_quantity > 40").select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("source"))
+    """Items with owners, upgrade origins, accepted quests and a flag that another source checks."""
+    part, lines = read(spark, sf_dir, "part"), read(spark, sf_dir, "lineitem")
+    owners = lines.select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("source"))
+    quests = lines.where("l_linestatus = 'F'").select(F.col("l_partkey").alias("id"), F.col("l_linenumber").cast("long").alias("source"))
     upgrades = part.where("p_size % 4 = 0").select((F.col("p_partkey") + 7).alias("id"), F.col("p_partkey").alias("source"))
     flags = part.where("p_size % 9 > 0").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 2 == 0).alias("flag"))
-    found, _ = records.item_sources(part.select(F.col("p_partkey").alias("id")), owners, upgrades, owners.limit(0), flags, flags)
+    found, _ = records.item_sources(part.select(F.col("p_partkey").alias("id")), owners, upgrades, quests, flags, flags)
     return found.select("id", joined("owners").alias("owners"), joined("upgrades").alias("upgrades"), joined("quests").alias("quests"), "flag")
 
 
@@ -781,10 +714,14 @@ def primary_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""with r as (select p_partkey as record, 'brand' as kind, p_brand as ref from part union all select p_partkey, 'nation', case when p_size % 2 = 0 then 'NATION_5' else 'NOWHERE' end from part)
-  select record, kind, ref, 'unresolved' as issue from r where ref = 'NOWHERE' union all select record, kind, ref, 'ambiguous' from r where kind = 'brand' and ref in (select p_brand from part where p_size > 25 group by 1 having count(*) > 1) union all select record, kind, ref, 'unresolved' from r where kind = 'brand' and ref not in (select p_brand from part where p_size > 25)""")
+  select record, kind, ref, 'unresolved' as issue from r where ref = 'NOWHERE' union all select record, kind, ref, 'ambiguous' from r where kind = 'brand' and ref in (select case when p_size > 25 then p_brand else p_brand || '-old' end from part group by 1 having count(*) > 1) union all select record, kind, ref, 'unresolved' from r where kind = 'brand' and ref not in (select case when p_size > 25 then p_brand else p_brand || '-old' end from part)""")
 def reference_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References that resolve to nothing or to several."""
     part = read(spark, sf_dir, "part")
     refs = part.select(F.col("p_partkey").alias("record"), F.lit("brand").alias("kind"), F.col("p_brand").alias("ref")).union(part.select("p_partkey", F.lit("nation"), F.when(F.col("p_size") % 2 == 0, "NATION_5").otherwise("NOWHERE")))
-    catalogs = {"brand": part.where("p_size > 25").select(F.col("p_brand").alias("ref"), F.col("p_partkey").alias("id")), "nation": read(spark, sf_dir, "nation").select(F.col("n_name").alias("ref"), F.col("n_nationkey").cast("long").alias("id"))}
+    brand = F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise(F.concat("p_brand", F.lit("-old")))
+    catalogs = {"brand": part.select(brand.alias("ref"), F.col("p_partkey").alias("id")), "nation": read(spark, sf_dir, "nation").select(F.col("n_name").alias("ref"), F.col("n_nationkey").cast("long").alias("id"))}
     return records.resolve_references(refs, catalogs)[1].select("record", "kind", "ref", "issue")
+
+
+from tessera.plans import dataset_queries  # noqa: E402, F401  (registers its queries)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.gates import GateError, require_empty
+
 CAPTURE = "cache_key string, url string, etag string, last_modified string, fetched_at long, validated_at long, status_code int, fetch_status string, used_cache_fallback boolean, content_sha256 string, acquisition_source string, item_id long, item_name string"
 
 
@@ -15,18 +19,36 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str, *, strict: bool = False) -> DataFrame:
-    """JSON lines. Lenient: a missing file is empty, bad lines are left out; strict: both are errors."""
-    if not strict and not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path, mode="FAILFAST" if strict else "DROPMALFORMED")
+    """JSON lines. Lenient: a missing file is empty, bad lines are left out; strict: both are errors, which name file and line."""
+    if not strict:
+        return spark.read.schema(schema).json(path, mode="DROPMALFORMED") if exists(spark, path) else spark.createDataFrame([], schema)
+    if not exists(spark, path):
+        raise GateError("a file is missing", "restore it", [{"file": path}])
+    require_empty(bad_json_lines(spark, path).orderBy("file", "line"), "lines are no JSON objects", "mend these lines")
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
 def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text) of lines that are no JSON object. Lines are numbered in their file, which is read whole."""
-    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("pos", "text"))
-    parsed = F.try_parse_json("text")
-    bad = parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT")
-    return lines.where((F.trim("text") != "") & bad).select("file", (F.col("pos") + 1).alias("line"), "text")
+    """(file, line, text) of lines that are no JSON object. Only files that have one are read whole, to number their lines."""
+
+    def bad(text: str) -> Column:
+        parsed = F.try_parse_json(text)
+        return (F.trim(text) != "") & (parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"))
+
+    files = [r[0] for r in spark.read.text(path).where(bad("value")).select("_metadata.file_path").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], "file string, line int, text string")
+    whole = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("pos", "text"))
+    return whole.where(bad("text")).select("file", (F.col("pos") + 1).alias("line"), "text")
+
+
+def read_catalog(spark: SparkSession, path: str, schema: T.StructType | str, *, optional: bool = False) -> DataFrame:
+    """Rows of a JSON array file with their place; a missing file is an error unless it may be missing. Read anew at each call."""
+    if not exists(spark, path):
+        if not optional:
+            raise GateError("a catalog is missing", "restore it", [{"file": path}])
+        return spark.createDataFrame([], schema).withColumn("pos", F.lit(0).cast("long"))
+    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").withColumn("pos", F.monotonically_increasing_id())
 
 
 def read_json_document(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -38,8 +60,8 @@ def read_json_document(spark: SparkSession, path: str, schema: T.StructType | st
 
 def split_master(spark: SparkSession, path: str, out: str) -> list[str]:
     """One folder of JSON lines for each key of a document of arrays."""
-    spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v")).createOrReplaceTempView("_master")
-    rows = spark.sql("select k.key as key, to_json(e.value) as value from _master, lateral variant_explode(v) k, lateral variant_explode(k.value) e")
+    master = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
+    rows = spark.sql("select k.key as key, to_json(e.value) as value from {master}, lateral variant_explode(v) k, lateral variant_explode(k.value) e", master=master)
     rows.write.mode("overwrite").partitionBy("key").text(out)
     return sorted(r["key"] for r in rows.select("key").distinct().collect())
 
@@ -72,9 +94,103 @@ def resumable(records: DataFrame, now: int, max_age: int) -> DataFrame:
     return records.where((F.col("fetch_status") == "ok") & F.col("content_sha256").isNotNull() & (F.lit(now) - F.coalesce("validated_at", "fetched_at") <= max_age))
 
 
+def cache_decision(*, cached: Column, validated: Column, validated_at: Column, now: Column, ttl: int, cache_only: bool = False, force: bool = False) -> Column:
+    """What to do for an address: ``cache``, ``missing`` (only the cache may be used and lacks it), ``ask`` (a conditional request) or ``fetch``.
+
+    In this order: only the cache; validated in this run; not older than ``ttl``; else the network.
+    """
+    fresh = validated | (F.coalesce(now - validated_at, F.lit(ttl + 1)) <= ttl)
+    if cache_only:
+        return F.when(cached, "cache").otherwise("missing")
+    network = F.when(cached, "ask").otherwise("fetch")
+    return network if force else F.when(cached & fresh, "cache").otherwise(network)
+
+
+def cache_outcome(*, decision: Column, status: Column, cached: Column, strict: bool = False) -> Column:
+    """What became of it, by the status of the answer (null: none): ``cached``, ``revalidated``, ``updated``, ``fallback`` or ``failed``."""
+    answered = F.when((status == 304) & cached, "revalidated").when((status >= 200) & (status < 300), "updated")
+    lost = F.lit("failed") if strict else F.when(cached, "fallback").otherwise("failed")
+    return F.when(decision == "cache", "cached").when(decision == "missing", "failed").otherwise(F.coalesce(answered, lost))
+
+
+def retry_delay(attempt: Column, retry_after: Column, *, base: float = 1.0, cap: float = 8.0, jitter: Column | float = 0.0) -> Column:
+    """Seconds before the next attempt: what the answer asks for, else twice as long each time; at most ``cap``, plus the jitter."""
+    asked = retry_after.try_cast("double")
+    doubled = F.least(F.lit(base) * F.pow(F.lit(2.0), F.greatest(attempt - 1, F.lit(0))), F.lit(cap))
+    return F.when(asked.isNotNull(), F.least(asked, F.lit(cap))).otherwise(doubled + (F.lit(jitter) if isinstance(jitter, float) else jitter))
+
+
+def retries(status: Column, attempt: Column, *, most: int = 4) -> Column:
+    """Whether an answer is worth another attempt."""
+    return ((status == 429) | (status >= 500)) & (attempt < most)
+
+
+def master_state(*, age_hours: Column, local_version: Column, remote_version: Column, valid: Column, most_hours: float, force: bool = False) -> Column:
+    """What to do with the master data at hand: ``keep``, ``refresh``, ``keep-stale`` (the remote can't be asked) or ``stop``."""
+    current = valid & ~F.lit(force) & (age_hours <= most_hours)
+    same = valid & (local_version == remote_version)
+    return F.when(current, "keep").when(remote_version.isNull(), F.when(valid, "keep-stale").otherwise("stop")).when(F.coalesce(same, F.lit(False)) & ~F.lit(force), "keep").otherwise("refresh")
+
+
+def read_cache_index(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(newest metadata of each key, broken lines) of a metadata table kept as JSON lines, of which the later count; ``pos`` orders them."""
+    parsed = lines.withColumn("_m", F.from_json(column, CAPTURE))
+    sound = F.col("_m.cache_key").isNotNull()
+    newest = parsed.where(sound).groupBy(F.col("_m.cache_key").alias("_key")).agg(F.max_by("_m", "pos").alias("_m")).select("_m.*")
+    return newest, parsed.where(~sound | F.col("_m").isNull()).drop("_m")
+
+
 def write_json_lines(df: DataFrame, path: str, *, append: bool = False) -> None:
-    """Rows as JSON lines, nulls left out, in as many files as the table has partitions."""
-    df.write.mode("append" if append else "overwrite").json(path)
+    """Rows as JSON lines, nulls written as null, in as many files as the table has partitions."""
+    df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def append_json_list(spark: SparkSession, path: str, rows: list[dict]) -> int:
+    """Append a few objects to a document that is a list, made where it is missing, and replace it as a whole; its new length."""
+    found = []
+    if exists(spark, path):
+        found = json.loads(spark.read.text(path, wholetext=True).first()[0])
+        if not isinstance(found, list):
+            raise GateError("a document is no list", "write it anew", [{"file": path}])
+    replace_file(spark, path, (json.dumps([*found, *rows], ensure_ascii=False, indent=2) + "\n").encode())
+    return len(found) + len(rows)
+
+
+def replace_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file's new content, written beside it and put in its place in one step: readers see the old or the new."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = target.getFileSystem(conf).create(part, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.getFileSystem(conf).getUri(), conf)
+    files.rename(files.makeQualified(part), files.makeQualified(target), options)
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a folder in the place of another, which is kept beside it until then; ``recover_folder`` ends what was cut off."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, f"{path.rstrip('/')}.old"))
+    store = target.getFileSystem(conf)
+    store.delete(old, True)
+    if store.exists(target):
+        store.rename(target, old)
+    store.rename(new, target)
+    store.delete(old, True)
+
+
+def recover_folder(spark: SparkSession, path: str) -> bool:
+    """Bring back a folder that a replacement had moved aside when it was cut off."""
+    old = f"{path.rstrip('/')}.old"
+    if exists(spark, path) or not exists(spark, old):
+        return False
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, kept = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(old)
+    return bool(target.getFileSystem(conf).rename(kept, target))
 
 
 def write_if_changed(df: DataFrame, path: str, key: str) -> dict[str, int]:
@@ -82,14 +198,39 @@ def write_if_changed(df: DataFrame, path: str, key: str) -> dict[str, int]:
     from tessera.operators.history import record_diff
 
     spark = df.sparkSession
+    recover_folder(spark, path)
     old = spark.read.schema(df.schema).json(path) if exists(spark, path) else spark.createDataFrame([], df.schema)
     counts = {r["change"]: r["count"] for r in record_diff(old, df, key).groupBy("change").count().collect()}
     if set(counts) - {"unchanged"} or not exists(spark, path):
         new = f"{path.rstrip('/')}.new"
         df.write.mode("overwrite").json(new)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        target, fresh = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new))
-        store = target.getFileSystem(conf)
-        store.delete(target, True)
-        store.rename(fresh, target)
+        replace_folder(spark, new, path)
     return counts
+
+
+def copy_files(spark: SparkSession, source: str, target: str, pattern: str = "*") -> list[str]:
+    """Copy a folder's files of a pattern, in order of name; nothing where the folder is missing. Their names."""
+    if not exists(spark, source):
+        return []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = jvm.org.apache.hadoop.fs.Path(f"{source.rstrip('/')}/{pattern}")
+    store, folder = found.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(target)
+    into = folder.getFileSystem(conf)
+    into.mkdirs(folder)
+    paths = sorted((f.getPath() for f in store.globStatus(found) or [] if f.isFile()), key=lambda p: p.getName())
+    for p in paths:
+        jvm.org.apache.hadoop.fs.FileUtil.copy(store, p, into, jvm.org.apache.hadoop.fs.Path(folder, p.getName()), False, True, conf)
+    return [p.getName() for p in paths]
+
+
+def clear_folder(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> list[str]:
+    """Remove what is in a folder but for some names; the names removed."""
+    if not exists(spark, path):
+        return []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(conf)
+    gone = sorted((f.getPath() for f in store.listStatus(folder) if f.getPath().getName() not in keep), key=lambda p: p.getName())
+    for p in gone:
+        store.delete(p, True)
+    return [p.getName() for p in gone]

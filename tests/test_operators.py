@@ -8,9 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tessera.functions import html, pages, text
-from tessera.operators import facts, gates, history, nested, records, resolve
-from tessera.plans import observe
+from tessera.functions import evidence, html, pages, text
+from tessera.operators import facts, gates, history, nested, records, resolve, rules
+from tessera.plans import identity, observe
 from tessera.sources import io
 from tessera.streaming.observe import FACTS, observe_stream
 
@@ -196,13 +196,40 @@ def test_the_longest_alias_is_taken_first(spark):
 
 
 def test_selectors(spark):
-    rules = spark.createDataFrame([(1, "A(C不可)/D"), (2, "Aのみ"), (3, "A(B～不可)"), (4, None)], "rule int, s string")
+    rules = spark.createDataFrame([(1, "A/D(C不可)"), (2, "Aのみ"), (3, "A(B～不可)"), (4, None)], "rule int, s string")
     catalog = spark.createDataFrame([(n, i) for i, n in enumerate("ABCD", 1)], "name string, id int")
     closure = resolve.forward_closure(spark.createDataFrame([(1, 2), (2, 3), (3, None), (4, None)], "node int, next int"))
     found = resolve.select_ids(resolve.selectors(rules, "s"), catalog, closure)
     assert rows(found) == [(1, 1, 0), (1, 2, 1), (1, 4, 0), (2, 1, 0), (3, 1, 0)]
 
 
+@pytest.mark.parametrize(
+    ("selector", "names", "mode", "banned", "onwards"),
+    [
+        ("A(C・D不可)", ["A"], "closure", ["C", "D"], False),
+        ("A/B(x,y不可)", ["A", "B"], "closure", ["x", "y"], False),
+        ("A・B(C~不可)", ["A", "B"], "closure", ["C"], True),
+        ("A(六式)", ["A(六式)"], "closure", [], False),
+        ("A(B可)", ["A"], "closure", [], False),
+        ("A/B(のみ)", ["A"], "only", [], False),
+        ("-", [], "", [], False),
+    ],
+)
+def test_selector_grammar(selector, names, mode, banned, onwards):
+    found = resolve.parse_selector(selector)
+    assert [p["name"] for p in found] == names
+    assert all((p["mode"], p["exclude"], p["exclude_closure"]) == (mode, banned, onwards) for p in found)
+
+
+def test_long_chains_components_and_cycles(spark):
+    chain = spark.createDataFrame([(i, i + 1 if i < 40 else None, i) for i in range(41)], "node long, next long, rank long")
+    assert resolve.forward_closure(chain).where("root = 0").count() == 41
+    assert resolve.families(spark.createDataFrame([(i, i - 1) for i in range(1, 90)], "node long, next long")).select("family").distinct().count() == 1
+    ring = spark.createDataFrame([(1, 2, 9), (2, 3, 8), (3, 4, 7), (4, 2, 6)], "node long, next long, rank long")
+    assert rows(resolve.cycles(ring)) == [(2, [4, 3, 2]), (3, [4, 3, 2]), (4, [4, 3, 2])]
+    assert rows(resolve.ordered_closure(ring).where("root in (1, 3)")) == [(1, 1, 0), (1, 2, 1), (3, 2, 1), (3, 3, 0)]
+
+
 def test_last_of_a_name_and_fragments(spark):
     catalog = spark.createDataFrame([("a", 1, 0), ("a", 2, 1)], "name string, id long, pos int")
     assert resolve.last_of_name(catalog).first()["id"] == 2
@@ -300,15 +327,37 @@ def test_effects_links_and_sections():
     assert html.effect_levels(page) == [{"level": 1, "name": "fire", "value": "+1", "conditional": True}]
     assert html.links('<a href="/a">t</a><a href="/a">t</a><a>no</a>', "https://h/x/") == [{"text": "t", "href": "https://h/a"}]
     assert html.cards('<a href="b"><img alt="n"></a><a href="a" title="t">x</a>') == [{"name": "n", "href": "b"}, {"name": "t", "href": "a"}]
-    units = html.evidence("<h2>A</h2><ul><li>one<ul><li>two</ul><li>one</ul><h2>B</h2><p>x</p>", "A")
-    assert [(u["context"], u["text"]) for u in units] == [("", "one"), ("one", "two")]
+    assert html.item_cards('<a href="/w/x" title="No.003: gun">a</a><a href="/w/y">3:other</a><a href="/w/z"><img src="i/weapon012.png"></a>', "https://h/") == [
+        {"id": 3, "name": "gun", "href": "https://h/w/x", "state": "first"}, {"id": 3, "name": "other", "href": "https://h/w/y", "state": "conflict"}, {"id": 12, "name": "z", "href": "https://h/w/z", "state": "first"}]
+    long = html.tables("<table><tr><td rowspan=600>x</td><td>0</td></tr>" + "".join(f"<tr><td>{i}</td></tr>" for i in range(1, 600)) + "</table>")
+    assert all(r["cells"] == ["x", str(i)] for i, r in enumerate(long)) and long[0]["html"] == ["x", "0"]
+
+
+@pytest.mark.parametrize(
+    ("text_", "state"),
+    [("先行実装で配布された", "historical"), ("恒常で入手可能", "current"), ("以前は任務、現在は建造可能", "mixed-summary"), ("開発", "current-or-summary"), ("入手不能", "historical")],
+)
+def test_availability(text_, state):
+    assert evidence.availability_of(text_) == state
+
+
+def test_evidence_of_blocks():
+    words = evidence.Vocabulary(labels={"任務報酬": "任務"}, markers=frozenset({"昔"}), ignored=frozenset({"広告"}))
+    page = "<h2>x</h2><h3>入手方法</h3><p>広告</p><ul><li>任務報酬：<ul><li>一</li></ul></li><li>昔</li><li>開発</li></ul><div>lost<p>建造</p></div><blockquote>購入</blockquote><h3>y</h3><p>交換</p>"
+    heading, scope, units = evidence.read_section(page, words=words)
+    assert (heading, scope) == ("入手方法", "section")
+    assert [(u["text"], u["kinds"], u["availability"], u["context"]) for u in units] == [
+        ("一", ["quest"], "current-or-summary", "任務報酬："), ("開発", ["quest", "development"], "historical", "任務報酬："),
+        ("建造", ["construction"], "current-or-summary", None), ("購入", ["purchase"], "current-or-summary", None)]
+    heading, scope, units = evidence.read_section("<h2>ゲームにおいて</h2><ul><li>任務で入手できる<ul><li>報酬として入手できる建造<li>無</ul><li>無関係</ul><h3>z</h3><p>開発</p>")
+    assert (heading, scope, [u["text"] for u in units]) == (None, "page-fallback", ["任務で入手できる", "報酬として入手できる建造"])
 
 
 def test_page_records(spark):
     page = "<table><tr><th>No.7</th></tr><tr><th>備考</th><td>2020年 開発可能</td></tr></table><h2>入手方法</h2><ul><li>開発で入手。以前はランキング報酬</li><li>謎</li></ul><h2>x</h2>"
     record = pages.page_record(page, 7)
     assert (record["page_id"], record["flag"], record["coverage"], record["accepted"]) == (7, True, "partial", True)
-    assert record["current"] == ["development", "other"] and record["historical"] == ["ranking"]
+    assert record["current"] == ["other"] and record["historical"] == ["development", "ranking"]
     assert pages.page_record(page, 8)["issues"] == ["id-mismatch"] or "flag-unresolved" in pages.page_record(page, 8)["issues"]
     assert pages.page_record(None, 1)["coverage"] == "rejected"
     assert pages.page_record(page.replace("開発可能", "開発不可"), 7)["flag"] is False
@@ -372,16 +421,65 @@ def test_references_and_aliases(spark):
 # --- sources -------------------------------------------------------------------------------------
 
 
+def test_files_are_replaced_whole(spark, tmp_path):
+    path = f"{tmp_path}/list.json"
+    assert io.append_json_list(spark, path, [{"a": 1}]) == 1 and io.append_json_list(spark, path, [{"b": None}]) == 2
+    assert json.loads(open(path).read()) == [{"a": 1}, {"b": None}]
+    table = f"{tmp_path}/table"
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
+    assert io.write_if_changed(df, table, "id") == {"added": 2} and io.write_if_changed(df, table, "id") == {"unchanged": 2}
+    (tmp_path / "table").rename(tmp_path / "table.old")  # cut off between the two steps
+    assert io.write_if_changed(df, table, "id") == {"unchanged": 2} and (tmp_path / "table").exists()
+    assert io.copy_files(spark, str(tmp_path), f"{tmp_path}/copy", "*.json") == ["list.json"]
+    assert io.clear_folder(spark, f"{tmp_path}/copy") == ["list.json"] and io.copy_files(spark, f"{tmp_path}/none", str(tmp_path)) == []
+    (tmp_path / "cat.json").write_text('[{"id": 2}, {"id": 1}]')
+    assert rows(io.read_catalog(spark, f"{tmp_path}/cat.json", "id int"), "id", "pos") == [(1, 1), (2, 0)]
+    assert io.read_catalog(spark, f"{tmp_path}/no.json", "id int", optional=True).count() == 0
+    with pytest.raises(gates.GateError):
+        io.read_catalog(spark, f"{tmp_path}/no.json", "id int")
+
+
+def test_identity_of_a_folder_and_a_tarball(spark, tmp_path):
+    import tarfile
+
+    (tmp_path / "package/data").mkdir(parents=True)
+    (tmp_path / "package/data/a.json").write_text('{"b": 1, "a": 2}')
+    (tmp_path / "package/data/l.nedb").write_text('{"y": 1, "x": 2}\n\n{"z": 3}\n')
+    (tmp_path / "package/README").write_text("r")
+    with tarfile.open(tmp_path / "p.tgz", "w:gz") as archive:
+        archive.add(tmp_path / "package", "package")
+    of = lambda files: identity.identity(files, label="v", variant="x", prefixes=("data/",))
+    digest, files = of(identity.folder_files(spark, f"{tmp_path}/package"))
+    assert digest.first() == of(identity.tarball_files(spark, f"{tmp_path}/p.tgz"))[0].first()
+    lines = "".join(f"{p}\0{hashlib.sha256(t.encode()).hexdigest()}\n" for p, t in (("data/a.json", '{"a":2,"b":1}\n'), ("data/l.nedb", '{"x":2,"y":1}\n{"z":3}\n')))
+    assert digest.first()[0] == hashlib.sha256(("v\0x\0" + lines).encode()).hexdigest()
+    identity.require_identity(files)
+    with pytest.raises(gates.GateError):
+        identity.require_identity(files.union(files))
+    assert identity.add_release([{"version": "1.0.0"}, {"version": "0.9.0"}], {"version": "0.9.0", "d": 1}) == [{"version": "0.9.0", "d": 1}, {"version": "1.0.0"}]
+    assert identity.Paths("/p/").picture("useitem", 3) == "/p/assets/useitem/3.webp"
+    assert rows(identity.retired(spark.createDataFrame([("i/1",), ("i/2",), ("x",)], "path string"), spark.createDataFrame([("i/2",)], "path string"), ("i",))) == [("i/1",)]
+
+
+def test_stops_of_rules(spark):
+    found = rules.drop_violations(spark.createDataFrame([(0, '{"equipmentId": 1, "equipmentName": "x", "sources": [{"shipId": 1, "shipName": "s", "method": "initial", "quantity": 1}]}'), (1, "no json")], "pos int, json string"))
+    assert {r["key"] for r in found.collect()} == {"#1"}
+    with pytest.raises(gates.GateError):
+        rules.require_sound(found)
+    with pytest.raises(Exception, match="wrong type of id"):
+        rules.projected(spark.createDataFrame([(0, '{"id": "x"}')], "pos int, json string"), "id long").collect()
+
+
 def test_json_lines(spark, tmp_path):
     path = tmp_path / "x.jsonl"
     path.write_text('{"a": 1}\n\nnot json\n[1]\n{"a": 2}\n')
     assert rows(io.read_json_lines(spark, str(path), "a int").where("a is not null")) == [(1,), (2,)]
     assert io.read_json_lines(spark, str(tmp_path / "none"), "a int").count() == 0
-    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+    with pytest.raises(gates.GateError, match='"line": 3'):
         io.read_json_lines(spark, str(path), "a int", strict=True).collect()
     assert rows(io.bad_json_lines(spark, str(path)), "line", "text") == [(3, "not json"), (4, "[1]")]
     io.write_json_lines(spark.createDataFrame([(1, None)], "a int, b int"), str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).first()[0] == '{"a":1}'
+    assert spark.read.text(str(tmp_path / "out")).first()[0] == '{"a":1,"b":null}'
 
 
 def test_documents_and_captures(spark, tmp_path):
