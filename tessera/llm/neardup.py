@@ -2,17 +2,22 @@
 
 1. Every document gets its set's size, a 128-bit fingerprint of the set, and a signature of minima under
    ``trees * DEPTH`` hash functions. Documents of equal sets are one node, named by the smallest id.
-2. The forest: each tree has DEPTH minima of its own. Nodes that share the first ``PREFIX`` of them form a region,
-   and all nodes of a region are candidates of each other, whatever its size: regions of over ``REGION`` nodes are dealt
-   into blocks, and each pair of blocks is a piece of work of its own. Candidates whose signatures agree in
-   ``threshold - MARGIN`` of the places or more are joined; a piece gives a spanning forest of these, not all pairs.
-3. What the trees join together is a cluster. The full sets of each cluster are compared with one another,
-   those of a large cluster in pairs of blocks, each a task's work of bounded size. Links are pairs whose sets
-   reach the threshold, in whole numbers; each block pair gives a spanning star of them.
+2. The forest: each tree has DEPTH minima of its own, its order of the signatures. Nodes that share the first
+   ``PREFIX`` of them form a region, and all nodes of a region are candidates of each other. Regions of up to ``REGION``
+   nodes are compared as they are. In larger ones nodes first meet those with which they share a longer prefix, as
+   deep as the region needs, and some nodes of the region (``REPRESENTATIVES``) that all meet. What this does not
+   connect with the largest part of the region then meets all of the region, block by block: no pair is left
+   out but those already connected, and where a region is of one kind the work is in proportion to it.
+   Candidates whose signatures agree in ``threshold - MARGIN`` of the places or more are joined; a piece of work gives
+   a spanning forest of these, not all pairs.
+3. What the trees join together is a cluster. The full sets of a cluster are compared in the same two rounds: blocks of
+   bounded size with some representatives, then what is not linked with the largest part, with all. Links are
+   pairs whose sets reach the threshold, in whole numbers; each piece gives a spanning star of them.
 4. Documents take the component of their node.
 
 The chance that no tree puts a pair just at the threshold into one region is ``MISS`` at most, by the number of
-trees; signatures that agree in less than the threshold less the margin by chance are as rare.
+trees: regions of any size are compared by their first ``PREFIX`` minima only. Signatures that agree in less than the
+threshold less the margin by chance are as rare.
 
 Defined cases: null and empty texts and texts without words have no shingles and are linked with nothing; a text
 of fewer words than a shingle has one, of all of them; rows of one id and text are one node; a row with a
@@ -38,7 +43,9 @@ PREFIX, DEPTH = 4, 8
 MISS = 1e-5
 MARGIN = 0.15
 REGION = 2048
+REPRESENTATIVES = 64
 BLOCK_DOCS, BLOCK_SHINGLES = 250, 200_000
+SET_REPRESENTATIVES = 16
 SHORT = 8  # regions up to this size are compared all at once
 
 
@@ -111,15 +118,50 @@ def _join_region(order: np.ndarray, signature: np.ndarray, need: int, depth: int
             left = left[~near]
 
 
-def _pieces(nodes: DataFrame, region: int) -> DataFrame:
-    """(key, node, signature) of each node and tree; a region of over ``region`` nodes has a key for each pair of its blocks."""
-    sizes = nodes.select(F.explode("keys").alias("key")).groupBy("key").count().where(F.col("count") > region)
-    large = materialise(sizes.select("key", F.ceil(F.col("count") / F.lit(region)).cast("int").alias("blocks")), "neardup-regions")
-    planted = nodes.select("node", "signature", F.explode("keys").alias("key"))
-    planted = planted.join(F.broadcast(large), "key", "left").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("own"))
-    pairs = F.transform(others, lambda x: F.xxhash64("key", F.least("own", x), F.greatest("own", x)))
-    return planted.select(F.explode(F.when(F.col("blocks").isNull(), F.array("key")).otherwise(pairs)).alias("key"), "node", "signature")
+def _is_representative(count: str, most: int) -> Column:
+    """Whether a hash makes a node one of about ``most`` of its group."""
+    return F.pmod(F.xxhash64(F.col("node"), F.lit(17)), F.col(count)) < most
+
+
+def _placed(nodes: DataFrame, region: int) -> DataFrame:
+    """(key, node, signature, deep, blocks, count) of each node and tree; ``blocks`` and ``count`` are null in regions of up to ``region``."""
+    sizes = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("count")).where(F.col("count") > region)
+    large = materialise(sizes.withColumn("blocks", F.ceil(F.col("count") / F.lit(region)).cast("int")), "neardup-regions")
+    planted = nodes.select("node", "signature", F.posexplode("keys").alias("tree", "key")).join(large, "key", "left")
+    # a minimum more for each four blocks of a region: one of 16 blocks is parted by six minima
+    depth = F.least(F.lit(DEPTH - PREFIX), F.ceil(F.log(4.0, F.col("blocks"))).cast("int"))
+    deep = F.when(F.col("blocks").isNotNull(), F.xxhash64(F.substring("signature", F.col("tree") * DEPTH + PREFIX + 1, depth)))
+    return planted.select("key", "node", "signature", deep.alias("deep"), "blocks", "count")
+
+
+def _first_pieces(placed: DataFrame, region: int) -> DataFrame:
+    """(piece, node, signature): small regions; of large ones those that share a longer prefix, with the representatives."""
+    small = placed.where("blocks is null").select(F.col("key").alias("piece"), "node", "signature")
+    large = placed.where("blocks is not null")
+    crowds = large.groupBy("key", "deep").agg(F.count("*").alias("_n")).where(F.col("_n") > region).select("key", "deep", F.ceil(F.col("_n") / F.lit(region)).cast("int").alias("parts"))
+    part = F.when(F.col("parts").isNull(), F.xxhash64("key", F.pmod("deep", F.col("blocks")))).otherwise(F.xxhash64("key", "deep", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))))
+    own = large.join(crowds, ["key", "deep"], "left").withColumn("piece", part)
+    pieces = own.select("key", "piece").distinct()
+    shown = large.where(_is_representative("count", REPRESENTATIVES)).join(pieces, "key")
+    return small.union(own.select("piece", "node", "signature")).union(shown.select("piece", "node", "signature"))
+
+
+def _labels(members: DataFrame, group: str, joined: DataFrame) -> DataFrame:
+    """The members with ``loose``: whether what they are joined with is not the largest part of their group."""
+    named = members.join(joined, "node", "left").withColumn("_label", F.coalesce("root", "node"))
+    top = named.groupBy(group, "_label").agg(F.count("*").alias("_n")).groupBy(group).agg(F.max_by("_label", "_n").alias("_top"))
+    return named.join(top, group).withColumn("loose", F.col("_label") != F.col("_top")).drop("_label", "_top", "root")
+
+
+def _second_pieces(labelled: DataFrame, region: int) -> DataFrame:
+    """(piece, node, signature) of large regions: each block of a region with each block of its loose nodes."""
+    loose = labelled.where("loose").groupBy("key").agg(F.ceil(F.count("*") / F.lit(region)).cast("int").alias("turns"))
+    rows = labelled.join(loose, "key")
+    block, turn = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")), F.pmod(F.xxhash64("node", F.lit(3)), F.col("turns"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    all_rows = rows.select("key", block.cast("int").alias("b"), every("turns").alias("l"), "node", "signature")
+    loose_rows = rows.where("loose").select("key", every("blocks").alias("b"), turn.cast("int").alias("l"), "node", "signature")
+    return all_rows.union(loose_rows).select(F.xxhash64("key", "b", "l").alias("piece"), "node", "signature")
 
 
 def _candidates(need: int):
@@ -146,7 +188,7 @@ def _candidates(need: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            columns = [np.asarray(batch.column(c)) for c in ("key", "node")]
+            columns = [np.asarray(batch.column(c)) for c in ("piece", "node")]
             columns.append(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(batch.num_rows, -1))
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns)]
@@ -250,22 +292,48 @@ def _components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, block_d
     known = sketch.where("n_shingles > 0 and doc_id is not null")
     nodes = known.groupBy("g1", "g2").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("keys").alias("keys"))
     nodes = materialise(nodes, "neardup-nodes")
-    forest = _pieces(nodes, region).repartition(n, "key").sortWithinPartitions("key")
     need = math.ceil((percent / 100 - MARGIN) * trees * DEPTH)
-    clusters = materialise(components(forest.mapInArrow(_candidates(need), "a long, b long")), "neardup-clusters")
+
+    def meet(pieces: DataFrame) -> DataFrame:
+        return pieces.repartition(n, "piece").sortWithinPartitions("piece").mapInArrow(_candidates(need), "a long, b long")
+
+    placed = _placed(nodes, region)
+    clusters = materialise(components(meet(_first_pieces(placed, region))), "neardup-clusters")
+    crowded = placed.where("blocks is not null").drop("deep", "count")
+    if crowded.limit(1).count():
+        labelled = materialise(_labels(crowded, "key", clusters), "neardup-crowded")
+        if labelled.where("loose").limit(1).count():
+            stars = clusters.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
+            clusters = materialise(components(stars.union(meet(_second_pieces(labelled, region)))), "neardup-clusters")
     # one text for each node of a cluster: repeated rows of an id have to be told apart by their sets
     cluster = clusters.select("node", F.col("root").alias("cluster"))
     members = texts.join(cluster, texts["doc_id"] == cluster["node"]).select("node", "cluster", "h1", "h2", "text")
     sets = members.mapInArrow(_full_sets(shingle), "node long, cluster long, h1 long, h2 long, n long, shingles binary").where("n > 0")
     sets = materialise(sets.dropDuplicates(["node", "h1", "h2"]).drop("h1", "h2"), "neardup-sets")
-    extent = sets.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / F.lit(block_docs)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / F.lit(block_docs)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int")
+    extent = materialise(sets.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("count")), "neardup-extent")
+
+    def confirm(dealt: DataFrame) -> DataFrame:
+        dealt = dealt.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+        return dealt.mapInArrow(_confirm(percent), "a long, b long")
+
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = sets.join(extent, "cluster").select("cluster", "node", "shingles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    dealt = dealt.select("cluster", i, j, "node", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "shingles")
-    dealt = dealt.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = dealt.mapInArrow(_confirm(percent), "a long, b long")
+    spread = sets.join(extent, "cluster").withColumn("own", own)
+    first = spread.select("cluster", F.col("own").alias("i"), F.lit(-1).alias("j"), "node", F.lit(0).alias("side"), "shingles")
+    shown = spread.where((F.col("blocks") > 1) & _is_representative("count", SET_REPRESENTATIVES)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("i <> own")
+    links = materialise(confirm(first.union(shown.select("cluster", "i", F.lit(-1), "node", F.lit(0), "shingles"))), "neardup-stars")
     roots = materialise(components(links), "neardup-links")
+    several = spread.where("blocks > 1").select("cluster", "node", "n", "blocks", "own").distinct()
+    if extent.where("blocks > 1").limit(1).count():
+        labelled = materialise(_labels(several, "cluster", roots), "neardup-large")
+        if labelled.where("loose").limit(1).count():
+            turns = labelled.where("loose").groupBy("cluster").agg(blocks.alias("turns"))
+            rows = labelled.join(turns, "cluster").drop("n").join(sets.select("cluster", "node", "shingles"), ["cluster", "node"])
+            every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+            turn = F.pmod(F.xxhash64("node", F.lit(3)), F.col("turns")).cast("int")
+            whole = rows.select("cluster", F.col("own").alias("i"), every("turns").alias("j"), "node", F.lit(0).alias("side"), "shingles")
+            loose = rows.where("loose").select("cluster", every("blocks").alias("i"), turn.alias("j"), "node", F.lit(1).alias("side"), "shingles")
+            roots = materialise(components(links.union(confirm(whole.union(loose)))), "neardup-links")
     named = nodes.select("g1", "g2", "node").join(roots, "node", "left").select("g1", "g2", F.coalesce("root", "node").alias("_root"))
     named = materialise(named, "neardup-names")
     out = sketch.select("doc_id", "h1", "h2", "n_shingles", "g1", "g2").join(named, ["g1", "g2"], "left")

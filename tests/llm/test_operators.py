@@ -119,8 +119,9 @@ def test_a_group_of_near_copies_is_whole_in_small_blocks(spark):
         rows.append((i, " ".join(words)))
     rows += [(1000 + i, " ".join(f"y{rng.integers(0, 10**6)}" for _ in range(50))) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.find_components(docs, block_docs=20, block_shingles=3000).collect()}
-    assert found == brute_components(rows, 3, 85)
+    for options in ({"block_docs": 20, "block_shingles": 3000}, {"block_docs": 5, "region": 8}, {}):
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.find_components(docs, **options).collect()}
+        assert found == brute_components(rows, 3, 85)
 
 
 def test_large_regions_are_taken_apart_without_losing_copies():
@@ -144,14 +145,36 @@ def test_large_regions_are_compared_completely():
     assert (0, 5999) in found
 
 
-def test_every_pair_of_a_large_region_meets_in_a_piece(spark):
-    rows = [(i, [1, 100 + i // 2], bytes(4)) for i in range(60)]
+def region_pieces(spark, kinds, region, n=400):
+    """Nodes of one region of one tree, of some kinds; the pieces of both rounds, given that each kind is joined."""
+    rows = [(i, [1], bytes([1, 2, 3, 4, i % kinds, 0, 0, i % 3])) for i in range(n)]
     nodes = spark.createDataFrame(rows, "node long, keys array<long>, signature binary")
-    met = {}
-    for r in neardup._pieces(nodes, 8).collect():
-        met.setdefault(r["key"], set()).add(r["node"])
-    assert {(a, b) for group in met.values() for a in group for b in group if a < b} == {(a, b) for b in range(60) for a in range(b)}
-    assert len(met) > 30 + 20 and max(len(x) for x in met.values()) < 40
+    placed = neardup._placed(nodes, region)
+    first = neardup._first_pieces(placed, region)
+    roots = spark.createDataFrame([(i, i % kinds) for i in range(n)], "node long, root long")
+    second = neardup._second_pieces(neardup._labels(placed, "key", roots), region)
+    return first, second
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 40])
+def test_pairs_of_different_parts_of_a_large_region_meet(spark, kinds):
+    first, second = region_pieces(spark, kinds, 16)
+    met = set()
+    pieces = {}
+    for r in first.union(second).collect():
+        pieces.setdefault(r["piece"], set()).add(r["node"])
+    for group in pieces.values():
+        met |= {(a, b) for a in group for b in group if a < b}
+    assert {(a, b) for b in range(400) for a in range(b) if a % kinds != b % kinds} <= met
+    if kinds == 1:  # a region of one kind is dealt out once, with its representatives
+        assert second.count() == 0 and first.count() < 400 + 2 * neardup.REPRESENTATIVES * 60
+
+
+def test_the_largest_group_of_copies_is_compared_in_proportion(spark):
+    """Near copies of one text: blocks meet the representatives, not each other."""
+    first, second = region_pieces(spark, 1, 16, 800)
+    smaller, _ = region_pieces(spark, 1, 16, 400)
+    assert second.count() == 0 and first.count() < 3 * smaller.count()
 
 
 def test_a_template_family_is_whole_in_large_regions(spark):
