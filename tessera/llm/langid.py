@@ -8,12 +8,15 @@ Piece probabilities are learned by expectation-maximisation: forward and backwar
 the training texts give the expected count of each piece.
 
 Words are the maximal runs of ASCII letters (lower-cased) and non-ASCII bytes of the whole text, each with a
-word-start mark. Runs of over 48 bytes are cut there, so segmentations don't cross every 48th byte of such a
-run. A byte that no piece covers has a small fixed probability, the same in all languages.
+word-start mark; they may have any length, and all their segmentations are summed. The sums of long runs are scaled as
+they grow; those of very long ones go over stretches, each as a linear map of the sums at its last places. A
+byte that no piece covers has a small fixed probability, the same in all languages. All pieces of the vocabulary are
+used; those with bytes that no run has never occur.
 
 Training is a classifier fit on a bounded sample: about ``train_docs`` training documents of each language,
-chosen by a hash of the id, of each the first ``train_words`` distinct words by hash order. Everything else
-covers all rows and whole texts. Word likelihoods are memoised in each worker, in a table of bounded size.
+chosen by a hash of the id, of each the first ``train_words`` distinct words by hash order; the fit takes runs of
+over ``MAX_RUN`` bytes in parts of that size, each of which counts. Everything else covers all rows and whole
+texts. Word likelihoods are memoised in each worker, in a table of bounded size.
 
 Defined cases: a null text, an empty one and one without a letter are ``und`` with score 0; where nothing can
 be learned (no training row has a language) all rows are ``und``; ties go to the language first in order;
@@ -31,11 +34,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import crc_mod, keep_rows, slices, text_buffer
-from tessera.llm.words import LOWER, fingerprints, split
+from tessera.llm.words import LOWER, fingerprints, prefix_sums, split, stretch_fingerprints
 
 UNDETERMINED = "und"
-MAX_PIECE = 16
 MAX_RUN = 48
+LONG_RUN = 2048  # from here on a run goes by stretches
+STRETCH = 32_768
 FLOOR = 1e-6
 MEMO = 400_000
 _LETTERS = np.zeros(256, bool)
@@ -56,19 +60,22 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         texts = {model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-        inside = sorted(t for t in texts if 1 <= len(t) <= MAX_PIECE and not (set(t[1:]) & set(b" ")))
+        inside = sorted(t for t in texts if t and _LETTERS[np.frombuffer(t[t[:1] == b" " :], np.uint8)].all())
         raw = np.frombuffer(b"".join(inside), np.uint8)
         ends = np.cumsum([len(t) for t in inside])
         prints = fingerprints(raw, ends - [len(t) for t in inside], ends)
         order = np.argsort(prints)
         self.prints, self.number = prints[order], order + 1
+        self.sizes = sorted({len(t) for t in inside} | {1})
+        self.longest = self.sizes[-1]
         self.size = len(inside) + 256  # and a piece for each byte
         self.first_byte = len(inside) + 1
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.prints >> np.uint64(44)).astype(np.int64)] = True
 
-    def find(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        prints = fingerprints(text, starts, ends)
+    def find(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Numbers of stretches of a text by its prefix sums."""
+        prints = stretch_fingerprints(sums, starts, ends)
         out = np.zeros(len(starts), np.int32)
         maybe = np.flatnonzero(self.seen[(prints >> np.uint64(44)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.prints, prints[maybe]), len(self.prints) - 1)
@@ -76,6 +83,17 @@ class Pieces:
         out[maybe[hit]] = self.number[at[hit]]
         return out
 
+    def at(self, text: np.ndarray, left: np.ndarray) -> dict[int, np.ndarray]:
+        """By size the pieces that begin at each place of a text, where as many bytes of its run are left; a byte's own where no piece has it."""
+        sums, out = prefix_sums(text), {}
+        for size in self.sizes:
+            out[size] = np.zeros(len(text), np.int32)
+            at = np.flatnonzero(left >= size)
+            out[size][at] = self.find(sums, at, at + size)
+        alone = out[1] == 0
+        out[1][alone] = self.first_byte + text[alone].astype(np.int32)
+        return out
+
 
 @functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -96,13 +114,8 @@ class Runs:
         source = starts[word] + within - marked[word]
         mark = (within == 0) & (marked[word] == 1)
         self.text = np.where(mark, np.uint8(0x20), text[np.minimum(np.maximum(source, 0), max(len(text) - 1, 0))]) if total else np.zeros(0, np.uint8)
-        self.piece = np.zeros((MAX_PIECE, total), np.int32)  # by length less one and place of the start
-        left = np.repeat(self.begin + length, length) - np.arange(total)
-        for size in range(1, MAX_PIECE + 1):
-            at = np.flatnonzero(left >= size)
-            self.piece[size - 1, at] = vocabulary.find(self.text, at, at + size)
-        alone = self.piece[0] == 0
-        self.piece[0, alone] = vocabulary.first_byte + self.text[alone].astype(np.int32)
+        self.sizes = vocabulary.sizes
+        self.piece = vocabulary.at(self.text, np.repeat(self.begin + length, length) - np.arange(total))
         # how many words have at least so many bytes
         self.alive = np.searchsorted(-length, -np.arange(int(length[0]) + 2 if len(length) else 2), "right")
 
@@ -114,13 +127,40 @@ class Runs:
         for end in range(1, longest + 1):
             n = self.alive[end]
             into = alpha[end, :n]
-            for size in range(1, min(end, MAX_PIECE) + 1):
-                piece = self.piece[size - 1, self.begin[:n] + end - size]
+            for size in self.sizes:
+                if size > end:
+                    break
+                piece = self.piece[size][self.begin[:n] + end - size]
                 at = np.flatnonzero(piece)
                 if len(at):
                     into[at] += alpha[end - size, at] * table[piece[at]]
         return alpha, alpha[self.length, np.arange(len(self.length))]
 
+    def log_forward(self, table: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums of whole words of any length: of the forward sums only the last are kept, and scaled."""
+        places, languages = self.sizes[-1] + 1, table.shape[1]
+        ring = np.zeros((places, len(self.length), languages))
+        ring[0] = 1
+        scale, out = np.zeros((len(self.length), languages)), np.zeros((len(self.length), languages))
+        for end in range(1, int(self.length[0]) + 1 if len(self.length) else 1):
+            n = self.alive[end]
+            into = np.zeros((n, languages))
+            for size in self.sizes:
+                if size > end:
+                    break
+                piece = self.piece[size][self.begin[:n] + end - size]
+                at = np.flatnonzero(piece)
+                if len(at):
+                    into[at] += ring[(end - size) % places, at] * table[piece[at]]
+            ring[end % places, :n] = into
+            done = slice(self.alive[end + 1], n)
+            out[done] = np.log(into[done]) + scale[done]
+            if end % 16 == 0:
+                most = ring[:, :n].max(axis=0)
+                ring[:, :n] /= most
+                scale[:n] += np.log(most)
+        return out
+
     def expected(self, table: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected counts of the pieces over words of these weights, for a table of one language."""
         alpha, whole = self.forward(table)
@@ -130,9 +170,11 @@ class Runs:
         beta = np.zeros((longest + 1, len(self.length)))
         beta[self.length, np.arange(len(self.length))] = 1
         for start in range(longest - 1, -1, -1):
-            for size in range(1, min(longest - start, MAX_PIECE) + 1):
+            for size in self.sizes:
+                if size > longest - start:
+                    break
                 m = self.alive[start + size]
-                piece = self.piece[size - 1, self.begin[:m] + start]
+                piece = self.piece[size][self.begin[:m] + start]
                 at = np.flatnonzero(piece)
                 if len(at):
                     gain = table[piece[at], 0] * beta[start + size, at]
@@ -141,12 +183,53 @@ class Runs:
         return counts
 
 
-def _runs_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, starts, ends, marked, row) of the words of a slice, long runs cut."""
+def _stretch_map(pieces_at: dict[int, np.ndarray], starts: np.ndarray, size: int, table: np.ndarray) -> np.ndarray:
+    """What stretches of a run do to the forward sums at the last places before them: (place after, stretch, place before, language)."""
+    places = max(pieces_at)
+    alpha = np.zeros((places + size, len(starts), places, table.shape[1]))
+    alpha[np.arange(places), :, np.arange(places)] = 1
+    for step in range(size):
+        for piece, numbers in pieces_at.items():
+            at = starts + step + 1 - piece
+            known = np.where(at >= 0, numbers[np.maximum(at, 0)], 0)
+            some = np.flatnonzero(known)
+            if len(some):
+                alpha[places + step, some] += alpha[places + step - piece, some] * table[known[some]][:, None, :]
+    return alpha[size:]
+
+
+def long_likelihood(vocabulary: Pieces, run: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Logarithm, for each language, of the sum over all segmentations of one run of any length (its mark included)."""
+    places, languages = vocabulary.longest, table.shape[1]
+    state, scale = np.zeros((places, languages)), np.zeros(languages)
+    state[-1] = 1  # the forward sums at the last places; the newest is last
+    for begin in range(0, len(run), STRETCH):
+        stop = min(begin + STRETCH, len(run))
+        low = max(begin - places + 1, 0)
+        window = run[low:stop]
+        pieces_at = vocabulary.at(window, len(window) - np.arange(len(window)))
+        whole = (stop - begin) // MAX_RUN
+        for first in range(0, whole, 64):
+            starts = begin - low + MAX_RUN * np.arange(first, min(first + 64, whole))
+            maps = _stretch_map(pieces_at, starts, MAX_RUN, table)
+            for k in range(len(starts)):
+                state = np.einsum("ibl,bl->il", maps[:, k], state)
+                most = state.max(axis=0)
+                state, scale = state / most, scale + np.log(most)
+        rest = stop - begin - whole * MAX_RUN
+        if rest:
+            state = np.einsum("ibl,bl->il", _stretch_map(pieces_at, np.array([begin - low + whole * MAX_RUN]), rest, table)[:, 0], state)
+            most = state.max(axis=0)
+            state, scale = state / most, scale + np.log(most)
+    return np.log(state[-1]) + scale
+
+
+def _runs_of(raw: np.ndarray, offsets: np.ndarray, *, cut: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, starts, ends, marked, row) of the words of a slice; for the fit long runs in parts."""
     words = split(raw, offsets, _LETTERS)
     length = words.ends - words.starts
     row = words.rows
-    if len(length) and int(length.max()) > MAX_RUN:
+    if cut and len(length) and int(length.max()) > MAX_RUN:
         parts = -(-length // MAX_RUN)
         owner = np.repeat(np.arange(len(length)), parts)
         k = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -162,7 +245,7 @@ def _distinct(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, marked: np
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        text, starts, ends, marked, row = _runs_of(*text_buffer(batch.column("text")))
+        text, starts, ends, marked, row = _runs_of(*text_buffer(batch.column("text")), cut=True)
         lang = batch.column("lang").combine_chunks() if isinstance(batch.column("lang"), pa.ChunkedArray) else batch.column("lang")
         code = lang.dictionary_encode()
         own = np.asarray(code.indices)[row].astype(np.int64) if len(row) else np.zeros(0, np.int64)
@@ -259,10 +342,19 @@ class Scorer:
         values = np.zeros((len(prints), len(languages)), np.float32)
         values[have] = memo.values[at[have]]
         new = np.flatnonzero(~have)
-        for k in range(0, len(new), 20_000):
-            some = first[new[k : k + 20_000]]
+        size = ends[first] - starts[first]
+        short = new[size[new] <= MAX_RUN]
+        for k in range(0, len(short), 20_000):
+            some = first[short[k : k + 20_000]]
             runs = Runs(self.vocabulary, text, starts[some], ends[some], marked[some])
-            values[new[k : k + 20_000][runs.order]] = np.log(runs.forward(self.table)[1])
+            values[short[k : k + 20_000][runs.order]] = np.log(runs.forward(self.table)[1])
+        long = new[(size[new] > MAX_RUN) & (size[new] <= LONG_RUN)]
+        if len(long):
+            runs = Runs(self.vocabulary, text, starts[first[long]], ends[first[long]], marked[first[long]])
+            values[long[runs.order]] = runs.log_forward(self.table)
+        for k in new[size[new] > LONG_RUN].tolist():
+            run = np.concatenate([np.full(1, 0x20, np.uint8), text[starts[first[k]] : ends[first[k]]]])
+            values[k] = long_likelihood(self.vocabulary, run, self.table)
         memo.put(prints, values, ~have)
         total = np.zeros((n, len(languages)))
         for k in range(len(languages)):

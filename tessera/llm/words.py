@@ -88,12 +88,21 @@ def split(raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray) -> Words
     return Words(text, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets))
 
 
-def fingerprints(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _power_tables(len(text) + 1)
+def prefix_sums(text: np.ndarray) -> np.ndarray:
+    """Of a text's bytes, from which the fingerprint of any stretch of it follows."""
+    down = _power_tables(len(text) + 1)[1]
     sums = np.zeros(len(text) + 1, np.uint64)
     np.cumsum(_BYTE_VALUE[text] * down[: len(text)], out=sums[1:])
-    values = (sums[ends] - sums[starts]) * up[starts]
-    return mix(values ^ ((ends - starts).astype(np.uint64) * np.uint64(_GOLDEN)))
+    return sums
+
+
+def stretch_fingerprints(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    up = _power_tables(len(sums))[0]
+    return mix((sums[ends] - sums[starts]) * up[starts] ^ ((ends - starts).astype(np.uint64) * np.uint64(_GOLDEN)))
+
+
+def fingerprints(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return stretch_fingerprints(prefix_sums(text), starts, ends)
 
 
 def fingerprint(words: list[bytes]) -> np.ndarray:

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 
 from tessera.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, shard, tokens, topk
 from tessera.llm.common import text_buffer
-from tessera.llm.words import ALNUM, NOT_SPACE, fingerprint, split
+from tessera.llm.words import ALNUM, NOT_SPACE, fingerprint, prefix_sums, split
 
 LONG = " ".join(f"word{i % 977} filler{i % 31}" for i in range(30_000))
 PROSE = "the quick brown fox jumps over the lazy dog and runs away from all the other animals in the wood"
@@ -794,9 +794,9 @@ def brute_likelihood(vocabulary, table, word):
     word = b" " + word
     alpha = [1.0] + [0.0] * len(word)
     for end in range(1, len(word) + 1):
-        for size in range(1, min(end, langid.MAX_PIECE) + 1):
+        for size in range(1, min(end, 40) + 1):
             part = np.frombuffer(word[end - size : end], np.uint8)
-            n = int(vocabulary.find(part, np.array([0]), np.array([size]))[0])
+            n = int(vocabulary.find(prefix_sums(part), np.array([0]), np.array([size]))[0])
             if not n and size == 1:
                 n = vocabulary.first_byte + int(part[0])
             if n:
@@ -819,6 +819,31 @@ def test_forward_sums_all_segmentations():
     assert expected.sum() >= len(words)
 
 
+def test_all_segmentations_of_long_runs_are_summed(monkeypatch):
+    """Pieces that lie over any place count, in runs of any length, however the sums are taken."""
+    monkeypatch.setattr(langid, "STRETCH", 144)
+    vocabulary = langid.pieces(langid.piece_model_path())
+    assert vocabulary.longest > 16 and vocabulary.first_byte - 1 == len(vocabulary.prints)
+    table = np.random.default_rng(7).uniform(1e-3, 1e-1, (vocabulary.size + 1, 2))
+    table[0] = 0
+    rng = np.random.default_rng(9)
+    stems = ["internationalization", "результата", "the", "é", "станов", "和国", "ab", "x"]
+    words = ["".join(rng.choice(stems, n)).encode() for n in (1, 3, 9, 17, 30)]
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    runs = langid.Runs(vocabulary, raw, ends - [len(w) for w in words], ends, np.ones(len(words), np.int64))
+    found = runs.log_forward(table)
+    for k, place in enumerate(runs.order):
+        word = words[place]
+        wanted = [math.log(brute_likelihood(vocabulary, table[:, j], word)) for j in range(2)]
+        assert np.allclose(found[k], wanted, rtol=1e-9)
+        assert np.allclose(langid.long_likelihood(vocabulary, np.frombuffer(b" " + word, np.uint8), table), wanted, rtol=1e-9)
+    # far beyond what a product of probabilities can hold
+    run = np.frombuffer(b" " + "".join(rng.choice(stems, 3000)).encode(), np.uint8)
+    one = langid.Runs(vocabulary, run[1:], np.array([0]), np.array([len(run) - 1]), np.ones(1, np.int64))
+    assert np.allclose(one.log_forward(table)[0], langid.long_likelihood(vocabulary, run, table), rtol=1e-9)
+
+
 def test_held_out_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
