@@ -770,6 +770,43 @@ def test_held_out_quality(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.9
 
 
+def plain_isotonic(total, ones):
+    """Levels by the max-min formula: the best of all stretches that end before and begin after."""
+    mean = lambda a, b: ones[a : b + 1].sum() / total[a : b + 1].sum()
+    return [max(min(mean(a, b) for b in range(i, len(total))) for a in range(i + 1)) for i in range(len(total))]
+
+
+def test_quality_is_that_of_plain_least_squares(spark, sf):
+    """Statistics to scores: ridge on all rows at once, pooling by the max-min formula, interpolation."""
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    found = {r["doc_id"]: r for r in quality.classify(docs, labels).collect()}
+    stats = {r["doc_id"]: np.array(r["stats"], float) for r in quality.measure(docs).collect()}
+    part = lambda i: zlib.crc32(str(i).encode()) % 5
+    labelled = [(i, q) for i, q in labels.select("doc_id", "quality").collect() if q is not None and i in stats and part(i)]
+    fit, rest = [r for r in labelled if part(r[0]) >= 2], [r for r in labelled if part(r[0]) < 2]
+    x, y = np.array([stats[i] for i, _ in fit]), np.array([q for _, q in fit], float)
+    space = quality.Map(x.mean(axis=0), np.sqrt(np.maximum((x * x).mean(axis=0) - x.mean(axis=0) ** 2, 0)), 256, 0.5 / x.shape[1], 17)
+    z = space(x)
+    weights = np.linalg.lstsq(np.vstack([z, np.sqrt(1e-3 * len(x)) * np.eye(z.shape[1])]), np.concatenate([y, np.zeros(z.shape[1])]), rcond=None)[0]
+    raw = {i: float(np.clip(space(v[None]) @ weights, -0.5, 1.5)[0]) for i, v in stats.items()}
+    bins = {}
+    for i, q in rest:
+        bins.setdefault(min(int((raw[i] + 0.5) / 2 * quality.BINS), quality.BINS - 1), []).append(q)
+    at = sorted(bins)
+    total, ones = np.array([len(bins[b]) for b in at], float), np.array([sum(bins[b]) for b in at], float)
+    level = plain_isotonic(total, ones)
+    knots, levels = [], []
+    for value in sorted(set(np.round(level, 12))):
+        mine = [k for k, v in enumerate(level) if round(v, 12) == value]
+        n = total[mine].sum()
+        knots.append(sum(total[k] * ((at[k] + 0.5) / quality.BINS * 2 - 0.5) for k in mine) / n)
+        levels.append((ones[mine].sum() + 0.5) / (n + 1))
+    levels = np.maximum.accumulate(levels)
+    assert found.keys() == stats.keys()
+    wrong = [i for i in stats if not math.isclose(found[i]["score"], float(np.interp(raw[i], knots, levels)), abs_tol=1e-6)]
+    assert not wrong and all(r["predicted"] == (r["score"] >= 0.3) and r["held_out"] == (part(i) == 0) for i, r in found.items())
+
+
 def test_isotonic_levels_rise():
     rng = np.random.default_rng(6)
     total = rng.integers(1, 50, 200).astype(float)
@@ -895,6 +932,46 @@ def test_shards_are_nearly_equal(spark):
     assert all((r["size"], r["text_crc32"]) == (len(texts[r["doc_id"]].encode()) + 16, zlib.crc32(texts[r["doc_id"]].encode())) for r in rows)
 
 
+def plain_shards(points, shards):
+    """The tree by recursion: points (key, weight, hash, places); cut at the weighted quantile along the widest place."""
+    dims = range(len(points[0][3]))
+    extent = [max(p[3][d] for p in points) - min(p[3][d] for p in points) or 1.0 for d in dims]
+    top = float((1 << shard._VALUE_BITS) - 1)
+    out = {}
+
+    def grow(own, first, k):
+        if k == 1 or not own:
+            out.update(dict.fromkeys((p[0] for p in own), first))
+            return
+        low, high = [min(p[3][d] for p in own) for d in dims], [max(p[3][d] for p in own) for d in dims]
+        axis = max(dims, key=lambda d: (high[d] - low[d]) / extent[d])
+        scale = top / ((high[axis] - low[axis]) or 1.0)
+        place = lambda p: (math.floor((p[3][axis] - low[axis]) * scale) << shard._HASH_BITS) + p[2]
+        goal, before = sum(p[1] for p in own) * (k // 2) / k, 0
+        cut = None
+        for at in sorted({place(p) for p in own}):
+            weight = sum(p[1] for p in own if place(p) == at)
+            if before + weight >= goal:
+                cut = at if before + weight - goal <= goal - before else at - 1
+                break
+            before += weight
+        grow([p for p in own if place(p) <= cut], first, k // 2)
+        grow([p for p in own if place(p) > cut], first + k // 2, k - k // 2)
+
+    grow(points, 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [2, 7, 40])
+def test_the_tree_is_that_of_plain_recursion(spark, shards):
+    rng = np.random.default_rng(12)
+    points = [(i, int(rng.integers(16, 4000)), int(rng.integers(0, 1 << 20)) << 14, (float(rng.integers(0, 3)), float(rng.integers(0, 50)), float(rng.normal()))) for i in range(500)]
+    points += [(1000 + i, 100, 77 << 10, (1.0, 25.0, 0.5)) for i in range(20)]  # points of one place
+    df = spark.createDataFrame([(i, w, h, *d) for i, w, h, d in points], "key long, w long, h long, a double, b double, c double")
+    found = {r["key"]: r["n"] for r in shard._grow(df, shards, ["a", "b", "c"]).collect()}
+    assert found == plain_shards(points, shards)
+
+
 def test_a_large_group_of_copies_is_shared_out(spark):
     docs = spark.createDataFrame([(i, "same text " * 5 if i % 3 == 0 else f"text {i} " * 6, "en", "a") for i in range(900)], "doc_id long, text string, lang string, source string")
     size = Counter()
