@@ -991,3 +991,31 @@ def test_shards_of_odd_rows(odd, empty):
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
     assert shard.assign(empty).count() == 0
     assert shard.assign(odd.select("doc_id", "text")).count() == len(ODD)
+
+
+# --- texts larger than a slice -------------------------------------------------------------------
+
+
+def test_texts_larger_than_a_slice(spark):
+    """A text of over SLICE_BYTES between short ones, in every operator that reads texts."""
+    from tokenizers import Tokenizer
+
+    from tessera.llm.common import SLICE_BYTES
+
+    passage = " ".join(f"t{i}" for i in range(30))
+    huge = " ".join(f"word{i % 9973} filler{i % 31}" for i in range(70_000)) + f" {passage} token = abcdef123456 " + "ab" * 3000
+    assert len(huge) > SLICE_BYTES
+    docs = spark.createDataFrame([(1, PROSE, "en", "a"), (2, huge, "en", "a"), (3, huge + " end", "en", "b"), (4, "short", "de", "b")], "doc_id long, text string, lang string, source string").coalesce(1)
+    assert sorted((r["doc_id"], r["component_id"]) for r in neardup.find_components(docs).collect()) == [(1, 1), (2, 2), (3, 2), (4, 4)]
+    ids = {r["doc_id"]: r for r in tokens.encode_and_read(docs).collect()}
+    whole = np.array([*Tokenizer.from_file(tokens.tokenizer_path()).encode(huge, add_special_tokens=False).ids, tokens.END_ID], "<u4")
+    assert (ids[2]["n_tokens"], ids[2]["ids_crc32"]) == (len(whole), zlib.crc32(whole.tobytes()))
+    assert {r["doc_id"]: r["n_tokens"] for r in mixing.mix(docs).collect()}[2] == len(huge.split())
+    assert {r["doc_id"]: r["n_tokens"] for r in lm.score(docs, chunk_tokens=1000).collect()}[2] == len(huge.split()) + 1
+    bench = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    hit = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert (hit[2]["n_hit"], hit[2]["n_items"], hit[2]["contaminated"], hit[1]["n_hit"]) == (30, 1, False, 0)
+    assert {r["doc_id"]: r["n_assign"] for r in secrets.find_secrets(docs).collect()} == {1: 0, 2: 1, 3: 1, 4: 0}
+    assert quality.classify(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")).count() == 4
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}.keys() == {1, 2, 3, 4}
+    assert {r["doc_id"]: r["size"] for r in shard.assign(docs).collect()}[2] == len(huge) + 16
