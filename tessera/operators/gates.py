@@ -110,6 +110,26 @@ def freshness(fetches: DataFrame, run_start: Column) -> DataFrame:
     return fetches.groupBy("source").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("fresh"), F.count("*").alias("fetches"))
 
 
+def snapshot_problems(rows: DataFrame, key: str, declared: dict[str, int], measures: dict[str, Column], pending: DataFrame) -> DataFrame:
+    """(problem, key) of a snapshot: keys that are missing or repeated, counts other than declared, and stops (reason) still pending."""
+    none = rows.where(F.col(key).isNull()).select(F.lit("missing-key").alias("problem"), F.lit("").alias("key"))
+    again = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("key")).count().where("count > 1").select(F.lit("repeated-key").alias("problem"), "key")
+    counted = rows.agg(*(F.coalesce(c.cast("long"), F.lit(-1)).alias(name) for name, c in measures.items()))
+    each = F.array(*(F.struct(F.lit(name).alias("name"), F.col(f"`{name}`").alias("found"), F.lit(declared.get(name, -1)).alias("declared")) for name in measures))
+    wrong = counted.select(F.explode(each).alias("m")).where("m.found <> m.declared").select(F.lit("other-count").alias("problem"), F.col("m.name").alias("key"))
+    return none.union(again).union(wrong).union(pending.select(F.lit("pending-stop").alias("problem"), F.col("reason").alias("key")))
+
+
+def source_choice(*, fresh: Column, cached: Column, placeholder: Column, legacy: Column) -> Column:
+    """Which content a step takes: what is fresh, else what an earlier run left, else a legacy copy; a placeholder is none of these."""
+    return F.when(fresh & ~placeholder, "fresh").when(cached, "reuse").when(legacy, "restore").otherwise("stop")
+
+
+def integrity(content: Column) -> Column:
+    """The sha512 of a file as registries write it."""
+    return F.concat(F.lit("sha512-"), F.base64(F.unhex(F.sha2(content, 512))))
+
+
 def image_kind(content: Column) -> Column:
     """png, webp or jpeg by magic bytes; null otherwise."""
     head = F.hex(F.substring(content, 1, 12))

@@ -11,15 +11,30 @@ from pyspark.sql import functions as F
 
 
 def record_diff(before: DataFrame, after: DataFrame, key: str, content: list[str] | None = None) -> DataFrame:
-    """Every key of either side with its change: added, removed, changed or unchanged."""
-    columns = content or [c for c in after.columns if c != key]
-    left = before.select(F.col(key).alias("_k1"), F.struct(*columns).alias("_before"))
-    right = after.select(F.col(key).alias("_k2"), F.struct(*columns).alias("_after"))
-    joined = left.join(right, F.col("_k1").eqNullSafe(F.col("_k2")), "full")
+    """Every key of either side with its change: added, removed, changed or unchanged.
+
+    Of rows of one key on one side the last by ``pos`` counts, or the greatest where there is no such column.
+    """
+    columns = content or [c for c in after.columns if c not in (key, "pos")]
+
+    def side(rows: DataFrame, name: str, value: str) -> DataFrame:
+        what = F.struct(*columns)
+        last = F.max_by(what, "pos") if "pos" in rows.columns and "pos" not in columns else F.max(what)
+        return rows.groupBy(F.col(key).alias(name)).agg(last.alias(value))
+
+    joined = side(before, "_k1", "_before").join(side(after, "_k2", "_after"), F.col("_k1").eqNullSafe(F.col("_k2")), "full")
     change = F.when(F.col("_before").isNull(), "added").when(F.col("_after").isNull(), "removed").when(F.col("_before").eqNullSafe(F.col("_after")), "unchanged").otherwise("changed")
     return joined.select(F.when(F.col("_after").isNull(), F.col("_k1")).otherwise(F.col("_k2")).alias(key), change.alias("change"))
 
 
+def text_diff(before: DataFrame, after: DataFrame, key: str, column: str) -> DataFrame:
+    """Difference of records kept as JSON text, whatever the layout and the order of their keys."""
+    from tessera.functions.text import to_canonical_json
+
+    form = lambda rows: rows.withColumn(column, F.coalesce(to_canonical_json(F.col(column)), F.col(column)))
+    return record_diff(form(before), form(after), key, [column])
+
+
 def tree_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """Difference of two lists of files (path, bytes, sha256)."""
     return record_diff(source, target, "path", ["bytes", "sha256"]).withColumn("change", F.expr("case change when 'removed' then 'deleted' when 'changed' then 'modified' else change end"))

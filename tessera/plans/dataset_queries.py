@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import html, pages, recipes, text
-from tessera.operators import nested, records, resolve, rules
+from tessera.operators import gates, history, nested, records, resolve, rules
 from tessera.plans import identity
 from tessera.plans.queries import joined, query, read
 from tessera.sources import io
@@ -526,3 +526,26 @@ def bundle_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def release_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Releases, of one version the last, the newest first."""
     return identity.release_history(_part(spark, sf_dir).select(said(N() % 3, ".", N(), ".0").alias("version"), K().alias("pos")))
+
+
+@query("""select p_partkey as k, case p_size % 4 when 0 then 'added' when 1 then 'removed' when 2 then 'changed' else 'unchanged' end as change from part""")
+def text_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of records kept as JSON text in other layouts; of repeated keys the last counts."""
+    row = lambda keep, value, pos: _part(spark, sf_dir).where(keep).select("k", value.alias("json"), F.lit(pos).alias("pos"))
+    old = row(N() % 4 > 0, said('{"b": 1, "a": [', N(), "]}"), 1).union(row(N() % 4 > 0, F.lit("{}"), 0))
+    new = row(N() % 4 != 1, said('{"a":[', F.when(N() % 4 == 2, -N()).otherwise(N()), '], "b":1}'), 0)
+    return history.text_diff(old, new, "k", "json")
+
+
+@query("""with p as (select p_partkey as k, p_size as n from part) select 'missing-key' as problem, '' as key from p where n % 10 = 0 union all select 'repeated-key', cast(n as varchar) from p where n % 10 > 0 group by n having count(*) > 1 union all select 'other-count', 'rows' union all select 'pending-stop', 'r1'""")
+def snapshot_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with a snapshot."""
+    rows = _part(spark, sf_dir).select(F.when(N() % 10 > 0, N()).alias("n"))
+    return gates.snapshot_problems(rows, "n", {"rows": -5, "none": 0}, {"rows": F.count("*"), "none": F.count_if(F.col("n") < 0)}, spark.createDataFrame([("r1",)], "reason string"))
+
+
+@query("""select p_partkey as k, case when p_size % 2 = 0 and p_size % 3 > 0 then 'fresh' when p_size % 5 = 0 then 'reuse' when p_size % 7 = 0 then 'restore' else 'stop' end as choice, sha1(p_name) as sha1 from part""")
+def source_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a step takes of what is there, and digests."""
+    choice = gates.source_choice(fresh=N() % 2 == 0, cached=N() % 5 == 0, placeholder=N() % 3 == 0, legacy=N() % 7 == 0)
+    return _part(spark, sf_dir).select("k", choice.alias("choice"), F.sha1(F.col("p_name").cast("binary")).alias("sha1"))

@@ -461,6 +461,50 @@ def test_identity_of_a_folder_and_a_tarball(spark, tmp_path):
     assert rows(identity.retired(spark.createDataFrame([("i/1",), ("i/2",), ("x",)], "path string"), spark.createDataFrame([("i/2",)], "path string"), ("i",))) == [("i/1",)]
 
 
+def test_a_cache_of_pages(spark, tmp_path):
+    from tessera.plans import commands
+    from tessera.sources import cache
+
+    root = str(tmp_path / "cache")
+    page = "<table><tr><th>No.7</th></tr><tr><th>備考</th><td>開発可能</td></tr></table><h2>入手方法</h2><p>開発</p>"
+    capture = {"cache_key": "h/a.html", "url": "https://h/a", "fetch_status": "ok", "acquisition_source": "s", "item_id": 7, "item_name": "gun", "validated_at": 5}
+    cache.install_capture(spark, root, capture, b"old")
+    cache.install_capture(spark, root, capture, page.encode())
+    cache.install_capture(spark, root, capture | {"cache_key": "h/b.html", "item_id": 8}, page.encode())
+    (tmp_path / "cache/h/b.html").write_text("changed")
+    (tmp_path / "cache/h/.b.html.crc").unlink(missing_ok=True)
+    with pytest.raises(gates.GateError):
+        cache.install_capture(spark, root, capture | {"cache_key": "../x"}, b"")
+    with pytest.raises(gates.GateError):
+        cache.install_capture(spark, root, capture | {"content_sha256": "0"}, b"x")
+    spark.dataSource.register(cache.PageCache)
+    found = spark.read.format("page_cache").load(root)
+    assert rows(found, "cache_key", "state") == [("h/a.html", "ok"), ("h/b.html", "changed")]
+    metadata = spark.read.schema(io.CAPTURE).json(f"{root}/{cache.INDEX}").withColumn("pos", F.monotonically_increasing_id())
+    with pytest.raises(gates.GateError):
+        commands.offline_parse(spark, root, metadata, source="s")
+    records_, issues = commands.offline_parse(spark, root, metadata, str(tmp_path / "out"), source="s", allow_incomplete=True)
+    assert rows(records_, "item_id", "record.coverage") == [(7, "parsed")] and rows(issues, "item_id", "issue") == [(8, "changed")]
+    assert json.loads((tmp_path / "out/metadata.json").read_text())["counts"] == {"coverage.parsed": 1, "methods.development": 1}
+    assert commands.offline_parse(spark, root, metadata, source="s", items=[7])[0].count() == 1
+
+
+def test_validate_and_build(spark, tmp_path):
+    from tessera.plans import commands
+
+    thresholds = spark.createDataFrame([("m", 3.0, None)], "metric string, minimum double, ratio double")
+    counts = spark.createDataFrame([("m", 2.0)], "metric string, value double")
+    bad = spark.createDataFrame([(0, "{}")], "pos int, json string")
+    found = commands.validate({"drop": bad}, counts, counts, thresholds, strict=False)
+    assert ("metric", "m") in rows(found) and ("drop.id", "#0") in rows(found)
+    with pytest.raises(gates.GateError):
+        commands.validate({}, counts, counts, thresholds)
+    with pytest.raises(gates.GateError):
+        commands.build(spark, {}, str(tmp_path), strict=True, status={"a": "stale"})
+    manifest = commands.build(spark, {"x": spark.range(3)}, str(tmp_path / "p"), strict=True, status={"a": "fresh"})
+    assert manifest["sources"] == {"a": "fresh"} and manifest["files"]
+
+
 def test_stops_of_rules(spark):
     found = rules.drop_violations(spark.createDataFrame([(0, '{"equipmentId": 1, "equipmentName": "x", "sources": [{"shipId": 1, "shipName": "s", "method": "initial", "quantity": 1}]}'), (1, "no json")], "pos int, json string"))
     assert {r["key"] for r in found.collect()} == {"#1"}
