@@ -159,22 +159,22 @@ def _cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def forward_closure(edges: DataFrame) -> DataFrame:
-    """(root, node, distance) along successors (node, next, rank); each node once, at its least distance.
+    """(root, node, distance) along successors (node, next, ...); each node once, at its least distance.
 
-    On the first repeat of a node the walk stops, so cycles end. The walk of a root is one row that grows, so a step is one
-    equi-join.
+    Of several successors of a node the least is taken. On the first repeat of a node the walk stops, so cycles end. Each
+    round appends to a walk the walk of the node that it has come to, so walks double and the rounds are as the logarithm of the
+    longest; a walk is one row.
     """
-    walks = edges.select(F.col("node").alias("root"), F.col("node").alias("at"), F.array("node").alias("path"))
-    step = edges.where("next is not null").select(F.col("node").alias("_from"), F.col("next").alias("_to"))
-    # each round adds one edge to the walks that go on; none is longer than there are nodes
-    while True:
-        moved = walks.join(step, F.col("at") == F.col("_from"), "left")
-        goes = F.col("_to").isNotNull() & ~F.array_contains("path", F.col("_to"))
-        walks = moved.select("root", F.when(goes, F.col("_to")).alias("at"), F.when(goes, F.concat("path", F.array("_to"))).otherwise(F.col("path")).alias("path"))
-        walks = _cut_lineage(walks)
-        if walks.where("at is not null").limit(1).count() == 0:
-            break
-    return walks.select("root", F.posexplode("path").alias("distance", "node"))
+    step = edges.groupBy("node").agg(F.min("next").alias("at"))
+    ends = edges.where("next is not null").select(F.col("next").alias("node")).distinct().join(step.select("node"), "node", "left_anti")
+    state = step.union(ends.select("node", F.lit(None).cast(step.schema["at"].dataType)))
+    state = _cut_lineage(state.select(F.col("node").alias("root"), F.array("node").alias("path"), "at"))
+    while state.where("at is not null").limit(1).count():
+        more = state.select(F.col("root").alias("_root"), F.col("path").alias("_path"), F.col("at").alias("_at"))
+        joined = state.join(more, F.col("at") == F.col("_root"), "left").withColumn("_new", F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.array_distinct(F.concat("path", "_path"))))
+        whole = F.size("_new") == F.size("path") + F.size("_path")
+        state = _cut_lineage(joined.select("root", F.col("_new").alias("path"), F.when(whole, F.col("_at")).alias("at")))
+    return state.join(ends.withColumnRenamed("node", "root"), "root", "left_anti").select("root", F.posexplode("path").alias("distance", "node"))
 
 
 def cycles(edges: DataFrame) -> DataFrame:
@@ -223,10 +223,12 @@ def families(edges: DataFrame) -> DataFrame:
     state = edges.select("node").union(both.select("node")).distinct().withColumn("family", F.col("node"))
     while True:
         seen = both.join(state.select(F.col("node").alias("next"), F.col("family").alias("_f")), "next").groupBy("node").agg(F.min("_f").alias("_f"))
-        new = state.join(seen, "node", "left").select("node", F.least("family", "_f").alias("family"), (F.col("_f") < F.col("family")).alias("_moved"))
-        new = _cut_lineage(new)
-        state = new.select("node", "family")
-        if not new.where("_moved").limit(1).count():
+        near = state.join(seen, "node", "left").select("node", F.least("family", "_f").alias("_near"), (F.col("_f") < F.col("family")).alias("_moved"))
+        near = _cut_lineage(near)
+        # a node takes over what the node that it is named after has come to, so labels run ahead of the edges
+        ahead = near.select(F.col("node").alias("_near"), F.col("_near").alias("_far"))
+        state = _cut_lineage(near.join(ahead, "_near").select("node", F.col("_far").alias("family")))
+        if not near.where("_moved").limit(1).count():
             break
     return state
 
