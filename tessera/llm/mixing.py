@@ -5,12 +5,12 @@ of raked to counted tokens is a cell's weight. Sampling probabilities are the we
 calibrated so that the expected tokens are the budget with no probability over 1; a document is taken when a
 hash of its id, as a number in [0, 1), is below its probability.
 
-By default a marginal's target is its observed share to the power ``temper``, renormalised, and the topic is
-the document's form (``TOPICS``). Up to ``driver_cells`` cells are raked on the driver and broadcast; more are
+By default a marginal's target is its observed share to the power ``temper``, renormalised. The topic is a column
+``topic`` of the documents, or where they have none one learned from all texts (``topics``). Up to ``driver_cells`` cells are raked on the driver and broadcast; more are
 raked as a distributed table.
 
-Defined cases: null and empty texts have no tokens, form the topic ``empty`` and get the largest weight of
-their cell's marginals, 1 at least where there is nothing to rake; null source or language is a value of its
+Defined cases: null and empty texts have no tokens, learned topic ``empty``, and get the largest weight of
+their cell's marginals, 1 at least where there is nothing to rake; null source, language or topic is a value of its
 own; repeated rows of one id and cell are taken or left together; targets for values that don't occur are ignored
 and the rest renormalised, values without a target get none of the weight; where no target of a dimension occurs it
 keeps its observed shares; an empty table gives an empty
@@ -19,7 +19,7 @@ result; a table lacking the columns lang or source is raked to what it has.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm import topics
 from tessera.llm.common import materialise, slices, text_buffer
 from tessera.llm.words import NOT_SPACE, split
 
-TOPICS = ("empty", "short", "tabular", "noisy", "listed", "prose")
 DRIVER_CELLS = 100_000
 BUDGET = 0.6
 TEMPER = 0.7
@@ -39,32 +39,38 @@ TOLERANCE = 1e-6
 _DIMS = ("source", "lang", "topic")
 
 
-def form(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Topic and words of each whole text."""
-    raw, offsets = text_buffer(column)
-    words = np.diff(split(raw, offsets, NOT_SPACE).offsets)
+def _texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, lang, topic, text): strings, null where the table lacks the column."""
+    part = lambda c: (F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")).alias(c)
+    return docs.select("doc_id", *map(part, _DIMS), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-    def share(of: bytes) -> np.ndarray:
-        table = np.zeros(256, np.int64)
-        table[list(of)] = 1
-        total = np.concatenate([[0], np.cumsum(table[raw])])
-        return (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
 
-    conditions = [words == 0, words < 50, share(b"|\t") > 0.01, share(b"!#$%&*") > 0.04, share(b"\n") > 0.02]
-    return np.select(conditions, TOPICS[:-1], TOPICS[-1]), words
+def _teller(docs: DataFrame) -> Callable[[pa.RecordBatch], tuple[pa.Array, np.ndarray]]:
+    """What gives the topics and words of a slice (lang, topic, text): topics learned from all texts, if the table has none."""
+    given = "topic" in docs.columns
+    known = None if given else topics.learn(_texts(docs))
 
+    def tell(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+        words = split(*text_buffer(batch.column("text")), NOT_SPACE)
+        count = np.diff(words.offsets)
+        if given:
+            return batch.column("topic"), count
+        found = known(topics.features(words), batch.column("lang").to_pylist())
+        return pa.array(["empty" if k < 0 else f"topic-{k}" for k in found.tolist()], pa.string()), count
 
-def measure(docs: DataFrame) -> DataFrame:
+    return tell
+
+
+def measure(docs: DataFrame, tell: Callable | None = None) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens) of every row; a missing source or language is null."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", *((F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")).alias(c) for c in ("source", "lang")), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    id_type, tell = docs.schema["doc_id"].dataType.simpleString(), tell or _teller(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            topic, words = form(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array(topic.tolist(), pa.string()), pa.array(words, pa.int64())], names=["doc_id", "source", "lang", "topic", "n_tokens"])
+            topic, words = tell(batch)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "lang")), topic, pa.array(words, pa.int64())], names=["doc_id", "source", "lang", "topic", "n_tokens"])
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, source string, lang string, topic string, n_tokens long")
+    return _texts(docs).mapInArrow(run, f"doc_id {id_type}, source string, lang string, topic string, n_tokens long")
 
 
 def tempered(shares: dict, temper: float) -> dict:
@@ -209,19 +215,21 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The sampled documents with all their columns; texts are not moved where the cells can be broadcast."""
-    cells, small = rake(materialise(measure(docs), "mixing-measured"), **options)
+    tell = _teller(docs)
+    cells, small = rake(materialise(measure(docs, tell), "mixing-measured"), **options)
     cells = cells.select(*(F.col(d).alias(f"_tessera_{d}") for d in _DIMS), F.col("probability").alias("_tessera_p"))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            yield batch.append_column("_tessera_form", pa.array(form(batch.column("text"))[0].tolist(), pa.string()))
-
-    marked = docs.mapInArrow(mark, _with_form(docs))
-    value = {"topic": F.col("_tessera_form")} | {c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("source", "lang")}
+    value = {c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("source", "lang")}
+    if "topic" in docs.columns:
+        marked, value["topic"] = docs, F.col("topic").cast("string")
+    else:
+        marked, value["topic"] = docs.withColumn("_tessera_own", value["lang"]), F.col("_tessera_form")
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                told = tell(pa.RecordBatch.from_arrays([batch.column("_tessera_own"), batch.column("text").cast(pa.string())], names=["lang", "text"]))[0]
+                yield batch.append_column("_tessera_form", told)
+
+        marked = marked.mapInArrow(mark, T.StructType([*marked.schema.fields, T.StructField("_tessera_form", T.StringType())]))
     match = [value[d].eqNullSafe(F.col(f"_tessera_{d}")) for d in _DIMS]
     joined = marked.join(F.broadcast(cells) if small else cells, match[0] & match[1] & match[2])
     return joined.where(place(F.col("doc_id")) < F.col("_tessera_p")).select(*docs.columns)
-
-
-def _with_form(docs: DataFrame) -> T.StructType:
-    return T.StructType([*docs.schema.fields, T.StructField("_tessera_form", T.StringType())])

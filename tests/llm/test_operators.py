@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, shard, tokens, topk
+from tessera.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, shard, tokens, topics, topk
 from tessera.llm.common import text_buffer
 from tessera.llm.words import ALNUM, NOT_SPACE, fingerprint, prefix_sums, split
 
@@ -301,20 +301,17 @@ def test_the_distributed_way_gives_the_same(documents):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(k for k, r in near.items() if r["sampled"])
 
 
-@pytest.mark.parametrize("targets", [{"lang": {"xx": 1.0}}, {"lang": {"en": 3.0, "xx": 1.0}, "topic": {"prose": 1.0, "short": 2.0}}, {"source": {"none": 1.0}, "lang": {None: 1.0, "en": 1.0}}])
+@pytest.mark.parametrize("targets", [{"lang": {"xx": 1.0}}, {"lang": {"en": 3.0, "xx": 1.0}, "topic": {"empty": 1.0, "topic-1": 2.0, "topic-3": 1.0}}, {"source": {"none": 1.0}, "lang": {None: 1.0, "en": 1.0}}])
 def test_both_ways_treat_targets_alike(odd, targets):
     near, far = (sorted((r["doc_id"] or 0, r["source"] or "", round(r["weight"], 6), round(r["probability"], 6), r["sampled"]) for r in mixing.mix(odd, targets=targets, rounds=2, driver_cells=n).collect()) for n in (mixing.DRIVER_CELLS, 0))
     assert near == far
 
 
-def brute_mixing(docs, temper, budget):
-    """The whole of the operator by plain loops: cells, raking, calibration."""
+def brute_mixing(docs, topic_of, temper, budget):
+    """Cells, raking and calibration by plain loops."""
     cells, dims = {}, ("source", "lang", "topic")
     for r in docs:
-        raw = (r["text"] or "").encode()
-        words = len(raw.split())
-        share = lambda of: sum(b in of for b in raw) / max(len(raw), 1)  # noqa: B023, E731
-        topic = "empty" if not words else "short" if words < 50 else "tabular" if share(b"|\t") > 0.01 else "noisy" if share(b"!#$%&*") > 0.04 else "listed" if share(b"\n") > 0.02 else "prose"
+        words, topic = len((r["text"] or "").encode().split()), topic_of[r["doc_id"]]
         cells.setdefault((r["source"], r["lang"], topic), []).append((r["doc_id"], words))
     mass = {c: float(sum(n for _, n in rows)) for c, rows in cells.items()}
     total, tokens = sum(mass.values()), dict(mass)
@@ -344,9 +341,46 @@ def brute_mixing(docs, temper, budget):
     return {i: (n, c[2], weight.get(c, largest), min(1, high * weight.get(c, largest))) for c, rows in cells.items() for i, n in rows}
 
 
+def plain_topics(docs, rounds):
+    """Spherical k-means over hashed words by plain loops over all texts: the topic of each."""
+    x, langs = {}, {}
+    for r in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower(r["text"]))
+        counts = np.zeros(topics.WIDTH)
+        for print_ in fingerprint([w.encode() for w in words]).tolist() if words else []:
+            counts[print_ >> 57] += 1
+        root = np.sqrt(counts)
+        x[r["doc_id"]], langs[r["doc_id"]] = np.round(255 * root / max(np.sqrt((root * root).sum()), 1e-9)), r["lang"]
+    taught = [i for i in x if x[i].any()]
+    mean = {lang: np.mean([x[i] for i in taught if langs[i] == lang], axis=0) for lang in {langs[i] for i in taught}}
+    unit = {i: (d := x[i] - mean[langs[i]]) / max(np.sqrt((d * d).sum()), 1e-9) for i in taught}
+    centroids = np.random.default_rng(31).normal(size=(topics.TOPICS, topics.WIDTH))
+    for step in range(rounds + 1):
+        place = {i: int((centroids @ unit[i]).argmax()) for i in taught}
+        if step < rounds:
+            for k in set(place.values()):
+                total = sum(unit[i] for i in taught if place[i] == k)
+                centroids[k] = total / np.sqrt((total * total).sum())
+    return {i: f"topic-{place[i]}" if i in place else "empty" for i in x}
+
+
+def test_topics_are_those_of_plain_clustering(documents):
+    found = {r["doc_id"]: r["topic"] for r in mixing.measure(documents).collect()}
+    wanted = plain_topics(documents.collect(), topics.ROUNDS)
+    same = [i for i in wanted if found[i] == wanted[i]]
+    assert found.keys() == wanted.keys() and len(same) >= 0.99 * len(wanted)  # sums in another order may tip a tie
+    assert len(set(found.values())) > 3
+
+
+def test_given_topics_are_used(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "a b c", None), (3, None, "y")], "doc_id long, text string, topic string")
+    assert sorted((r["doc_id"], r["topic"]) for r in mixing.mix(docs).collect()) == [(1, "x"), (2, None), (3, "y")]
+    assert mixing.sample(docs, budget=1.0).columns == docs.columns
+
+
 def test_mixing_is_that_of_brute_force(documents):
     found = {r["doc_id"]: r for r in mixing.mix(documents).collect()}
-    wanted = brute_mixing(documents.collect(), mixing.TEMPER, mixing.BUDGET)
+    wanted = brute_mixing(documents.collect(), {i: r["topic"] for i, r in found.items()}, mixing.TEMPER, mixing.BUDGET)
     assert found.keys() == wanted.keys()
     for i, (n, topic, weight, probability) in wanted.items():
         r = found[i]
