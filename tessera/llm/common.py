@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import os
 import re
 import shutil
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that one vectorised step handles; it bounds a worker's memory whatever the batch holds.
 SLICE_BYTES = 1_000_000
 FAN = 1024
+#: Rows of a batch between the JVM and Python: with the default, batches of long texts fill the memory of both.
+BATCH_ROWS = 1000
+_BATCH, _DEFAULT_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,8 +38,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows of texts go to Python and back in batches of ``BATCH_ROWS``, unless the session has a size of its own."""
+    if spark.conf.get(_BATCH, _DEFAULT_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs that are done: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends (``clear_scratch`` removes it earlier)."""
+    small_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     _paths.append((spark, path))
     return path
@@ -201,6 +218,8 @@ def _add_rows(group: pa.Table) -> pa.Table:
 def keep_rows(docs: DataFrame, judge) -> DataFrame:
     """The rows, with all their columns, for whose slices ``judge(batch)`` is true: a narrow stage."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             yield batch.filter(pa.array(judge(batch), pa.bool_()))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod, keep_rows, slices, text_buffer
+from tessera.llm.common import crc_mod, keep_rows, slices, small_batches, text_buffer
 from tessera.llm.words import LOWER, fingerprints, prefix_sums, split, stretch_fingerprints
 
 UNDETERMINED = "und"
@@ -267,6 +267,7 @@ def train(docs: DataFrame, *, model_path: str | None = None, train_docs: int = 1
     One group for each language fits in a worker: it has ``train_words`` distinct words at most. Every
     language is learned, and of a run of over ``MAX_RUN`` bytes every piece is counted.
     """
+    small_batches(docs.sparkSession)
     path = model_path or piece_model_path()
     known = docs.where(F.col("lang").isNotNull())
     sizes = known.groupBy("lang").count().select("lang", (F.lit(float(train_docs)) / F.col("count")).alias("share"))
