@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import ctypes
-import gc
 import os
 import re
 import shutil
@@ -44,12 +43,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of jobs that are done: it does so when the driver collects its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends (``clear_scratch`` removes it earlier)."""
     small_batches(spark)
