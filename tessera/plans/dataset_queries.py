@@ -326,12 +326,12 @@ def list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.list_violations(documents)
 
 
-@query("""with p as (select p_partkey as k, p_size as n from part) select 'asset.name' as rule, 'assets/' || k || '.jpg' as key from p where n % 4 = 0 union all select 'asset.kind', 'assets/' || k || case when n % 4 = 0 then '.jpg' else '.png' end from p where n % 5 = 0 union all select 'asset.size', 'assets/' || k || case when n % 4 = 0 then '.jpg' else '.png' end from p where n % 3 = 0""")
+@query("""with p as (select p_partkey + 1 as k, p_size as n from part) select 'asset.name' as rule, 'assets/' || k || '.jpg' as key from p where n % 4 = 0 union all select 'asset.kind', 'assets/' || k || case when n % 4 = 0 then '.jpg' else '.png' end from p where n % 5 = 0 union all select 'asset.size', 'assets/' || k || case when n % 4 = 0 then '.jpg' else '.png' end from p where n % 3 = 0""")
 def asset_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V5: names, kinds and sizes of pictures."""
     head = F.when(N() % 5 == 0, "00504E470D0A1A0A").otherwise("89504E470D0A1A0A")
     content = F.unhex(said(head, "0000000D49484452", "00000186", F.when(N() % 3 == 0, "00000000").otherwise("00000186")))
-    files = _part(spark, sf_dir).select(said("assets/", K(), F.when(N() % 4 == 0, ".jpg").otherwise(".png")).alias("path"), content.alias("content"))
+    files = _numbered(spark, sf_dir).select(said("assets/", K(), F.when(N() % 4 == 0, ".jpg").otherwise(".png")).alias("path"), content.alias("content"))
     return rules.asset_violations(files, kind="png", size=(390, 390))
 
 
