@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, shard, tokens, topk
+from tessera.llm import decontaminate, langid, linededup, lm, mixing, neardup, quality, secrets, shard, tokens, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,8 +54,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(_read(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digests(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_tokens, op3_mixing, op4_lm_scores, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding)}
+    found = (
+        op1_near_duplicates, op2_tokens, op3_mixing, op4_lm_scores, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding,
+        op11_line_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -85,7 +93,14 @@ _OP6 = """with v as (select vec_id, row_number() over () as pos, list_transform(
   p as (select q.pos, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score from v q join v c on q.pos <> c.pos where q.vec_id % 20 = 0)
   select query_id, cast(r as int) as rank, vec_id, score from (select *, row_number() over (partition by pos order by score desc, vec_id) as r from p) where r <= 20"""
 
+_OP11 = """with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+  e as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from l),
+  k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from e),
+  g as (select key, max(doc_id) as top from k where length(key) >= 20 group by 1 having count(distinct doc_id) >= 3),
+  f as (select k.*, coalesce(doc_id < top, false) as gone from k left join g using (key))
+  select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256 from f group by 1"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators whose results it can say; the others are tested against brute force or held-out rows."""
-    return {"op1_near_duplicates": _OP1, "op5_decontamination": _OP5, "op6_topk": _OP6}
+    return {"op1_near_duplicates": _OP1, "op5_decontamination": _OP5, "op6_topk": _OP6, "op11_line_dedup": _OP11}
