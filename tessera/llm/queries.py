@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, langid, linededup, lm, mixing, neardup, quality, secrets, shard, tokens, topk
+from tessera.llm import align, decontaminate, langid, linededup, lm, mixing, neardup, quality, secrets, shard, tokens, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,10 +58,14 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(_read(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_tokens, op3_mixing, op4_lm_scores, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding,
-        op11_line_dedup,
+        op11_line_dedup, op13_token_alignment,
     )
     return {f.__name__: f for f in found}
 
