@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import align, decontaminate, langid, linededup, lm, mixing, neardup, quality, secrets, shard, tokens, topk
+from tessera.llm import align, decontaminate, langid, linededup, lm, mixing, neardup, quality, repair, secrets, shard, tokens, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(_read(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(_read(spark, sf_dir, "conversations"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(_read(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_near_duplicates, op2_tokens, op3_mixing, op4_lm_scores, op5_decontamination, op6_topk, op7_secrets, op8_quality, op9_language_id, op10_sharding,
-        op11_line_dedup, op13_token_alignment,
+        op11_line_dedup, op12_conversation_repair, op13_token_alignment,
     )
     return {f.__name__: f for f in found}
 
@@ -104,7 +108,31 @@ _OP11 = """with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) a
   f as (select k.*, coalesce(doc_id < top, false) as gone from k left join g using (key))
   select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256 from f group by 1"""
 
+_OP12 = r"""with recursive
+  crc as (select list(v order by i) as tab from (select i, list_reduce([i, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) t(i))),
+  k as (select conv_id, turn, coalesce(cast(conv_id as varchar), ' ') as c, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key from conversations),
+  h as (select k.*, xor(list_reduce([4294967295] || list_transform(string_split(key, ''), lambda x: ascii(x)::bigint), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 20 as kind from k, crc),
+  dmg as (select c, turn, case when kind = 4 then 'user' else role end as role, case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as copy from h where kind <> 0),
+  o as (select *, row_number() over (partition by c order by turn nulls first, role, sha256(text), copy) as i, substr(role, 1, 1) as x, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from dmg),
+  f as (select *, case when bare = '' then 'b' when row_number() over (partition by c, role, text order by i) > 1 then 'd' when right(bare, 1) not in ('.', '!', '?') then 't' else '' end as fault, lag(x) over (partition by c order by i) as before from o),
+  ins(p, q, k, extra) as (values (0, 0, '', []::varchar[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []), (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']), (3, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']), (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:'])),
+  step(q, y, e) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+  dp as (select distinct c, 0::bigint as i, 0 as e, {'cost': 0::bigint, 'audit': '', 'rep': []::varchar[]} as w from f
+    union all
+    select c, i, e, min(w) from (
+      select f.c, f.i, dp.e, {'cost': w.cost + 2, 'audit': w.audit || 'D', 'rep': w.rep} as w from dp join f on f.c = dp.c and f.i = dp.i + 1
+      union all
+      select f.c, f.i, s.e, {'cost': w.cost + 5 * length(n.k) + case when f.x = s.y then 0 else 1 end + case when fault = 't' then 5 else 0 end, 'audit': w.audit || n.k || case when f.x = s.y then 'K' else 'R' end,
+        'rep': list_concat(list_concat(w.rep, n.extra), [case when f.x = s.y then f.role when s.y = 'u' then 'user' else 'assistant' end || ':' || f.text])}
+      from dp join f on f.c = dp.c and f.i = dp.i + 1 join ins n on n.p = dp.e join step s on s.q = n.q and (s.y <> 's' or f.x = 's') where fault not in ('b', 'd')) group by c, i, e),
+  t as (select c, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated, count(*) filter (before is not null and before || x not in ('su', 'ua', 'au')) as illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, max(i) as n from f group by c),
+  e as (select dp.c, min({'cost': w.cost + 5 * length(k), 'audit': w.audit || k, 'rep': list_concat(w.rep, extra)}) as w from dp join t on t.c = dp.c and t.n = dp.i join ins on ins.p = dp.e and (ins.q = 3 or ins.q = 0) group by dp.c)
+  select i.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(w.cost, 0) as cost, coalesce(w.audit, '') as audit,
+    sha256(coalesce(array_to_string(w.rep, chr(10)), '')) as repaired_sha256
+  from (select distinct conv_id, c from k) i left join t using (c) left join e using (c)"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators whose results it can say; the others are tested against brute force or held-out rows."""
-    return {"op1_near_duplicates": _OP1, "op5_decontamination": _OP5, "op6_topk": _OP6, "op11_line_dedup": _OP11}
+    return {"op1_near_duplicates": _OP1, "op5_decontamination": _OP5, "op6_topk": _OP6, "op11_line_dedup": _OP11, "op12_conversation_repair": _OP12}
