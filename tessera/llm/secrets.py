@@ -59,7 +59,7 @@ _ASSIGNED = re.compile(rb"=(?![=~])")
 _QUOTED = re.compile(rb"""[rRbBuUfF@]{0,2}(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`]*+)`)""", re.DOTALL)
 #: What may stand between the line's begin and the name of a bare configuration value.
 _LEADS = (b"export", b"set", b"-", b"ENV", b"const", b"let", b"var", b"final", b"{", b",")
-_JOIN = re.compile(rb"[ \t]*(?:\+|\.{1,2}|\\\n)?[ \t]*\n?[ \t]*(?=[rRbBuUfF@]{0,2}[\"'`])")
+_JOIN = re.compile(rb"[ \t]*+(?:(?:\+|\.{1,2}|\\\n)[ \t]*+)?+(?:\n[ \t]*+)?+(?=[rRbBuUfF@]{0,2}[\"'`])")
 _BARE = re.compile(rb"""[^\s"'`,;(){}\[\]<>]+""")
 _IDENTIFIER = re.compile(rb"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z")
 _WORDS = re.compile(r"[A-Z]+(?=[A-Z][a-z])|[A-Z]?[a-z]+|[A-Z]+|\d+")
