@@ -34,13 +34,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import crc_mod, keep_rows, slices, small_batches, text_buffer
-from tessera.llm.words import LOWER, fingerprints, prefix_sums, split, stretch_fingerprints
+from tessera.llm.words import LOWER, byte_values, fingerprints, sealed, split
 
 UNDETERMINED = "und"
 MAX_RUN = 48
 LONG_RUN = 2048  # from here on a run goes by stretches
 STRETCH = 32_768
 FLOOR = 1e-6
+#: Probabilities are raised by this factor for each byte of their piece, and sums lowered again: all segmentations have the same bytes. So
+#: no sum over ``MAX_RUN`` bytes is too small for a float, of unknown characters neither.
+RAISED = 1e5
 MEMO = 400_000
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(97, 123), *range(128, 256)]] = True
@@ -70,13 +73,13 @@ class Pieces:
         self.longest = self.sizes[-1]
         self.size = len(inside) + 256  # and a piece for each byte
         self.first_byte = len(inside) + 1
+        self.raise_by = RAISED ** np.array([0, *(len(t) for t in inside), *[1] * 256], float)
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.prints >> np.uint64(44)).astype(np.int64)] = True
 
-    def find(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Numbers of stretches of a text by its prefix sums."""
-        prints = stretch_fingerprints(sums, starts, ends)
-        out = np.zeros(len(starts), np.int32)
+    def find(self, prints: np.ndarray) -> np.ndarray:
+        """Numbers of pieces by their fingerprints."""
+        out = np.zeros(len(prints), np.int32)
         maybe = np.flatnonzero(self.seen[(prints >> np.uint64(44)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.prints, prints[maybe]), len(self.prints) - 1)
         hit = self.prints[at] == prints[maybe]
@@ -85,15 +88,21 @@ class Pieces:
 
     def at(self, text: np.ndarray, left: np.ndarray) -> dict[int, np.ndarray]:
         """By size the pieces that begin at each place of a text, where as many bytes of its run are left; a byte's own where no piece has it."""
-        sums, out = prefix_sums(text), {}
-        for size in self.sizes:
-            out[size] = np.zeros(len(text), np.int32)
-            at = np.flatnonzero(left >= size)
-            out[size][at] = self.find(sums, at, at + size)
+        sums, out = np.zeros(len(text), np.uint64), {}
+        place = np.arange(len(text))
+        for size in range(1, self.longest + 1):
+            place = place[left[place] >= size]
+            sums[place] += byte_values(text[place + size - 1], size - 1)
+            if size in self.sizes:
+                out[size] = np.zeros(len(text), np.int32)
+                out[size][place] = self.find(sealed(sums[place], size))
         alone = out[1] == 0
         out[1][alone] = self.first_byte + text[alone].astype(np.int32)
         return out
 
+    def raised(self, table: np.ndarray) -> np.ndarray:
+        return table * self.raise_by[:, None]
+
 
 @functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -114,7 +123,7 @@ class Runs:
         source = starts[word] + within - marked[word]
         mark = (within == 0) & (marked[word] == 1)
         self.text = np.where(mark, np.uint8(0x20), text[np.minimum(np.maximum(source, 0), max(len(text) - 1, 0))]) if total else np.zeros(0, np.uint8)
-        self.sizes = vocabulary.sizes
+        self.vocabulary, self.sizes = vocabulary, vocabulary.sizes
         self.piece = vocabulary.at(self.text, np.repeat(self.begin + length, length) - np.arange(total))
         # how many words have at least so many bytes
         self.alive = np.searchsorted(-length, -np.arange(int(length[0]) + 2 if len(length) else 2), "right")
@@ -136,8 +145,16 @@ class Runs:
                     into[at] += alpha[end - size, at] * table[piece[at]]
         return alpha, alpha[self.length, np.arange(len(self.length))]
 
+    def _lowered(self, logs: np.ndarray) -> np.ndarray:
+        return logs - np.log(RAISED) * self.length[:, None]
+
+    def log_short(self, table: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums of whole words of some ``MAX_RUN`` bytes at most."""
+        return self._lowered(np.log(self.forward(self.vocabulary.raised(table))[1]))
+
     def log_forward(self, table: np.ndarray) -> np.ndarray:
         """Logarithms of the sums of whole words of any length: of the forward sums only the last are kept, and scaled."""
+        table = self.vocabulary.raised(table)
         places, languages = self.sizes[-1] + 1, table.shape[1]
         ring = np.zeros((places, len(self.length), languages))
         ring[0] = 1
@@ -159,10 +176,11 @@ class Runs:
                 most = ring[:, :n].max(axis=0)
                 ring[:, :n] /= most
                 scale[:n] += np.log(most)
-        return out
+        return self._lowered(out)
 
     def expected(self, table: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected counts of the pieces over words of these weights, for a table of one language."""
+        table = self.vocabulary.raised(table)
         alpha, whole = self.forward(table)
         scale = weight[self.order] / whole[:, 0]
         counts = np.zeros(len(table))
@@ -200,7 +218,7 @@ def _stretch_map(pieces_at: dict[int, np.ndarray], starts: np.ndarray, size: int
 
 def long_likelihood(vocabulary: Pieces, run: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Logarithm, for each language, of the sum over all segmentations of one run of any length (its mark included)."""
-    places, languages = vocabulary.longest, table.shape[1]
+    places, languages, table = vocabulary.longest, table.shape[1], vocabulary.raised(table)
     state, scale = np.zeros((places, languages)), np.zeros(languages)
     state[-1] = 1  # the forward sums at the last places; the newest is last
     for begin in range(0, len(run), STRETCH):
@@ -221,7 +239,7 @@ def long_likelihood(vocabulary: Pieces, run: np.ndarray, table: np.ndarray) -> n
             state = np.einsum("ibl,bl->il", _stretch_map(pieces_at, np.array([begin - low + whole * MAX_RUN]), rest, table)[:, 0], state)
             most = state.max(axis=0)
             state, scale = state / most, scale + np.log(most)
-    return np.log(state[-1]) + scale
+    return np.log(state[-1]) + scale - np.log(RAISED) * len(run)
 
 
 def _runs_of(raw: np.ndarray, offsets: np.ndarray, *, cut: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -348,7 +366,7 @@ class Scorer:
         for k in range(0, len(short), 20_000):
             some = first[short[k : k + 20_000]]
             runs = Runs(self.vocabulary, text, starts[some], ends[some], marked[some])
-            values[short[k : k + 20_000][runs.order]] = np.log(runs.forward(self.table)[1])
+            values[short[k : k + 20_000][runs.order]] = runs.log_short(self.table)
         long = new[(size[new] > MAX_RUN) & (size[new] <= LONG_RUN)]
         if len(long):
             runs = Runs(self.vocabulary, text, starts[first[long]], ends[first[long]], marked[first[long]])

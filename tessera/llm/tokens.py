@@ -34,7 +34,7 @@ from tessera.llm.common import load_shared, make_shared, open_shared, scratch_pa
 from tessera.llm.words import NOT_SPACE, Words, split
 
 END_ID = 2
-SLOT_BITS, WIDTH = 20, 10  # of the memory: places for parts, and ids of a part at most
+SLOT_BITS, WIDTH, KEPT = 20, 10, 24  # of the memory: places for parts, ids and bytes of a part at most
 _LETTER, _DIGIT, _MARK, _ODD = 1, 2, 3, 4
 _KIND = np.full(256, _ODD, np.uint8)
 _KIND[33:127] = _MARK
@@ -67,10 +67,27 @@ def _ends_of_parts(tokenizer) -> np.ndarray | None:
     return out
 
 
+def _same_bytes(text: np.ndarray, starts: np.ndarray, length: np.ndarray, others: np.ndarray) -> bool:
+    """Whether each stretch has the bytes of the stretch that it is taken for, so many stretches at a time that memory stays small."""
+    if not (length == length[others]).all():
+        return False
+    total = np.concatenate([[0], np.cumsum(length)])
+    at = 0
+    while at < len(starts):
+        stop = max(int(np.searchsorted(total, total[at] + (1 << 20), "right")) - 1, at + 1)
+        n = length[at:stop]
+        place = np.arange(total[stop] - total[at]) - np.repeat(total[at:stop] - total[at], n)
+        if not (text[np.repeat(starts[at:stop], n) + place] == text[np.repeat(starts[others[at:stop]], n) + place]).all():
+            return False
+        at = stop
+    return True
+
+
 class Encoder:
     """A tokenizer with a memory of parts: runs of letters (ASCII and Latin-1), digits, runs of other ASCII, odd words.
 
     The memory has a place for each value of some bits of a part's fingerprint; a new part takes the place of the old.
+    Parts are taken for the same only if their bytes are.
     """
 
     def __init__(self, path: str):
@@ -81,6 +98,8 @@ class Encoder:
         self.ends = _ends_of_parts(self.tokenizer)
         self.prints = np.zeros(1 << SLOT_BITS, np.uint64)
         self.sizes = np.zeros(1 << SLOT_BITS, np.int8)
+        self.parts = np.zeros((1 << SLOT_BITS, KEPT), np.uint8)
+        self.lengths = np.zeros(1 << SLOT_BITS, np.int8)
         self.ids = np.zeros((1 << SLOT_BITS, WIDTH), np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
 
     def whole(self, text: str) -> list[int]:
@@ -126,17 +145,28 @@ class Encoder:
         found = [self.whole(p) if o else next(known) for p, o in zip(pieces, odd)]
         return np.concatenate([np.asarray(x, np.uint32) for x in found]), np.array([len(x) for x in found])
 
+    def _texts(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, each encoded by itself."""
+        texts = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
+        found = [np.array([*e.ids, END_ID], np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return np.concatenate([*found, np.zeros(0, np.uint32)]), np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a slice, each with the end id, and their offsets."""
         n = len(offsets) - 1
         if self.ends is None:
-            texts = [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
-            found = [np.array([*e.ids, END_ID], np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-            return np.concatenate([*found, np.zeros(0, np.uint32)]), np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
+            return self._texts(raw, offsets)
         units, odd = self._units(raw, offsets)
         prints, first, inverse = np.unique(units.fingerprints(), return_index=True, return_inverse=True)
+        length = units.ends - units.starts
+        if not _same_bytes(units.text, units.starts, length, first[inverse.ravel()]):
+            return self._texts(raw, offsets)
         slot = (prints >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        have = (self.prints[slot] == prints) & (self.sizes[slot] > 0)
+        length = length[first]
+        step = np.arange(KEPT)
+        parts = units.text[np.minimum(units.starts[first][:, None] + step, max(len(units.text) - 1, 0))] if len(first) else np.zeros((0, KEPT), np.uint8)
+        parts[step >= length[:, None]] = 0
+        have = (self.prints[slot] == prints) & (self.sizes[slot] > 0) & (self.lengths[slot] == length) & (self.parts[slot] == parts).all(axis=1)
         old, new = np.flatnonzero(have), np.flatnonzero(~have)
         sizes = np.zeros(len(prints), np.int64)
         sizes[old] = self.sizes[slot[old]]
@@ -146,18 +176,17 @@ class Encoder:
         begin[old] = np.cumsum(sizes[old]) - sizes[old]
         begin[new] = len(known) + np.cumsum(sizes[new]) - sizes[new]
         pool = np.concatenate([known, flat])
-        short = new[(sizes[new] <= WIDTH) & (sizes[new] > 0)]
-        self.prints[slot[short]], self.sizes[slot[short]] = prints[short], sizes[short]
+        short = new[(sizes[new] <= WIDTH) & (sizes[new] > 0) & (length[new] <= KEPT)]
+        self.prints[slot[short]] = prints[short]
         # where several new parts have one place, the last of them has taken it
         short = short[self.prints[slot[short]] == prints[short]]
-        self.sizes[slot[short]] = sizes[short]
+        self.sizes[slot[short]], self.lengths[slot[short]], self.parts[slot[short]] = sizes[short], length[short], parts[short]
         for k in range(WIDTH):
             longer = short[sizes[short] > k]
             self.ids[slot[longer], k] = pool[begin[longer] + k]
         inverse = inverse.ravel()
-        length = sizes[inverse]
-        before = np.concatenate([[0], np.cumsum(length)])
-        at = np.repeat(begin[inverse] - before[:-1], length) + np.arange(before[-1])
+        before = np.concatenate([[0], np.cumsum(sizes[inverse])])
+        at = np.repeat(begin[inverse] - before[:-1], sizes[inverse]) + np.arange(before[-1])
         bounds = before[units.offsets] + np.arange(n + 1)  # with an end id for each row before
         out = np.full(int(before[-1]) + n, END_ID, np.uint32)
         row = np.repeat(np.arange(n), np.diff(before[units.offsets]))

@@ -1,7 +1,8 @@
 """Vectorised words of UTF-8 texts: bounds and 64-bit fingerprints of all words of a slice at once.
 
 A word is a maximal run of bytes of one class; ASCII letters are lower-cased first. The fingerprint of a
-word is a polynomial over its bytes modulo 2**64, taken as a difference of prefix sums, then mixed.
+word is the sum, modulo 2**64, of a pseudo-random value for each byte at each place of the word, mixed with its length: no
+structure of a word makes it collide with others, as it would in a polynomial.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import numpy as np
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-_BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2**64
+_BASE = 0xD1342543DE82EF95
+_AT_ONCE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,7 +34,7 @@ def stream(n: int, seed: int) -> np.ndarray:
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BYTE_VALUE = stream(256, 7)
+_NEAR = 64  # places of a word whose values are kept in a table
 
 #: Word bytes: all but space and \t..\r.
 NOT_SPACE = np.ones(256, bool)
@@ -41,17 +43,27 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.ones(256, bool)
 ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = False
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
+def _value(key: np.ndarray) -> np.ndarray:
+    return mix((key.astype(np.uint64) + np.uint64(1)) * np.uint64(_GOLDEN) + np.uint64(_BASE))
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _powers[i] = np.multiply.accumulate(factors)
-    return _powers[0], _powers[1]
+
+_VALUES = _value(np.arange(_NEAR * 256))
+
+
+def byte_values(text: np.ndarray, place: np.ndarray | int) -> np.ndarray:
+    """The values of bytes at places of their words."""
+    key = np.asarray(text, np.int64) + np.asarray(place, np.int64) * 256
+    out = _VALUES[np.minimum(key, len(_VALUES) - 1)]
+    far = np.flatnonzero(key >= len(_VALUES))
+    if len(far):
+        out[far] = _value(key[far])
+    return out
+
+
+def sealed(sums: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+    """Fingerprints from the sums of the words' values."""
+    return mix(sums ^ (np.asarray(lengths).astype(np.uint64) * np.uint64(_GOLDEN)))
 
 
 @dataclass
@@ -88,21 +100,20 @@ def split(raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray) -> Words
     return Words(text, starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets))
 
 
-def prefix_sums(text: np.ndarray) -> np.ndarray:
-    """Of a text's bytes, from which the fingerprint of any stretch of it follows."""
-    down = _power_tables(len(text) + 1)[1]
-    sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[text] * down[: len(text)], out=sums[1:])
-    return sums
-
-
-def stretch_fingerprints(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up = _power_tables(len(sums))[0]
-    return mix((sums[ends] - sums[starts]) * up[starts] ^ ((ends - starts).astype(np.uint64) * np.uint64(_GOLDEN)))
-
-
 def fingerprints(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return stretch_fingerprints(prefix_sums(text), starts, ends)
+    """Fingerprints of stretches of a text, some at a time, so that memory goes with the longest."""
+    starts, lengths = np.asarray(starts, np.int64), np.asarray(ends, np.int64) - starts
+    sums, total = np.zeros(len(starts), np.uint64), np.concatenate([[0], np.cumsum(lengths)])
+    at = 0
+    while at < len(starts):
+        stop = max(int(np.searchsorted(total, total[at] + _AT_ONCE, "right")) - 1, at + 1)
+        begin = total[at : stop + 1] - total[at]
+        place = np.arange(begin[-1]) - np.repeat(begin[:-1], lengths[at:stop])
+        running = np.zeros(int(begin[-1]) + 1, np.uint64)
+        np.cumsum(byte_values(text[np.repeat(starts[at:stop], lengths[at:stop]) + place], place), out=running[1:])
+        sums[at:stop] = running[begin[1:]] - running[begin[:-1]]
+        at = stop
+    return sealed(sums, lengths)
 
 
 def fingerprint(words: list[bytes]) -> np.ndarray:
