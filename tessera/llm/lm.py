@@ -292,7 +292,8 @@ class Counted:
             context[:1] = texts
             context[1:] = own[k - 1][:-1]
             context[chunk.since == 0] = texts
-            out[k + 1] = np.divide(own[k], context, out=np.zeros(n), where=context > 0)
+            # without its context an estimate is that of the next lower order, so what its weight stands for isn't lost
+            out[k + 1] = np.divide(own[k], context, out=out[k].copy(), where=context > 0)
         bucket = np.where(context > 0, np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64) + 1, BUCKETS - 1), 0)
         return bucket, out, own[0]
 
