@@ -1,8 +1,8 @@
 """Sharding by a k-d tree over document metadata, under the law ``bytes``: shards of nearly equal size.
 
 Points are groups of equal texts with their bytes as weight, at the metadata of the group's first document. A
-group of over a sixteenth of a shard is cut into several points by a hash of the id, so no copies are too many;
-smaller groups stay in one shard. A node with k shards is cut along its widest dimension (relative to the
+group of over a sixteenth of a shard is cut into several points of as many rows, by its rows' numbers from prefix sums, so no copies are
+too many, of one id neither; smaller groups stay in one shard. A node with k shards is cut along its widest dimension (relative to the
 whole range) at the weighted quantile that leaves k // 2 shards' bytes on its left; points of one value are
 ordered by a hash. The quantiles of all nodes of a level are found together by histogram refinement, a few
 distributed passes over the points; only histograms of fixed size reach the driver. Slots are positions in
@@ -107,33 +107,41 @@ def assign(docs: DataFrame, *, shards: int = SHARDS, dimensions: tuple[str, ...]
         F.xxhash64(F.lit(2), "text").alias("g2"),
         *(_position(f).alias(f"d_{f.name}") for f in fields),
         F.log2(F.octet_length(text) + 1.0).alias("d_bytes"),
+        F.spark_partition_id().alias("lane"),  # tells equal rows apart
     )
     dims = [c for c in meta.columns if c.startswith("d_")]
     meta = materialise(meta, "shard-metadata")
     total = meta.agg(F.sum("size")).first()[0] or 0
     limit = max(1, total // (16 * shards))
     # at most 16 groups a shard are larger than the limit, so this table has a fixed bound
-    large = meta.groupBy("g1", "g2").agg(F.sum("size").alias("_b")).where(F.col("_b") > limit).select("g1", "g2", F.ceil(F.col("_b") / F.lit(limit)).alias("_parts"))
-    part = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("_parts")), F.lit(0)).alias("part")
-    meta = materialise(meta.join(F.broadcast(large), ["g1", "g2"], "left").select("doc_id", "size", "text_crc32", "g1", "g2", part, *dims), "shard-groups")
+    large = meta.groupBy("g1", "g2").agg(F.sum("size").alias("_b"), F.count("*").alias("_rows")).where(F.col("_b") > limit)
+    large = F.broadcast(large.select("g1", "g2", "_rows", F.ceil(F.col("_b") / F.lit(limit)).alias("_parts")))
+    columns = ["doc_id", "size", "text_crc32", "g1", "g2", "lane", *dims]
+    cut = _numbered(meta.join(large, ["g1", "g2"]), ["g1", "g2"], ["lane"], "_k")
+    part = F.floor(F.col("_k") * F.col("_parts") / F.col("_rows")).cast("long").alias("part")
+    whole = meta.join(large, ["g1", "g2"], "left_anti")
+    meta = materialise(whole.select(*columns, F.lit(0).cast("long").alias("part")).unionAll(cut.select(*columns, part)), "shard-groups")
     first = F.min(F.struct("doc_id", *dims)).alias("_f")
     points = meta.groupBy("g1", "g2", "part").agg(F.sum("size").alias("w"), first)
     points = materialise(points.select("g1", "g2", "part", "w", F.pmod(F.xxhash64("g1", "g2", "part"), F.lit(1 << _HASH_BITS)).alias("h"), *(F.col(f"_f.{d}").alias(d) for d in dims)), "shard-points")
     placed = (_grow(points, shards, dims) if total else points.withColumn("n", F.lit(0))).select("g1", "g2", "part", F.col("n").alias("shard"))
-    located = meta.join(placed, ["g1", "g2", "part"]).select("doc_id", "size", "text_crc32", "shard")
+    located = meta.join(placed, ["g1", "g2", "part"]).select("doc_id", "size", "text_crc32", "lane", "shard")
     return number_slots(located).select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def number_slots(located: DataFrame) -> DataFrame:
-    """The rows with ``slot``: their places in their shard by (doc_id, text_crc32), from 0 without gaps."""
-    spark = located.sparkSession
-    order = ["shard", "doc_id", "text_crc32"]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = located.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ranged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_p", F.spark_partition_id()), "shard-slots")
-    # a row for each partition and for each shard that begins inside one
-    pieces = ranged.groupBy("_p", "shard").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("shard").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
-    pieces = pieces.select(F.col("_p").alias("_q"), F.col("shard").alias("_s"), "_first", F.coalesce(before, F.lit(0)).alias("_base"))
-    joined = ranged.join(F.broadcast(pieces), (F.col("_p") == F.col("_q")) & (F.col("shard") == F.col("_s")))
-    return joined.withColumn("slot", F.col("_at") - F.col("_first") + F.col("_base")).drop("_at", "_p", "_q", "_s", "_first", "_base")
+    """The rows with ``slot``: their places in their shard by (doc_id, text_crc32), from 0 without gaps; equal rows in any order."""
+    return _numbered(located, ["shard"], ["doc_id", "text_crc32", "lane"], "slot").drop("lane")
+
+
+def _numbered(rows: DataFrame, key: list[str], order: list[str], name: str) -> DataFrame:
+    """The rows with their number within their key, from 0, by prefix sums over range partitions. Keys are few, rows of one are not."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(n, *key, *order).sortWithinPartitions(*key, *order)
+    ranged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_p", F.spark_partition_id()), "shard-numbers")
+    # a row for each partition and for each key that begins inside one
+    pieces = ranged.groupBy("_p", *key).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.select("_p", *key, "_first", F.coalesce(before, F.lit(0)).alias("_base"))
+    joined = ranged.join(F.broadcast(pieces), ["_p", *key])
+    return joined.withColumn(name, F.col("_at") - F.col("_first") + F.col("_base")).drop("_at", "_p", "_first", "_base")
