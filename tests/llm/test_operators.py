@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 
 from tessera.llm import decontaminate, langid, lm, mixing, neardup, quality, secrets, shard, tokens, topics, topk
 from tessera.llm.common import text_buffer
-from tessera.llm.words import ALNUM, NOT_SPACE, fingerprint, prefix_sums, split
+from tessera.llm.words import ALNUM, NOT_SPACE, fingerprint, fingerprints, split
 
 LONG = " ".join(f"word{i % 977} filler{i % 31}" for i in range(30_000))
 PROSE = "the quick brown fox jumps over the lazy dog and runs away from all the other animals in the wood"
@@ -71,6 +72,22 @@ def test_words_are_those_of_the_pattern(texts):
             assert found.fingerprints()[a:b].tolist() == (fingerprint([w.encode() for w in own]).tolist() if own else [])
 
 
+def thue_morse(doublings):
+    word = b"a"
+    for _ in range(doublings):
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    return word, word.translate(bytes.maketrans(b"ab", b"ba"))
+
+
+def test_structured_words_have_fingerprints_of_their_own():
+    words = [w for n in range(1, 14) for w in thue_morse(n)] + [b"a" * n for n in range(1, 300)] + [b"ab" * n for n in range(2, 150)] + [b"b" * 200]
+    assert len(set(fingerprint(words).tolist())) == len(set(words))
+    # as in a text, wherever they stand and however many are taken at a time
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    assert fingerprints(raw, ends - [len(w) for w in words], ends).tolist() == [int(fingerprint([w])[0]) for w in words]
+
+
 # --- 1 near-duplicates ---------------------------------------------------------------------------
 
 
@@ -247,6 +264,19 @@ def test_unusual_words_are_encoded_as_by_the_tokenizer():
         assert ids[bounds[k] : bounds[k + 1]].tolist() == [*encoder.whole(text), tokens.END_ID], text
 
 
+def test_parts_are_told_apart_by_their_bytes(monkeypatch):
+    """Structured words, and words whose fingerprints are made equal."""
+    encoder = tokens.Encoder(tokens.tokenizer_path())
+    texts = [" ".join(w.decode() for w in thue_morse(n)) for n in (3, 6, 10, 12)] + ["lorem ipsum dolor", "dolor sit amet lorem"]
+    whole = [[*encoder.whole(t), tokens.END_ID] for t in texts]
+    for _ in range(2):
+        flat, bounds = encoder.encode(*text_buffer(pa.array(texts)))
+        assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole
+    monkeypatch.setattr(tokens.Words, "fingerprints", lambda self: (self.ends - self.starts).astype(np.uint64) << np.uint64(60))
+    for t, ids in zip(texts, whole):
+        assert encoder.encode(*text_buffer(pa.array([t])))[0].tolist() == ids
+
+
 def test_other_tokenizers_are_given_whole_texts(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -447,7 +477,7 @@ def interpolated(docs, order, held, dev, rounds=lm.ROUNDS):
         for k in range(1, order):
             before = tuple(context[len(context) - k :])
             size = seen if before[-1] == "begin" else grams[before]
-            out.append(grams[(*before, word)] / size if size else 0)
+            out.append(grams[(*before, word)] / size if size else out[-1])
         return (min(int(math.log2(size)) + 1, lm.BUCKETS - 1) if size else 0), out
 
     def tokens(words):
@@ -496,15 +526,17 @@ def test_scores_are_those_of_plain_interpolation(spark, order):
 
 
 def test_probabilities_of_a_context_add_up(spark):
-    """Over the words seen, the end and one unknown word, after contexts that always go on, by scores of probes."""
+    """Over the words seen, the end and one unknown word, after contexts seen, half seen and unseen, by scores of probes."""
     rows = [(i, t) for i, t in small_corpus() if t]
     vocabulary = sorted({w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split()})
     held = [i for i in range(10_000, 40_000) if zlib.crc32(str(i).encode()) % 7 == 2]
     # a probe's score less that of the probe without its last word gives, with the ends', the word's probability
-    lines = ["a b", *(f"a b {w}" for w in [*vocabulary, "unknown"])]
+    contexts = ["a b", "unknown a", "a unknown", "unknown other", "r1 once"]
+    lines = [x for c in contexts for x in (c, *(f"{c} {w}" for w in [*vocabulary, "unknown"]))]
     docs = spark.createDataFrame(rows + list(zip(held, lines)), "doc_id long, text string")
     probability, scores = interpolated(rows + list(zip(held, lines)), 3, lambda i: zlib.crc32(str(i).encode()) % 7 == 2, lambda i: zlib.crc32(str(i).encode()) % 7 == 3)
-    assert math.isclose(sum(probability([b"a", b"b"], w) for w in [*(v.encode() for v in vocabulary), "end", b"unknown"]), 1, rel_tol=1e-9)
+    for c in contexts:
+        assert math.isclose(sum(probability(c.encode().split(), w) for w in [*(v.encode() for v in vocabulary), "end", b"unknown"]), 1, rel_tol=1e-9)
     found = {r["doc_id"]: r["score"] for r in lm.score(docs).collect()}
     assert all(math.isclose(found[i], scores[i], rel_tol=1e-9) for i in held[: len(lines)])
 
@@ -781,6 +813,15 @@ def test_long_chains_and_lines_take_time_in_proportion():
         assert large < 24 * small
 
 
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", " \n", "\\\n", "+ ", "\r"])
+def test_blanks_after_a_value_take_time_in_proportion(blank):
+    for name in ("password_x", "x"):
+        text = f'{name} = "aB3$kLm9Qw"' + blank * (100_000 // len(blank)) + 'b\npassword_y = "zZ9!kkLm2Q"'
+        began = time.perf_counter()
+        found = secrets.lex(text.encode())
+        assert time.perf_counter() - began < 1 and [text[a:b] for a, b in found] == (["aB3$kLm9Qw"] if name != "x" else []) + ["zZ9!kkLm2Q"]
+
+
 def test_secrets_of_odd_rows(odd, empty):
     rows = secrets.find_secrets(odd).collect()
     assert len(rows) == len(ODD) and all(r["spans"] == "" for r in rows)
@@ -867,7 +908,7 @@ def brute_likelihood(vocabulary, table, word):
     for end in range(1, len(word) + 1):
         for size in range(1, min(end, 40) + 1):
             part = np.frombuffer(word[end - size : end], np.uint8)
-            n = int(vocabulary.find(prefix_sums(part), np.array([0]), np.array([size]))[0])
+            n = int(vocabulary.find(fingerprints(part, np.array([0]), np.array([size])))[0])
             if not n and size == 1:
                 n = vocabulary.first_byte + int(part[0])
             if n:
@@ -915,6 +956,30 @@ def test_all_segmentations_of_long_runs_are_summed(monkeypatch):
     assert np.allclose(one.log_forward(table)[0], langid.long_likelihood(vocabulary, run, table), rtol=1e-9)
 
 
+@pytest.mark.parametrize("floor", [1e-6, 1e-8])
+def test_unknown_characters_have_finite_sums_in_runs_of_any_length(floor):
+    """The three ways of summing agree, and none runs out of small numbers."""
+    vocabulary = langid.pieces(langid.piece_model_path())
+    table = np.full((vocabulary.size + 1, 2), floor)
+    table[0] = 0
+    unknown = [c for c in map(chr, range(0x4E00, 0x9FA5)) if not vocabulary.find(fingerprints(np.frombuffer(c.encode(), np.uint8), np.array([0]), np.array([3])))[0]]
+    assert len(unknown) > 1000
+    for n in (1, 5, 15, 16, 200, 682, 683, 700, 3000, 33_333):
+        run = "".join((unknown * (n // len(unknown) + 1))[:n]).encode()
+        raw = np.frombuffer(run, np.uint8)
+        one = langid.Runs(vocabulary, raw, np.array([0]), np.array([len(raw)]), np.ones(1, np.int64))
+        ways = [langid.long_likelihood(vocabulary, np.concatenate([np.full(1, 0x20, np.uint8), raw]), table)]
+        if n <= 3000:
+            ways.append(one.log_forward(table)[0])
+        if n <= 16:
+            ways.append(one.log_short(table)[0])
+        assert all(np.isfinite(w).all() and np.allclose(w, ways[0], rtol=1e-9) for w in ways)
+        assert ways[0][0] <= 3 * n * math.log(floor) * 0.3
+    scorer = langid.Scorer(langid.piece_model_path(), ["a", "b"], table)
+    told, score = scorer(pa.array(["".join(unknown[:k]) for k in (1, 300, 700, 5000)]))
+    assert told == ["a"] * 4 and np.allclose(score, 0.5)
+
+
 def test_held_out_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -1015,6 +1080,17 @@ def test_a_large_group_of_copies_is_shared_out(spark):
     assert len(size) == 8 and all(abs(x - mean) < 0.1 * mean for x in size.values())
 
 
+def test_equal_rows_of_one_id_are_shared_out(spark):
+    rows = [(7, "the same text again and again " * 6)] * 2000 + [(i, f"text {i} " * (1 + i % 9)) for i in range(100, 2100)] + [(None, None)] * 500
+    for n in (1, 6):
+        size = Counter()
+        found = shard.assign(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), shards=8).collect()
+        for r in found:
+            size[r["shard"]] += r["size"]
+        assert len(found) == len(rows) and len(size) == 8 and max(size.values()) < 1.1 * min(size.values())
+        assert all(sorted(r["slot"] for r in found if r["shard"] == k) == list(range(sum(r["shard"] == k for r in found))) for k in size)
+
+
 def test_shards_of_odd_rows(odd, empty):
     rows = shard.assign(odd).collect()
     assert len(rows) == len(ODD) and all(0 <= r["shard"] < 40 and r["law"] == "bytes" and r["grown_shard"] is None for r in rows)
