@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import load_shared, make_shared, open_shared, scratch_path, set_threads, slices, text_buffer
-from tessera.llm.words import NOT_SPACE, Words, split
+from tessera.llm.words import NOT_SPACE, Words, same_bytes, split
 
 END_ID = 2
 SLOT_BITS, WIDTH, KEPT = 20, 10, 24  # of the memory: places for parts, ids and bytes of a part at most
@@ -67,22 +67,6 @@ def _ends_of_parts(tokenizer) -> np.ndarray | None:
     return out
 
 
-def _same_bytes(text: np.ndarray, starts: np.ndarray, length: np.ndarray, others: np.ndarray) -> bool:
-    """Whether each stretch has the bytes of the stretch that it is taken for, so many stretches at a time that memory stays small."""
-    if not (length == length[others]).all():
-        return False
-    total = np.concatenate([[0], np.cumsum(length)])
-    at = 0
-    while at < len(starts):
-        stop = max(int(np.searchsorted(total, total[at] + (1 << 20), "right")) - 1, at + 1)
-        n = length[at:stop]
-        place = np.arange(total[stop] - total[at]) - np.repeat(total[at:stop] - total[at], n)
-        if not (text[np.repeat(starts[at:stop], n) + place] == text[np.repeat(starts[others[at:stop]], n) + place]).all():
-            return False
-        at = stop
-    return True
-
-
 class Encoder:
     """A tokenizer with a memory of parts: runs of letters (ASCII and Latin-1), digits, runs of other ASCII, odd words.
 
@@ -159,7 +143,7 @@ class Encoder:
         units, odd = self._units(raw, offsets)
         prints, first, inverse = np.unique(units.fingerprints(), return_index=True, return_inverse=True)
         length = units.ends - units.starts
-        if not _same_bytes(units.text, units.starts, length, first[inverse.ravel()]):
+        if not same_bytes(units.text, units.starts, length, first[inverse.ravel()]):
             return self._texts(raw, offsets)
         slot = (prints >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         length = length[first]

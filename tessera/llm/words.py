@@ -116,6 +116,22 @@ def fingerprints(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return sealed(sums, lengths)
 
 
+def same_bytes(text: np.ndarray, starts: np.ndarray, length: np.ndarray, others: np.ndarray) -> bool:
+    """Whether each stretch has the bytes of the stretch that it is taken for, so many stretches at a time that memory stays small."""
+    if not (length == length[others]).all():
+        return False
+    total = np.concatenate([[0], np.cumsum(length)])
+    at = 0
+    while at < len(starts):
+        stop = max(int(np.searchsorted(total, total[at] + _AT_ONCE, "right")) - 1, at + 1)
+        n = length[at:stop]
+        place = np.arange(total[stop] - total[at]) - np.repeat(total[at:stop] - total[at], n)
+        if not (text[np.repeat(starts[at:stop], n) + place] == text[np.repeat(starts[others[at:stop]], n) + place]).all():
+            return False
+        at = stop
+    return True
+
+
 def fingerprint(words: list[bytes]) -> np.ndarray:
     """Fingerprints of given words, as in a text."""
     raw = np.frombuffer(b"".join(words), np.uint8)
