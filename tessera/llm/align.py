@@ -113,7 +113,8 @@ def cut(text: np.ndarray, rows: np.ndarray, local: bool) -> np.ndarray:
     if not local:
         return rows
     space = np.flatnonzero(text == 0x20)
-    space = space[space > 0]
+    # not before a text's last byte: B puts no space before an empty text
+    space = np.setdiff1d(space[space > 0], np.append(rows[1:], len(text)) - 1, assume_unique=True)
     space = space[~_WHITE[text[space - 1]]]
     space = space[~_after_wide(text, space)]
     return np.union1d(rows, space)
