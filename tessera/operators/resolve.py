@@ -6,15 +6,15 @@ which broadcasts what is below its threshold.
 
 from __future__ import annotations
 
-import bisect
 import re
-import tempfile
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.contain import cut_lineage
+
 LATER = 1_000_000_000
 
 
@@ -92,72 +92,6 @@ def cross_check_links(links: DataFrame, names: DataFrame) -> DataFrame:
     return joined.withColumn("state", state).withColumn("id", F.when(state != "ambiguous", F.coalesce(p, t))).select(*links.columns, "id", "state")
 
 
-def _scan(aliases: list[tuple[str, int]]):
-    """Greedy search: longest alias first, occurrences that touch an accepted one don't count. One automaton finds them all."""
-    import ahocorasick
-
-    numbers: dict[str, list[int]] = {}
-    for alias, number in sorted(set(aliases), key=lambda a: (a[0], a[1])):
-        numbers.setdefault(alias, []).append(number)
-    automaton = ahocorasick.Automaton()
-    for alias in numbers:
-        automaton.add_word(alias, alias)
-    if numbers:
-        automaton.make_automaton()
-
-    def scan(text: str | None) -> list[int]:
-        if not text or not numbers:
-            return []
-        found = sorted(((stop + 1 - len(alias), stop + 1, alias) for stop, alias in automaton.iter(text)), key=lambda f: (f[0] - f[1], f[2], f[0]))
-        # the accepted stretches never overlap: for each place, whether one lies there, in the order of their begins
-        starts: list[int] = []
-        stops: list[int] = []
-        out: dict[int, None] = {}
-        for start, stop, alias in found:
-            at = bisect.bisect_left(starts, start)
-            if (at and stops[at - 1] > start) or (at < len(starts) and starts[at] < stop):
-                continue
-            starts.insert(at, start)
-            stops.insert(at, stop)
-            out |= dict.fromkeys(numbers[alias])
-        return list(out)
-
-    return scan
-
-
-def _scanner(scan: Callable):
-    @F.pandas_udf("array<long>")
-    def apply(values: pd.Series) -> pd.Series:
-        return values.map(scan)
-
-    return apply
-
-
-def scan_aliases(texts: DataFrame, column: str, aliases: DataFrame, *, most: int = 200_000_000) -> DataFrame:
-    """``found``: ids of the aliases (alias, id) contained in a text, longest first.
-
-    The aliases are a catalog: all of them make up one automaton in each worker, so acceptance does not depend on their
-    number. Catalogs of over ``most`` characters stop.
-    """
-    usable = aliases.where("alias <> ''").select("alias", "id").distinct()
-    size = usable.agg(F.sum(F.length("alias"))).first()[0] or 0
-    if size > most:
-        raise ValueError(f"the catalog of aliases has {size} characters, over {most}")
-    scan = _scan([(r["alias"], r["id"]) for r in usable.collect()])
-    return texts.withColumn("found", _scanner(scan)(F.col(column)))
-
-
-def _cut_lineage(df: DataFrame) -> DataFrame:
-    """The table checkpointed in the shared folder of the session; a folder of its own where it has none."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        context.setCheckpointDir(shared or f"file://{tempfile.mkdtemp(prefix='tessera-')}")
-    return df.checkpoint()
-
-
 def forward_closure(edges: DataFrame) -> DataFrame:
     """(root, node, distance) along successors (node, next, ...); each node once, at its least distance.
 
@@ -168,12 +102,12 @@ def forward_closure(edges: DataFrame) -> DataFrame:
     step = edges.groupBy("node").agg(F.min("next").alias("at"))
     ends = edges.where("next is not null").select(F.col("next").alias("node")).distinct().join(step.select("node"), "node", "left_anti")
     state = step.union(ends.select("node", F.lit(None).cast(step.schema["at"].dataType)))
-    state = _cut_lineage(state.select(F.col("node").alias("root"), F.array("node").alias("path"), "at"))
+    state = cut_lineage(state.select(F.col("node").alias("root"), F.array("node").alias("path"), "at"))
     while state.where("at is not null").limit(1).count():
         more = state.select(F.col("root").alias("_root"), F.col("path").alias("_path"), F.col("at").alias("_at"))
         joined = state.join(more, F.col("at") == F.col("_root"), "left").withColumn("_new", F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.array_distinct(F.concat("path", "_path"))))
         whole = F.size("_new") == F.size("path") + F.size("_path")
-        state = _cut_lineage(joined.select("root", F.col("_new").alias("path"), F.when(whole, F.col("_at")).alias("at")))
+        state = cut_lineage(joined.select("root", F.col("_new").alias("path"), F.when(whole, F.col("_at")).alias("at")))
     return state.join(ends.withColumnRenamed("node", "root"), "root", "left_anti").select("root", F.posexplode("path").alias("distance", "node"))
 
 
@@ -224,10 +158,10 @@ def families(edges: DataFrame) -> DataFrame:
     while True:
         seen = both.join(state.select(F.col("node").alias("next"), F.col("family").alias("_f")), "next").groupBy("node").agg(F.min("_f").alias("_f"))
         near = state.join(seen, "node", "left").select("node", F.least("family", "_f").alias("_near"), (F.col("_f") < F.col("family")).alias("_moved"))
-        near = _cut_lineage(near)
+        near = cut_lineage(near)
         # a node takes over what the node that it is named after has come to, so labels run ahead of the edges
         ahead = near.select(F.col("node").alias("_near"), F.col("_near").alias("_far"))
-        state = _cut_lineage(near.join(ahead, "_near").select("node", F.col("_far").alias("family")))
+        state = cut_lineage(near.join(ahead, "_near").select("node", F.col("_far").alias("family")))
         if not near.where("_moved").limit(1).count():
             break
     return state

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import html, pages, recipes, text
-from tessera.operators import facts, gates, history, nested, records, resolve
+from tessera.operators import contain, facts, gates, history, nested, records, resolve
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -457,7 +457,7 @@ def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _contained(spark: SparkSession, sf_dir: str, aliases: DataFrame) -> DataFrame:
-    found = resolve.scan_aliases(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", aliases)
+    found = contain.scan_aliases(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", aliases)
     return found.where(F.size("found") > 0).select("doc_id", joined(F.array_sort("found")).alias("found"))
 
 

@@ -2,14 +2,17 @@
 
 import hashlib
 import json
+import random
+import re
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import evidence, html, pages, text
-from tessera.operators import facts, gates, history, nested, records, resolve, rules
+from tessera.operators import contain, facts, gates, history, nested, records, resolve, rules
 from tessera.plans import identity, observe
 from tessera.sources import io
 from tessera.streaming.observe import FACTS, observe_stream
@@ -191,8 +194,53 @@ def test_links(spark):
 
 def test_the_longest_alias_is_taken_first(spark):
     texts = spark.createDataFrame([("big cat and cat",), ("big cat",), (None,)], "t string")
-    found = resolve.scan_aliases(texts, "t", spark.createDataFrame([("big cat", 1), ("cat", 2)], "alias string, id long"))
-    assert [r["found"] for r in found.collect()] == [[1, 2], [1], []]
+    found = contain.scan_aliases(texts, "t", spark.createDataFrame([("big cat", 1), ("cat", 2), ("", 3), (None, 4)], "alias string, id long"))
+    assert {r["t"]: r["found"] for r in found.collect()} == {"big cat and cat": [1, 2], "big cat": [1], None: []}
+
+
+def plain_scan(text, aliases):
+    """All occurrences by search, longest alias first, then by alias and place; those over an accepted one are left out."""
+    met = sorted(((-len(a), a, m.start()) for a in {a for a, _ in aliases if a} for m in re.finditer(f"(?={re.escape(a)})", text or "")))
+    taken, out = [], {}
+    for n, alias, start in met:
+        if all(start - n <= a or b <= start for a, b in taken):
+            taken.append((start, start - n))
+            out |= dict.fromkeys(sorted(i for a, i in aliases if a == alias))
+    return list(out)
+
+
+def test_grams_do_not_depend_on_where_texts_are_cut(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 100, 3000).astype(np.uint8)
+    offsets = np.concatenate([[0], np.sort(rng.integers(0, 3000, 40)), [3000]])
+    for _, size, window in contain.CLASSES:
+        whole = contain.sampled_grams(data, offsets, size, window)
+        with monkeypatch.context() as patch:
+            patch.setattr(contain, "_STEP", 64)
+            parts = contain.sampled_grams(data, offsets, size, window)
+        assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+@pytest.mark.parametrize("many", [40, 400])
+def test_contained_aliases_are_those_of_brute_force(spark, many):
+    """Aliases of all classes, nested and overlapping, in texts with copies, multi-byte letters and runs; at two sizes."""
+    rng = random.Random(many)
+    stems = ["ab", "a", "é", "ship", "the long name of a ship", "船", "  ", "aaaa", "tanker number one of the fleet of"]
+    phrase = lambda n: "".join(rng.choices(stems, k=n))
+    aliases = [(phrase(rng.randrange(1, 6)), rng.randrange(50)) for _ in range(many)] + [("", 1), (None, 2), ("a" * 60, 3), ("a" * 59, 4)]
+    texts = [phrase(rng.randrange(0, 40)) for _ in range(many)] + ["a" * 200, None, ""]
+    texts += [f"x{a}y{a}" for a, _ in aliases if a] + texts[:5] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, t string").repartition(5)
+    found = {r["n"]: r["found"] for r in contain.scan_aliases(frame, "t", spark.createDataFrame(aliases, "alias string, id long")).collect()}
+    wanted = {n: plain_scan(t, aliases) for n, t in enumerate(texts)}
+    assert [(n, found[n], w) for n, w in wanted.items() if found[n] != w] == []
+
+
+def test_no_side_of_containment_is_collected(spark, sf):
+    texts = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = contain.scan_aliases(texts, "text", texts.selectExpr("substring(text, 1, 40) as alias", "doc_id as id")).select("doc_id", "found")
+    assert "collect" not in plan._jdf.queryExecution().executedPlan().toString().replace("collect_list", "")
+    assert plan.where("array_contains(found, doc_id)").count() > 100
 
 
 def test_selectors(spark):
