@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.contain import cut_lineage
+
 LEVELS = 10
 LATER = 1_000_000_000
 DAY_ALL = 0
@@ -217,15 +219,37 @@ def day_index(facts: DataFrame, *, expected: int = 3) -> DataFrame:
     return counted.withColumn("state", F.when(F.col("items") < expected, "under").when(F.col("items") > expected, "over").otherwise("expected"))
 
 
-def walk(documents: DataFrame, column: str, *, depth: int) -> DataFrame:
-    """Every node of JSON texts down to a depth: (path, kind, value), one level of ``variant_explode`` at a time."""
-    level = documents.select(*(c for c in documents.columns if c != column), F.lit("$").alias("path"), F.try_parse_json(column).alias("node"))
-    out = level
-    for _ in range(depth):
-        others = ", ".join(f"l.{c}" for c in level.columns if c not in ("path", "node"))
-        level = documents.sparkSession.sql(f"select {others + ',' if others else ''} concat(l.path, case when x.key is null then concat('[', x.pos, ']') else concat('.', x.key) end) as path, x.value as node from {{level}} l, lateral variant_explode(l.node) x", level=level)
-        out = out.union(level)
-    return out.select(*(c for c in out.columns if c != "node"), F.schema_of_variant("node").alias("kind"), F.to_json("node").alias("value"))
+#: Levels of nesting that one stage of a walk goes down.
+WALKED = 8
+_SELF = "array(struct(path, node, true as done))"
+_CHILDREN = """concat(
+  transform(coalesce(map_entries(try_variant_get(node, '$', 'map<string,variant>')), array()), e -> struct(concat(path, '.', e.key) as path, coalesce(e.value, parse_json('null')) as node, false as done)),
+  transform(coalesce(try_variant_get(node, '$', 'array<variant>'), array()), (v, i) -> struct(concat(path, '[', i, ']') as path, coalesce(v, parse_json('null')) as node, false as done)))"""
+
+
+def walk_nodes(documents: DataFrame, column: str) -> DataFrame:
+    """Every node of JSON texts, however deep: the other columns, ``path`` and the variant ``node``.
+
+    One stage takes what is not done some levels down, each an explode of a node into itself and its children; only what is left below is
+    written and gone on with, so documents of usual depth are read once more to see that nothing is. Texts that are no JSON have no nodes.
+    """
+    others = [c for c in documents.columns if c != column]
+    rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(None).cast("string")
+    ahead = documents.select(rest.alias("_rest"), F.lit("$").alias("path"), F.try_parse_json(F.col(column)).alias("node"), F.lit(False).alias("done")).where("node is not null")
+    found = None
+    while True:
+        for _ in range(WALKED):
+            ahead = ahead.selectExpr("_rest", f"explode(if(done, {_SELF}, concat({_SELF}, {_CHILDREN}))) as n").selectExpr("_rest", "n.path", "n.node", "n.done")
+        found = ahead.where("done") if found is None else found.unionAll(ahead.where("done"))
+        ahead = cut_lineage(ahead.where("not done"))
+        if not ahead.limit(1).count():
+            return found.select(*(F.col(f"_rest.`{c}`").alias(c) for c in others), "path", "node")
+
+
+def walk(documents: DataFrame, column: str) -> DataFrame:
+    """Every node of JSON texts, however deep: (path, kind, value)."""
+    nodes = walk_nodes(documents, column)
+    return nodes.select(*(c for c in nodes.columns if c != "node"), F.schema_of_variant("node").alias("kind"), F.to_json("node").alias("value"))
 
 
 def rename_keys(column: Column, names: dict[str, str]) -> tuple[Column, Column]:

@@ -50,9 +50,9 @@ def bonus_rules(entries: DataFrame) -> DataFrame:
     return shaped.where((F.size("bonus") > 0) | (F.size("unknown") > 0))
 
 
-def owner_nodes(documents: DataFrame, column: str, *, depth: int = 4) -> DataFrame:
-    """Slots (owner_ref, remodel_from, slot, item_ref, size) of all nodes of nested JSON that have an ``_equipment`` list."""
-    nodes = nested.walk(documents, column, depth=depth).where("kind like 'OBJECT%'").select("path", F.parse_json("value").alias("v"))
+def owner_nodes(documents: DataFrame, column: str) -> DataFrame:
+    """Slots (owner_ref, remodel_from, slot, item_ref, size) of all nodes of nested JSON, however deep, that have an ``_equipment`` list."""
+    nodes = nested.walk_nodes(documents.select(column), column).select("path", F.col("node").alias("v")).where("try_variant_get(v, '$._equipment', 'variant') is not null")
     return documents.sparkSession.sql("""
       select coalesce(try_variant_get(v, '$._api_id', 'string'), try_variant_get(v, '$._japanese_name', 'string')) as owner_ref, try_variant_get(v, '$._remodel_from', 'string') as remodel_from,
         e.pos as slot, try_variant_get(e.value, '$.equipment', 'string') as item_ref, coalesce(try_variant_get(e.value, '$.size', 'int'), 0) as size

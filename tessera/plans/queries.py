@@ -360,7 +360,19 @@ def route_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select cast(json_extract_string(props, '$.k') as varchar) as value, '$.k' as path, count(*) as n from events group by all")
 def json_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of JSON texts with their paths."""
-    return nested.walk(read(spark, sf_dir, "events").select("props"), "props", depth=1).where("path <> '$'").groupBy("value", "path").agg(F.count("*").alias("n"))
+    return nested.walk(read(spark, sf_dir, "events").select("props"), "props").where("path <> '$'").groupBy("value", "path").agg(F.count("*").alias("n"))
+
+
+@query("select o_custkey, count(*) as depth, cast(sum(o_orderkey) as bigint) as keys, max(o_totalprice) as price from orders group by 1")
+def deep_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's orders nested in one another, as deep as there are orders; keys and prices are found at every level."""
+    pairs = F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice")))
+    wrap = lambda inner, x: F.concat(F.lit('{"k":'), x["o_orderkey"], F.lit(',"p":['), x["o_totalprice"].cast("string"), F.lit('],"next":'), inner, F.lit("}"))
+    documents = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.aggregate(pairs, F.lit("null"), wrap).alias("j"))
+    nodes = nested.walk_nodes(documents, "j")
+    key, price = (F.try_variant_get("node", F.lit("$"), t) for t in ("long", "double"))
+    keys, prices = F.col("path").endswith(".k"), F.col("path").endswith(".p[0]")
+    return nodes.groupBy("o_custkey").agg(F.count(F.when(keys, 1)).alias("depth"), F.sum(F.when(keys, key)).alias("keys"), F.max(F.when(prices, price)).alias("price"))
 
 
 @query("""select p_partkey, string_agg(v, ',' order by v) as sorted from (select distinct p_partkey, v from (select p_partkey, unnest(list_value(p_size, p_size - 20, p_size % 4)) as v from part) where v > 0) group by 1 union all select p_partkey, '' from part where p_size <= 0""")
@@ -685,7 +697,7 @@ def _owned(spark: SparkSession, sf_dir: str, lines: DataFrame, owners: DataFrame
     documents = lines.groupBy("l_orderkey").agg(slots.alias("_equipment")).select(F.to_json(F.struct(F.struct(ref.alias("_api_id"), "_equipment").alias("x"))).alias("j"))
     owners = owners.select(F.col("o_orderkey").cast("string").alias("ref"), F.col("o_orderkey").alias("id"))
     items = read(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("ref"), F.col("p_partkey").alias("id"))
-    found, _ = records.owned_items(records.owner_nodes(documents, "j", depth=1), owners, items)
+    found, _ = records.owned_items(records.owner_nodes(documents, "j"), owners, items)
     as_text = lambda s: F.concat_ws(":", s["owner"].cast("string"), F.array_join(s["slots"].cast("array<string>"), "/"))
     return found.select("item_id", joined(F.transform("sources", as_text)).alias("sources"))
 

@@ -157,7 +157,26 @@ def test_steps(spark):
 
 def test_json_walk(spark):
     docs = spark.createDataFrame([('{"a": [1, {"b": null}]}',), ("bad",), (None,)], "j string")
-    assert ("$.a[1].b", "null") in rows(nested.walk(docs, "j", depth=3), "path", "value")
+    assert ("$.a[1].b", "null") in rows(nested.walk(docs, "j"), "path", "value")
+
+
+def test_json_is_walked_to_any_depth(spark):
+    """Every node once, of documents of 0 to 200 levels in one table; owners are found at the bottom."""
+
+    def nodes(value, path="$"):
+        yield path, json.dumps(value, separators=(",", ":"))
+        for k, v in value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ():
+            yield from nodes(v, f"{path}.{k}" if isinstance(value, dict) else f"{path}[{k}]")
+
+    deep = {"_api_id": 5, "_equipment": [{"equipment": 7, "size": 2}]}
+    for k in range(100):
+        deep = {"x": [deep, k]} if k % 9 == 0 else {"x": [deep]}
+    texts = [deep, {}, [], 3, "s", None, [[], {}, [1, {"a": None, "b.c": [True]}]], {"a": {"_api_id": 1, "_equipment": []}}]
+    docs = spark.createDataFrame([(i, json.dumps(t), "p") for i, t in enumerate(texts)] + [(90, "{", "p"), (91, None, "p")], "n int, j string, path0 string")
+    found = nested.walk(docs, "j")
+    assert found.columns == ["n", "path0", "path", "kind", "value"]
+    assert sorted((r["n"], r["path"], r["value"]) for r in found.collect()) == sorted((i, *x) for i, t in enumerate(texts) for x in nodes(t))
+    assert rows(records.owner_nodes(docs, "j"), "owner_ref", "slot", "item_ref", "size") == [("5", 0, "7", 2)]
 
 
 # --- resolution ----------------------------------------------------------------------------------
