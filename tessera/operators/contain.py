@@ -11,9 +11,12 @@ Which occurrences count is decided text by text in one sorted pass that remember
 
 from __future__ import annotations
 
+import atexit
 import bisect
 import re
+import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +30,37 @@ _STEP = 1 << 19  # places looked at together
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The table checkpointed in the shared folder of the session; a folder of its own where it has none."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+    """The table written to the shared folder of the session and read again, which survives lost executors; removed when the driver ends."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        context.setCheckpointDir(shared or f"file://{tempfile.mkdtemp(prefix='tessera-')}")
-    return df.checkpoint()
+        shared = f"file://{tempfile.mkdtemp(prefix='tessera-')}"
+        atexit.register(shutil.rmtree, shared[7:], ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared.rstrip('/')}/tessera-table-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple] = []
+
+
+def clear_written() -> None:
+    """Remove the tables written so far; results that still read them must have been written before."""
+    while _written:
+        spark, path = _written.pop()
+        try:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        except Exception:  # the session may have ended
+            if path.startswith("file:"):
+                shutil.rmtree(path[5:].replace("//", "/", 1), ignore_errors=True)
+
+
+atexit.register(clear_written)
 
 
 def sampled_grams(data: np.ndarray, offsets: np.ndarray, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:

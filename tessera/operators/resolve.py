@@ -92,49 +92,104 @@ def cross_check_links(links: DataFrame, names: DataFrame) -> DataFrame:
     return joined.withColumn("state", state).withColumn("id", F.when(state != "ambiguous", F.coalesce(p, t))).select(*links.columns, "id", "state")
 
 
-def forward_closure(edges: DataFrame) -> DataFrame:
-    """(root, node, distance) along successors (node, next, ...); each node once, at its least distance.
+class Jumps:
+    """For each power of two the table (node, to) of where that many steps lead; nodes whose walk ends before are not in it.
 
-    Of several successors of a node the least is taken. On the first repeat of a node the walk stops, so cycles end. Each
-    round appends to a walk the walk of the node that it has come to, so walks double and the rounds are as the logarithm of the
-    longest; a walk is one row.
+    Of several successors of a node the least is taken. Tables are made when they are asked for, each from the one before by one join,
+    and written to the shared folder; every row is a pair of nodes, however long a walk is.
     """
-    step = edges.groupBy("node").agg(F.min("next").alias("at"))
-    ends = edges.where("next is not null").select(F.col("next").alias("node")).distinct().join(step.select("node"), "node", "left_anti")
-    state = step.union(ends.select("node", F.lit(None).cast(step.schema["at"].dataType)))
-    state = cut_lineage(state.select(F.col("node").alias("root"), F.array("node").alias("path"), "at"))
-    while state.where("at is not null").limit(1).count():
-        more = state.select(F.col("root").alias("_root"), F.col("path").alias("_path"), F.col("at").alias("_at"))
-        joined = state.join(more, F.col("at") == F.col("_root"), "left").withColumn("_new", F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.array_distinct(F.concat("path", "_path"))))
-        whole = F.size("_new") == F.size("path") + F.size("_path")
-        state = cut_lineage(joined.select("root", F.col("_new").alias("path"), F.when(whole, F.col("_at")).alias("at")))
-    return state.join(ends.withColumnRenamed("node", "root"), "root", "left_anti").select("root", F.posexplode("path").alias("distance", "node"))
-
-
-def cycles(edges: DataFrame) -> DataFrame:
-    """(node, members): the nodes of successor cycles (node, next, rank), with the cycle's members by (rank, node).
-
-    A node is in a cycle if its own walk comes back to it.
+
+    def __init__(self, edges: DataFrame):
+        step = edges.groupBy("node").agg(F.min("next").alias("to")).where("to is not null")
+        self.tables = [cut_lineage(step)]
+
+    def __getitem__(self, k: int) -> DataFrame:
+        while len(self.tables) <= k:
+            last = self.tables[-1]
+            on = last.select(F.col("node").alias("to"), F.col("to").alias("_to"))
+            self.tables.append(cut_lineage(last.join(on, "to").select("node", F.col("_to").alias("to"))))
+        return self.tables[k]
+
+    def on_rings(self) -> DataFrame:
+        """(node): what is in a cycle. Where twice as many steps lead to as many nodes, all of these are in cycles, and no others are."""
+        k, reached = 0, -1
+        while True:
+            image = self[k].select(F.col("to").alias("node")).distinct()
+            count = image.count()
+            if count == reached or not count:
+                return cut_lineage(image)
+            k, reached = k + 1, count
+
+
+def rings(edges: DataFrame, jumps: Jumps | None = None) -> DataFrame:
+    """(ring, place, node, size): the cycles of successor edges (node, next, rank), each named after its least node, in the order (rank, node)."""
+    from pyspark.sql import Window
+
+    jumps = jumps or Jumps(edges)
+    state, k = jumps.on_rings().withColumn("ring", F.col("node")), 0
+    while True:  # the least node of so many steps, then of twice as many
+        ahead = jumps[k].join(state.select(F.col("node").alias("to"), F.col("ring").alias("_ring")), "to")
+        joined = state.join(ahead.select("node", "_ring"), "node")
+        state = cut_lineage(joined.select("node", F.least("ring", "_ring").alias("ring"), (F.col("_ring") < F.col("ring")).alias("moved")))
+        if not state.where("moved").limit(1).count():
+            break
+        state, k = state.drop("moved"), k + 1
+    ranks = edges.groupBy("node").agg(F.coalesce(F.min("rank"), F.lit(LATER)).alias("rank")) if "rank" in edges.columns else edges.select("node", F.lit(0).alias("rank")).distinct()
+    sizes = state.groupBy("ring").agg(F.count("*").alias("size"))
+    place = F.row_number().over(Window.partitionBy("ring").orderBy("rank", "node")) - 1
+    return state.select("node", "ring").join(ranks, "node").join(sizes, "ring").select("ring", place.alias("place"), "node", "size")
+
+
+def walk_ends(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, end, distance, ring, size): where each node's walk ends or first meets a cycle of ``found`` (ring, node, size), after how many steps.
+
+    Walks that have not come to an end take over what the node that they have come to knows, so they double.
+    """
+    members = found.select(F.col("node").alias("end"), "ring", "size")
+    step = edges.groupBy("node").agg(F.min("next").alias("next"))
+    start = step.join(found.select("node", F.lit(True).alias("_in")), "node", "left").withColumn("_stays", F.col("_in").isNotNull() | F.col("next").isNull())
+    state = cut_lineage(start.select("node", F.when(F.col("_stays"), F.col("node")).otherwise(F.col("next")).alias("end"), F.when(F.col("_stays"), 0).otherwise(1).cast("long").alias("distance"), (~F.col("_stays")).alias("open")))
+    while state.where("open").limit(1).count():
+        # what has been reached and goes on: a step further; all that goes nowhere is closed
+        on = state.where("distance > 0").select(F.col("node").alias("end"), F.col("end").alias("_end"), F.col("distance").alias("_more"), F.col("open").alias("_open"))
+        further = state.where("open").join(on, "end", "left").select("node", F.coalesce("_end", "end").alias("end"), (F.col("distance") + F.coalesce("_more", F.lit(0))).alias("distance"), F.coalesce("_open", F.lit(False)).alias("open"))
+        state = cut_lineage(state.where("not open").unionAll(further))
+    return state.drop("open").join(members, "end", "left")
+
+
+def walks(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(root, node, distance) along successors from the roots (root), all nodes if not given; on the first repeat of a node a walk stops.
+
+    Rows of a walk double with each jump, so rounds are as the logarithm of the longest and the work is in proportion to the result.
     """
-    walks = forward_closure(edges)
-    last = walks.groupBy("root").agg(F.max_by("node", "distance").alias("last"), F.collect_set("node").alias("members"))
-    step = edges.where("next is not null").select(F.col("node").alias("last"), F.col("next").alias("_back"))
-    inside = last.join(step, "last").where("_back = root").select(F.col("root").alias("node"), F.explode("members").alias("member"))
-    ranks = edges.groupBy(F.col("node").alias("member")).agg(F.min("rank").alias("rank"))
-    ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("rank", F.lit(LATER)).alias("rank"), "member")))
-    return inside.join(ranks, "member", "left").groupBy("node").agg(F.transform(ordered, lambda x: x["member"]).alias("members"))
+    jumps = Jumps(edges)
+    ends = walk_ends(edges, rings(edges, jumps))
+    wanted = ends if roots is None else ends.join(roots.select(F.col("root").alias("node")).distinct(), "node", "left_semi")
+    length = F.col("distance") + F.coalesce("size", F.lit(1))
+    state = cut_lineage(wanted.select(F.col("node").alias("root"), "node", F.lit(0).cast("long").alias("distance"), length.alias("length")))
+    longest, k = state.agg(F.max("length")).first()[0] or 0, 0
+    while 1 << k < longest:
+        ahead = state.where(F.col("distance") + (1 << k) < F.col("length")).join(jumps[k], "node")
+        state = state.unionAll(cut_lineage(ahead.select("root", F.col("to").alias("node"), (F.col("distance") + (1 << k)).alias("distance"), "length")))
+        k += 1
+    return state.drop("length")
+
+
+def forward_closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(root, distance, node) along successors (node, next, ...); each node once, at its least distance; cycles end."""
+    return walks(edges, roots).select("root", F.col("distance").cast("int").alias("distance"), "node")
 
 
 def ordered_closure(edges: DataFrame) -> DataFrame:
     """(root, node, distance): successors up to the first node of a cycle, then the cycle's members from that node on in the cycle's order."""
-    walks, rings = forward_closure(edges), cycles(edges)
-    known = walks.join(rings, "node", "left")
-    entry = known.where("members is not null").groupBy("root").agg(F.min("distance").alias("entry"), F.min_by("node", "distance").alias("at"), F.min_by("members", "distance").alias("ring"))
-    joined = walks.join(entry, "root", "left")
-    before = joined.where("entry is null or distance < entry").select("root", "node", "distance")
-    tail = F.slice("ring", F.array_position("ring", F.col("at")).cast("int"), F.size("ring"))
-    after = entry.select("root", "entry", F.posexplode(tail).alias("k", "node")).select("root", "node", (F.col("entry") + F.col("k")).alias("distance"))
-    return before.union(after)
+    jumps = Jumps(edges)
+    found = cut_lineage(rings(edges, jumps))
+    ends = cut_lineage(walk_ends(edges, found))
+    met = ends.where("ring is not null").select(F.col("node").alias("root"), "ring", "end", F.col("distance").alias("entry"))
+    before = walks(edges).join(met.select("root", "entry"), "root", "left").where("entry is null or distance < entry").select("root", "node", F.col("distance").cast("int").alias("distance"))
+    first = met.join(found.select(F.col("node").alias("end"), F.col("place").alias("_first")), "end").select("root", "ring", "entry", "_first")
+    after = first.join(found.select("ring", "place", "node"), "ring").where("place >= _first")
+    return before.unionAll(after.select("root", "node", (F.col("entry") + F.col("place") - F.col("_first")).cast("int").alias("distance")))
 
 
 def family_chain(edges: DataFrame) -> DataFrame:

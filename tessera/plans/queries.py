@@ -488,6 +488,19 @@ def closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.forward_closure(_edges(spark, sf_dir))
 
 
+@query("""with o as (select o_orderkey as k, o_orderkey % 3 as c from orders), m as (select c, min(k) as lo, max(k) as hi, count(*) as n from o group by 1), r as (select lo, n from m where c = 0)
+  select k as node, case c when 1 then hi when 0 then k else r.lo end as "end", case c when 1 then (hi - k) // 3 when 0 then 0 else (hi - k) // 3 + 1 end as distance, case when c <> 1 then r.lo end as ring, case when c <> 1 then r.n end as size from o join m using (c), r""")
+def order_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders is one chain, a third one ring, a third a long tail into it: where each walk ends, and after how many steps."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 3).alias("c"))
+    sides = orders.groupBy("c").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    first = sides.where("c = 0").select(F.col("lo").alias("first"))
+    last = F.col("k") == F.col("hi")
+    onward = F.when(~last, F.col("k") + 3).when(F.col("c") != 1, F.col("first"))
+    edges = orders.join(F.broadcast(sides), "c").join(F.broadcast(first)).select(F.col("k").alias("node"), onward.alias("next"))
+    return resolve.walk_ends(edges, resolve.rings(edges)).select("node", "end", "distance", "ring", "size")
+
+
 @query(f"""with recursive {_EDGES_SQL}, both_ways as (select node, next from edges where next is not null union select next, node from edges where next is not null), w as (select node as root, node from edges union select w.root, b.next from w join both_ways b on b.node = w.node)
   select root as node, min(node) as family from w group by 1""")
 def family(spark: SparkSession, sf_dir: str) -> DataFrame:

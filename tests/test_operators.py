@@ -293,10 +293,52 @@ def test_long_chains_components_and_cycles(spark):
     assert resolve.forward_closure(chain).where("root = 0").count() == 41
     assert resolve.families(spark.createDataFrame([(i, i - 1) for i in range(1, 90)], "node long, next long")).select("family").distinct().count() == 1
     ring = spark.createDataFrame([(1, 2, 9), (2, 3, 8), (3, 4, 7), (4, 2, 6)], "node long, next long, rank long")
-    assert rows(resolve.cycles(ring)) == [(2, [4, 3, 2]), (3, [4, 3, 2]), (4, [4, 3, 2])]
+    assert rows(resolve.rings(ring), "ring", "place", "node", "size") == [(2, 0, 4, 3), (2, 1, 3, 3), (2, 2, 2, 3)]
     assert rows(resolve.ordered_closure(ring).where("root in (1, 3)")) == [(1, 1, 0), (1, 2, 1), (3, 2, 1), (3, 3, 0)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_walks_of_random_successors(spark, seed):
+    """Rings of all sizes, also of one node, trees into them, chains, nodes that only others name, several successors."""
+    rng = random.Random(seed)
+    edges = [(i, rng.choice([None, i, rng.randrange(60), rng.randrange(60), i + 1])) for i in range(55)] + [(3, 7), (9, 2)]
+    step = {}
+    for a, b in edges:
+        step[a] = min((x for x in (step.get(a), b) if x is not None), default=None)
+    wanted = {}
+    for root in step:
+        walk, at = [], root
+        while at is not None and at not in walk:
+            walk.append(at)
+            at = step.get(at)
+        wanted[root] = (walk, at)
+    frame = spark.createDataFrame([(a, b, -a) for a, b in edges], "node int, next int, rank int")
+    jumps = resolve.Jumps(frame)
+    found = resolve.rings(frame, jumps)
+    inside = {n: sorted(w[w.index(back) :]) for n, (w, back) in wanted.items() if back is not None and back == n}
+    assert sorted(rows(found, "ring", "place", "node", "size")) == sorted((m[0], len(m) - 1 - m.index(n), n, len(m)) for n, m in inside.items())
+    ends = {r["node"]: (r["end"], r["distance"], r["ring"]) for r in resolve.walk_ends(frame, found).collect()}
+    assert ends == {n: (w[-1], len(w) - 1, None) if back is None else (back, w.index(back), inside[back][0]) for n, (w, back) in wanted.items()}
+    assert sorted(rows(resolve.forward_closure(frame))) == sorted((n, k, x) for n, (w, _) in wanted.items() for k, x in enumerate(w))
+    some = spark.createDataFrame([(5,), (5,), (11,), (99,)], "root int")
+    assert sorted(rows(resolve.walks(frame, some), "root", "distance", "node")) == sorted((n, k, x) for n in (5, 11) for k, x in enumerate(wanted[n][0]))
+
+
+def test_walks_of_a_hundred_thousand_steps(spark):
+    """A chain, and a tail into a ring, both far longer than a row could hold for every node."""
+    chain = spark.range(100_000).select(F.col("id").alias("node"), F.when(F.col("id") < 99_999, F.col("id") + 1).alias("next"))
+    ring = spark.range(200_000, 210_011).select(F.col("id").alias("node"), F.when(F.col("id") < 210_010, F.col("id") + 1).otherwise(200_010).alias("next"))
+    edges = chain.union(ring).repartition(4)
+    found = resolve.rings(edges)
+    assert found.agg(F.count("*"), F.min("ring"), F.max("ring"), F.max("size"), F.max("place")).first()[:] == (10_001, 200_010, 200_010, 10_001, 10_000)
+    ends = resolve.walk_ends(edges, found)
+    assert ends.where("node < 100000").agg(F.count("*"), F.sum("distance"), F.min("end"), F.max("end")).first()[:] == (100_000, 99_999 * 50_000, 99_999, 99_999)
+    assert ends.where("node >= 200000 and node < 200010").where("end = 200010 and distance = 200010 - node and size = 10001").count() == 10
+    walk = resolve.walks(edges, spark.createDataFrame([(0,), (200_000,)], "root long"))
+    assert walk.groupBy("root").agg(F.count("*").alias("n"), F.count_distinct("node").alias("nodes"), F.max("distance").alias("d")).orderBy("root").collect() == [(0, 100_000, 100_000, 99_999), (200_000, 10_011, 10_011, 10_010)]
+    assert walk.where("root = 0 and node <> distance").count() == 0
+
+
 def test_last_of_a_name_and_fragments(spark):
     catalog = spark.createDataFrame([("a", 1, 0), ("a", 2, 1)], "name string, id long, pos int")
     assert resolve.last_of_name(catalog).first()["id"] == 2
