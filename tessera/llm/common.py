@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; it bounds a worker's memory whatever the batch holds.
@@ -218,3 +218,19 @@ def keep_rows(docs: DataFrame, judge) -> DataFrame:
             yield batch.filter(pa.array(judge(batch), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def numbered(rows: DataFrame, key: list[str], order: list[str], name: str, *, few: bool = True) -> DataFrame:
+    """The rows with their number within their key, from 0, by prefix sums over range partitions.
+
+    Rows of one key may be many; ``few``: of the keys there is a proven number.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(n, *key, *order).sortWithinPartitions(*key, *order)
+    ranged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_p", F.spark_partition_id()), "numbers")
+    # a row for each partition and for each key that begins inside one
+    pieces = ranged.groupBy("_p", *key).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.select("_p", *key, "_first", F.coalesce(before, F.lit(0)).alias("_base"))
+    joined = ranged.join(F.broadcast(pieces) if few else pieces, ["_p", *key])
+    return joined.withColumn(name, F.col("_at") - F.col("_first") + F.col("_base")).drop("_at", "_p", "_first", "_base")

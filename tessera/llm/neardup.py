@@ -2,12 +2,13 @@
 
 1. Every document gets its set's size, a 128-bit fingerprint of the set, and a signature of minima under
    ``trees * DEPTH`` hash functions. Documents of equal sets are one node, named by the smallest id.
-2. The forest: each tree has DEPTH minima of its own, its order of the signatures. Nodes that share the first
-   ``PREFIX`` of them form a region, and all nodes of a region are candidates of each other. Regions of up to ``REGION``
-   nodes are compared as they are. In larger ones nodes first meet those with which they share a longer prefix, as
-   deep as the region needs, and some nodes of the region (``REPRESENTATIVES``) that all meet. What this does not
-   connect with the largest part of the region then meets all of the region, block by block: no pair is left
-   out but those already connected, and where a region is of one kind the work is in proportion to it.
+2. The forest: each tree has DEPTH minima of its own, and an order of all nodes by them. Nodes that share the first
+   ``PREFIX`` of them form a region, a stretch of the order. Spark sorts each region; in it the neighbours with the longest common
+   prefixes are the first candidates, from a depth on that the region's own prefixes give, so that what shares it is
+   a short run. What these join is then compared with all else in the region, so no pair is left out. A region of over ``REGION`` nodes is cut into
+   stretches of its order, by the nodes' numbers from prefix sums, each with some nodes of the region (``REPRESENTATIVES``)
+   that all meet. What this does not connect with the largest part of the region then meets all of the region, block
+   by block, and where a region is of one kind the work is in proportion to it.
    Candidates whose signatures agree in ``threshold - MARGIN`` of the places or more are joined; a piece of work gives
    a spanning forest of these, not all pairs.
 3. What the trees join together is a cluster. The full sets of a cluster are compared in the same two rounds: blocks of
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, slices, text_buffer
+from tessera.llm.common import materialise, numbered, slices, text_buffer
 from tessera.llm.graph import components, spanning
 from tessera.llm.words import NOT_SPACE, mix, shingles, split, stream
 
@@ -47,6 +48,7 @@ REPRESENTATIVES = 64
 BLOCK_DOCS, BLOCK_SHINGLES = 250, 200_000
 SET_REPRESENTATIVES = 16
 SHORT = 8  # regions up to this size are compared all at once
+RUN = 16  # neighbours that a prefix may join before a region goes deeper
 
 
 def tree_count(threshold: float) -> int:
@@ -105,17 +107,67 @@ def _sketch(size: int, trees: int):
     return run
 
 
-def _join_region(order: np.ndarray, signature: np.ndarray, need: int, depth: int, first: int, found: list[tuple[int, int]]) -> None:
-    """Spanning pairs of a region's nodes, ``first`` the place of the first; their order and depth in the tree limit nothing."""
-    left = np.arange(len(order))
-    while len(left):
-        queue, left = [int(left[0])], left[1:]
-        while queue and len(left):
+def common_prefixes(order: np.ndarray) -> np.ndarray:
+    """How many minima each row of a sorted order has in common with the one before it; none for the first."""
+    out = np.zeros(len(order), np.int64)
+    out[1:] = np.cumprod(order[1:] == order[:-1], axis=1).sum(axis=1)
+    return out
+
+
+def _own_depth(prefix: np.ndarray) -> int:
+    """The least depth at which no more than ``RUN`` neighbours share a prefix; the whole order where there is none."""
+    for depth in range(PREFIX, DEPTH):
+        ends = np.flatnonzero(np.append(prefix < depth, True))
+        if np.diff(ends, prepend=0).max(initial=0) <= RUN:
+            return depth
+    return DEPTH
+
+
+def _join_region(order: np.ndarray, signature: np.ndarray, need: int, first: int, found: list[tuple[int, int]]) -> None:
+    """Spanning pairs of a region's nodes in their order, ``first`` the place of the first.
+
+    Neighbours of longest common prefixes come first; what they join is then compared with all that is left.
+    """
+    prefix = common_prefixes(order)
+    depth = _own_depth(prefix)
+    parent = np.arange(len(order))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = int(parent[k])
+        return k
+
+    run = np.cumsum(prefix < depth)
+    for step in range(1, RUN):
+        i = np.flatnonzero(run[step:] == run[:-step])
+        if not len(i):
+            break
+        i = i[(signature[i] == signature[i + step]).sum(axis=1) >= need]
+        for k in i.tolist():
+            a, b = root(k), root(k + step)
+            if a != b:
+                parent[b] = a
+                found.append((first + k, first + k + step))
+    label = np.array([root(k) for k in range(len(order))])
+    by_label = np.argsort(label, kind="stable")
+    cuts = np.searchsorted(label[by_label], np.arange(len(order) + 1))
+    members = lambda x: by_label[cuts[x] : cuts[x + 1]].tolist()
+    left = np.ones(len(order), bool)
+    for begin in range(len(order)):
+        if not left[begin]:
+            continue
+        queue = members(int(label[begin]))
+        left[queue] = False
+        while queue and left.any():
             node = queue.pop()
-            near = (signature[left] == signature[node]).sum(axis=1) >= need
-            found += [(first + node, first + j) for j in left[near].tolist()]
-            queue += left[near].tolist()
-            left = left[~near]
+            others = np.flatnonzero(left)
+            near = others[(signature[others] == signature[node]).sum(axis=1) >= need]
+            for x in np.unique(label[near]).tolist():  # one of them joins all of what it is joined with
+                found.append((first + node, first + int(near[label[near] == x][0])))
+                more = members(x)
+                left[more] = False
+                queue += more
 
 
 def _is_representative(count: str, most: int) -> Column:
@@ -124,26 +176,24 @@ def _is_representative(count: str, most: int) -> Column:
 
 
 def _placed(nodes: DataFrame, region: int) -> DataFrame:
-    """(key, node, signature, deep, blocks, count) of each node and tree; ``blocks`` and ``count`` are null in regions of up to ``region``."""
+    """(key, node, signature, order, blocks, count) of each node and tree; ``blocks`` and ``count`` are null in regions of up to ``region``."""
     sizes = nodes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("count")).where(F.col("count") > region)
     large = materialise(sizes.withColumn("blocks", F.ceil(F.col("count") / F.lit(region)).cast("int")), "neardup-regions")
     planted = nodes.select("node", "signature", F.posexplode("keys").alias("tree", "key")).join(large, "key", "left")
-    # a minimum more for each four blocks of a region: one of 16 blocks is parted by six minima
-    depth = F.least(F.lit(DEPTH - PREFIX), F.ceil(F.log(4.0, F.col("blocks"))).cast("int"))
-    deep = F.when(F.col("blocks").isNotNull(), F.xxhash64(F.substring("signature", F.col("tree") * DEPTH + PREFIX + 1, depth)))
-    return planted.select("key", "node", "signature", deep.alias("deep"), "blocks", "count")
+    order = F.substring("signature", F.col("tree") * DEPTH + 1, F.lit(DEPTH))
+    return planted.select("key", "node", "signature", order.alias("order"), "blocks", "count")
 
 
 def _first_pieces(placed: DataFrame, region: int) -> DataFrame:
-    """(piece, node, signature): small regions; of large ones those that share a longer prefix, with the representatives."""
-    small = placed.where("blocks is null").select(F.col("key").alias("piece"), "node", "signature")
+    """(piece, node, signature, order): small regions; of large ones stretches of their order, with the representatives."""
+    columns = ("node", "signature", "order")
+    small = placed.where("blocks is null").select(F.col("key").alias("piece"), *columns)
     large = placed.where("blocks is not null")
-    crowds = large.groupBy("key", "deep").agg(F.count("*").alias("_n")).where(F.col("_n") > region).select("key", "deep", F.ceil(F.col("_n") / F.lit(region)).cast("int").alias("parts"))
-    part = F.when(F.col("parts").isNull(), F.xxhash64("key", F.pmod("deep", F.col("blocks")))).otherwise(F.xxhash64("key", "deep", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts"))))
-    own = large.join(crowds, ["key", "deep"], "left").withColumn("piece", part)
-    pieces = own.select("key", "piece").distinct()
-    shown = large.where(_is_representative("count", REPRESENTATIVES)).join(pieces, "key")
-    return small.union(own.select("piece", "node", "signature")).union(shown.select("piece", "node", "signature"))
+    own = numbered(large, ["key"], ["order", "node"], "_k", few=False).withColumn("part", F.floor(F.col("_k") / F.lit(region)))
+    piece = F.xxhash64("key", "part").alias("piece")
+    stretches = own.select("key", "blocks").distinct().select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("part"))
+    shown = large.where(_is_representative("count", REPRESENTATIVES)).join(stretches, "key")
+    return small.union(own.select(piece, *columns)).union(shown.select(piece, *columns))
 
 
 def _labels(members: DataFrame, group: str, joined: DataFrame) -> DataFrame:
@@ -154,20 +204,20 @@ def _labels(members: DataFrame, group: str, joined: DataFrame) -> DataFrame:
 
 
 def _second_pieces(labelled: DataFrame, region: int) -> DataFrame:
-    """(piece, node, signature) of large regions: each block of a region with each block of its loose nodes."""
+    """(piece, node, signature, order) of large regions: each block of a region with each block of its loose nodes."""
     loose = labelled.where("loose").groupBy("key").agg(F.ceil(F.count("*") / F.lit(region)).cast("int").alias("turns"))
     rows = labelled.join(loose, "key")
     block, turn = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")), F.pmod(F.xxhash64("node", F.lit(3)), F.col("turns"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    all_rows = rows.select("key", block.cast("int").alias("b"), every("turns").alias("l"), "node", "signature")
-    loose_rows = rows.where("loose").select("key", every("blocks").alias("b"), turn.cast("int").alias("l"), "node", "signature")
-    return all_rows.union(loose_rows).select(F.xxhash64("key", "b", "l").alias("piece"), "node", "signature")
+    all_rows = rows.select("key", block.cast("int").alias("b"), every("turns").alias("l"), "node", "signature", "order")
+    loose_rows = rows.where("loose").select("key", every("blocks").alias("b"), turn.cast("int").alias("l"), "node", "signature", "order")
+    return all_rows.union(loose_rows).select(F.xxhash64("key", "b", "l").alias("piece"), "node", "signature", "order")
 
 
 def _candidates(need: int):
-    """Pairs of nodes that a tree joins, from rows of which those of one key stand together."""
+    """Pairs of nodes that a tree joins, from rows of which those of one key stand together, in their order."""
 
-    def handle(key: np.ndarray, node: np.ndarray, signature: np.ndarray) -> pa.RecordBatch:
+    def handle(key: np.ndarray, node: np.ndarray, signature: np.ndarray, order: np.ndarray) -> pa.RecordBatch:
         cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(cuts, len(key)))
         region = np.repeat(np.arange(len(cuts)), sizes)
@@ -179,7 +229,7 @@ def _candidates(need: int):
             pairs += zip(i[agree].tolist(), (i[agree] + step).tolist())
         for r in np.flatnonzero(sizes > SHORT).tolist():
             a, b = int(cuts[r]), int(cuts[r] + sizes[r])
-            _join_region(node[a:b], signature[a:b], need, PREFIX, a, pairs)
+            _join_region(order[a:b], signature[a:b], need, a, pairs)
         at = np.array(pairs, np.int64).reshape(-1, 2)
         star = spanning(node[at[:, 0]].tolist(), node[at[:, 1]].tolist())
         out = np.array([(x, r) for x, r in star.items() if x != r], np.int64).reshape(-1, 2)
@@ -189,7 +239,7 @@ def _candidates(need: int):
         rest = None
         for batch in batches:
             columns = [np.asarray(batch.column(c)) for c in ("piece", "node")]
-            columns.append(np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            columns += [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("signature", "order")]
             if rest is not None:
                 columns = [np.concatenate(x) for x in zip(rest, columns)]
             # the last region may go on in the next batch
@@ -295,11 +345,11 @@ def _components(docs: DataFrame, *, shingle: int = 3, percent: int = 85, block_d
     need = math.ceil((percent / 100 - MARGIN) * trees * DEPTH)
 
     def meet(pieces: DataFrame) -> DataFrame:
-        return pieces.repartition(n, "piece").sortWithinPartitions("piece").mapInArrow(_candidates(need), "a long, b long")
+        return pieces.repartition(n, "piece").sortWithinPartitions("piece", "order").mapInArrow(_candidates(need), "a long, b long")
 
     placed = _placed(nodes, region)
     clusters = materialise(components(meet(_first_pieces(placed, region))), "neardup-clusters")
-    crowded = placed.where("blocks is not null").drop("deep", "count")
+    crowded = placed.where("blocks is not null").drop("count")
     if crowded.limit(1).count():
         labelled = materialise(_labels(crowded, "key", clusters), "neardup-crowded")
         if labelled.where("loose").limit(1).count():

@@ -16,11 +16,11 @@ are left out; other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialise
+from tessera.llm.common import materialise, numbered
 
 SHARDS = 40
 OVERHEAD = 16
@@ -117,7 +117,7 @@ def assign(docs: DataFrame, *, shards: int = SHARDS, dimensions: tuple[str, ...]
     large = meta.groupBy("g1", "g2").agg(F.sum("size").alias("_b"), F.count("*").alias("_rows")).where(F.col("_b") > limit)
     large = F.broadcast(large.select("g1", "g2", "_rows", F.ceil(F.col("_b") / F.lit(limit)).alias("_parts")))
     columns = ["doc_id", "size", "text_crc32", "g1", "g2", "lane", *dims]
-    cut = _numbered(meta.join(large, ["g1", "g2"]), ["g1", "g2"], ["lane"], "_k")
+    cut = numbered(meta.join(large, ["g1", "g2"]), ["g1", "g2"], ["lane"], "_k")
     part = F.floor(F.col("_k") * F.col("_parts") / F.col("_rows")).cast("long").alias("part")
     whole = meta.join(large, ["g1", "g2"], "left_anti")
     meta = materialise(whole.select(*columns, F.lit(0).cast("long").alias("part")).unionAll(cut.select(*columns, part)), "shard-groups")
@@ -131,17 +131,4 @@ def assign(docs: DataFrame, *, shards: int = SHARDS, dimensions: tuple[str, ...]
 
 def number_slots(located: DataFrame) -> DataFrame:
     """The rows with ``slot``: their places in their shard by (doc_id, text_crc32), from 0 without gaps; equal rows in any order."""
-    return _numbered(located, ["shard"], ["doc_id", "text_crc32", "lane"], "slot").drop("lane")
-
-
-def _numbered(rows: DataFrame, key: list[str], order: list[str], name: str) -> DataFrame:
-    """The rows with their number within their key, from 0, by prefix sums over range partitions. Keys are few, rows of one are not."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, *key, *order).sortWithinPartitions(*key, *order)
-    ranged = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_p", F.spark_partition_id()), "shard-numbers")
-    # a row for each partition and for each key that begins inside one
-    pieces = ranged.groupBy("_p", *key).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
-    pieces = pieces.select("_p", *key, "_first", F.coalesce(before, F.lit(0)).alias("_base"))
-    joined = ranged.join(F.broadcast(pieces), ["_p", *key])
-    return joined.withColumn(name, F.col("_at") - F.col("_first") + F.col("_base")).drop("_at", "_p", "_first", "_base")
+    return numbered(located, ["shard"], ["doc_id", "text_crc32", "lane"], "slot").drop("lane")

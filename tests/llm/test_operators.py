@@ -1,6 +1,7 @@
 """Small cases with defined results, and brute force over the smallest test tables."""
 
 import hashlib
+import itertools
 import math
 import re
 import time
@@ -141,25 +142,70 @@ def test_a_group_of_near_copies_is_whole_in_small_blocks(spark):
         assert found == brute_components(rows, 3, 85)
 
 
+def in_order(signature):
+    """Signatures sorted by the minima of a tree, here their first, and these."""
+    order = signature[:, : neardup.DEPTH]
+    at = np.lexsort(order.T[::-1])
+    return signature[at], order[at]
+
+
+def test_common_prefixes_of_a_sorted_order():
+    rng = np.random.default_rng(1)
+    _, order = in_order(rng.integers(0, 3, (500, 16), dtype=np.uint8))
+    found = neardup.common_prefixes(order)
+    for k in range(1, 500):
+        assert found[k] == next((n for n in range(neardup.DEPTH) if order[k, n] != order[k - 1, n]), neardup.DEPTH)
+    # a region goes as deep as its runs are long
+    depth = neardup._own_depth(found)
+    longest = lambda d: max(len(list(g)) for _, g in itertools.groupby(tuple(r[:d]) for r in order.tolist()))
+    assert depth == neardup.DEPTH or longest(depth) <= neardup.RUN
+    assert depth == neardup.PREFIX or longest(depth - 1) > neardup.RUN
+    assert neardup._own_depth(np.zeros(50, np.int64)) == neardup.PREFIX and neardup._own_depth(np.full(50, neardup.DEPTH)) == neardup.DEPTH
+
+
 def test_large_regions_are_taken_apart_without_losing_copies():
-    signature = np.repeat(np.random.default_rng(2).integers(0, 256, (5000, 16), dtype=np.uint8), 2, axis=0)
-    tail = np.sort(np.random.default_rng(3).integers(0, 2**62, 5000)).repeat(2)
+    """Copies are neighbours in the order, of the longest common prefix."""
+    signature, order = in_order(np.repeat(np.random.default_rng(2).integers(0, 256, (5000, 16), dtype=np.uint8), 2, axis=0))
     found = []
-    neardup._join_region(tail, signature, 14, neardup.PREFIX, 0, found)
+    neardup._join_region(order, signature, 14, 0, found)
     assert {(2 * i, 2 * i + 1) for i in range(5000)} <= set(found)
 
 
-def test_large_regions_are_compared_completely():
-    """Near copies of one template, equal in the tree's order, whose places are far apart and that nothing between them links."""
+@pytest.mark.parametrize("orders", ["equal", "their own"])
+def test_large_regions_are_compared_completely(orders):
+    """Near copies whose places in the order are far apart and that nothing between them links."""
     rng = np.random.default_rng(4)
-    signature = rng.integers(0, 256, (6000, 16), dtype=np.uint8)
+    signature, order = in_order(rng.integers(0, 256, (6000, 16), dtype=np.uint8))
     signature[5999] = signature[0]
     found = []
-    neardup._join_region(np.zeros(6000, np.int64), signature, 14, neardup.DEPTH, 0, found)
-    assert (0, 5999) in found
-    found.clear()
-    neardup._join_region(np.arange(6000) << 48, signature, 14, neardup.PREFIX, 0, found)
-    assert (0, 5999) in found
+    neardup._join_region(np.zeros_like(order) if orders == "equal" else order, signature, 14, 0, found)
+    assert found == [(0, 5999)]
+
+
+def test_regions_are_those_of_all_pairs():
+    """What a region joins, by neighbours and then all that is left, is what all of its pairs join."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 256, (30, 16), dtype=np.uint8)
+    rows = base[rng.integers(0, 30, 700)]
+    rows = np.where(rng.random(rows.shape) < 0.15, rng.integers(0, 256, rows.shape), rows).astype(np.uint8)
+    signature, order = in_order(rows)
+    found = []
+    neardup._join_region(order, signature, 12, 0, found)
+    agree = (signature[:, None, :] == signature[None, :, :]).sum(axis=2) >= 12
+    assert all(agree[a, b] for a, b in found)
+    sets = [{k} for k in range(700)]
+    for a, b in zip(*np.nonzero(np.triu(agree, 1))):
+        if sets[a] is not sets[b]:
+            sets[a] |= sets[b]
+            for k in sets[b]:
+                sets[k] = sets[a]
+    joined = [{k} for k in range(700)]
+    for a, b in found:
+        if joined[a] is not joined[b]:
+            joined[a] |= joined[b]
+            for k in joined[b]:
+                joined[k] = joined[a]
+    assert joined == sets and len(found) == 700 - len({id(x) for x in sets})
 
 
 def region_pieces(spark, kinds, region, n=400):
