@@ -24,22 +24,36 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str,
         return spark.read.schema(schema).json(path, mode="DROPMALFORMED") if exists(spark, path) else spark.createDataFrame([], schema)
     if not exists(spark, path):
         raise GateError("a file is missing", "restore it", [{"file": path}])
-    require_empty(bad_json_lines(spark, path).orderBy("file", "line"), "lines are no JSON objects", "mend these lines")
+    require_empty(bad_json_lines(spark, path), "lines are no JSON objects", "mend these lines")
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
-def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text) of lines that are no JSON object. Only files that have one are read whole, to number their lines."""
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, text) of all lines, from 1 in each file. Files are split by byte ranges as always, and none is read whole.
+
+    Lines are numbered within their split, as they come; where a split begins in its file is the sum of the counts of those before it.
+    """
+    from pyspark.sql import Window
 
-    def bad(text: str) -> Column:
-        parsed = F.try_parse_json(text)
-        return (F.trim(text) != "") & (parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"))
+    scan, splits = _split_lines(spark, path)
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = splits.select("file", "split", (before - F.col("_first") + 1).alias("_base"))
+    return scan.join(bases, ["file", "split"]).select("file", (F.col("_at") + F.col("_base")).alias("line"), "text")
 
-    files = [r[0] for r in spark.read.text(path).where(bad("value")).select("_metadata.file_path").distinct().collect()]
-    if not files:
-        return spark.createDataFrame([], "file string, line int, text string")
-    whole = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("pos", "text"))
-    return whole.where(bad("text")).select("file", (F.col("pos") + 1).alias("line"), "text")
+
+def _split_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(lines with the file, the split and a number that grows within it, the first number and the count of each split)."""
+    scan = spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("_at"), F.col("value").alias("text"))
+    return scan, scan.groupBy("file", "split").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+
+
+def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, text) of lines that are no JSON object; lines are numbered only where there are any."""
+    parsed = F.try_parse_json("text")
+    bad = (F.trim("text") != "") & (parsed.isNull() | ~F.schema_of_variant(parsed).startswith("OBJECT"))
+    if not _split_lines(spark, path)[0].where(bad).limit(1).count():
+        return spark.createDataFrame([], "file string, line long, text string")
+    return numbered_lines(spark, path).where(bad)
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType | str, *, optional: bool = False) -> DataFrame:

@@ -18,6 +18,6 @@ def observe_stream(spark: SparkSession, folder: str, root: str, checkpoint: str)
     def run(batch, number: int) -> None:
         facts = aggregate_facts(batch)
         names = [r["source"] for r in facts.select("source").distinct().collect()]  # a row for each source
-        observe(batch.sparkSession, root, facts, dict.fromkeys(names, "ok"), observed_at=f"batch-{number}")
+        observe(batch.sparkSession, root, facts, dict.fromkeys(names, "ok"), observed_at=f"batch-{number}", run_id=f"batch-{number}")
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tessera.functions import evidence, html, pages, text
 from tessera.operators import contain, facts, gates, history, nested, records, resolve, rules
 from tessera.plans import identity, observe
-from tessera.sources import io
+from tessera.operators.gates import GateError
+from tessera.sources import io, published
 from tessera.streaming.observe import FACTS, observe_stream
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -116,7 +117,7 @@ def test_observation(spark, tmp_path):
     assert second["a"]["events"] == 2 and second["b"]["state"] == "skipped" and second["c"]["state"] == "unchanged"
     third = observe.observe(spark, root, state(spark, ("a", 1, 1), ("a", 2, 1), ("b", 1, 1), ("c", 1, 1)), ok, observed_at="3")
     assert third["a"]["events"] == 2
-    log = spark.read.parquet(f"{root}/a/changes")
+    log = observe.events(spark, root, "a")
     assert rows(log, "observed_at", "change", "assessment") == [("2", "modified", "unconfirmed"), ("2", "removed", "unconfirmed"), ("3", "modified", "corroborated"), ("3", "reappeared", "unconfirmed")]
     assert observe.observe(spark, root, state(spark, ("a", 1, 1), ("a", 2, 1)), {"a": "ok"}, observed_at="4")["a"]["state"] == "unchanged"
     assert observe.facts_hash(state(spark, ("a", 1, 1), ("a", 2, 2))).first() == observe.facts_hash(state(spark, ("a", 2, 2), ("a", 1, 1))).first()
@@ -133,7 +134,98 @@ def test_a_stream_of_files_is_observed(spark, tmp_path):
     for mask in (1, 3):
         spark.createDataFrame([("a", 1, None, "improve", None, "r", 0, mask, "explicit", "x")], FACTS).coalesce(1).write.mode("append").parquet(folder)
         observe_stream(spark, folder, root, str(tmp_path / "c")).awaitTermination()
-    assert rows(spark.read.parquet(f"{root}/a/changes"), "change") == [("modified",)]
+    assert rows(observe.events(spark, root, "a"), "change") == [("modified",)]
+
+
+def test_a_run_that_comes_again_changes_nothing(spark, tmp_path, monkeypatch):
+    root, ok = str(tmp_path / "h"), {"a": "ok", "b": "ok"}
+    states = [state(spark, ("a", 1, 1), ("a", 2, 1), ("b", 1, 1)), state(spark, ("a", 1, 2), ("b", 1, 1)), state(spark, ("a", 1, 2), ("a", 2, 1), ("b", 1, 1)), state(spark, ("a", 1, 2), ("b", 1, 1))]
+    log = lambda: rows(observe.events(spark, root, "a"), "observed_at", "change", "fact_key", "pos")
+    for k, facts_now in enumerate(states):
+        report = observe.observe(spark, root, facts_now, ok, observed_at=str(k), run_id=f"r{k}")
+        seen, kept = log(), published.manifest(spark, f"{root}/a")
+        for j in range(k + 1):
+            assert observe.observe(spark, root, states[j], ok, observed_at="again", run_id=f"r{j}")["a"]["observed_at"] == str(j)
+        assert log() == seen and published.manifest(spark, f"{root}/a") == kept and report["a"]["observed_at"] == str(k)
+    assert [r[1] for r in sorted(seen)] == ["modified", "removed", "reappeared", "removed"]
+    # what has been removed is what the whole log says
+    gone = spark.read.parquet(f"{root}/a/{kept['gone']}")
+    assert rows(gone) == rows(history.removed_keys(observe.events(spark, root, "a"))) and gone.count() == 1
+    # a run that is cut off before its manifest counts for nothing; done again it counts once
+    with monkeypatch.context() as patch:
+        patch.setattr(published, "publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            observe.observe(spark, root, states[2], ok, observed_at="4", run_id="r4")
+    assert log() == seen
+    assert observe.observe(spark, root, states[2], ok, observed_at="4", run_id="r4")["a"]["events"] == 1 and len(log()) == len(seen) + 1
+    assert published.tidy(spark, f"{root}/a") and len(log()) == len(seen) + 1 and not published.tidy(spark, f"{root}/a")
+
+
+# --- sinks that publish --------------------------------------------------------------------------
+
+
+def test_a_killed_task_leaves_the_old_content(spark, tmp_path):
+    root = str(tmp_path / "t")
+    published.overwrite(spark.range(100).select("id"), root)
+
+    @F.udf("long")
+    def dies(x):
+        if x == 77:
+            raise RuntimeError("lost")
+        return x
+
+    for write in (published.overwrite, published.append):
+        with pytest.raises(Exception, match="lost"):
+            write(spark.range(200).repartition(8).select(dies("id").alias("id")), root)
+        assert published.read(spark, root, "id long").count() == 100
+    assert len(published.tidy(spark, root)) == 2
+    published.overwrite(published.read(spark, root, "id long").where("id < 10"), root)
+    published.append(spark.range(3).select("id"), root)
+    assert published.read(spark, root, "id long").count() == 13 and published.tidy(spark, root)
+
+
+def test_ten_thousand_captures_are_one_write(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "c")
+    batch = spark.range(10_000).selectExpr("concat('h/', id, '.html') as cache_key", "concat('http://h/', id) as url", "id as fetched_at", "cast(concat('page ', id) as binary) as content")
+    assert len(published.install_captures(spark, root, batch)["segments"]) == 1
+    newer = spark.createDataFrame([("h/5.html", 7, b"older"), ("h/5.html", 9, b"newest"), ("x/\u00e9.html", 1, "\u00e9".encode())], "cache_key string, fetched_at long, content binary")
+    published.install_captures(spark, root, newer)
+    found = published.read_captures(spark, root)
+    assert found.count() == 10_001 and rows(found.where("cache_key in ('h/5.html', 'h/6.html')"), "cache_key", "content", "state") == [("h/5.html", "newest", "ok"), ("h/6.html", "page 6", "ok")]
+    plan = found.where("cache_key = 'h/6.html'").select("content")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(cache_key,h/6.html)" in plan
+    narrow = found.select("cache_key", "url")._jdf.queryExecution().executedPlan().toString()
+    assert "content:binary" not in narrow
+    for bad in ({"cache_key": "../x"}, {"cache_key": "/x"}, {"content_sha256": "0"}):
+        row = {"cache_key": "k", "content_sha256": None, "content": b"x"} | bad
+        with pytest.raises(GateError):
+            published.install_captures(spark, root, spark.createDataFrame([tuple(row.values())], "cache_key string, content_sha256 string, content binary"))
+    monkeypatch.setattr(published, "MOST_SEGMENTS", 2)
+    state_now = published.install_captures(spark, root, newer.limit(1))
+    assert len(state_now["segments"]) == 1 and published.read_captures(spark, root).count() == 10_001
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    """Files of many splits, some in one task, with empty lines and one without an end; none is read whole."""
+    texts = {"a.jsonl": ['{"k": %d, "pad": "%s"}' % (i, "x" * (i % 50)) for i in range(5000)], "b.jsonl": ["{}", "", "no", "[1]", '"s"', "{}"], "c.jsonl": ["{}"] * 3}
+    texts["a.jsonl"][4321] = "not json"
+    texts["a.jsonl"][7] = "{"
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + ("\n" if name != "b.jsonl" else ""))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert spark.read.text(f"{tmp_path}/a.jsonl").rdd.getNumPartitions() > 15
+        found = [(r["file"].rsplit("/", 1)[1], r["line"], r["text"]) for r in io.numbered_lines(spark, str(tmp_path)).collect()]
+        assert sorted(found) == sorted((n, k, x) for n, lines in texts.items() for k, x in enumerate(lines, 1))
+        bad = sorted((r["file"].rsplit("/", 1)[1], r["line"]) for r in io.bad_json_lines(spark, str(tmp_path)).collect())
+        assert bad == [("a.jsonl", 8), ("a.jsonl", 4322), ("b.jsonl", 3), ("b.jsonl", 4), ("b.jsonl", 5)]
+        with pytest.raises(GateError, match="no JSON"):
+            io.read_json_lines(spark, f"{tmp_path}/a.jsonl", "k long", strict=True)
+        assert io.read_json_lines(spark, f"{tmp_path}/c.jsonl", "k long", strict=True).count() == 3
+        assert "wholetext" not in io.numbered_lines(spark, str(tmp_path))._jdf.queryExecution().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 # --- nested --------------------------------------------------------------------------------------
