@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Of aliases of at least so many bytes the bytes of a gram and the grams of a window; the first that fits.
@@ -29,9 +29,8 @@ CLASSES = ((23, 8, 16), (8, 4, 5), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
 _STEP = 1 << 19  # places looked at together
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The table written to the shared folder of the session and read again, which survives lost executors; removed when the driver ends."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A fresh place in the shared folder of the session; what is there is removed when the driver ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
@@ -41,8 +40,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", shared)
     path = f"{shared.rstrip('/')}/tessera-table-{uuid.uuid4().hex}"
     _written.append((spark, path))
+    return path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder of the session and read again, which survives lost executors."""
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _written: list[tuple] = []

@@ -129,9 +129,11 @@ def consensus(facts: DataFrame, *, votes: int = 2) -> DataFrame:
 
 
 def weighted_average(*pairs: tuple[Column, float]) -> Column:
-    """Mean of the values that are not null, by weight; null if all are."""
-    total = sum((F.when(v.isNotNull(), v * w).otherwise(0.0) for v, w in pairs), F.lit(0.0))
-    weight = sum((F.when(v.isNotNull(), F.lit(w)).otherwise(0.0) for v, w in pairs), F.lit(0.0))
+    """Mean of the values that are not null, by weight; null if all are. Values of six places, weights of two: in decimals, so exact but for the division."""
+    part = lambda v, w: F.when(v.isNotNull(), v.cast("decimal(12,6)") * F.lit(w).cast("decimal(4,2)")).otherwise(F.lit(0).cast("decimal(4,2)"))
+    total = sum((part(v, w) for v, w in pairs[1:]), part(*pairs[0]))
+    present = lambda v, w: F.when(v.isNotNull(), F.lit(w)).otherwise(0.0).cast("decimal(4,2)")
+    weight = sum((present(v, w) for v, w in pairs[1:]), present(*pairs[0]))
     return F.try_divide(total, weight)
 
 

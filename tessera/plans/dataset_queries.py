@@ -335,19 +335,19 @@ def asset_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.asset_violations(files, kind="png", size=(390, 390))
 
 
-@query(f"""{_IDS}, f as (select 'assets/useitem/' || n || '.webp' as path, k as bytes from p where k <= 20 union all select 'assets/equip/' || k || '.webp', n from p union all select 'compat/x/' || k || '.png', 1 from p), need as (select distinct n % 9 - 1 as id from p where n % 9 > 1), m as (
+@query(f"""{_IDS}, f as (select 'assets/useitem/' || n || '.webp' as path, k as bytes from p union all select 'assets/equip/' || k || '.webp', n from p union all select 'compat/x/' || k || '.png', 1 from p), need as (select distinct n % 9 - 1 as id from p where n % 9 > 1), m as (
   select 'improvement.listViewCount' as metric, count(distinct n % 8) as value from p union all select 'improvement.listAllCount', count(*) filter (n % 8 = 0) from p union all select 'improvement.detailRecordCount', count(*) from p union all select 'improvement.effectExpectationAvailableCount', count(*) filter (n % 4 > 0) from p
   union all select 'improvement.effectExpectationUnavailableCount', count(*) filter (n % 4 = 0 and n % 8 > 0) from p union all select 'improvement.routeCount', count(*) from p union all select 'improvement.stepCount', sum(case when n % 19 = 0 then 10 else 11 end) from p union all select 'improvement.upgradeAvailableCount', count(*) filter (n % 3 = 0 and n % 19 > 0) from p
   union all select 'compat.detailRecordCount', count(*) from p union all select 'compat.routeCount', count(*) from p union all select 'equipmentDropFrom.recordCount', count(*) from p union all select 'equipmentDropFrom.relationCount', sum(case when n % 9 > 0 then 2 * (n % 4) else 0 end) from p
   union all select 'equipmentSources.recordCount', count(*) from p union all select 'equipmentSources.shipRelationCount', 2 * count(*) from p union all select 'equipmentSources.upgradeRelationCount', count(*) from p union all select 'equipmentSources.questRelationCount', 0
   union all select 'equipmentSpecialBonuses.recordCount', count(*) from p union all select 'equipmentSpecialBonuses.equipmentRecordCount', count(*) filter (n % 2 = 0) from p union all select 'equipmentSpecialBonuses.equipmentTypeRecordCount', count(*) filter (n % 2 = 1) from p union all select 'equipmentSpecialBonuses.ruleCount', count(*) from p
-  union all select 'useitemIcons.requiredCount', count(*) from need union all select 'useitemIcons.missingCount', count(*) from need where id not in (select n from p where k <= 20) union all select 'useitemIcons.count', count(*) filter (path like 'assets/useitem/%') from f union all select 'useitemIcons.totalBytes', sum(bytes) filter (path like 'assets/useitem/%') from f
+  union all select 'useitemIcons.requiredCount', count(*) from need union all select 'useitemIcons.missingCount', count(*) from need where id not in (select n from p) union all select 'useitemIcons.count', count(*) filter (path like 'assets/useitem/%') from f union all select 'useitemIcons.totalBytes', sum(bytes) filter (path like 'assets/useitem/%') from f
   union all select 'compat.useitemPngCount', count(*) filter (path like 'compat/%') from f union all select 'equipmentImages.count', count(*) filter (path like 'assets/equip/%') from f union all select 'equipmentImages.totalBytes', sum(bytes) filter (path like 'assets/equip/%') from f union all select 'publicData.totalBytes', sum(bytes) from f)
   select metric, cast(value as double) as value from m""")
 def package_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of a package."""
     part, details = _numbered(spark, sf_dir), _details(spark, sf_dir)
-    files = part.where("k <= 20").select(said("assets/useitem/", N(), ".webp").alias("path"), K().alias("bytes")).union(part.select(said("assets/equip/", K(), ".webp"), N().cast("long"))).union(part.select(said("compat/x/", K(), ".png"), F.lit(1).cast("long")))
+    files = part.select(said("assets/useitem/", N(), ".webp").alias("path"), K().alias("bytes")).union(part.select(said("assets/equip/", K(), ".webp"), N().cast("long"))).union(part.select(said("compat/x/", K(), ".png"), F.lit(1).cast("long")))
     views = part.select((N() % 8).alias("view"), K().alias("item"))
     return rules.package_counts(views=views, details=details, compat=details, drops=_drops(spark, sf_dir), sources=_sources(spark, sf_dir), bonuses=_bonuses(spark, sf_dir), files=files)
 

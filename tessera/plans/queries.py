@@ -124,7 +124,7 @@ def peer_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {_merged_sql(5)}, {_PAIRS_SQL}, {_VOTES_SQL},
   p as (select source, sum(comparable) as pc, round(sum(agreements) / sum(comparable), 6) as pr from pairs group by source),
   e as (select p.source, pr, pc, round(c.agreements / c.comparable, 6) as vr, c.comparable as vc from p left join consensus c using (source)),
-  s as (select source, round((pr * 0.65 + vr * 0.35) / (0.65 + 0.35), 6) as score, round(least(1.0, pc / 500.0) * 0.45 + least(1.0, vc / 200.0) * 0.30, 6) as confidence from e)
+  s as (select source, (n // 100 + case when n % 100 > 50 or (n % 100 = 50 and n // 100 % 2 = 1) then 1 else 0 end) / 1e6 as score, round(least(1.0, pc / 500.0) * 0.45 + least(1.0, vc / 200.0) * 0.30, 6) as confidence from (select *, cast(round(pr * 1e6) as bigint) * 65 + cast(round(vr * 1e6) as bigint) * 35 as n from e))
   select source, cast(score as double) as score, cast(confidence as double) as confidence, case when confidence >= 0.8 then 'high' when confidence >= 0.5 then 'medium' else 'low' end as confidence_label,
     cast(round(greatest(0.75, least(1.25, score / avg(score) over ())), 4) as double) as relative_weight, 'scored' as state from s""")
 def source_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +192,29 @@ _EVENTS_SQL = f"""{_CHANGES_SQL}, {_CUTS_SQL} ev as (select coalesce(old.fact_ke
   old.signature as before, new.signature as after from old full join new using (fact_key))"""
 
 
+_RUNS = {"r1": "event_id % 3 < 2", "r2": "event_id % 3 > 0 and user_id % 4 > 0", "r3": "event_id % 3 < 2 or user_id % 4 = 0"}
+_RUNS_SQL = ", ".join(f"{name} as (select user_id || '/' || event_type as k, bit_or(1 << dayofweek(ts)) as m from events where {where} group by 1)" for name, where in _RUNS.items())
+
+
+@query(f"""with {_RUNS_SQL}, e2 as (select coalesce(a.k, b.k) as k, case when a.k is null then 'added' when b.k is null then 'removed' when a.m <> b.m then 'modified' end as change from r1 a full join r2 b using (k)),
+  e3 as (select coalesce(a.k, b.k) as k, case when a.k is null and coalesce(a.k, b.k) in (select k from e2 where change = 'removed') then 'reappeared' when a.k is null then 'added' when b.k is null then 'removed' when a.m <> b.m then 'modified' end as change from r2 a full join r3 b using (k))
+  select 'r2' as observed_at, change, count(*) as events from e2 where change is not null group by all union all select 'r3', change, count(*) from e3 where change is not null group by all""")
+def observation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over the facts of one source, the second given twice, and the log that they leave."""
+    from tessera.operators.contain import scratch
+    from tessera.plans import observe
+
+    root = scratch(spark)
+    for name, where in {**_RUNS, "r2 again": _RUNS["r2"]}.items():
+        part = event_facts(spark, sf_dir).join(read(spark, sf_dir, "events").where(where).select(F.col("event_id").alias("pos")), "pos", "left_semi")
+        merged = facts.aggregate_facts(part.withColumns({"source": F.lit("s"), "assistant_id": F.lit(None).cast("long")}))
+        run = name.split()[0]
+        if run != name:  # a run that comes again, of a source that has gone on since
+            merged = merged.limit(0)
+        observe.observe(spark, root, merged, {"s": "ok"}, observed_at=run, run_id=run)
+    return observe.events(spark, root, "s").groupBy("observed_at", "change").agg(F.count("*").alias("events"))
+
+
 @query(f"with {_EVENTS_SQL} select fact_key, change, 'source-observed' as origin, before, after from ev where change is not null")
 def snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events between two snapshots, after a log."""
@@ -363,6 +386,37 @@ def json_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.walk(read(spark, sf_dir, "events").select("props"), "props").where("path <> '$'").groupBy("value", "path").agg(F.count("*").alias("n"))
 
 
+@query("select o_orderkey, true as in_place from orders where o_orderkey % 97 = 5")
+def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON lines, some of them cut off; the bad ones by file and line, which is where the order is in its file."""
+    from tessera.operators.contain import scratch
+    from tessera.sources import io
+
+    folder = scratch(spark)
+    whole = F.concat(F.lit('{"k": '), F.col("o_orderkey"), F.lit(', "status": "'), "o_orderstatus", F.lit('"}'))
+    line = F.when(F.col("o_orderkey") % 97 == 5, F.expr("substring(whole, 1, length(whole) - 1)")).otherwise(F.col("whole"))
+    read(spark, sf_dir, "orders").select("o_orderkey", whole.alias("whole")).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select(line.alias("value")).write.text(folder)
+    key = F.regexp_extract("text", r"(\d+)", 1).cast("long")
+    # orders are numbered without gaps, so in a file a line's number grows as the order's
+    firsts = io.numbered_lines(spark, folder).where("line = 1").select("file", key.alias("first"))
+    return io.bad_json_lines(spark, folder).join(firsts, "file").select(key.alias("o_orderkey"), (key - F.col("first") + 1 == F.col("line")).alias("in_place"))
+
+
+@query("select url as cache_key, case when page_id % 5 = 0 then 'new ' || page_id else html end as content, 'ok' as state from (select *, row_number() over (partition by url order by page_id desc) as r from pages) where r = 1")
+def capture_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as captures in two batches, the second of which replaces some; the newest of each key, checked by hash."""
+    from tessera.operators.contain import scratch
+    from tessera.sources import published
+
+    root = scratch(spark)
+    pages_ = read(spark, sf_dir, "pages").select(F.col("url").alias("cache_key"), "url", "page_id", F.col("page_id").alias("fetched_at"), F.col("html").cast("binary").alias("content"))
+    published.install_captures(spark, root, pages_)
+    # what a key was captured as last is captured anew, for some
+    last = pages_.groupBy("cache_key").agg(F.max("page_id").alias("page_id")).where("page_id % 5 = 0")
+    published.install_captures(spark, root, last.select("cache_key", F.col("cache_key").alias("url"), F.col("page_id").alias("fetched_at"), F.concat(F.lit("new "), "page_id").cast("binary").alias("content")))
+    return published.read_captures(spark, root).select("cache_key", "content", "state")
+
+
 @query("select o_custkey, count(*) as depth, cast(sum(o_orderkey) as bigint) as keys, max(o_totalprice) as price from orders group by 1")
 def deep_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's orders nested in one another, as deep as there are orders; keys and prices are found at every level."""
