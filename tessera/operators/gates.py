@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,11 +84,29 @@ def gate(current: DataFrame, baseline: DataFrame, thresholds: DataFrame) -> Data
 def fold_digest(rows: DataFrame, path: str, digest: str, *, header: str = "") -> DataFrame:
     """One digest of (path, digest) rows in order of path: sha256 of the header and a ``path NUL digest`` line for each.
 
-    The rows are a manifest's files; the digests, not the files, meet in one row.
+    Lines are sorted in ranges side by side and packed; one task then goes through the packs in order with a running hash, so no row, task or
+    driver holds them all.
     """
-    lines = F.array_sort(F.collect_list(F.struct(F.col(path).alias("p"), F.col(digest).alias("d"))))
-    text = F.array_join(F.transform(lines, lambda x: F.concat(x["p"], F.lit("\0"), x["d"], F.lit("\n"))), "")
-    return rows.agg(F.sha2(F.concat(F.lit(header), text), 256).alias("digest"))
+    lines = rows.select(F.col(path).cast("string").alias("p"), F.col(digest).cast("string").alias("d")).where("p is not null and d is not null")
+    packs = lines.repartitionByRange("p", "d").sortWithinPartitions("p", "d").select(F.concat("p", F.lit("\0"), "d", F.lit("\n")).cast("binary").alias("line")).mapInArrow(_packed, "part long, k long, pack binary")
+    first = rows.sparkSession.range(1).select(F.lit(-1).cast("long").alias("part"), F.lit(0).cast("long").alias("k"), F.lit(header).cast("binary").alias("pack"))
+    return first.union(packs).repartition(1).sortWithinPartitions("part", "k").select("pack").mapInArrow(_running_hash, "digest string")
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    for k, batch in enumerate(batches):
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "k": pa.array([k], pa.int64()), "pack": pa.array([b"".join(batch.column(0).to_pylist())], pa.binary())})
+
+
+def _running_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    running = hashlib.sha256()
+    for batch in batches:
+        for pack in batch.column(0):
+            running.update(pack.as_buffer())
+    yield pa.RecordBatch.from_pydict({"digest": [running.hexdigest()]})
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,3 +109,48 @@ def read_captures(spark: SparkSession, root: str) -> DataFrame:
     rows = _newest(spark, root)
     state = F.when(F.sha2("content", 256) == F.col("content_sha256"), "ok").otherwise("changed")
     return rows.select("cache_key", "url", F.when(state == "ok", F.decode("content", "UTF-8")).alias("content"), "content_sha256", state.alias("state"))
+
+
+# --- reuse by record -----------------------------------------------------------------------------
+
+
+def refresh(spark: SparkSession, root: str, inputs: DataFrame, key: str, compute: Callable[[DataFrame], DataFrame], schema: str) -> dict[str, int]:
+    """Bring the outputs of records up to date: ``compute`` is given the inputs that are new or changed, and no others.
+
+    ``inputs`` has a row for each record: its key, ``input_hash`` and what ``compute`` needs; that gives rows of ``schema``, which has the
+    key, any number for each record. A record whose hash is null, as its source can't be had, keeps the outputs that it had last (``stale``), or has
+    none (``placeholder``). Outputs stay beside the hash that they were made of, so a record that changes back is not computed again. Counts
+    of the records by state. Everything counts with the manifest, so a run that is cut off has changed nothing.
+    """
+    state = manifest(spark, root)
+    keys = spark.createDataFrame([], f"{_key_of(schema, key)}, input_hash string, state string")
+    last = spark.read.schema(keys.schema).parquet(f"{root.rstrip('/')}/{state['inputs']}") if "inputs" in state else keys
+    known = read_segments(spark, root, f"{_key_of(schema, key)}, input_hash string", state.get("done", [])).drop("segment")
+    told = inputs.join(last.select(key, F.col("input_hash").alias("_last")), key, "left")
+    now = F.coalesce("input_hash", "_last")
+    kind = F.when(now.isNull(), "placeholder").when(F.col("input_hash").isNull(), "stale")
+    done = known.select(key, "input_hash", F.lit(True).alias("_done")).distinct()
+    told = told.withColumns({"state": kind, "input_hash": now}).drop("_last").join(done, [key, "input_hash"], "left")
+    told = told.withColumn("state", F.coalesce("state", F.when(F.col("_done"), "reused").otherwise("computed"))).drop("_done")
+    listed = write_segment(told.select(key, "input_hash", "state"), root)
+    fresh = spark.read.schema(keys.schema).parquet(f"{root.rstrip('/')}/{listed}").where("state = 'computed'").select(key, "input_hash")
+    counts = {r["state"]: r["count"] for r in spark.read.schema(keys.schema).parquet(f"{root.rstrip('/')}/{listed}").groupBy("state").count().collect()}
+    new = dict(state) | {"inputs": listed}
+    if counts.get("computed"):
+        made = compute(inputs.join(fresh, [key, "input_hash"], "left_semi"))
+        made = made.select(*(f.split()[0] for f in schema.split(", "))).join(fresh, key)
+        new |= {"segments": [*state["segments"], write_segment(made, root)], "done": [*state.get("done", []), write_segment(fresh, root)]}
+    publish(spark, root, new)
+    return counts
+
+
+def _key_of(schema: str, key: str) -> str:
+    return next(f for f in schema.split(", ") if f.split()[0] == key)
+
+
+def outputs(spark: SparkSession, root: str, key: str, schema: str) -> DataFrame:
+    """The outputs of all records of the last refresh, of ``schema`` and with their ``state``."""
+    state = manifest(spark, root)
+    rows = read_segments(spark, root, f"{schema}, input_hash string", state["segments"]).drop("segment")
+    listed = spark.read.schema(f"{_key_of(schema, key)}, input_hash string, state string").parquet(f"{root.rstrip('/')}/{state['inputs']}")
+    return rows.join(listed, [key, "input_hash"]).drop("input_hash")

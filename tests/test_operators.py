@@ -205,6 +205,47 @@ def test_ten_thousand_captures_are_one_write(spark, tmp_path, monkeypatch):
     assert len(state_now["segments"]) == 1 and published.read_captures(spark, root).count() == 10_001
 
 
+def test_only_changed_records_are_computed(spark, tmp_path):
+    """One page of a thousand changed is one page parsed; what can't be had keeps what it had."""
+    root, schema = str(tmp_path / "r"), "page string, word string"
+    parsed = spark.sparkContext.accumulator(0)
+
+    def compute(rows_):
+        def words(batches):
+            for frame in batches:
+                parsed.add(len(frame))
+                yield frame.assign(word=frame["text"].str.split()).explode("word").dropna()[["page", "word"]]
+
+        return rows_.mapInPandas(words, schema)
+
+    def inputs(**changed):
+        texts = {f"p{i}": f"one{i} two" if i else "" for i in range(1000)} | changed
+        return spark.createDataFrame([(k, t) for k, t in texts.items()], "page string, text string").withColumn("input_hash", F.sha2("text", 256))
+
+    run = lambda **c: (published.refresh(spark, root, inputs(**c), "page", compute, schema), parsed.value)
+    assert run() == ({"computed": 1000}, 1000)
+    assert run() == ({"reused": 1000}, 1000)
+    assert run(p7="seven") == ({"computed": 1, "reused": 999}, 1001)
+    found = published.outputs(spark, root, "page", schema)
+    assert found.count() == 1998 - 1 and rows(found.where("page in ('p6', 'p7')")) == [("p6", "one6", "reused"), ("p6", "two", "reused"), ("p7", "seven", "computed")]
+    # it changes back; another can't be had; a new one never could be
+    assert run(p8=None, new=None) == ({"reused": 999, "stale": 1, "placeholder": 1}, 1001)
+    found = published.outputs(spark, root, "page", schema)
+    assert rows(found.where("page in ('p7', 'p8', 'new')")) == [("p7", "one7", "reused"), ("p7", "two", "reused"), ("p8", "one8", "stale"), ("p8", "two", "stale")]
+    with pytest.raises(ZeroDivisionError):
+        published.refresh(spark, root, inputs(p9="x"), "page", lambda r: 1 / 0, schema)
+    assert rows(published.outputs(spark, root, "page", schema).where("page = 'p9'")) == [("p9", "one9", "reused"), ("p9", "two", "reused")]
+
+
+@pytest.mark.parametrize("count", [0, 1, 50_000])
+def test_a_digest_of_many_paths_is_a_running_hash(spark, count):
+    frame = spark.range(count).select(F.concat(F.lit("é/"), (F.col("id") * 7919 % 1_000_003).cast("string")).alias("path"), F.md5(F.col("id").cast("string")).alias("d")).repartition(5)
+    found = gates.fold_digest(frame.union(spark.createDataFrame([(None, "x"), ("y", None)], "path string, d string")), "path", "d", header="h\n")
+    lines = sorted((f"é/{i * 7919 % 1_000_003}".encode(), hashlib.md5(str(i).encode()).hexdigest().encode()) for i in range(count))
+    assert [r[0] for r in found.collect()] == [hashlib.sha256(b"h\n" + b"".join(p + b"\0" + d + b"\n" for p, d in lines)).hexdigest()]
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+
+
 def test_lines_are_numbered_across_splits(spark, tmp_path):
     """Files of many splits, some in one task, with empty lines and one without an end; none is read whole."""
     texts = {"a.jsonl": ['{"k": %d, "pad": "%s"}' % (i, "x" * (i % 50)) for i in range(5000)], "b.jsonl": ["{}", "", "no", "[1]", '"s"', "{}"], "c.jsonl": ["{}"] * 3}
