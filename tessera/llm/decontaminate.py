@@ -2,12 +2,12 @@
 
 The benchmark is written once to the shared folder, in blocks of about ``block_bytes`` of text: its vocabulary, its
 items as word numbers, and for each window size the sorted fingerprints of its windows. Workers memory-map the
-blocks (and read one at a time where the folder is no local path).
+blocks (and read them where the folder is no local path, once for a task as far as memory goes).
 
-Each slice of the documents is a shard. The fingerprints of its windows are looked up in the block, which tells
-what stretches of the shard and which test suffixes can match. The suffix array of these stretches (all their
-suffixes, in the order of all words that follow, by prefix doubling) is then binary-searched for every such test
-suffix, which gives its verbatim occurrences and their places; neighbouring ones make up the longest matches.
+Each slice of the documents is a shard. Its suffix array holds all suffixes of its texts, in the order of all words that
+follow up to one that the benchmark lacks, by prefix doubling. It is binary-searched for every test suffix whose beginning has the fingerprint
+of a window of the shard, as no other can be in it; that gives its verbatim occurrences and their places, and
+neighbouring ones make up the longest matches.
 No row leaves its partition, and each is judged alone: there is no shuffle and no join, however large the benchmark.
 
 Defined cases: null and empty texts have no words, are never hit and never contaminate; items without words
@@ -32,6 +32,7 @@ from tessera.llm.words import ALNUM, Words, mix, split
 
 WINDOW = 13
 BLOCK_BYTES = 16_000_000  # building a block takes some 35 bytes of memory for each of its bytes
+KEPT_BYTES = 128_000_000  # of the index, that a task keeps where it has to read it
 _KINDS = {"vocabulary": "<u8", "numbers": "<u4", "begins": "<i8", "names": "u1", "name_ends": "<i8"}
 
 
@@ -91,9 +92,9 @@ class Block:
             self.arrays[kind] = load_shared(f"{self.file}.{kind}", _KINDS.get(kind, "<u8" if kind.startswith("prints") else "<i8"))
         return self.arrays[kind]
 
-    def release(self) -> None:
-        """Forget what has been read, where it isn't memory-mapped."""
-        if local_path(self.file) is None:
+    def release(self, blocks: list[Block]) -> None:
+        """Forget what has been read, where it isn't memory-mapped and a task's blocks hold more than ``KEPT_BYTES``."""
+        if local_path(self.file) is None and sum(x.nbytes for b in blocks for x in b.arrays.values()) > KEPT_BYTES:
             self.arrays.clear()
 
     @property
@@ -122,8 +123,8 @@ class Block:
         ends = np.unique(np.concatenate([np.flatnonzero(stop), words.offsets[1:]]))
         place = np.flatnonzero(~stop)
         run = ends[np.searchsorted(ends, place, "right")] - place  # vocabulary words from here on, within the document
-        # which windows of the block the shard has, and where
-        met, tests, sizes = np.zeros(len(number), bool), [], []
+        # which test suffixes are worth a search: those whose beginning has the fingerprint of a window of the shard
+        tests, sizes = [], []
         for size in self.sizes:
             starts = place[run >= size]
             own = _window_prints(number, starts, size)
@@ -131,7 +132,6 @@ class Block:
             at = np.searchsorted(known, own)
             at[at == len(known)] = 0
             hit = known[at] == own if len(known) else np.zeros(len(own), bool)
-            met[starts[hit]] = True
             wanted = np.unique(at[hit])
             last = np.searchsorted(known, known[wanted], "right")
             test = self.get(f"places{size}")
@@ -139,11 +139,8 @@ class Block:
             sizes += [size] * len(wanted)
         if not tests:
             return nothing
-        # the suffix array of the stretches of vocabulary words that have any of them, with a 0 after each
-        stretch = np.searchsorted(ends, place, "right")
-        kept = np.isin(stretch, np.unique(stretch[met[place]]))
-        place, stretch = place[kept], stretch[kept]
-        turn = np.concatenate([[0], np.cumsum(stretch[1:] != stretch[:-1])])
+        # the suffix array of the shard: all its words that the benchmark has, a 0 where others stand between them
+        turn = np.concatenate([[0], np.cumsum(np.diff(np.searchsorted(ends, place, "right")) > 0)])
         text = np.zeros(len(place) + int(turn[-1]) + 1, np.int64)
         at = np.arange(len(place)) + turn
         text[at] = number[place]
@@ -243,7 +240,7 @@ def _hits(words: Words, blocks: list[Block], names: list[set[str]] | None = None
                 owners = [np.unique(block.items_of(t)) for t in tests]
                 for r, w in pairs.tolist():
                     names[r].update(map(block.name, owners[w].tolist()))
-        block.release()
+        block.release(blocks)
     return hit
 
 
@@ -343,7 +340,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, *, window: int = WIND
                 prints = words.fingerprints()
                 for block in blocks:
                     yield matches(batch, words, prints, block)
-                    block.release()
+                    block.release(blocks)
 
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, f"doc_id {id_type}, item_id string, doc_word long, item_word long, n_words long")
 
