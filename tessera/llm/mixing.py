@@ -10,7 +10,7 @@ By default a marginal's target is its observed share to the power ``temper``, re
 raked as a distributed table.
 
 Defined cases: null and empty texts have no tokens, learned topic ``empty``, and get the largest weight of
-their cell's marginals, 1 at least where there is nothing to rake; null source, language or topic is a value of its
+all cells, 1 at least where there is nothing to rake; null source, language or topic is a value of its
 own; repeated rows of one id and cell are taken or left together; targets for values that don't occur are ignored
 and the rest renormalised, values without a target get none of the weight; where no target of a dimension occurs it
 keeps its observed shares; an empty table gives an empty
