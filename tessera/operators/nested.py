@@ -219,6 +219,21 @@ def day_index(facts: DataFrame, *, expected: int = 3) -> DataFrame:
     return counted.withColumn("state", F.when(F.col("items") < expected, "under").when(F.col("items") > expected, "over").otherwise("expected"))
 
 
+def day_items(facts: DataFrame, names: DataFrame, *, expected: int = 3) -> DataFrame:
+    """(day, assistant, name, items, count, delta): what each assistant has on each day, regrouped: items in order, each with its routes.
+
+    ``facts``: (day, assistant, item, item_name, route, route_type, text, pos); day 0, the view of all days, is left out. A route of an item, by its
+    id, type and text, is evidence once, at its first place. ``names``: (assistant, name).
+    """
+    real = facts.where("day > 0 and assistant is not null")
+    each = real.groupBy("day", "assistant", "item", "route", "route_type", "text").agg(F.min("pos").alias("pos"), F.min_by("item_name", "pos").alias("item_name"))
+    evidence = F.transform(F.array_sort(F.collect_list(F.struct("pos", "route", "route_type", "text"))), lambda r: F.struct(r["route"].alias("route"), r["route_type"].alias("route_type"), r["text"].alias("text")))
+    items = each.groupBy("day", "assistant", "item").agg(F.min_by("item_name", "pos").alias("name"), evidence.alias("routes"))
+    grouped = items.groupBy("day", "assistant").agg(F.array_sort(F.collect_list(F.struct("item", "name", "routes"))).alias("items"))
+    counted = grouped.join(names, "assistant", "left").withColumn("count", F.size("items").cast("long"))
+    return counted.select("day", "assistant", "name", "items", "count", (F.col("count") - expected).alias("delta"))
+
+
 #: Levels of nesting that one stage of a walk goes down.
 WALKED = 8
 _SELF = "array(struct(path, node, true as done))"

@@ -365,6 +365,28 @@ def assistant_day_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index
 
 
+_ASSISTANT_DAYS_SQL = """f as (select dayofweek(ts) + 1 as day, user_id as assistant, cast(json_extract_string(props, '$.k') as int) % 5 as item, event_type as route, event_id as pos from events where user_id % 4 > 0),
+  r as (select day, assistant, item, route, min(pos) as p from f group by all), i as (select day, assistant, item, string_agg(route, ',' order by p) as routes from r group by all),
+  x as (select day, assistant, 'a' || assistant as name, count(*) as n, string_agg(item, ',' order by item) as ids, string_agg(item || ':i' || item || ' routes=' || routes, chr(10) || '  - ' order by item) as said from i group by all),
+  h as (select *, '- day=' || substr('日月火水木金土', day::int, 1) || '(' || day || ') ship=' || assistant || ':' || name || ' equipmentCount=' || n || ' expected=3 delta=' || (n - 3) as head from x)"""
+
+
+@query(f"""with {_ASSISTANT_DAYS_SQL} select 1 as section, cast(day as int) as day, assistant, head || chr(10) || '  - ' || said as lines from h where n < 3 union all select 2, cast(day as int), assistant, head || chr(10) || '  - ' || said from h where n > 3
+  union all select 3, cast(day as int), assistant, head from h where n <> 3 union all select 4, cast(day as int), assistant, '- ship=' || assistant || ':' || name || ' equipmentCount=' || n || ' equipmentIds=' || ids from h""")
+def assistant_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of each assistant on each day with their routes, regrouped, and what the report says of each in its sections."""
+    from tessera.plans import reports
+
+    k = F.get_json_object("props", "$.k").cast("int") % 5
+    base = read(spark, sf_dir, "events").where("user_id % 4 > 0")
+    told = base.select(F.dayofweek("ts").cast("long").alias("day"), F.col("user_id").alias("assistant"), k.alias("item"), F.concat(F.lit("i"), k).alias("item_name"), F.col("event_type").alias("route"), F.lit("default").alias("route_type"), F.lit("").alias("text"), F.col("event_id").alias("pos"))
+    names = base.select(F.col("user_id").alias("assistant"), F.concat(F.lit("a"), "user_id").alias("name")).distinct()
+    rows = reports.assistant_day_report(nested.day_items(told, names), {"generatedAt": "now", "recordCount": 0, "routeCount": 0}).where("line like '%ship=%' or line like '  - %'")
+    who = F.when(F.col("section").isin(1, 2), F.col("second")).otherwise(F.col("first")).alias("assistant")
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n")
+    return rows.groupBy("section", "day", who).agg(lines.alias("lines"))
+
+
 @query("""select user_id as route, 'default' as kind, string_agg(distinct k % 10, ',' order by k % 10) filter (k % 10 > 3) as assistants from (select *, cast(json_extract_string(props, '$.k') as int) as k from events) group by 1
   union all select user_id, 'assistant-specific:g' || (k % 2), string_agg(distinct k % 10, ',' order by k % 10) from (select *, cast(json_extract_string(props, '$.k') as int) as k from events) where k % 10 <= 3 group by 1, 2""")
 def route_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,6 +439,21 @@ def capture_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.read_captures(spark, root).select("cache_key", "content", "state")
 
 
+@query("""select page_id as page, case when page_id % 10 = 0 then length(html) + 3 else length(html) end as size, case when page_id % 7 = 0 then 'stale' else 'reused' end as state from pages where html <> ''""")
+def record_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of pages kept by the hash of their text; a tenth changes and is computed anew, then a seventh can't be had and keeps what it had."""
+    from tessera.operators.contain import scratch
+    from tessera.sources import published
+
+    root = scratch(spark)
+    pages_ = read(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "html")
+    changed = pages_.withColumn("html", F.when(F.col("page") % 10 == 0, F.concat("html", F.lit("new"))).otherwise(F.col("html")))
+    missing = changed.withColumn("html", F.when(F.col("page") % 7 > 0, F.col("html")))
+    for state in (pages_, changed, missing):
+        published.refresh(spark, root, state.withColumn("input_hash", F.sha2("html", 256)), "page", lambda r: r.where("html <> ''").select("page", F.length("html").cast("long").alias("size")), "page long, size long")
+    return published.outputs(spark, root, "page", "page long, size long").select("page", "size", "state")
+
+
 @query("select o_custkey, count(*) as depth, cast(sum(o_orderkey) as bigint) as keys, max(o_totalprice) as price from orders group by 1")
 def deep_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's orders nested in one another, as deep as there are orders; keys and prices are found at every level."""

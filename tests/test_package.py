@@ -51,3 +51,28 @@ def test_reports(spark, tmp_path):
     assert package.markdown_table(df, most=1).endswith("There are more rows.\n")
     assert package.write_stops(spark, str(tmp_path), [GateError("x"), GateError("x"), GateError("y")]) == 2
     assert package.read_document(spark, f"{tmp_path}/{package.STOP}")[0]["reason"] == "x"
+
+
+def test_the_day_report_is_in_order(spark, tmp_path):
+    """Sections, days and rows come in the report's order, however many files they are in; days and sections without rows say so."""
+    from tessera.operators import nested
+    from tessera.plans import reports
+
+    told = [(1, 5, 30, "c", "r1", 0), (1, 5, 10, "a", "r2", 1), (1, 5, 10, "a", "r1", 2), (1, 5, 10, "a", "r2", 3), (1, 4, 10, "a", "r1", 4), (0, 9, 1, "z", "r1", 5), (7, 4, 10, "a", "", 6)] + [(7, 8, i, f"n{i}", "r", 9) for i in range(4)]
+    facts = spark.createDataFrame([(d, a, i, n, r, "default", "", p) for d, a, i, n, r, p in told], "day long, assistant long, item long, item_name string, route string, route_type string, text string, pos long")
+    names = spark.createDataFrame([(5, "Five"), (4, "Four")], "assistant long, name string")
+    index = nested.day_items(facts, names).repartition(3)
+    reports.write_report(reports.assistant_day_report(index, {"generatedAt": "T", "recordCount": 9, "routeCount": 8}), str(tmp_path / "r"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "r").glob("part-*")))
+    day7 = ["- day=土(7) ship=8: equipmentCount=4 expected=3 delta=1", "  - 0:n0 routes=r", "  - 1:n1 routes=r", "  - 2:n2 routes=r", "  - 3:n3 routes=r"]
+    under = ["- day=日(1) ship=4:Four equipmentCount=1 expected=3 delta=-2", "  - 10:a routes=r1", "- day=日(1) ship=5:Five equipmentCount=2 expected=3 delta=-1", "  - 10:a routes=r2,r1", "  - 30:c routes=r1", "- day=土(7) ship=4:Four equipmentCount=1 expected=3 delta=-2", "  - 10:a"]
+    middle = [x for n, k in zip("月火水木金", ("monday", "tuesday", "wednesday", "thursday", "friday")) for x in (f"### {n} ({k})", "", "No named assistant ship routes.", "")]
+    wanted = [
+        "# Improvement assistant day reverse index", "", "generatedAt: T", "expectedEquipmentCount: 3 equipments per ship per day", "recordCount: 9", "routeCount: 8", "shipDayCount: 4", "equipmentCountMismatchShipDayCount: 4",
+        "underExpectedShipDayCount: 3", "overThresholdShipDayCount: 1", "maxEquipmentCount: 4", "", "## Under expected", "", *under, "", "## Over expected", "", *day7, "", "## All equipment count mismatches", "",
+        under[0], under[2], under[5], day7[0], "", "## Full reverse table", "", "### 日 (sunday)", "- ship=4:Four equipmentCount=1 equipmentIds=10", "- ship=5:Five equipmentCount=2 equipmentIds=10,30", "", *middle,
+        "### 土 (saturday)", "- ship=4:Four equipmentCount=1 equipmentIds=10", "- ship=8: equipmentCount=4 equipmentIds=0,1,2,3",
+    ]
+    assert text.splitlines() == wanted
+    empty = reports.assistant_day_report(index.limit(0), {"generatedAt": "T"}).orderBy(*reports._ORDER)
+    assert [r["line"] for r in empty.collect()][6:17] == ["underExpectedShipDayCount: 0", "overThresholdShipDayCount: 0", "maxEquipmentCount: 0", *(x for k, (t, n) in enumerate(reports.SECTIONS[:2]) for x in ("", t, "", n))]
