@@ -7,6 +7,8 @@ assistant, capability, target); keys are compared null-safe.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,29 +139,35 @@ def weighted_average(*pairs: tuple[Column, float]) -> Column:
     return F.try_divide(total, weight)
 
 
-# Weights, thresholds and sufficient evidence of the reliability score.
-PAIRWISE_WEIGHT, CONSENSUS_WEIGHT = 0.65, 0.35
-CURRENT_WEIGHT, HISTORY_WEIGHT, HISTORY_LEAST = 0.8, 0.2, 5
-CONFIDENCE = (("pair_comparable", 0.45, 500), ("vote_comparable", 0.30, 200), ("evaluable", 0.25, 20))
-LOWEST, HIGHEST = 0.75, 1.25
+@dataclass(frozen=True)
+class Reliability:
+    """Settings of the reliability score; the defaults are fixed values: weights, thresholds and sufficient evidence."""
+
+    pairwise: float = 0.65
+    consensus: float = 0.35
+    history: float = 0.2
+    history_least: int = 5
+    confidence: tuple = (("pair_comparable", 0.45, 500), ("vote_comparable", 0.30, 200), ("evaluable", 0.25, 20))
+    lowest: float = 0.75
+    highest: float = 1.25
 
 
 def confidence_label(confidence: Column) -> Column:
     return F.when(confidence >= 0.8, "high").when(confidence >= 0.5, "medium").otherwise("low")
 
 
-def reliability(evidence: DataFrame) -> DataFrame:
+def reliability(evidence: DataFrame, settings: Reliability = Reliability()) -> DataFrame:
     """Scores of sources from (source, pair_rate, pair_comparable, vote_rate, vote_comparable, history_rate, evaluable).
 
     The mean of the scores is a window over all sources, of which there are few.
     """
-    current = weighted_average((F.col("pair_rate"), PAIRWISE_WEIGHT), (F.col("vote_rate"), CONSENSUS_WEIGHT))
-    old = F.col("history_rate").isNotNull() & F.col("current").isNotNull() & (F.col("evaluable") >= HISTORY_LEAST)
-    combined = F.when(old, CURRENT_WEIGHT * F.col("current") + HISTORY_WEIGHT * F.col("history_rate")).otherwise(F.col("current"))
-    parts = [F.least(F.lit(1.0), F.coalesce(F.col(c), F.lit(0)) / F.lit(float(full))) * w for c, w, full in CONFIDENCE]
+    current = weighted_average((F.col("pair_rate"), settings.pairwise), (F.col("vote_rate"), settings.consensus))
+    old = F.col("history_rate").isNotNull() & F.col("current").isNotNull() & (F.col("evaluable") >= settings.history_least)
+    combined = F.when(old, round(1 - settings.history, 6) * F.col("current") + settings.history * F.col("history_rate")).otherwise(F.col("current"))
+    parts = [F.least(F.lit(1.0), F.coalesce(F.col(c), F.lit(0)) / F.lit(float(full))) * w for c, w, full in settings.confidence]
     scored = evidence.withColumn("current", current).withColumn("score", F.bround(combined, 6)).withColumn("confidence", F.bround(parts[0] + parts[1] + parts[2], 6))
     mean = F.avg("score").over(Window.partitionBy())
-    weight = F.when(F.col("score").isNull() | (F.col("mean") <= 0), 1.0).otherwise(F.bround(F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.col("score") / F.col("mean"))), 4))
+    weight = F.when(F.col("score").isNull() | (F.col("mean") <= 0), 1.0).otherwise(F.bround(F.greatest(F.lit(settings.lowest), F.least(F.lit(settings.highest), F.col("score") / F.col("mean"))), 4))
     state = F.when(F.col("score").isNull() | (F.col("mean") <= 0), "insufficient-evidence").otherwise("scored")
     return scored.withColumn("mean", mean).select("source", "score", "confidence", confidence_label(F.col("confidence")).alias("confidence_label"), weight.alias("relative_weight"), state.alias("state"))
 

@@ -76,3 +76,36 @@ def test_the_day_report_is_in_order(spark, tmp_path):
     assert text.splitlines() == wanted
     empty = reports.assistant_day_report(index.limit(0), {"generatedAt": "T"}).orderBy(*reports._ORDER)
     assert [r["line"] for r in empty.collect()][6:17] == ["underExpectedShipDayCount: 0", "overThresholdShipDayCount: 0", "maxEquipmentCount: 0", *(x for k, (t, n) in enumerate(reports.SECTIONS[:2]) for x in ("", t, "", n))]
+
+
+def test_configuration_as_tables(spark, tmp_path):
+    import json
+
+    from tessera.operators import facts, gates
+    from tessera.operators.gates import GateError
+    from tessera.plans import config
+
+    def write(name, document):
+        (tmp_path / name).write_text(json.dumps(document))
+        return str(tmp_path / name)
+
+    quality = {"minimums": {"a": 3, "b": 10}, "relativeMinimumRatios": {"a": 0.8, "c": 0.7}, "fileSizeMinimumRatio": 0.7, "fileSizePaths": ["x/list.json", "y"]}
+    floors, files = config.quality_floors(spark, write("q.json", quality))
+    assert sorted(map(tuple, floors.collect()), key=str) == [("a", 3.0, 0.8), ("b", 10.0, None), ("c", None, 0.7)] and sorted(map(tuple, files.collect())) == [("x/list.json", 0.7), ("y", 0.7)]
+    now, before = (spark.createDataFrame(x, "metric string, value double") for x in ([("a", 7.0), ("b", 10.0), ("c", 6.0)], [("a", 10.0), ("c", 10.0)]))
+    assert {r["metric"]: (r["floor"], r["passed"]) for r in gates.gate(now, before, floors).collect()} == {"a": (8.0, False), "b": (10.0, True), "c": (7.0, False)}
+    with pytest.raises(GateError):
+        config.quality_floors(spark, write("q.json", quality | {"relativeMinimumRatios": {"a": 1.5}}))
+    settings = {
+        "currentSignals": {"pairwiseAgreement": 0.65, "peerConsensusAgreement": 0.35}, "historyContribution": 0.2, "minimumHistoricalEvaluableChanges": 5, "relativeWeightRange": [0.75, 1.25],
+        "minimumPairwiseEvidenceForFullConfidence": 500, "minimumPeerConsensusEvidenceForFullConfidence": 200, "minimumHistoricalEvidenceForFullConfidence": 20,
+    }
+    assert config.reliability_settings(spark, write("r.json", settings)) == facts.Reliability()
+    evidence = spark.createDataFrame([("a", 0.9, 100, 0.5, 50, 1.0, 6), ("b", 0.2, 100, 0.1, 50, None, 0)], "source string, pair_rate double, pair_comparable long, vote_rate double, vote_comparable long, history_rate double, evaluable long")
+    other = config.reliability_settings(spark, write("r.json", settings | {"historyContribution": 0.5, "relativeWeightRange": [0.9, 1.1], "minimumPairwiseEvidenceForFullConfidence": 100}))
+    score = lambda s: {r["source"]: (r["score"], r["confidence"], r["relative_weight"]) for r in facts.reliability(evidence, s).collect()}
+    assert score(facts.Reliability()) == {"a": (0.808, 0.24, 1.25), "b": (0.165, 0.165, 0.75)}
+    assert score(other) == {"a": (0.88, 0.6, 1.1), "b": (0.165, 0.525, 0.9)}
+    for bad in ({"relativeWeightRange": [2, 1]}, {"historyContribution": None}, {"currentSignals": None}):
+        with pytest.raises(GateError):
+            config.reliability_settings(spark, write("r.json", settings | bad))
