@@ -454,6 +454,46 @@ def record_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.outputs(spark, root, "page", "page long, size long").select("page", "size", "state")
 
 
+@query("""with p as (select p_partkey + 1 as k, p_size as n from part) select k as id, 'firepower' as stat, n::double as value from p where n % 4 <> 3 union all select k, 'asw', (n + 1)::double from p where n % 4 = 1 union all select k, 'x9', 2.0 from p where n % 4 = 2""")
+def bonus_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bonus rules in four layouts, keys renamed and what is unknown kept; rules without a stat are left out."""
+    k, n = F.col("p_partkey") + 1, F.col("p_size")
+    text_ = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+    listed = text_('[{"ids": [', k, '], "bonuses": [{"bonus": {"houg": ', n, "}}]}]")
+    data = text_('{"data": [{"id": ', k, ', "bonus": {"houg": ', n, ', "tais": ', n + 1, "}}]}")
+    single = text_('{"ids": ["', k, '"], "bonuses": [{"bonus": {"houg": ', n, ', "x9": 2}, "requiresAR": 1}]}')
+    bare = text_('{"a": [{"ids": [', k, '], "bonuses": [{"bonus": {}, "requiresAR": 1}]}]}')
+    documents = read(spark, sf_dir, "part").select(F.when(n % 4 == 0, listed).when(n % 4 == 1, data).when(n % 4 == 2, single).otherwise(bare).alias("j"))
+    found = records.bonus_rules(records.bonus_entries(documents, "j"))
+    each = found.select(F.explode("ids").alias("id"), F.map_concat("bonus", "unknown").alias("stats"))
+    return each.select(F.col("id").cast("long").alias("id"), F.explode("stats").alias("stat", "value"))
+
+
+@query("""with n as (select n_nationkey as id, n_name as name, case when n_nationkey % 3 = 0 then 'kai' end as suffix, 'r' || n_regionkey as path from nation), s as (select s_suppkey as k, s_suppkey % 40 as target from supplier)
+  select id, name as alias from n union select id, path || '/' || name from n union select id, case when suffix is null then name else name || ' ' || suffix end from n union select id, name || coalesce(suffix, '') from n""")
+def owner_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms that an owner's name may have in another catalog."""
+    k = F.col("n_nationkey")
+    owners = read(spark, sf_dir, "nation").select(k.alias("id"), F.concat(F.lit("r"), "n_regionkey").alias("path"), F.col("n_name").alias("name"), F.when(k % 3 == 0, "kai").alias("suffix"))
+    return records.reference_aliases(owners).select("id", "alias")
+
+
+@query("""with a as (select 's' || s_suppkey % 50 as alias, s_suppkey % 30 as target, case when s_suppkey % 4 = 0 then '7' end as required from supplier), c as (select n_nationkey as id, 'n' || n_nationkey as name from nation)
+  select alias, 'collision' as issue from a group by 1 having count(distinct target) > 1 union select alias, 'unknown-target' from a where target not in (select id from c) union select alias, 'required-part-missing' from a join c on id = target where required is not null and not contains(name, required)""")
+def alias_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aliases of several targets, of none that is known, and of names that lack a part."""
+    k = F.col("s_suppkey")
+    aliases = read(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), k % 50).alias("alias"), (k % 30).alias("target"), F.when(k % 4 == 0, "7").alias("required"))
+    catalog = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.concat(F.lit("n"), "n_nationkey").alias("name"))
+    return records.check_aliases(aliases, catalog)
+
+
+@query(r"""select p_partkey, lower(trim(regexp_replace(replace('  ' || p_name || chr(92) || p_brand || '  X ', chr(92), '/'), '\s+', ' ', 'g'))) as ref from part""")
+def compact_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """references in lower case, with slashes and single spaces."""
+    return read(spark, sf_dir, "part").select("p_partkey", text.compact_ref(F.concat(F.lit("  "), "p_name", F.lit("\\"), "p_brand", F.lit("  X "))).alias("ref"))
+
+
 @query("select o_custkey, count(*) as depth, cast(sum(o_orderkey) as bigint) as keys, max(o_totalprice) as price from orders group by 1")
 def deep_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's orders nested in one another, as deep as there are orders; keys and prices are found at every level."""
@@ -614,7 +654,7 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""select 'orders' as kind, o_orderkey as key from orders where o_orderkey not in (select l_orderkey from lineitem) union all select 'documents', doc_id from documents where doc_id not in (select doc_id from labels) union all select 'customers', o_custkey from orders where o_custkey not in (select c_custkey from customer)""")
 def reference_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """References that lead nowhere."""
+    """References that lead nowhere."""
     orders = read(spark, sf_dir, "orders")
     pairs = [("orders", orders, "o_orderkey", read(spark, sf_dir, "lineitem"), "l_orderkey"), ("documents", read(spark, sf_dir, "documents"), "doc_id", read(spark, sf_dir, "labels"), "doc_id"), ("customers", orders, "o_custkey", read(spark, sf_dir, "customer"), "c_custkey")]
     out = None
