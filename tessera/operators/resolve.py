@@ -38,11 +38,12 @@ def checked_flag(flags: DataFrame) -> Column:
 
 
 def id_and_name(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(id, name) checked against the catalog: ok, missing-id, unknown-id or name-mismatch."""
-    known = catalog.groupBy("id").agg(F.min("name").alias("_name"))
-    joined = wanted.join(known, "id", "left")
-    state = F.when(F.col("id").isNull(), "missing-id").when(F.col("_name").isNull(), "unknown-id").when(F.col("name").isNotNull() & (F.col("name") != F.col("_name")), "name-mismatch").otherwise("ok")
-    return joined.withColumn("state", state).drop("_name")
+    """(id, name) checked against the catalog: ok, missing-id, unknown-id or name-mismatch. Of several rows of an id each may have the name."""
+    known = catalog.select("id", F.lit(True).alias("_known")).distinct()
+    named = catalog.select("id", "name", F.lit(True).alias("_named")).distinct()
+    joined = wanted.join(known, "id", "left").join(named, ["id", "name"], "left")
+    state = F.when(F.col("id").isNull(), "missing-id").when(F.col("_known").isNull(), "unknown-id").when(F.col("name").isNotNull() & F.col("_named").isNull(), "name-mismatch").otherwise("ok")
+    return joined.select(*wanted.columns, state.alias("state"))
 
 
 def first_match(wanted: DataFrame, *catalogs: tuple[str, DataFrame]) -> DataFrame:

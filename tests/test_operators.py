@@ -791,3 +791,12 @@ def test_tables_are_rewritten_only_if_they_change(spark, tmp_path):
     assert io.write_if_changed(df, path, "id") == {"unchanged": 2} and sorted(p.name for p in (tmp_path / "t").iterdir()) == before
     assert io.write_if_changed(df.where("id = 1"), path, "id") == {"unchanged": 1, "removed": 1}
     assert spark.read.schema(df.schema).json(path).count() == 1
+
+
+def test_ids_with_several_names_and_none(spark):
+    """An id that the catalog has under several names, one under none, one that it lacks."""
+    catalog = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", None)], "id string, name string")
+    wanted = spark.createDataFrame([(0, "1", "a"), (1, "1", "b"), (2, "1", "c"), (3, "2", None), (4, "2", "a"), (5, "3", "a"), (6, None, "a"), (7, "1", None)], "k int, id string, name string")
+    found = resolve.id_and_name(wanted, catalog)
+    assert found.columns == ["k", "id", "name", "state"]
+    assert dict(found.select("k", "state").collect()) == {0: "ok", 1: "ok", 2: "name-mismatch", 3: "ok", 4: "name-mismatch", 5: "unknown-id", 6: "missing-id", 7: "ok"}
