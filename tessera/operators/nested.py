@@ -23,23 +23,28 @@ def positive_int(value: Column) -> Column:
     return F.when(number > 0, number)
 
 
-def stage_levels(stages: DataFrame) -> DataFrame:
-    """Stages (id, pos, first, last, ...) once for each level that they cover; levels over 9 are left out."""
-    return stages.where((F.col("first") <= F.col("last")) & (F.col("first") < LEVELS)).withColumn("level", F.explode(F.sequence("first", F.least("last", F.lit(LEVELS - 1)))))
-
-
 def expand_steps(stages: DataFrame, upgrades: DataFrame | None = None) -> DataFrame:
     """Eleven steps for each id: ten to improve, taken from the last stage that covers the level, and an upgrade.
 
     ``stages``: (id, pos, first, last, cost); ``upgrades``: (id, target). Levels without a stage are there, not available.
     """
-    chosen = stage_levels(stages).groupBy("id", "level").agg(F.max_by("cost", "pos").alias("cost"))
-    spine = stages.select("id").distinct().withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
-    steps = spine.join(chosen, ["id", "level"], "left").select("id", "level", F.lit("improve").alias("action"), F.col("cost").isNotNull().alias("available"), "cost", F.lit(None).cast("long").alias("target"))
-    ends = stages.select("id").distinct()
-    ends = ends.join(upgrades.groupBy("id").agg(F.max("target").alias("target")), "id", "left") if upgrades is not None else ends.withColumn("target", F.lit(None).cast("long"))
-    last = ends.select("id", F.lit(LEVELS).alias("level"), F.lit("upgrade").alias("action"), F.col("target").isNotNull().alias("available"), F.lit(None).cast(steps.schema["cost"].dataType).alias("cost"), "target")
-    return steps.union(last)
+    kind = stages.schema["cost"].dataType
+    rows = stages.select("id", "pos", "first", "last", "cost", F.lit(None).cast("long").alias("target"), F.lit(True).alias("own"))
+    if upgrades is not None:
+        rows = rows.unionByName(upgrades.select("id", F.col("target").cast("long").alias("target"), F.lit(False).alias("own")), allowMissingColumns=True)
+    covers = lambda level: (F.col("first") <= level) & (F.col("last") >= level)
+    costs = F.array(*(F.max_by("cost", F.when(covers(level), F.col("pos"))) for level in range(LEVELS)))
+    known = F.col("id").isNotNull()  # what has no id has no stages to look up
+    # all of an id meets in one aggregate, a row an id; steps are told apart after it, so no side of a join is held anywhere
+    each = rows.groupBy("id").agg(F.when(known, costs).alias("costs"), F.when(known, F.max("target")).alias("target"), F.max("own").alias("own")).where("own")
+    nothing = F.lit(None).cast("long")
+
+    def improve(level: int) -> Column:
+        cost = F.get("costs", F.lit(level))
+        return F.struct(F.lit(level).alias("level"), F.lit("improve").alias("action"), cost.isNotNull().alias("available"), cost.alias("cost"), nothing.alias("target"))
+
+    upgrade = F.struct(F.lit(LEVELS).alias("level"), F.lit("upgrade").alias("action"), F.col("target").isNotNull().alias("available"), F.lit(None).cast(kind).alias("cost"), F.col("target").alias("target"))
+    return each.select("id", F.explode(F.array(*map(improve, range(LEVELS)), upgrade)).alias("s")).select("id", "s.*")
 
 
 def list_views(rules: DataFrame) -> DataFrame:

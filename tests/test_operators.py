@@ -288,6 +288,17 @@ def test_steps(spark):
     assert len(found) == 11 and found[4] == (True, "a", None) and found[5] == (True, "c", None) and found[6] == (True, "b", None) and found[7] == (False, None, None) and found[10] == (True, None, 9)
 
 
+def test_steps_need_no_join(spark):
+    """Steps of an id come of one aggregate: nothing is broadcast, whatever the planner thinks of sizes; ids without stages, and null, have their defined rows."""
+    stages = spark.createDataFrame([(1, 1, 0, 20, 5), (1, 2, 3, 2, 6), (2, 1, -4, 0, None), (None, 1, 0, 9, 7)], "id long, pos int, first int, last int, cost int")
+    df = nested.expand_steps(stages, spark.createDataFrame([(1, 4), (1, 9), (3, 1)], "id long, target long"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    found = {(r["id"], r["level"]): (r["available"], r["cost"], r["target"]) for r in df.collect()}
+    assert len(found) == 33 and found[1, 9] == (True, 5, None) and found[1, 10] == (True, None, 9)
+    assert found[2, 0] == (False, None, None) and found[None, 0] == (False, None, None) and found[None, 10] == (False, None, None)
+
+
 def test_json_walk(spark):
     docs = spark.createDataFrame([('{"a": [1, {"b": null}]}',), ("bad",), (None,)], "j string")
     assert ("$.a[1].b", "null") in rows(nested.walk(docs, "j"), "path", "value")
