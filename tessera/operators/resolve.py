@@ -238,11 +238,14 @@ def choose_exact(wanted: DataFrame, catalog: DataFrame, normalize: Callable[[Col
     ``catalog``: (name, id, rank).
     """
     known = catalog.select(normalize(F.col("name")).alias("_form"), "id", F.coalesce("rank", F.lit(LATER)).alias("rank"))
-    known = known.groupBy("_form").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("_found"))
-    joined = wanted.withColumn("_form", normalize(F.col("name"))).join(known, "_form", "left")
-    ids = F.transform("_found", lambda x: x["id"])
-    anchor = lambda c: F.when(F.array_contains(ids, F.col(c)), F.col(c))
-    return joined.select(*wanted.columns, F.coalesce(F.when(F.size("_found") == 1, ids[0]), anchor("image"), anchor("fallback"), F.get(ids, F.lit(0))).alias("id"))
+    # a row for a name however many have it; whether an id is among them is asked of rows, not of a list beside each that asks
+    least = known.groupBy("_form").agg(F.count("*").alias("_n"), F.min(F.struct("rank", "id"))["id"].alias("_least"))
+    joined = wanted.withColumn("_form", normalize(F.col("name"))).join(least, "_form", "left")
+    for c in ("image", "fallback"):
+        has = known.select("_form", F.col("id").alias(c), F.col("id").alias(f"_{c}")).distinct()
+        joined = joined.join(has, ["_form", c], "left")
+    only = F.when(F.col("_n") == 1, F.col("_least"))
+    return joined.select(*wanted.columns, F.coalesce(only, "_image", "_fallback", "_least").alias("id"))
 
 
 def resolve_fragments(wanted: DataFrame, catalog: DataFrame, family: DataFrame, normalize: Callable[[Column], Column]) -> DataFrame:

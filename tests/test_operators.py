@@ -811,3 +811,16 @@ def test_ids_with_several_names_and_none(spark):
     found = resolve.id_and_name(wanted, catalog)
     assert found.columns == ["k", "id", "name", "state"]
     assert dict(found.select("k", "state").collect()) == {0: "ok", 1: "ok", 2: "name-mismatch", 3: "ok", 4: "name-mismatch", 5: "unknown-id", 6: "missing-id", 7: "ok"}
+
+
+def test_exact_names_that_very_many_have(spark):
+    """A name of 30,000 ids, each asked for by all of them: no list of a name's ids is made or joined; ties of rank by the least id, ids of null, names unknown."""
+    catalog = spark.range(30_000).select(F.lit("A").alias("name"), "id", (F.col("id") % 7).cast("int").alias("rank")).union(spark.createDataFrame([("b", 5, None), ("C", 8, 3), ("c", 7, 3)], "name string, id long, rank int"))
+    wanted = spark.range(30_000).select(F.lit("a").alias("name"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("image"), (F.col("id") + 29_000).alias("fallback"))
+    odd = spark.createDataFrame([("B", 1, 2), ("c", 9, 8), ("c", 9, 9), ("d", 5, 5), (None, 5, 5)], "name string, image long, fallback long")
+    df = resolve.choose_exact(wanted.union(odd), catalog, lambda c: F.lower(c))
+    assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.columns == ["name", "image", "fallback", "id"]
+    many = df.where("name = 'a'")
+    assert many.count() == 30_000 and many.where("id <> case when image is not null then image when fallback < 30000 then fallback else 0 end").count() == 0
+    assert sorted(((r["name"], r["fallback"], r["id"]) for r in df.where("name is null or name <> 'a'").collect()), key=repr) == [("B", 2, 5), ("c", 8, 8), ("c", 9, 7), ("d", 5, None), (None, 5, None)]
