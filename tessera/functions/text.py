@@ -71,10 +71,13 @@ def lookup_name(value: str | None) -> str:
     return re.sub(r"\s+", "", unicodedata.normalize("NFKC", plain_text(value))).casefold()
 
 
+_BLANKS, _LINE_ENDS = re.compile(r"[ \t\r\f\v\xa0]+"), re.compile(r" *\n *")
+
+
 def plain_text(value: str | None) -> str:
     """Blanks as one space, none at line ends; line ends stay."""
-    text = re.sub(r"[ \t\r\f\v\xa0]+", " ", str(value or ""))
-    return re.sub(r" *\n *", "\n", text).strip()
+    text = _BLANKS.sub(" ", str(value or ""))
+    return (_LINE_ENDS.sub("\n", text) if "\n" in text else text).strip()
 
 
 # Brackets within which no sentence ends, and what ends one.

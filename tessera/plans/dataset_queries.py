@@ -24,6 +24,13 @@ def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part(spark, sf_dir).withColumn("k", F.col("k") + 1)
 
 
+def _dealt(parts: DataFrame) -> DataFrame:
+    """The parts in as many tasks as the session has: a file of a few MB has a million of them and is one task's to read, long before pages are made of them."""
+    spark = parts.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return parts.repartition(tasks, "k")
+
+
 def said(*parts) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
@@ -101,7 +108,7 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     compare = said("<table><tr><th>名前</th><th>入手方法</th></tr><tr><td>", F.col("p_name"), "</td><td>改修</td></tr><tr><td>z</td><td>開発</td></tr></table>")
     heading = F.when(N() % 11 == 0, "入手方法の歴史").otherwise(" 入手 方法について")
     page = said(box, compare, "<h2>", heading, "</h2>", F.when(N() % 11 == 0, "<p>nothing</p>").otherwise(_acquisition()), "<h2>他</h2><p>建造</p>")
-    found = _part(spark, sf_dir).select("k", pages.page_records(page, K(), F.col("p_name")).alias("r"))
+    found = _dealt(_part(spark, sf_dir)).select("k", pages.page_records(page, K(), F.col("p_name")).alias("r"))
     return found.select("k", "r.page_id", "r.flag", "r.scope", joined("r.issues").alias("issues"), "r.coverage", joined("r.current").alias("current"), joined("r.historical").alias("historical"))
 
 

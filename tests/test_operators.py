@@ -824,3 +824,13 @@ def test_exact_names_that_very_many_have(spark):
     many = df.where("name = 'a'")
     assert many.count() == 30_000 and many.where("id <> case when image is not null then image when fallback < 30000 then fallback else 0 end").count() == 0
     assert sorted(((r["name"], r["fallback"], r["id"]) for r in df.where("name is null or name <> 'a'").collect()), key=repr) == [("B", 2, 5), ("c", 8, 8), ("c", 9, 7), ("d", 5, None), (None, 5, None)]
+
+
+def test_page_records_are_made_by_all_tasks(spark, sf, tmp_path):
+    """The table of parts is one small file and one split; its pages are made and read in as many tasks as the session has."""
+    from tessera.plans.queries import QUERIES
+
+    spark.read.parquet(f"{sf}/part.parquet").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = QUERIES["page_records"](spark, str(tmp_path))
+    tasks = found.select("k", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 100 and sum(r["count"] for r in tasks) == 200
