@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import nested
+from tessera.operators.contain import cut_lineage
 
 # Names of the known stats and conditions of bonus rules.
 STATS = {"houg": "firepower", "raig": "torpedo", "baku": "bombing", "tyku": "antiair", "souk": "armor", "tais": "asw", "houk": "evasion", "houm": "accuracy", "saku": "los", "leng": "range"}
@@ -51,13 +52,32 @@ def bonus_rules(entries: DataFrame) -> DataFrame:
 
 
 def owner_nodes(documents: DataFrame, column: str) -> DataFrame:
-    """Slots (owner_ref, remodel_from, slot, item_ref, size) of all nodes of nested JSON, however deep, that have an ``_equipment`` list."""
-    nodes = nested.walk_nodes(documents.select(column), column).select("path", F.col("node").alias("v")).where("try_variant_get(v, '$._equipment', 'variant') is not null")
-    return documents.sparkSession.sql("""
-      select coalesce(try_variant_get(v, '$._api_id', 'string'), try_variant_get(v, '$._japanese_name', 'string')) as owner_ref, try_variant_get(v, '$._remodel_from', 'string') as remodel_from,
-        e.pos as slot, try_variant_get(e.value, '$.equipment', 'string') as item_ref, coalesce(try_variant_get(e.value, '$.size', 'int'), 0) as size
-      from {nodes}, lateral variant_explode(try_variant_get(v, '$._equipment', 'variant')) e
-      where coalesce(try_variant_get(v, '$._api_id', 'string'), try_variant_get(v, '$._japanese_name', 'string')) is not null""", nodes=nodes)
+    """Slots (owner_ref, remodel_from, slot, item_ref, size) of all nodes of nested JSON, however deep, that have an ``_equipment`` list.
+
+    One stage goes some levels down and writes the slots found on its way and the nodes below its last level; the next goes on with these.
+    Nodes without slots are not carried along, and no level is gone through twice.
+    """
+    pending = "struct<owner_ref:string,remodel_from:string,equipment:variant>"
+    get = lambda value, path, kind: f"try_variant_get({value}, '{path}', '{kind}')"
+    owner = f"coalesce({get('v', '$._api_id', 'string')}, {get('v', '$._japanese_name', 'string')})"
+    listed = lambda value: f"coalesce({get(value, '$', 'array<variant>')}, map_values({get(value, '$', 'map<string,variant>')}), array())"
+    each = f"transform({listed('equipment')}, (e, i) -> struct(i as slot, {get('e', '$.equipment', 'string')} as item_ref, coalesce({get('e', '$.size', 'int')}, 0) as size))"
+    found = f"struct({owner} as owner_ref, {get('v', '$._remodel_from', 'string')} as remodel_from, {get('v', '$._equipment', 'variant')} as equipment)"
+    below = f"transform({listed('v')}, c -> struct(c as v, cast(null as {pending}) as o))"
+    step = f"if(o is not null, array(struct(v, o)), concat(if({owner} is not null and {get('v', '$._equipment', 'variant')} is not null, array(struct(cast(null as variant) as v, {found} as o)), array()), {below}))"
+    ahead = documents.select(F.try_parse_json(column).alias("v"), F.lit(None).cast(pending).alias("o")).where("v is not null")
+    slots = None
+    while True:
+        for _ in range(nested.WALKED):
+            ahead = ahead.selectExpr(f"explode({step}) as n").selectExpr("n.v", "n.o").where("v is not null or o is not null")
+        rows = ahead.selectExpr("v", "o.owner_ref", "o.remodel_from", "o.equipment")
+        rows = rows.selectExpr("v", "owner_ref", "remodel_from", f"explode(if(owner_ref is null, array(cast(null as struct<slot:int,item_ref:string,size:int>)), {each})) as s")
+        rows = cut_lineage(rows.selectExpr("v", "owner_ref", "remodel_from", "s.slot", "s.item_ref", "s.size"))
+        own = rows.where("owner_ref is not null").drop("v")
+        slots = own if slots is None else slots.unionAll(own)
+        ahead = rows.where("owner_ref is null").select("v", F.lit(None).cast(pending).alias("o"))
+        if not ahead.limit(1).count():
+            return slots
 
 
 def owned_items(slots: DataFrame, owners: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -834,3 +834,13 @@ def test_page_records_are_made_by_all_tasks(spark, sf, tmp_path):
     found = QUERIES["page_records"](spark, str(tmp_path))
     tasks = found.select("k", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
     assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 100 and sum(r["count"] for r in tasks) == 200
+
+
+def test_owners_are_walked_once(spark):
+    """What reads the slots doesn't walk the documents again; slots of owners below others, of objects in place of lists, and of owners without a name."""
+    inner = {"_japanese_name": "in", "_remodel_from": "out", "_equipment": {"b": {"equipment": "q", "size": 4}, "a": {"equipment": "p"}}}
+    document = {"deep": [1, [{"_api_id": 1, "_equipment": [{"equipment": "gun"}, None, 3, {"equipment": "x", "size": 2, "more": inner}]}]], "_equipment": [{"equipment": "nobody's"}], "none": {"_api_id": 2, "_equipment": None}}
+    slots = records.owner_nodes(spark.createDataFrame([(json.dumps(document),), ("{",), (None,)], "j string"), "j")
+    assert "Generate" not in slots._jdf.queryExecution().executedPlan().toString()
+    found = [tuple(r) for r in slots.select("owner_ref", "remodel_from", "slot", "item_ref", "size").collect()]
+    assert sorted(found, key=repr) == sorted([("1", None, 0, "gun", 0), ("1", None, 1, None, 0), ("1", None, 2, None, 0), ("1", None, 3, "x", 2), ("in", "out", 0, "p", 0), ("in", "out", 1, "q", 4)], key=repr)
