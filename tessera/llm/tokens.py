@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import load_shared, make_shared, open_shared, scratch_path, set_threads, slices, text_buffer
-from tessera.llm.words import NOT_SPACE, Words, same_bytes, split
+from tessera.llm.words import NOT_SPACE, Words, eights, fingerprints, mix, same_bytes, sealed, split
 
 END_ID = 2
 SLOT_BITS, WIDTH, KEPT = 20, 10, 24  # of the memory: places for parts, ids and bytes of a part at most
@@ -67,6 +67,14 @@ def _ends_of_parts(tokenizer) -> np.ndarray | None:
     return out
 
 
+def _prints(units: Words, length: np.ndarray) -> np.ndarray:
+    """Fingerprints of parts: of up to eight bytes from these as one number, of longer ones as of any word."""
+    prints = sealed(mix(eights(units.text, units.starts, length)), length)
+    long = np.flatnonzero(length > 8)
+    prints[long] = fingerprints(units.text, units.starts[long], units.ends[long])
+    return prints
+
+
 class Encoder:
     """A tokenizer with a memory of parts: runs of letters (ASCII and Latin-1), digits, runs of other ASCII, odd words.
 
@@ -141,8 +149,8 @@ class Encoder:
         if self.ends is None:
             return self._texts(raw, offsets)
         units, odd = self._units(raw, offsets)
-        prints, first, inverse = np.unique(units.fingerprints(), return_index=True, return_inverse=True)
         length = units.ends - units.starts
+        prints, first, inverse = np.unique(_prints(units, length), return_index=True, return_inverse=True)
         if not same_bytes(units.text, units.starts, length, first[inverse.ravel()]):
             return self._texts(raw, offsets)
         slot = (prints >> np.uint64(64 - SLOT_BITS)).astype(np.int64)

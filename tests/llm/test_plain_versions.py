@@ -126,3 +126,19 @@ def test_secrets_are_those_of_known_assignments(seed):
         assert secrets.lex(text.encode()) == wanted, text
         some += len(wanted)
     assert some > 150
+
+
+def test_short_parts_are_named_and_compared_as_numbers(monkeypatch):
+    """Only parts of over eight bytes are gone through byte by byte; parts that differ in any byte are told apart."""
+    from tessera.llm import tokens, words
+
+    pieces = [b"a", b"ab", b"abcdefgh", b"abcdefghi", b"abcdefghj", b"abcdefghijklmnopqrstuvw", b"abcdefghijklmnopqrstuvx", b"a", b"abcdefghi"]
+    raw = np.frombuffer(b" ".join(pieces), np.uint8)
+    units = words.split(raw, np.array([0, len(raw)]), words.NOT_SPACE)
+    length, seen = units.ends - units.starts, []
+    monkeypatch.setattr(tokens, "fingerprints", lambda t, a, b: seen.extend((b - a).tolist()) or words.fingerprints(t, a, b))
+    prints = tokens._prints(units, length)
+    assert sorted(seen) == [9, 9, 9, 23, 23] and len(set(prints.tolist())) == 7 and prints[0] == prints[7] and prints[3] == prints[8]
+    for others, same in ((list(range(9)), True), ([7, 1, 2, 8, 4, 5, 6, 0, 3], True), ([0, 1, 2, 4, 4, 5, 6, 7, 8], False), ([0, 1, 2, 3, 4, 6, 6, 7, 8], False), ([1, 1, 2, 3, 4, 5, 6, 7, 8], False)):
+        assert words.same_bytes(units.text, units.starts, length, np.array(others)) == same
+    assert words.same_bytes(units.text, units.starts[:0], length[:0], np.zeros(0, np.int64))
