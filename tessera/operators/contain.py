@@ -1,10 +1,11 @@
 """Containment join: which aliases of a catalog of any size occur in texts, the longest first, occurrences that lie over an accepted one left out.
 
-An inverted index of rare grams finds the places worth a look. Of every window of some grams of a text (a gram: a few bytes)
-the least by a mixed order is taken, so an alias as long as a window has the grams that the text has where it
-occurs. Short aliases have classes of their own with shorter grams and windows. Text grams that no alias has go at once, by a
-semi-join; each alias is then looked for by the one of its grams that is rarest in the texts, and every place is verified against the
-text itself. Both sides stay distributed and nothing is collected; equal texts are searched once.
+An inverted index of rare grams finds the places worth a look (a gram: eight bytes, fewer for aliases that are shorter). Of every
+window of some grams of a long alias the least by a mixed order is taken. A first pass over the texts counts the grams that some alias
+has, and each alias is looked for by the one of its grams that is rarest in the texts. A second pass finds the places of those grams, with the
+bytes about them as far as an alias with that gram may reach; every place is verified against these bytes, and by the text itself
+where an alias reaches farther than ``PIECE``. In both passes a table of bits, of bounded size, tells most places that no alias has a gram for;
+what it lets through is joined exactly. Both sides stay distributed; the driver gets those bits.
 
 Which occurrences count is decided text by text in one sorted pass that remembers the accepted stretches only.
 """
@@ -25,8 +26,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Of aliases of at least so many bytes the bytes of a gram and the grams of a window; the first that fits.
-CLASSES = ((23, 8, 16), (8, 4, 5), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+CLASSES = ((23, 8, 16), (8, 8, 1), (4, 4, 1), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+PIECE = 1024  # bytes before a gram, and from it on, that go along with its place
+FILTER_BITS = 25  # a table has a power of two of places, of this exponent at most
 _STEP = 1 << 19  # places looked at together
+_AT_ONCE = 1 << 16  # places of texts looked at together: they fit a core's cache
+_HELD = 1 << 20  # grams that a task counts together
+_SLICE = 1 << 20  # bytes of texts handled together
+_ROWS = 1 << 13  # places that leave a task together
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_PART = 16  # a table goes to the driver in parts of two to this power
 
 
 def scratch(spark: SparkSession) -> str:
@@ -99,9 +108,8 @@ def _rows_of_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def _grams(rows: DataFrame, key: str, classes: list[int], *, own: bool) -> DataFrame:
-    """(key, class, gram, place) of the texts ``_t`` of rows; ``own``: each text in its own class only."""
-    kind = rows.schema[key].dataType.simpleString()
+def _alias_grams(aliases: DataFrame) -> DataFrame:
+    """(alias, size, gram, place) of the grams that an alias may be looked for by; ``size``: the bytes of the gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,35 +118,167 @@ def _grams(rows: DataFrame, key: str, classes: list[int], *, own: bool) -> DataF
                 data, offsets = _rows_of_bytes(part.column("_t"))
                 length = np.diff(offsets)
                 fits = np.array([next(c for c, (least, _, _) in enumerate(CLASSES) if n >= least) if n else -1 for n in length.tolist()])
-                for c in classes:
+                for c in sorted(set(fits.tolist()) - {-1}):
                     places, grams = sampled_grams(data, offsets, *CLASSES[c][1:])
                     row = np.searchsorted(offsets, places, "right") - 1
-                    if own:
-                        places, grams, row = (x[fits[row] == c] for x in (places, grams, row))
+                    places, grams, row = (x[fits[row] == c] for x in (places, grams, row))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(key).take(pa.array(row)), pa.array(np.full(len(row), c, np.int32)), pa.array(grams), pa.array(places - offsets[row])],
-                        names=[key, "class", "gram", "place"],
+                        [part.column("alias").take(pa.array(row)), pa.array(np.full(len(row), CLASSES[c][1], np.int32)), pa.array(grams), pa.array(places - offsets[row])],
+                        names=["alias", "size", "gram", "place"],
                     )
 
-    return rows.select(key, F.col("_t").cast("binary").alias("_t")).mapInArrow(run, f"{key} {kind}, class int, gram long, place long")
+    return aliases.select("alias", F.col("alias").cast("binary").alias("_t")).mapInArrow(run, "alias string, size int, gram long, place long")
+
+
+def _slots(grams: np.ndarray, bits: int) -> np.ndarray:
+    return ((grams * _MIX) >> np.uint64(64 - bits)).view(np.int64)
+
+
+def _tables(grams: DataFrame) -> dict[int, tuple[int, bytes, np.ndarray]]:
+    """Of each size of grams (size, gram, before, after): exponent, which places of the table have grams, and how far their aliases reach.
+
+    Some 16 places for each gram, up to ``FILTER_BITS``; the reaches are the greatest of each of 65,536 parts.
+    """
+    rows = grams.groupBy("size").agg(F.count("*").alias("n")).collect()
+    bits = {r["size"]: min(max((16 * r["n"]).bit_length(), _PART), FILTER_BITS) for r in rows}
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, gram = batch.column("size").to_numpy(), batch.column("gram").to_numpy().view(np.uint64)
+            slot = np.zeros(len(gram), np.int64)
+            for one in np.unique(size).tolist():
+                slot[size == one] = _slots(gram[size == one], bits[one])
+            yield pa.RecordBatch.from_arrays([batch.column("size"), pa.array(slot), batch.column("before"), batch.column("after")], names=["size", "slot", "before", "after"])
+
+    def packed(group: pa.Table) -> pa.Table:
+        slot = group.column("slot").to_numpy()
+        size, part = int(group.column("size")[0].as_py()), int(group.column("part")[0].as_py())
+        have = np.zeros(1 << _PART, bool)
+        have[slot & (len(have) - 1)] = True
+        shift = bits[size] - _PART
+        reach = np.zeros((2, 1 << (_PART - shift)), np.int32)
+        for k, name in enumerate(("before", "after")):
+            np.maximum.at(reach[k], (slot & (len(have) - 1)) >> shift, group.column(name).to_numpy().astype(np.int32))
+        return pa.table({"size": pa.array([size], pa.int32()), "part": pa.array([part], pa.int64()), "have": [np.packbits(have).tobytes()], "reach": [reach.tobytes()]})
+
+    slots = grams.select("size", "gram", "before", "after").mapInArrow(placed, "size int, slot long, before int, after int")
+    slots = slots.groupBy("size", "slot").agg(F.max("before").alias("before"), F.max("after").alias("after")).withColumn("part", F.shiftright("slot", _PART))
+    parts = slots.groupBy("size", "part").applyInArrow(packed, "size int, part long, have binary, reach binary").collect()
+    out = {}
+    for size, n in bits.items():
+        have, reach = np.zeros((1 << (n - _PART), 1 << (_PART - 3)), np.uint8), np.zeros((2, 1 << (n - _PART), 1 << (2 * _PART - n)), np.int32)
+        for r in parts:
+            if r["size"] == size:
+                have[r["part"]] = np.frombuffer(r["have"], np.uint8)
+                reach[:, r["part"]] = np.frombuffer(r["reach"], np.int32).reshape(2, -1)
+        out[size] = n, have.tobytes(), reach.reshape(2, -1)
+    return out
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows at a time with the bytes of their texts and the offsets."""
+    for batch in batches:
+        data, offsets = _rows_of_bytes(batch.column("_t"))
+        at = 0
+        while at < batch.num_rows:
+            stop = min(max(int(np.searchsorted(offsets, offsets[at] + _SLICE, "right")) - 1, at + 1), batch.num_rows)
+            yield batch.slice(at, stop - at), data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at]
+            at = stop
+
+
+def _met(data: np.ndarray, offsets: np.ndarray, tables: dict[int, tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(size, places, grams, rows) of the grams within a row for which the table of their size has a place."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    for start in range(0, len(data), _AT_ONCE):
+        n = min(_AT_ONCE, len(data) - start)
+        eight = np.ndarray((n,), "<u8", padded, start, (1,)).copy()
+        for size, (bits, have) in tables.items():
+            gram = eight if size == 8 else eight & np.uint64((1 << 8 * size) - 1)
+            at = np.flatnonzero(have[_slots(gram, bits)])
+            row = np.searchsorted(offsets, at + start, "right") - 1
+            inside = at + start + size <= offsets[row + 1]
+            at, row = at[inside], row[inside]
+            if len(at):
+                yield size, at + start, gram[at].view(np.int64), row
+
+
+def _unpacked(tables: dict) -> dict[int, tuple[int, np.ndarray]]:
+    return {size: (bits, np.unpackbits(np.frombuffer(have, np.uint8)).view(bool)) for size, (bits, have, _) in tables.items()}
+
+
+def _gram_counts(texts: DataFrame, tables: dict) -> DataFrame:
+    """(size, gram, n) of the grams of texts (_t) that the tables let through, added up for each task."""
+    asked = {size: (bits, have, None) for size, (bits, have, _) in tables.items()}
+
+    def added(held: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for size, grams in held.items():
+            gram, n = np.unique(np.concatenate(grams), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), size, np.int32)), pa.array(gram), pa.array(n)], names=["size", "gram", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, held, n = _unpacked(asked), {}, 0
+        for _, data, offsets in _pieces(batches):
+            for size, _, grams, _ in _met(data, offsets, have):
+                held.setdefault(size, []).append(grams)
+                n += len(grams)
+            if n > _HELD:
+                yield from added(held)
+                held, n = {}, 0
+        yield from added(held)
+
+    counted = texts.select(F.col("_t").cast("binary").alias("_t")).mapInArrow(run, "size int, gram long, n long")
+    return counted.groupBy("size", "gram").agg(F.sum("n").alias("n"))
+
+
+def _gram_places(texts: DataFrame, tables: dict) -> DataFrame:
+    """(_k, size, gram, place, piece, before) of the grams that the tables let through; ``piece``: the bytes about it, of which ``before`` come first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = _unpacked(tables)
+        for part, data, offsets in _pieces(batches):
+            raw, met = data.tobytes(), []
+            for size, places, grams, row in _met(data, offsets, have):
+                bits, _, reach = tables[size]
+                slot = _slots(grams.view(np.uint64), bits) >> (bits - _PART)
+                first = np.maximum(places - reach[0][slot], offsets[row])
+                met.append((np.full(len(row), size, np.int32), places, grams, row, first, np.minimum(places + reach[1][slot], offsets[row + 1])))
+            if met:
+                size, places, grams, row, first, stop = map(np.concatenate, zip(*met))
+                for at in range(0, len(row), _ROWS):
+                    k = slice(at, at + _ROWS)
+                    piece = pa.array([raw[a:b] for a, b in zip(first[k].tolist(), stop[k].tolist())], pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("_k").take(pa.array(row[k])), pa.array(size[k]), pa.array(grams[k]), pa.array(places[k] - offsets[row[k]]), piece, pa.array((places[k] - first[k]).astype(np.int32))],
+                        names=["_k", "size", "gram", "place", "piece", "before"],
+                    )
+
+    kind = texts.schema["_k"].dataType.simpleString()
+    return texts.select("_k", F.col("_t").cast("binary").alias("_t")).mapInArrow(run, f"_k {kind}, size int, gram long, place long, piece binary, before int")
 
 
 def occurrences(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """(_k, alias, start, stop) of every occurrence of aliases (alias) in texts (_k, _t), in bytes; ``_k`` tells texts apart."""
-    catalog = aliases.where("alias <> ''").select("alias").distinct().withColumn("_t", F.col("alias"))
-    looked = cut_lineage(_grams(catalog, "alias", list(range(len(CLASSES))), own=True))
-    classes = sorted(r[0] for r in looked.select("class").distinct().collect())
-    asked = _grams(texts, "_k", classes, own=False)
-    hits = cut_lineage(asked.join(looked.select("class", "gram").distinct(), ["class", "gram"], "left_semi").distinct())
-    frequency = hits.groupBy("class", "gram").agg(F.count("*").alias("n"))
+    catalog = aliases.where("alias <> ''").select("alias").distinct()
+    looked = cut_lineage(_alias_grams(catalog))
+    nowhere = F.lit(0).alias("before"), F.lit(0).alias("after")
+    frequency = _gram_counts(texts, _tables(looked.select("size", "gram").distinct().select("size", "gram", *nowhere)))
     # an alias of which some gram is in no text is in none
-    ranked = looked.join(frequency, ["class", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    rare = ranked.groupBy("alias", "class").agg(F.min_by(F.struct("n", "gram", "place"), F.struct("n", "place")).alias("g"))
-    rare = rare.where("g.n > 0").select("alias", "class", "g.gram", F.col("g.place").alias("within"), F.octet_length("alias").alias("size"))
-    places = hits.join(rare, ["class", "gram"]).where("place >= within").select("_k", "alias", (F.col("place") - F.col("within")).alias("start"), "size")
-    met = texts.dropDuplicates(["_k"]).join(places, "_k")
-    same = F.substring(F.col("_t").cast("binary"), (F.col("start") + 1).cast("int"), F.col("size")) == F.col("alias").cast("binary")
-    return met.where(same).select("_k", "alias", "start", (F.col("start") + F.col("size")).alias("stop"))
+    ranked = looked.join(frequency, ["size", "gram"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rare = ranked.groupBy("alias", "size").agg(F.min_by(F.struct("n", "gram", "place"), F.struct("n", "place")).alias("g"))
+    rare = cut_lineage(rare.where("g.n > 0").select("alias", "size", "g.gram", F.col("g.place").alias("within"), F.octet_length("alias").alias("bytes")))
+    reach = F.least("within", F.lit(PIECE)).cast("int"), F.least(F.col("bytes") - F.col("within"), F.lit(PIECE)).cast("int")
+    asked = rare.groupBy("size", "gram").agg(F.max(reach[0]).alias("before"), F.max(reach[1]).alias("after"))
+    places = _gram_places(texts, _tables(asked)).join(rare, ["size", "gram"]).where("place >= within")
+    start = F.col("place") - F.col("within")
+    own = F.col("alias").cast("binary")
+    near = (F.col("within") <= PIECE) & (F.col("bytes") - F.col("within") <= PIECE)
+    same = F.substring("piece", (F.col("before") - F.col("within") + 1).cast("int"), F.col("bytes")) == own
+    found = places.where(near & (F.col("before") >= F.col("within")) & same).select("_k", "alias", start.alias("start"), "bytes").distinct()
+    if rare.where(~near).limit(1).count():
+        far = places.where(~near).select("_k", "alias", start.alias("start"), "bytes").distinct()
+        met = texts.dropDuplicates(["_k"]).join(far, "_k")
+        found = found.union(met.where(F.substring(F.col("_t").cast("binary"), (F.col("start") + 1).cast("int"), F.col("bytes")) == own).select(found.columns))
+    return found.select("_k", "alias", "start", (F.col("start") + F.col("bytes")).alias("stop"))
 
 
 def _accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -399,6 +399,47 @@ def test_contained_aliases_are_those_of_brute_force(spark, many):
     assert [(n, found[n], w) for n, w in wanted.items() if found[n] != w] == []
 
 
+@pytest.mark.parametrize("piece", [0, 7])
+def test_aliases_that_reach_beyond_the_bytes_about_a_gram(spark, monkeypatch, piece):
+    """They are verified by the text itself, others beside them by the bytes; places at both ends of a text."""
+    monkeypatch.setattr(contain, "PIECE", piece)
+    rng = random.Random(piece)
+    aliases = [("".join(rng.choices("abc é", k=rng.choice([1, 2, 3, 5, 9, 30, 200]))), n) for n in range(40)]
+    texts = [f"{rng.choice(aliases)[0]}{rng.choice('ab ')}{rng.choice(aliases)[0]}" for _ in range(60)]
+    texts += [a[:-1] + "x" + a for a, _ in aliases] + texts[:20]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, t string")
+    found = {r["n"]: r["found"] for r in contain.scan_aliases(frame, "t", spark.createDataFrame(aliases, "alias string, id long")).collect()}
+    assert [(n, found[n]) for n, t in enumerate(texts) if found[n] != plain_scan(t, aliases)] == []
+
+
+def test_tables_of_bits_that_are_full_only_let_more_through(spark, monkeypatch):
+    monkeypatch.setattr(contain, "FILTER_BITS", 16)
+    texts = spark.range(4000).selectExpr("id as n", "sha2(cast(id as string), 512) as t")
+    found = contain.scan_aliases(texts, "t", texts.selectExpr("substring(t, 50, 20) as alias", "n as id"))
+    assert found.where("found = array(n)").count() == 4000
+
+
+def test_bytes_that_no_alias_has_stay_in_their_task(spark, monkeypatch):
+    """Short aliases beside long ones: each byte of the texts was a row once."""
+    made, kind = spark.sparkContext.accumulator(0), type(spark.range(0))
+
+    def counted(self, func, *rest, plain=kind.mapInArrow, **more):
+        def run(batches):
+            for batch in func(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return plain(self, run, *rest, **more)
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("bcdfghjklm ", k=5000)) + "Ed. an alias of some length that is here" for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, t string").repartition(3)
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    found = contain.scan_aliases(frame, "t", spark.createDataFrame([("Ed.", 1), ("Der.", 2), ("alias of some length that", 3)], "alias string, id long"))
+    assert [r["found"] for r in found.collect()] == [[3, 1]] * 60
+    assert made.value < 5000
+
+
 def test_no_side_of_containment_is_collected(spark, sf):
     texts = spark.read.parquet(f"{sf}/documents.parquet")
     plan = contain.scan_aliases(texts, "text", texts.selectExpr("substring(text, 1, 40) as alias", "doc_id as id")).select("doc_id", "found")
