@@ -53,22 +53,38 @@ def _keys(numbers: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int
 
 
 def suffix_array(numbers: np.ndarray) -> np.ndarray:
-    """Places in the order of the suffixes that begin there, each up to the next 0, by prefix doubling."""
+    """Places in the order of the suffixes that begin there, each up to the next 0, by prefix doubling.
+
+    The first order is of as many numbers as 63 bits hold; then only suffixes are ordered again that some other is still like.
+    """
     n = len(numbers)
-    rank = np.unique(numbers, return_inverse=True)[1].ravel().astype(np.int64) + 1
-    rank[numbers == 0] = 0
+    numbers = numbers.astype(np.int64)
     ends = np.append(np.flatnonzero(numbers == 0), n)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # numbers up to the next 0
-    reach = 1
-    while reach < max(int(left.max(initial=0)), 1):
-        after = np.zeros(n, np.int64)
-        far = np.flatnonzero(left > reach)
-        after[far] = rank[far + reach]
-        both = rank * (n + 2) + after
-        rank = np.unique(both, return_inverse=True)[1].ravel().astype(np.int64) + 1
-        rank[numbers == 0] = 0
+    left = np.repeat(ends, np.diff(ends, prepend=-1))[:n] - np.arange(n)  # numbers up to the next 0
+    width = max(int(numbers.max(initial=0)).bit_length(), 1)
+    reach = max(63 // width, 1)
+    key = numbers.copy()
+    for k in range(1, min(reach, n)):
+        key <<= width
+        key[: n - k] |= np.where(left[: n - k] > k, numbers[k:], 0)
+    order = np.argsort(key)
+    rank, at, key = np.empty(n, np.int64), np.arange(n), key[order]  # at: where in the order those stand that are ordered again
+    while len(at):
+        new = np.ones(len(at), bool)
+        new[1:] = key[1:] != key[:-1]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(at)))
+        rank[order[at]] = np.repeat(at[first], size)
+        alike = (size > 1) & (np.maximum.reduceat(left[order[at]], first) > reach)
+        at = at[np.repeat(alike, size)]
+        place = order[at]
+        key = rank[place] * (n + 1)
+        far = np.flatnonzero(left[place] > reach)
+        key[far] += rank[place[far] + reach] + 1
+        again = np.argsort(key)
+        order[at], key = place[again], key[again]
         reach *= 2
-    return np.argsort(rank, kind="stable")
+    return order
 
 
 @dataclass
@@ -150,6 +166,8 @@ class Block:
         order = order[text[order] > 0]
         left = np.append(np.flatnonzero(text == 0), len(text))
         left = left[np.searchsorted(left, order)] - order
+        # no window is in a suffix that is shorter than all of them
+        order, left = order[left >= min(sizes)], left[left >= min(sizes)]
         sorted_keys = _keys(text, order, left, self.window)
         # binary search of every test suffix up to its window's size
         size = np.array(sizes, np.int64)
